@@ -267,3 +267,42 @@ FROM tables cc INNER JOIN entities ae ON cc.table_owner = ae.entity
 WHERE cc.last_altered <= (TIMESTAMP '1998-08-01 00:00:00' - INTERVAL 30 DAYS)"""
 
 ORACLE["expand_privileges"] = f"WITH {ACCESS} SELECT * FROM schema_privileges"
+
+# --- tables written by Spark ---------------------------------------------
+
+_CLEAN = f"WITH {SENSOR} SELECT {COLS} FROM clean"
+for _k in ("ctas_copy", "ctas_partitioned", "shallow_snapshot", "deep_copy", "table_like",
+           "cluster_by_time", "stream_table_read"):
+    ORACLE[_k] = _CLEAN
+
+_TOMBSTONED = f"WITH {SENSOR} SELECT {COLS} FROM clean WHERE NOT (event_id % 11 = 0)"
+ORACLE["soft_delete_read"] = _TOMBSTONED
+ORACLE["purge_partitions"] = _TOMBSTONED
+
+ORACLE["table_detail"] = f"""
+WITH {SENSOR}
+SELECT SensorLocation, SensorMeasurement, COUNT(*) AS num_rows
+FROM clean GROUP BY SensorLocation, SensorMeasurement"""
+
+ORACLE["stream_merge_silver"] = ORACLE["merge_insert_only"]
+
+# Streams: the ingest key is the md5 of the measurement content.
+_INGEST_KEY = """md5(concat_ws('|', COALESCE(CAST(MeasurementDateTime AS VARCHAR), '\\N'),
+                          COALESCE(CAST(SensorValue AS VARCHAR), '\\N'),
+                          COALESCE(SensorUnitDescription, '\\N'),
+                          COALESCE(SensorMeasurement, '\\N'),
+                          COALESCE(SensorLocation, '\\N')))"""
+
+ORACLE["stream_csv_ingest"] = f"""
+WITH {RAW}
+SELECT WindowAverageStartDateTime, WindowAverageStopDateTime, MeasurementDateTime,
+       SensorValue, SensorUnitDescription, SensorMeasurement, SensorLocation,
+       {_INGEST_KEY} AS Id
+FROM raw WHERE SensorValue IS NOT NULL"""
+ORACLE["stream_rerun_noop"] = ORACLE["stream_csv_ingest"]
+
+ORACLE["stream_replay_idempotent"] = f"""
+WITH {RAW}
+SELECT MeasurementDateTime, SensorValue, SensorUnitDescription, SensorMeasurement,
+       SensorLocation, {_INGEST_KEY} AS Id
+FROM raw WHERE SensorValue IS NOT NULL"""

@@ -262,3 +262,214 @@ def stale_tables(spark, d):
 @query("expand_privileges")
 def expand_privileges(spark, d):
     return fx.schema_privileges(spark, d)
+
+
+# --- B, J: tables written by Spark from the test tables -------------------
+
+PARTS = ["SensorLocation", "SensorMeasurement"]
+TOMBSTONE_PRED = "event_id % 11 = 0"
+
+
+def _clean_table(spark, d, label: str, partition_by=PARTS):
+    """``clean`` (with ``event_id``) written as a partitioned table (CTAS)."""
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+    return ParquetTable.create_as(spark, work_path(spark, label),
+                                  fx.clean(spark, d, keep_event_id=True), partition_by)
+
+
+@query("ctas_copy")
+def ctas_copy(spark, d):
+    return _clean_table(spark, d, "ctas", partition_by=()).read().select(*fx.SILVER)
+
+
+@query("ctas_partitioned")
+def ctas_partitioned(spark, d):
+    return _clean_table(spark, d, "ctas-part").read().select(*fx.SILVER)
+
+
+@query("soft_delete_read")
+def soft_delete_read(spark, d):
+    t = _clean_table(spark, d, "soft-delete")
+    t.delete(TOMBSTONE_PRED, soft=True)
+    return t.read().select(*fx.SILVER)
+
+
+@query("purge_partitions")
+def purge_partitions(spark, d):
+    t = _clean_table(spark, d, "purge")
+    t.delete(TOMBSTONE_PRED, soft=True)
+    t.purge("SensorLocation = 'loc_1'")
+    return t.read().select(*fx.SILVER)
+
+
+@query("shallow_snapshot")
+def shallow_snapshot(spark, d):
+    t = _clean_table(spark, d, "shallow")
+    snap = t.snapshot()
+    t.delete(TOMBSTONE_PRED, soft=True)
+    return snap.read().select(*fx.SILVER)
+
+
+@query("deep_copy")
+def deep_copy(spark, d):
+    from tidepool.session import work_path
+    t = _clean_table(spark, d, "deep-src")
+    clone = t.deep_clone(work_path(spark, "deep-clone"))
+    t.delete(TOMBSTONE_PRED, soft=True)
+    return clone.read().select(*fx.SILVER)
+
+
+@query("table_like")
+def table_like(spark, d):
+    import uuid
+    t = _clean_table(spark, d, "like")
+    return t.register_like(f"tidepool_like_{uuid.uuid4().hex[:12]}").select(*fx.SILVER)
+
+
+@query("cluster_by_time")
+def q_cluster_by_time(spark, d):
+    t = _clean_table(spark, d, "cluster")
+    t.cluster_by("MeasurementDateTime")
+    return t.read().select(*fx.SILVER)
+
+
+@query("table_detail")
+def table_detail(spark, d):
+    t = _clean_table(spark, d, "detail")
+    return t.partition_counts()
+
+
+@query("operation_history")
+def operation_history(spark, d):
+    """Versions and operations after CTAS, soft delete, replace, purge, optimize."""
+    t = _clean_table(spark, d, "history")
+    t.delete(TOMBSTONE_PRED, soft=True)
+    new = fx.update_rows(spark, d).filter(F.expr(fx.PARTITION_PRED))
+    t.replace_where(fx.PARTITION_PRED, new)
+    t.purge("SensorLocation = 'loc_1'")
+    t.cluster_by("MeasurementDateTime")
+    return t.history().select("version", "operation",
+                              F.coalesce(F.col("metrics")["numOutputRows"],
+                                         F.col("metrics")["numDeletedRows"]).alias("num_rows"))
+
+
+@query("source_inventory")
+def q_source_inventory(spark, d):
+    from tidepool.sources.sensor import source_inventory
+    inv = source_inventory(spark, d, glob="*.parquet")
+    return inv.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                      F.col("length").alias("size_bytes"))
+
+
+# --- A, B, K: streaming ---------------------------------------------------
+
+FEED_FILES = 4
+
+
+def _feed(spark, d):
+    """The raw CSV feed, written by Spark from ``events`` into 4 files."""
+    from tidepool.session import work_path
+    from tidepool.sources.sensor import write_csv_feed
+    path = work_path(spark, "feed")
+    write_csv_feed(fx.raw(spark, d), path, files=FEED_FILES)
+    return path
+
+
+def _bronze(spark, label: str):
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+    from tidepool.streaming.pipeline import bronze_schema
+    return ParquetTable.create(spark, work_path(spark, label),
+                               bronze_schema(T.TimestampNTZType()))
+
+
+def _ingest(spark, feed, bronze, checkpoint):
+    from tidepool.sources.sensor import CSV_TIME_FORMAT
+    from tidepool.streaming.pipeline import ingest_raw_to_bronze
+    schema = sensor_schema(T.TimestampNTZType())
+    ingest_raw_to_bronze(spark, feed, bronze, checkpoint, schema=schema,
+                         max_files_per_trigger=1, timestamp_format=CSV_TIME_FORMAT)
+
+
+BRONZE_OUT = ["WindowAverageStartDateTime", "WindowAverageStopDateTime", "MeasurementDateTime",
+              "SensorValue", "SensorUnitDescription", "SensorMeasurement", "SensorLocation", "Id"]
+
+
+@query("stream_csv_ingest")
+def stream_csv_ingest(spark, d):
+    from tidepool.session import work_path
+    feed = _feed(spark, d)
+    bronze = _bronze(spark, "bronze")
+    _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
+    return bronze.read().select(*BRONZE_OUT)
+
+
+@query("stream_rerun_noop")
+def stream_rerun_noop(spark, d):
+    """A second run on the same checkpoint finds no new file and adds nothing."""
+    from tidepool.session import work_path
+    feed = _feed(spark, d)
+    bronze = _bronze(spark, "bronze-rerun")
+    ckpt = work_path(spark, "ckpt-raw")
+    _ingest(spark, feed, bronze, ckpt)
+    _ingest(spark, feed, bronze, ckpt)
+    return bronze.read().select(*BRONZE_OUT)
+
+
+def _silver(spark, label: str):
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+    from tidepool.streaming.pipeline import bronze_schema
+    b = bronze_schema(T.TimestampNTZType())
+    schema = T.StructType([b[c] for c in SILVER_COLUMNS])
+    return ParquetTable.create(spark, work_path(spark, label), schema, PARTS)
+
+
+@query("stream_replay_idempotent")
+def stream_replay_idempotent(spark, d):
+    """Bronze → silver, then a replay from a fresh checkpoint: content keys
+    make the insert-only merge add nothing the second time."""
+    from tidepool.session import work_path
+    from tidepool.streaming.pipeline import merge_bronze_to_silver
+    feed = _feed(spark, d)
+    bronze = _bronze(spark, "bronze-replay")
+    _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
+    silver = _silver(spark, "silver-replay")
+    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-a"), max_files_per_trigger=2)
+    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-b"), max_files_per_trigger=2,
+                           query_name="bronze_to_silver_replay")
+    return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS])
+
+
+@query("stream_merge_silver")
+def stream_merge_silver(spark, d):
+    """Silver seeded with ``T``; the bronze stream carries ``U`` in several
+    files; each micro-batch is merged insert-only on ``Id``."""
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+    from tidepool.streaming.pipeline import merge_bronze_to_silver
+    silver_cols = fx.SILVER
+    silver = ParquetTable.create(spark, work_path(spark, "silver"),
+                                 fx.target_rows(spark, d).select(*silver_cols).schema, PARTS)
+    silver.append(fx.target_rows(spark, d).select(*silver_cols))
+    bronze = ParquetTable.create(spark, work_path(spark, "bronze-u"),
+                                 fx.update_rows(spark, d).select(*silver_cols).schema)
+    u = fx.update_rows(spark, d)
+    for i in range(FEED_FILES):
+        bronze.append(u.filter(F.col("event_id") % FEED_FILES == i).select(*silver_cols))
+    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-silver"),
+                           max_files_per_trigger=FEED_FILES // 2)
+    return silver.read()
+
+
+@query("stream_table_read")
+def stream_table_read(spark, d):
+    """A table read as a stream (every file once) into another table."""
+    from tidepool.session import work_path
+    from tidepool.streaming.pipeline import copy_stream
+    src = _clean_table(spark, d, "stream-src")
+    from tidepool.sources.table import ParquetTable
+    dst = ParquetTable.create(spark, work_path(spark, "stream-dst"), src.schema, PARTS)
+    copy_stream(src, dst, work_path(spark, "ckpt-copy"), max_files_per_trigger=8)
+    return dst.read().select(*fx.SILVER)

@@ -54,25 +54,31 @@ def sensor_schema(timestamp_type: T.DataType | None = None,
     return T.StructType(fields)
 
 
-def _csv_reader(reader, schema: T.StructType):
-    return (reader.format("csv")
-            .option("header", "true")
-            .option("mode", "PERMISSIVE")
-            .schema(schema))
+def _csv_reader(reader, schema: T.StructType, timestamp_format: str | None = None):
+    r = (reader.format("csv")
+         .option("header", "true")
+         .option("mode", "PERMISSIVE")
+         .schema(schema))
+    if timestamp_format:
+        r = (r.option("timestampFormat", timestamp_format)
+              .option("timestampNTZFormat", timestamp_format))
+    return r
 
 
 def read_sensor_csv(spark: SparkSession, path: str,
-                    schema: T.StructType | None = None) -> DataFrame:
+                    schema: T.StructType | None = None,
+                    timestamp_format: str | None = None) -> DataFrame:
     """Batch read of the CSV feed: header skipped, cells bound by position,
     cells that fail their cast become NULL and the row is kept."""
-    return _csv_reader(spark.read, schema or sensor_schema()).load(path)
+    return _csv_reader(spark.read, schema or sensor_schema(), timestamp_format).load(path)
 
 
 def stream_sensor_csv(spark: SparkSession, path: str,
                       schema: T.StructType | None = None,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = None,
+                      timestamp_format: str | None = None) -> DataFrame:
     """Streaming read of the CSV feed; each file is taken once per checkpoint."""
-    reader = _csv_reader(spark.readStream, schema or sensor_schema())
+    reader = _csv_reader(spark.readStream, schema or sensor_schema(), timestamp_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
