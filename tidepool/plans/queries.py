@@ -204,10 +204,14 @@ def change_feed(spark, d):
 
 @query("evolve_append")
 def evolve_append(spark, d):
-    """Frame form of a schema-evolving append (see stream/table tests for files)."""
+    """A table written without the unit column, then an append that brings
+    it (``mergeSchema``): old rows read it as NULL."""
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
     old = fx.target_rows(spark, d).select(*fx.SILVER).drop("SensorUnitDescription")
-    new = fx.update_rows(spark, d).select(*fx.SILVER)
-    return old.unionByName(new, allowMissingColumns=True)
+    t = ParquetTable.create_as(spark, work_path(spark, "evolve"), old)
+    t.append(fx.update_rows(spark, d).select(*fx.SILVER), merge_schema=True)
+    return t.read().select(*fx.SILVER)
 
 
 # --- M: access report ----------------------------------------------------
@@ -389,7 +393,7 @@ def _ingest(spark, feed, bronze, checkpoint):
     from tidepool.streaming.pipeline import ingest_raw_to_bronze
     schema = sensor_schema(T.TimestampNTZType())
     ingest_raw_to_bronze(spark, feed, bronze, checkpoint, schema=schema,
-                         max_files_per_trigger=1, timestamp_format=CSV_TIME_FORMAT)
+                         timestamp_format=CSV_TIME_FORMAT)
 
 
 BRONZE_OUT = ["WindowAverageStartDateTime", "WindowAverageStopDateTime", "MeasurementDateTime",

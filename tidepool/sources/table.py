@@ -111,7 +111,8 @@ class ParquetTable:
         root = root.rstrip("/")
         state = cls._state_at(spark, root)
         parts = [p for p in (state["parameters"] or {}).get("partitionBy", "").split(",") if p]
-        schema = spark.read.parquet(f"{root}/{state['data_dir']}").schema
+        schema = (spark.read.option("mergeSchema", "true")
+                  .parquet(f"{root}/{state['data_dir']}").schema)
         return cls(spark, root, schema, parts, key)
 
     # --- state ------------------------------------------------------------
@@ -138,8 +139,19 @@ class ParquetTable:
 
     def refresh(self) -> ParquetTable:
         self._cached = None
+        self._txn_cache = None
         return self
 
+    def _txns(self) -> set:
+        """(app id, batch id) pairs already committed by stream appends."""
+        if getattr(self, "_txn_cache", None) is None:
+            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+            rows = (h.filter(F.col("parameters")["txnAppId"].isNotNull())
+                     .select(F.col("parameters")["txnAppId"].alias("a"),
+                             F.col("parameters")["txnVersion"].alias("v")).collect())
+            self._txn_cache = {(r["a"], r["v"]) for r in rows}
+        return self._txn_cache
+
     def data_path(self) -> str:
         return f"{self.root}/{self._state()['data_dir']}"
 
@@ -167,7 +179,13 @@ class ParquetTable:
               .withColumn("timestamp", F.current_timestamp())
               .select(*HISTORY_SCHEMA.names))
         df.coalesce(1).write.mode("append").parquet(self.history_path)
-        self._cached = None
+        if first:
+            self._cached = None
+        else:
+            self._cached = {**st, "version": version, "operation": operation,
+                            "data_dir": data_dir, "tomb_dir": tomb_dir}
+        if "txnAppId" in params:
+            self._txns().add((params["txnAppId"], str(params["txnVersion"])))
 
     # --- reading ----------------------------------------------------------
 
@@ -188,9 +206,13 @@ class ParquetTable:
         return self.spark.read.schema(tschema).parquet(path).select(*cols)
 
     def _visible(self, base: DataFrame, tombs: DataFrame) -> DataFrame:
-        if tombs.isEmpty():
+        """Anti-join with the tombstones: skipped when there are none,
+        broadcast when at most TOMBSTONE_BROADCAST_ROWS, else a shuffle
+        join (``purge`` keeps them few)."""
+        n = tombs.limit(TOMBSTONE_BROADCAST_ROWS + 1).count()
+        if n == 0:
             return base
-        t = broadcast_if_small(tombs, TOMBSTONE_BROADCAST_ROWS)
+        t = F.broadcast(tombs) if n <= TOMBSTONE_BROADCAST_ROWS else tombs
         return base.join(t, on=self.partition_by + self.key, how="left_anti")
 
     def read(self) -> DataFrame:
@@ -298,16 +320,27 @@ class ParquetTable:
     # --- operations ---------------------------------------------------------
 
     def append(self, df: DataFrame, operation: str = "WRITE",
-               txn: tuple[str, int] | None = None) -> int:
+               txn: tuple[str, int] | None = None, merge_schema: bool = False) -> int:
         """Append rows. ``txn=(app_id, batch_id)`` makes a replayed stream
-        batch a no-op (the pair is kept in the history)."""
+        batch a no-op (the pair is kept in the history).
+
+        ``merge_schema=True`` (``mergeSchema``): columns of ``df`` unknown to
+        the table are added as nullable columns; older files read them as
+        NULL. Columns of the table missing from ``df`` are written as NULL."""
         params = {"mode": "Append"}
+        if merge_schema:
+            known = set(self.schema.names)
+            added = [f for f in df.schema.fields if f.name not in known]
+            if added:
+                self.schema = T.StructType(
+                    self.schema.fields + [T.StructField(f.name, f.dataType, True) for f in added])
+                params["addedColumns"] = ",".join(f.name for f in added)
+            df = df.select(*[F.col(f.name) if f.name in df.columns
+                             else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in self.schema.fields])
         if txn is not None:
             app, batch = txn
-            seen = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-                    .filter((F.col("parameters")["txnAppId"] == app)
-                            & (F.col("parameters")["txnVersion"] == str(batch))))
-            if not seen.isEmpty():
+            if (app, str(batch)) in self._txns():
                 return 0
             params.update({"txnAppId": app, "txnVersion": str(batch)})
         n = self._write(df, self.data_path(), "append")

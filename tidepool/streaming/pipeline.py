@@ -4,8 +4,9 @@ Both use ``foreachBatch`` into a :class:`ParquetTable` and run to drain
 (``availableNow``), awaited, one checkpoint per hop:
 
 * raw → bronze: CSV feed → cleaning → provenance → content key → append.
-  The append carries ``(query name, batch id)``, so a batch replayed after a
-  failure adds nothing.
+  The append carries ``(query name @ checkpoint, batch id)``, so a batch
+  replayed after a failure adds nothing, while a run from a *new*
+  checkpoint (which restarts at batch 0) is not mistaken for a replay.
 * bronze → silver: insert-only merge on the key. With content keys a replay
   from a fresh checkpoint adds nothing either.
 
@@ -47,6 +48,12 @@ def bronze_rows(raw: DataFrame, key_columns: list[str] | None = None) -> DataFra
     return keyed.select(*BRONZE_COLUMNS)
 
 
+def _app_id(query_name: str, checkpoint: str) -> str:
+    """Identity of a stream for idempotent appends: batch ids restart with
+    each new checkpoint, so the checkpoint is part of it."""
+    return f"{query_name}@{checkpoint}"
+
+
 def _run(df: DataFrame, name: str, checkpoint: str, handler, trigger: dict | None,
          await_done: bool) -> StreamingQuery:
     w = (df.writeStream.queryName(name)
@@ -76,7 +83,8 @@ def ingest_raw_to_bronze(spark: SparkSession, source_dir: str, bronze: ParquetTa
     rows = bronze_rows(raw, key_columns)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        bronze.append(batch, operation="STREAMING UPDATE", txn=(query_name, batch_id))
+        bronze.append(batch, operation="STREAMING UPDATE",
+                      txn=(_app_id(query_name, checkpoint), batch_id))
 
     return _run(rows, query_name, checkpoint, append, trigger, await_done)
 
@@ -90,7 +98,7 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
     src = bronze.stream(max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        silver.merge_insert_only(batch, txn=(query_name, batch_id))
+        silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id))
 
     return _run(src, query_name, checkpoint, merge, trigger, await_done)
 
@@ -103,6 +111,7 @@ def copy_stream(source: ParquetTable, target: ParquetTable, checkpoint: str,
     src = source.stream(max_files_per_trigger)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        target.append(batch, operation="STREAMING UPDATE", txn=(query_name, batch_id))
+        target.append(batch, operation="STREAMING UPDATE",
+                      txn=(_app_id(query_name, checkpoint), batch_id))
 
     return _run(src, query_name, checkpoint, append, trigger, await_done)
