@@ -32,6 +32,7 @@ TABLE_REPORT_COLUMNS = ["table_catalog", "table_schema", "table_name", "last_alt
 # Entity sets are a user plus their groups; above this many rows the join
 # with privileges stays a shuffle join.
 ENTITY_BROADCAST_ROWS = 100_000
+GRANT_BROADCAST_ROWS = 1_000_000
 
 
 def groups_of_user(membership: DataFrame, user: str) -> DataFrame:
@@ -115,7 +116,7 @@ def expand_catalog_grants(catalog_grants: DataFrame, schemas: DataFrame) -> Data
     columns with ``inherited_from = 'CATALOG'``.
     """
     g = catalog_grants.select("grantor", "grantee", "catalog_name", "privilege_type")
-    return (g.join(schemas, "catalog_name")
+    return (g.join(broadcast_if_small(schemas), "catalog_name")
              .select("grantor", "grantee", "catalog_name", "schema_name",
                      "privilege_type", F.lit(FROM_CATALOG).alias("inherited_from")))
 
@@ -142,6 +143,9 @@ def table_privileges(schema_privs: DataFrame, tables: DataFrame,
     if entities is not None:
         e = _small(entities)
         sp = sp.join(e, sp["grantee"] == e["entity"], "left_semi")
+        # Few grants remain: broadcast them (checked) so the tables side, whose
+        # (catalog, schema) keys are few and heavy, is never shuffled on them.
+        sp = broadcast_if_small(sp, GRANT_BROADCAST_ROWS)
     t = tables.select(F.col("table_catalog").alias("catalog_name"),
                       F.col("table_schema").alias("schema_name"), "table_name")
     return (sp.join(t, ["catalog_name", "schema_name"])

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tidepool.functions.cleaning import project_to_target
 from tidepool.operators.joins import broadcast_if_small, split_null_keys
 
+# Source (micro-batch) key sets up to this many rows are broadcast to probe
+# the target; larger ones use a shuffle anti-join.
+SOURCE_KEY_BROADCAST_ROWS = 1_000_000
+
 
 def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -21,19 +25,32 @@ def _keys(key: str | list[str]) -> list[str]:
 
 def rows_to_insert(target: DataFrame, updates: DataFrame,
                    key: str | list[str] = "Id",
-                   target_columns: list[str] | None = None) -> DataFrame:
+                   target_columns: list[str] | None = None,
+                   broadcast_rows: int = SOURCE_KEY_BROADCAST_ROWS) -> DataFrame:
     """Source rows whose key is absent from the target.
 
-    * Only the key columns of the target are read (column pruning), and
-      they are de-duplicated map-side first, so a hot key in the target
-      shrinks to one row per task before the shuffle.
+    * Only the key columns of the target are read (column pruning).
+    * When the source's distinct keys are at most ``broadcast_rows`` (a
+      micro-batch against a large table), they are broadcast and the target
+      keys are semi-joined against them where they lie: the target is scanned
+      but never shuffled, and only keys present on both sides move on.
+    * Otherwise the target keys are de-duplicated map-side (a hot key
+      shrinks to one row per task) and shuffled for an anti-join.
     * Source rows with a NULL key never match: they skip the join.
     * Duplicates inside one batch all insert (MERGE semantics).
     """
     keys = _keys(key)
     cols = target_columns or target.columns
-    present = target.select(*keys).distinct()
     keyed, null_keyed = split_null_keys(updates, keys)
+    src_keys = keyed.select(*keys).distinct()
+    n = src_keys.limit(broadcast_rows + 1).count() if broadcast_rows else broadcast_rows + 1
+    if n <= broadcast_rows:
+        # present ⊆ src_keys, so it is bounded by n rows as well.
+        present = F.broadcast(
+            target.select(*keys).join(F.broadcast(src_keys), on=keys, how="left_semi")
+            .distinct())
+    else:
+        present = target.select(*keys).distinct()
     new = keyed.join(present, on=keys, how="left_anti").unionByName(null_keyed)
     return project_to_target(new, cols)
 
@@ -59,7 +76,7 @@ def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id") -> None:
 
 def merge_upsert(target: DataFrame, updates: DataFrame,
                  key: str | list[str] = "Id", check: bool = True,
-                 broadcast_rows: int | None = None) -> DataFrame:
+                 broadcast_rows: int | None = SOURCE_KEY_BROADCAST_ROWS) -> DataFrame:
     """The target after ``UPDATE SET * / INSERT *`` keyed on ``key``.
 
     Target rows whose key appears in the source are replaced by the source

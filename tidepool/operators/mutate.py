@@ -84,7 +84,9 @@ def assign_identity(df: DataFrame, column: str = "id",
     explicit = df.filter(F.col(column).isNotNull())
     todo = df.filter(F.col(column).isNull())
     if order_by:
-        todo = todo.orderBy(*order_by)
+        # A unique tiebreaker lets the range exchange split a heavy group of
+        # equal sort keys over many tasks (ties have no defined order).
+        todo = todo.orderBy(*order_by, F.monotonically_increasing_id())
     todo = todo.checkpoint(eager=True)
     first = start if current_max is None else max(start, current_max + step)
     pos = (todo.withColumn("_pid", F.spark_partition_id())

@@ -118,10 +118,19 @@ def schema_privileges(spark: SparkSession, d: str) -> DataFrame:
                                     catalog_privileges(spark, d), schemas(spark, d))
 
 
-def tables(spark: SparkSession, d: str) -> DataFrame:
-    """One table per order, owned by the order's customer."""
+def tables(spark: SparkSession, d: str, owners: DataFrame | None = None) -> DataFrame:
+    """One table per order, owned by the order's customer.
+
+    ``owners(entity)``, when given, keeps only tables owned by those entities
+    and applies that filter to ``customer`` *before* the join with
+    ``orders``: the surviving customers are then few enough to broadcast
+    (checked), so ``orders`` is scanned once and never shuffled.
+    """
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
+    if owners is not None:
+        e = broadcast_if_small(owners.select("entity").distinct())
+        c = broadcast_if_small(c.join(e, c["c_name"] == e["entity"], "left_semi"))
     n = broadcast_if_small(_nation(spark, d))
     r = broadcast_if_small(_region(spark, d))
     return (o.join(c, o["o_custkey"] == c["c_custkey"])

@@ -254,12 +254,14 @@ def table_access(spark, d):
 
 @query("owned_tables")
 def owned_tables(spark, d):
-    return access.owned_tables(fx.tables(spark, d), _entities(spark, d))
+    e = _entities(spark, d)
+    return access.owned_tables(fx.tables(spark, d, owners=e), e)
 
 
 @query("stale_tables")
 def stale_tables(spark, d):
-    return access.stale_tables(fx.tables(spark, d), _entities(spark, d),
+    e = _entities(spark, d)
+    return access.stale_tables(fx.tables(spark, d, owners=e), e,
                                fx.ACCESS_AS_OF, fx.STALE_DAYS)
 
 

@@ -47,6 +47,9 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 TOMBSTONE_BROADCAST_ROWS = 1_000_000
+# Upper bound on rows per written file, so one heavy partition written by
+# one task still lands in several files of bounded size.
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def _pred_text(pred) -> str:
@@ -241,7 +244,7 @@ class ParquetTable:
         if observe_partitions and self.partition_by:
             aggs.append(F.collect_set(F.struct(*self.partition_by)).alias("parts"))
         out = self._project(df).observe(obs, *aggs)
-        w = out.write.mode(mode)
+        w = out.write.mode(mode).option("maxRecordsPerFile", str(MAX_RECORDS_PER_FILE))
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         if dynamic:
