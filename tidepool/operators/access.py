@@ -40,17 +40,25 @@ def groups_of_user(membership: DataFrame, user: str) -> DataFrame:
     return membership.filter(F.col("member") == F.lit(user)).select("name")
 
 
-def entity_set(membership: DataFrame, user: str) -> DataFrame:
-    """The user (type ``user``) UNION their groups (type ``group``), distinct."""
+def entity_set(membership: DataFrame, user: str,
+               broadcast_rows: int = ENTITY_BROADCAST_ROWS) -> DataFrame:
+    """The user (type ``user``) UNION their groups (type ``group``), distinct.
+
+    The result is checked once here: when it has at most ``broadcast_rows``
+    rows it comes back broadcast-hinted, and every report joining it keeps
+    the big privilege and table frames where they are. Above the bound the
+    joins stay shuffle joins.
+    """
     spark = membership.sparkSession
     me = spark.createDataFrame([(user, "user")], "entity string, entity_type string")
     groups = groups_of_user(membership, user).select(
         F.col("name").alias("entity"), F.lit("group").alias("entity_type"))
-    return me.union(groups).distinct()
+    return broadcast_if_small(me.union(groups).distinct(), broadcast_rows)
 
 
 def _small(entities: DataFrame) -> DataFrame:
-    return broadcast_if_small(entities, ENTITY_BROADCAST_ROWS)
+    """Entity sets come checked (and hinted) from ``entity_set``."""
+    return entities
 
 
 def catalog_access(catalog_privileges: DataFrame, entities: DataFrame) -> DataFrame:

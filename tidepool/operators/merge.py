@@ -43,8 +43,10 @@ def rows_to_insert(target: DataFrame, updates: DataFrame,
     cols = target_columns or target.columns
     keyed, null_keyed = split_null_keys(updates, keys)
     src_keys = keyed.select(*keys).distinct()
-    n = src_keys.limit(broadcast_rows + 1).count() if broadcast_rows else broadcast_rows + 1
-    if n <= broadcast_rows:
+    # Source rows bound its distinct keys; counting them needs no shuffle
+    # and stops after broadcast_rows + 1 rows.
+    n = keyed.limit(broadcast_rows + 1).count() if broadcast_rows else 1
+    if broadcast_rows and n <= broadcast_rows:
         # present ⊆ src_keys, so it is bounded by n rows as well.
         present = F.broadcast(
             target.select(*keys).join(F.broadcast(src_keys), on=keys, how="left_semi")
@@ -89,6 +91,7 @@ def merge_upsert(target: DataFrame, updates: DataFrame,
     src = project_to_target(updates, target.columns)
     src_keys, _ = split_null_keys(src.select(*keys), keys)
     if broadcast_rows:
+        # Keys are unique (checked above), so the row count is the key count.
         src_keys = broadcast_if_small(src_keys, broadcast_rows)
     kept_keyed, kept_null = split_null_keys(target, keys)
     kept = kept_keyed.join(src_keys, on=keys, how="left_anti").unionByName(kept_null)

@@ -129,8 +129,7 @@ def tables(spark: SparkSession, d: str, owners: DataFrame | None = None) -> Data
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     if owners is not None:
-        e = broadcast_if_small(owners.select("entity").distinct())
-        c = broadcast_if_small(c.join(e, c["c_name"] == e["entity"], "left_semi"))
+        c = broadcast_if_small(c.join(owners, c["c_name"] == owners["entity"], "left_semi"))
     n = broadcast_if_small(_nation(spark, d))
     r = broadcast_if_small(_region(spark, d))
     return (o.join(c, o["o_custkey"] == c["c_custkey"])

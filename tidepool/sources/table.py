@@ -66,8 +66,10 @@ def _new_dir(prefix: str) -> str:
 class ParquetTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
                  partition_by: list[str] | tuple[str, ...] = (),
-                 key: list[str] | tuple[str, ...] = ("Id",)):
+                 key: list[str] | tuple[str, ...] = ("Id",),
+                 rebalance: bool = True):
         self.spark = spark
+        self.rebalance = rebalance
         self.root = root.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by)
@@ -238,12 +240,18 @@ class ParquetTable:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
     def _write(self, df: DataFrame, path: str, mode: str, dynamic: bool = False,
-               observe_partitions: bool = False):
+               observe_partitions: bool = False, rebalance: bool | None = None):
         obs = Observation()
         aggs = [F.count(F.lit(1)).alias("rows")]
         if observe_partitions and self.partition_by:
             aggs.append(F.collect_set(F.struct(*self.partition_by)).alias("parts"))
-        out = self._project(df).observe(obs, *aggs)
+        out = self._project(df)
+        if (self.rebalance if rebalance is None else rebalance) and self.partition_by:
+            # Rows of one table partition meet in few tasks (few, large files
+            # instead of tasks × partitions small ones); AQE splits a heavy
+            # partition into advisory-sized pieces and merges tiny ones.
+            out = out.hint("rebalance", *self.partition_by)
+        out = out.observe(obs, *aggs)
         w = out.write.mode(mode).option("maxRecordsPerFile", str(MAX_RECORDS_PER_FILE))
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -313,10 +321,10 @@ class ParquetTable:
         return new_dir
 
     def _rewrite_all(self, rows: DataFrame, operation: str, params: dict,
-                     metrics: dict) -> None:
+                     metrics: dict, rebalance: bool | None = None) -> None:
         """Write a full new version to a new folder and switch to it."""
         data_dir = _new_dir("data")
-        n = self._write(rows, f"{self.root}/{data_dir}", "errorifexists")
+        n = self._write(rows, f"{self.root}/{data_dir}", "errorifexists", rebalance=rebalance)
         self._log(operation, params, {**metrics, "numOutputRows": n},
                   data_dir=data_dir, tomb_dir=_new_dir("tomb"))
 
@@ -460,7 +468,8 @@ class ParquetTable:
         """``OPTIMIZE t ZORDER BY (time_column)``: full rewrite into a new
         folder, rows range-partitioned and sorted by (partitions, time)."""
         rows = cluster_by_time(self.read(), self.partition_by, time_column, num_ranges)
-        self._rewrite_all(rows, "OPTIMIZE", {"zOrderBy": time_column}, {})
+        # The range exchange is the distribution: no rebalance on top of it.
+        self._rewrite_all(rows, "OPTIMIZE", {"zOrderBy": time_column}, {}, rebalance=False)
 
     # --- copies, snapshots and metadata -------------------------------------
 
