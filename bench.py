@@ -62,7 +62,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cores=cpus, shuffle_partitions=max(2, 2 * int(cpus)))
+    spark = local_session(cores=cpus, shuffle_partitions=max(2, int(cpus)))
 
     # JVM warm-up (class loading, JIT) over the whole set before any timing.
     for name in HEADLINE:
