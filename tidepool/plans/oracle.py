@@ -14,7 +14,7 @@ sensor AS (
          md5(concat_ws('|', CAST(event_id AS VARCHAR), event_type)) AS Id,
          ts AS MeasurementDateTime,
          CASE WHEN event_id % 7 = 0 THEN NULL
-              ELSE CAST(value AS DECIMAL(10,0)) END AS SensorValue,
+              ELSE TRY_CAST(value AS DECIMAL(10,0)) END AS SensorValue,
          'unit' AS SensorUnitDescription,
          event_type AS SensorMeasurement,
          concat('loc_', CAST(user_id % 4 AS VARCHAR)) AS SensorLocation

@@ -114,6 +114,8 @@ def sensor_rows(events: DataFrame, keep_event_id: bool = False,
     """``events`` seen as silver-shaped sensor rows (FIXTURES.md §1).
 
     Every 7th event gets a NULL value so that the cleaning step has work.
+    The value cast is ``try_cast``: an out-of-range value becomes NULL (and
+    is cleaned away) under ANSI mode too, instead of failing the job.
     ``file_column`` adds the source file's name (``events`` must be a scan).
     """
     cols = [
@@ -121,7 +123,7 @@ def sensor_rows(events: DataFrame, keep_event_id: bool = False,
                           F.col("event_type"))).alias("Id"),
         F.col("ts").alias("MeasurementDateTime"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None))
-         .otherwise(F.col("value").cast(T.DecimalType(10, 0)))
+         .otherwise(F.col("value").try_cast(T.DecimalType(10, 0)))
          .alias("SensorValue"),
         F.lit("unit").alias("SensorUnitDescription"),
         F.col("event_type").alias("SensorMeasurement"),

@@ -225,7 +225,11 @@ class ParquetTable:
         return self._visible(self.base(), self.tombstones())
 
     def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
-        """Rows appended to the table, as a stream (``readStream.table``)."""
+        """Rows appended to the table, as a stream (``readStream.table``).
+
+        For append-only tables (bronze): a file source sees every new file,
+        so a partition rewrite would be read again as new rows, and a full
+        rewrite moves the table to a folder this stream does not watch."""
         r = self.spark.readStream.schema(self.schema)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
