@@ -68,3 +68,38 @@ def test_new_checkpoint_reingests_and_content_keys_dedupe(spark):
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-s"), max_files_per_trigger=1)
     assert silver.read().count() == n
     assert silver.read().select("Id").distinct().count() == n
+
+
+def test_batch_replayed_after_failure_adds_nothing(spark):
+    """A failure after a batch's rows are written but before Spark commits
+    the batch: the restarted stream replays that batch id, and the append
+    recognises it, so no row is written twice."""
+    import pytest
+    from tidepool.sources.sensor import stream_sensor_csv
+    from tidepool.streaming.pipeline import _app_id, bronze_rows
+
+    feed = _feed(spark, files=3)
+    bronze = ParquetTable.create(spark, work_path(spark, "bronze"), bronze_schema(NTZ))
+    ckpt = work_path(spark, "ckpt")
+    app = _app_id("flaky", ckpt)
+    state = {"failed": False}
+
+    def handler(batch, batch_id):
+        bronze.append(batch, operation="STREAMING UPDATE", txn=(app, batch_id))
+        if batch_id == 1 and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("lost after the write, before the commit")
+
+    def run():
+        src = stream_sensor_csv(spark, feed, sensor_schema(NTZ), max_files_per_trigger=1,
+                                timestamp_format=CSV_TIME_FORMAT)
+        q = (bronze_rows(src).writeStream.option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).foreachBatch(handler).start())
+        q.awaitTermination()
+
+    with pytest.raises(Exception):
+        run()
+    run()
+    n = fx.clean(spark, SF001).count()
+    assert bronze.refresh().read().count() == n
+    assert bronze.read().select("Id").distinct().count() == n

@@ -132,3 +132,15 @@ def test_evolve_append(spark, workdir):
     assert "SensorUnitDescription" in out.columns
     assert out.filter(F.col("SensorUnitDescription").isNull()).count() == old.count()
     assert ParquetTable.open(spark, workdir).schema.names == out.columns
+
+
+def test_history_compaction_keeps_rows(spark, clean_table):
+    from tidepool.sources import files as fs
+    for i in range(3):
+        clean_table.append(fx.clean(spark, SF001, True).limit(1))
+    before = [tuple(r) for r in clean_table.history().collect()]
+    clean_table.compact_history()
+    names = [n for n in fs.list_children(spark, clean_table.history_path) if n.endswith(".parquet")]
+    assert len(names) == 1
+    assert [tuple(r) for r in clean_table.history().collect()] == before
+    assert clean_table.refresh().version() == 3

@@ -50,6 +50,8 @@ TOMBSTONE_BROADCAST_ROWS = 1_000_000
 # Upper bound on rows per written file, so one heavy partition written by
 # one task still lands in several files of bounded size.
 MAX_RECORDS_PER_FILE = 5_000_000
+# Every this many versions the history's small files are merged into one.
+HISTORY_COMPACT_EVERY = 100
 
 
 def _pred_text(pred) -> str:
@@ -184,6 +186,8 @@ class ParquetTable:
               .withColumn("timestamp", F.current_timestamp())
               .select(*HISTORY_SCHEMA.names))
         df.coalesce(1).write.mode("append").parquet(self.history_path)
+        if version and version % HISTORY_COMPACT_EVERY == 0:
+            self.compact_history()
         if first:
             self._cached = None
         else:
@@ -505,9 +509,26 @@ class ParquetTable:
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY``: newest first."""
         return (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+                .dropDuplicates(["version"])
                 .select("version", "timestamp", "operation", "parameters", "metrics")
                 .orderBy(F.col("version").desc()))
 
+    def compact_history(self) -> None:
+        """Merge the history's one-file-per-operation into a single file.
+
+        The merged file is written first, then the old files are deleted.
+        A crash in between leaves each row twice, which every reader of the
+        history tolerates (rows are identical; ``history()`` de-duplicates)."""
+        old = [n for n in files.list_children(self.spark, self.history_path)
+               if n.endswith(".parquet")]
+        if len(old) < 2:
+            return
+        rows = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+                .dropDuplicates(["version"]))
+        rows.coalesce(1).write.mode("append").parquet(self.history_path)
+        for name in old:
+            files.delete(self.spark, f"{self.history_path}/{name}")
+
     def detail(self) -> dict:
         """``DESCRIBE DETAIL``: file count, bytes, partition columns."""
         f = (self.spark.read.schema(self.schema).parquet(self.data_path())
