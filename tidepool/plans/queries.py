@@ -442,9 +442,11 @@ def stream_replay_idempotent(spark, d):
     bronze = _bronze(spark, "bronze-replay")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
     silver = _silver(spark, "silver-replay")
-    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-a"), max_files_per_trigger=2)
+    # The ingest key hashes location and measurement, the silver partitions.
+    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-a"), max_files_per_trigger=2,
+                           key_implies_partition=True)
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-b"), max_files_per_trigger=2,
-                           query_name="bronze_to_silver_replay")
+                           key_implies_partition=True)
     return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS])
 
 

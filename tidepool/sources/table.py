@@ -61,6 +61,12 @@ def _pred_text(pred) -> str:
     return text[len("Column<'"):-2] if text.startswith("Column<'") else text
 
 
+def _map_literal(d: dict, value_type: str):
+    """A map column built from literals (no Python-row conversion)."""
+    parts = [x for k, v in sorted(d.items()) for x in (F.lit(k), F.lit(v))]
+    return F.create_map(*parts).cast(f"map<string,{value_type}>")
+
+
 def _new_dir(prefix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex[:12]}"
 
@@ -178,13 +184,15 @@ class ParquetTable:
             version = int(st["version"]) + 1
             data_dir = data_dir or st["data_dir"]
             tomb_dir = tomb_dir or st["tomb_dir"]
-        row = [(version, operation, {k: str(v) for k, v in params.items()},
-                {k: int(v) for k, v in metrics.items()}, data_dir, tomb_dir)]
-        df = (self.spark.createDataFrame(
-                row, "version long, operation string, parameters map<string,string>, "
-                     "metrics map<string,bigint>, data_dir string, tomb_dir string")
-              .withColumn("timestamp", F.current_timestamp())
-              .select(*HISTORY_SCHEMA.names))
+        df = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            F.current_timestamp().alias("timestamp"),
+            F.lit(operation).alias("operation"),
+            _map_literal({k: str(v) for k, v in params.items()}, "string"),
+            _map_literal({k: int(v) for k, v in metrics.items()}, "bigint"),
+            F.lit(data_dir).alias("data_dir"),
+            F.lit(tomb_dir).alias("tomb_dir"))
+        df = df.toDF(*HISTORY_SCHEMA.names)
         df.coalesce(1).write.mode("append").parquet(self.history_path)
         if version and version % HISTORY_COMPACT_EVERY == 0:
             self.compact_history()
@@ -206,18 +214,28 @@ class ParquetTable:
         """All rows in the data files, soft-deleted ones included."""
         return self._read_dir(self.data_path())
 
-    def tombstones(self) -> DataFrame:
+    def _tombstone_frame(self) -> DataFrame | None:
+        """Soft-deleted keys, or None when no tombstone was ever written."""
         cols = self.partition_by + self.key
-        tschema = T.StructType([self.schema[c] for c in cols])
         path = self.tomb_path()
         if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], tschema)
+            return None
+        tschema = T.StructType([self.schema[c] for c in cols])
         return self.spark.read.schema(tschema).parquet(path).select(*cols)
 
-    def _visible(self, base: DataFrame, tombs: DataFrame) -> DataFrame:
+    def tombstones(self) -> DataFrame:
+        t = self._tombstone_frame()
+        if t is None:
+            cols = self.partition_by + self.key
+            return self.spark.createDataFrame([], T.StructType([self.schema[c] for c in cols]))
+        return t
+
+    def _visible(self, base: DataFrame, tombs: DataFrame | None) -> DataFrame:
         """Anti-join with the tombstones: skipped when there are none,
         broadcast when at most TOMBSTONE_BROADCAST_ROWS, else a shuffle
         join (``purge`` keeps them few)."""
+        if tombs is None:
+            return base
         n = tombs.limit(TOMBSTONE_BROADCAST_ROWS + 1).count()
         if n == 0:
             return base
@@ -226,7 +244,7 @@ class ParquetTable:
 
     def read(self) -> DataFrame:
         """Visible rows: data files minus soft-deleted keys."""
-        return self._visible(self.base(), self.tombstones())
+        return self._visible(self.base(), self._tombstone_frame())
 
     def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
         """Rows appended to the table, as a stream (``readStream.table``).
@@ -317,8 +335,8 @@ class ParquetTable:
     def _drop_tombstones(self, parts: list[tuple] | None) -> str | None:
         """Write the tombstones outside ``parts`` (all, when None) to a new
         folder; returns its name, or None when nothing changes."""
-        tombs = self.tombstones()
-        if tombs.isEmpty():
+        tombs = self._tombstone_frame()
+        if tombs is None or tombs.isEmpty():
             return None
         keep = tombs if parts is None else tombs.filter(~self._partition_filter(parts))
         new_dir = _new_dir("tomb")
@@ -366,9 +384,22 @@ class ParquetTable:
         self._log(operation, params, {"numOutputRows": n})
         return n
 
-    def merge_insert_only(self, updates: DataFrame, txn: tuple[str, int] | None = None) -> int:
-        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append new keys only."""
-        new = merge_ops.rows_to_insert(self.read(), updates, self.key, self.schema.names)
+    def merge_insert_only(self, updates: DataFrame, txn: tuple[str, int] | None = None,
+                          key_implies_partition: bool = False) -> int:
+        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append new keys only.
+
+        ``key_implies_partition=True`` declares that equal keys always lie in
+        the same table partition (e.g. a content key over the partition
+        columns). Then only the partitions present in the batch are probed:
+        their distinct values (bounded by the partition count) become a
+        partition filter on the target scan. The result is the same."""
+        target = self.read()
+        if key_implies_partition and self.partition_by:
+            parts = self._partitions_of(updates)
+            if not parts:
+                return self.append(updates.limit(0), operation="MERGE", txn=txn)
+            target = target.filter(self._partition_filter(parts))
+        new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names)
         return self.append(new, operation="MERGE", txn=txn)
 
     def upsert(self, updates: DataFrame) -> None:
@@ -458,7 +489,9 @@ class ParquetTable:
         Rewrites the partitions (matching ``where``) that hold tombstones,
         from their visible rows, and drops those tombstones. Visible rows do
         not change. Snapshots pinned to the rewritten files become invalid."""
-        tombs = self.tombstones()
+        tombs = self._tombstone_frame()
+        if tombs is None:
+            return
         if where is not None:
             tombs = tombs.filter(as_column(where))
         if not self.partition_by:

@@ -93,12 +93,25 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
                            max_files_per_trigger: int | None = None,
                            query_name: str = "bronze_to_silver",
                            trigger: dict | None = None,
-                           await_done: bool = True) -> StreamingQuery:
-    """Bronze stream → silver, insert-only merge on the key per micro-batch."""
+                           await_done: bool = True,
+                           key_implies_partition: bool = False) -> StreamingQuery:
+    """Bronze stream → silver, insert-only merge on the key per micro-batch.
+
+    Set ``key_implies_partition`` when the key hashes the silver partition
+    columns (as ``INGEST_KEY_COLUMNS`` do): each batch then probes only the
+    silver partitions it touches."""
     src = bronze.stream(max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id))
+        # The merge runs several jobs over the batch (partition values, size
+        # check, write): persist it (memory and disk) rather than re-read its
+        # source files for each; lost blocks are recomputed from lineage.
+        batch.persist()
+        try:
+            silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id),
+                                     key_implies_partition=key_implies_partition)
+        finally:
+            batch.unpersist()
 
     return _run(src, query_name, checkpoint, merge, trigger, await_done)
 
