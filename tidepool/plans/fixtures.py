@@ -70,18 +70,33 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("c_name").alias("member"), F.col("c_mktsegment").alias("name"))
 
 
+_SMALL_DIMENSIONS: dict[tuple[str, str], bool] = {}
+DIMENSION_BROADCAST_ROWS = 1_000_000
+
+
+def _dimension(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A dimension table, broadcast-hinted when its row count (checked once
+    per input path: the driver's tables are read-only) is small."""
+    df = table(spark, d, name)
+    k = (d, name)
+    if k not in _SMALL_DIMENSIONS:
+        _SMALL_DIMENSIONS[k] = df.limit(DIMENSION_BROADCAST_ROWS + 1).count() \
+            <= DIMENSION_BROADCAST_ROWS
+    return F.broadcast(df) if _SMALL_DIMENSIONS[k] else df
+
+
 def _region(spark, d):
-    return table(spark, d, "region")
+    return _dimension(spark, d, "region")
 
 
 def _nation(spark, d):
-    return table(spark, d, "nation")
+    return _dimension(spark, d, "nation")
 
 
 def schemas(spark: SparkSession, d: str) -> DataFrame:
     """Catalog = region, schema = nation (dimension tables, small)."""
     n = _nation(spark, d)
-    r = broadcast_if_small(_region(spark, d))
+    r = _region(spark, d)
     return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
              .select(F.col("r_name").alias("catalog_name"),
                      F.col("n_name").alias("schema_name")))
@@ -92,7 +107,7 @@ def catalog_privileges(spark: SparkSession, d: str) -> DataFrame:
     have equal parity (an equi-join on the parity, both sides tiny)."""
     segs = (table(spark, d, "customer").select(F.col("c_mktsegment").alias("grantee"))
             .distinct().withColumn("_p", F.length("grantee") % 2))
-    r = _region(spark, d).withColumn("_p", F.col("r_regionkey") % 2)
+    r = table(spark, d, "region").withColumn("_p", F.col("r_regionkey") % 2)
     return (r.join(broadcast_if_small(segs), "_p")
              .select(F.lit("admin").alias("grantor"), "grantee",
                      F.col("r_name").alias("catalog_name"),
@@ -103,8 +118,8 @@ def catalog_privileges(spark: SparkSession, d: str) -> DataFrame:
 def schema_grants(spark: SparkSession, d: str) -> DataFrame:
     """Explicit schema grants: every 5th customer on its own nation."""
     c = table(spark, d, "customer").filter(F.col("c_custkey") % 5 == 0)
-    n = broadcast_if_small(_nation(spark, d))
-    r = broadcast_if_small(_region(spark, d))
+    n = _nation(spark, d)
+    r = _region(spark, d)
     return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
              .join(r, n["n_regionkey"] == r["r_regionkey"])
              .select(F.lit("admin").alias("grantor"), F.col("c_name").alias("grantee"),
@@ -118,20 +133,38 @@ def schema_privileges(spark: SparkSession, d: str) -> DataFrame:
                                     catalog_privileges(spark, d), schemas(spark, d))
 
 
-def tables(spark: SparkSession, d: str, owners: DataFrame | None = None) -> DataFrame:
+def tables(spark: SparkSession, d: str, owners: DataFrame | None = None,
+           in_schemas: DataFrame | None = None) -> DataFrame:
     """One table per order, owned by the order's customer.
 
-    ``owners(entity)``, when given, keeps only tables owned by those entities
-    and applies that filter to ``customer`` *before* the join with
-    ``orders``: the surviving customers are then few enough to broadcast
-    (checked), so ``orders`` is scanned once and never shuffled.
+    Optional semi-join reductions, applied to ``customer`` *before* the join
+    with ``orders`` (the result is the same as filtering afterwards):
+
+    * ``owners(entity)``: only tables owned by those entities;
+    * ``in_schemas(catalog_name, schema_name)``: only tables in those schemas.
+
+    When the surviving customers are few they are broadcast (checked), so
+    ``orders`` is scanned once and never shuffled.
     """
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
+    n = _nation(spark, d)
+    r = _region(spark, d)
+    reduced = False
     if owners is not None:
-        c = broadcast_if_small(c.join(owners, c["c_name"] == owners["entity"], "left_semi"))
-    n = broadcast_if_small(_nation(spark, d))
-    r = broadcast_if_small(_region(spark, d))
+        c = c.join(owners, c["c_name"] == owners["entity"], "left_semi")
+        reduced = True
+    if in_schemas is not None:
+        nn, rr = _nation(spark, d), _region(spark, d)      # own reads: no self-join
+        keep = (nn.join(rr, nn["n_regionkey"] == rr["r_regionkey"])
+                  .join(broadcast_if_small(in_schemas.distinct()),
+                       (F.col("r_name") == F.col("catalog_name"))
+                       & (F.col("n_name") == F.col("schema_name")), "left_semi")
+                 .select("n_nationkey"))
+        c = c.join(F.broadcast(keep), c["c_nationkey"] == keep["n_nationkey"], "left_semi")
+        reduced = True
+    if reduced:
+        c = broadcast_if_small(c)
     return (o.join(c, o["o_custkey"] == c["c_custkey"])
              .join(n, c["c_nationkey"] == n["n_nationkey"])
              .join(r, n["n_regionkey"] == r["r_regionkey"])

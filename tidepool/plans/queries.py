@@ -248,8 +248,11 @@ def schema_access_inherited(spark, d):
 @query("table_access")
 def table_access(spark, d):
     e = _entities(spark, d)
-    tp = access.table_privileges(fx.schema_privileges(spark, d), fx.tables(spark, d), e)
-    return access.table_access(tp, e)
+    sp = fx.schema_privileges(spark, d)
+    granted = (sp.join(e, sp["grantee"] == e["entity"], "left_semi")
+                 .select("catalog_name", "schema_name"))
+    tables = fx.tables(spark, d, in_schemas=granted)
+    return access.table_access(access.table_privileges(sp, tables, e), e)
 
 
 @query("owned_tables")
