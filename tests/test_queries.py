@@ -20,7 +20,7 @@ def con():
 def test_every_survey_key_registered():
     assert len(QUERIES) == 46
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"operation_history", "source_inventory"}
+    assert rows_only == {"source_inventory"}
 
 
 def test_entry_smoke(spark):
@@ -38,11 +38,12 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["operation_history", "source_inventory"])
-def test_rows_only_queries(spark, name):
-    df = QUERIES[name](spark, SF001)
-    n = df.count()
-    assert n == (5 if name == "operation_history" else 14)
+def test_source_inventory_lists_every_table(spark):
+    import os
+    df = QUERIES["source_inventory"](spark, SF001)
+    got = {r["file_name"]: r["size_bytes"] for r in df.collect()}
+    want = {n: os.path.getsize(f"{SF001}/{n}") for n in os.listdir(SF001) if n.endswith(".parquet")}
+    assert got == want
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES

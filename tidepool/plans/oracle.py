@@ -306,3 +306,29 @@ WITH {RAW}
 SELECT MeasurementDateTime, SensorValue, SensorUnitDescription, SensorMeasurement,
        SensorLocation, {_INGEST_KEY} AS Id
 FROM raw WHERE SensorValue IS NOT NULL"""
+
+# Operation history: each version's row metric, computed from the data.
+# v1 soft-deletes event_id % 11 = 0; v2 replaces partition (loc_1, view) with
+# U's rows there (its tombstones go with it); v3 purges the other loc_1
+# partitions holding tombstones; v4 rewrites every visible row.
+ORACLE["operation_history"] = f"""
+WITH {SENSOR},
+tomb AS (SELECT * FROM clean WHERE event_id % 11 = 0),
+newp AS (SELECT * FROM u WHERE SensorMeasurement = 'view' AND SensorLocation = 'loc_1'),
+purged AS (SELECT DISTINCT SensorMeasurement FROM tomb
+           WHERE SensorLocation = 'loc_1' AND SensorMeasurement <> 'view')
+SELECT CAST(0 AS BIGINT) AS version, 'CREATE TABLE AS SELECT' AS operation,
+       (SELECT COUNT(*) FROM clean) AS num_rows
+UNION ALL
+SELECT CAST(1 AS BIGINT), 'DELETE', (SELECT COUNT(*) FROM tomb)
+UNION ALL
+SELECT CAST(2 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM newp)
+UNION ALL
+SELECT CAST(3 AS BIGINT), 'REORG',
+       (SELECT COUNT(*) FROM clean WHERE SensorLocation = 'loc_1' AND event_id % 11 <> 0
+          AND SensorMeasurement IN (SELECT SensorMeasurement FROM purged))
+UNION ALL
+SELECT CAST(4 AS BIGINT), 'OPTIMIZE',
+       (SELECT COUNT(*) FROM clean WHERE event_id % 11 <> 0
+          AND NOT (SensorMeasurement = 'view' AND SensorLocation = 'loc_1'))
+       + (SELECT COUNT(*) FROM newp)"""
