@@ -62,7 +62,13 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cores=cpus, shuffle_partitions=max(2, int(cpus)))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage and task times for tools/stages.py (no UI is started).
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(cores=cpus, shuffle_partitions=max(2, int(cpus)), extra_conf=extra)
+    sc = spark.sparkContext
 
     # JVM warm-up (class loading, JIT) over the whole set before any timing.
     for name in HEADLINE:
@@ -70,14 +76,18 @@ def main() -> None:
 
     results: dict[str, float] = {}
     for name in HEADLINE:
+        sc.setJobDescription(f"bench:{name}")
         results[name] = round(median_time(lambda: force(REGISTRY[name](spark, sf_dir))), 3)
 
     # Time filter before and after clustering by time (setup not timed).
     t = ParquetTable.create_as(spark, work_path(spark, "bench-cluster"),
                                fx.clean(spark, sf_dir, keep_event_id=True),
                                ["SensorLocation", "SensorMeasurement"])
+    sc.setJobDescription("bench:time_filter_before_cluster")
     results["time_filter_before_cluster"] = round(median_time(lambda: force(time_filter(t))), 3)
+    sc.setJobDescription("bench:cluster_by_time")
     t.cluster_by("MeasurementDateTime")
+    sc.setJobDescription("bench:time_filter_after_cluster")
     results["time_filter_after_cluster"] = round(median_time(lambda: force(time_filter(t))), 3)
 
     print(json.dumps({"metric": "total_median_sec", "value": round(sum(results.values()), 3),

@@ -63,17 +63,22 @@ def merge_insert_only(target: DataFrame, updates: DataFrame,
     return target.unionByName(rows_to_insert(target, updates, key))
 
 
-def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id") -> None:
-    """Raise if two source rows share a (non-NULL) key.
+def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id") -> int:
+    """Raise if two source rows share a (non-NULL) key; else return the
+    number of distinct non-NULL keys.
 
-    A row-level upsert is ambiguous then. Distributed check: a partial
-    aggregate per key, stopping at the first duplicate found.
+    A row-level upsert is ambiguous with duplicates. One distributed job: a
+    per-key count (partial aggregation before the shuffle, so a hot key
+    shrinks map-side), then a one-row summary.
     """
     keys = _keys(key)
     keyed, _ = split_null_keys(updates.select(*keys), keys)
-    dup = keyed.groupBy(*keys).count().filter(F.col("count") > 1)
-    if not dup.isEmpty():
+    per_key = keyed.groupBy(*keys).count()
+    row = per_key.agg(F.count(F.lit(1)).alias("keys"),
+                      F.coalesce(F.max("count"), F.lit(0)).alias("most")).first()
+    if row["most"] > 1:
         raise ValueError(f"source has duplicate keys on {keys}; upsert is ambiguous")
+    return int(row["keys"])
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame,
@@ -86,12 +91,13 @@ def merge_upsert(target: DataFrame, updates: DataFrame,
     the join. The source key set is broadcast only after a size check.
     """
     keys = _keys(key)
-    if check:
-        check_unique_keys(updates, keys)
     src = project_to_target(updates, target.columns)
     src_keys, _ = split_null_keys(src.select(*keys), keys)
-    if broadcast_rows:
-        # Keys are unique (checked above), so the row count is the key count.
+    if check:
+        n_keys = check_unique_keys(updates, keys)
+        if broadcast_rows and n_keys <= broadcast_rows:
+            src_keys = F.broadcast(src_keys)
+    elif broadcast_rows:
         src_keys = broadcast_if_small(src_keys, broadcast_rows)
     kept_keyed, kept_null = split_null_keys(target, keys)
     kept = kept_keyed.join(src_keys, on=keys, how="left_anti").unionByName(kept_null)

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tidepool") -> SparkSession:
+                  app: str = "tidepool", extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a local session with the settings the tests assume.
 
     On a cluster the session comes from the platform; nothing here is
@@ -27,6 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TIDEPOOL_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
