@@ -1,7 +1,6 @@
 """The cleaning transform and the raw feed's CSV semantics."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.casting import parse_typed

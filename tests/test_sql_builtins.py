@@ -1,7 +1,6 @@
 """Statements the reference runs that Spark executes as they are (J16, J17),
 and the interval trigger (K2)."""
 
-from pyspark.sql import types as T
 
 from tidepool.plans import fixtures as fx
 from tidepool.session import work_path
