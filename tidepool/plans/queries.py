@@ -9,6 +9,7 @@ what they wrote.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,12 @@ from tidepool.functions.keys import content_key
 from tidepool.functions.predicates import ts_literal
 from tidepool.operators import access, changes, merge, mutate
 from tidepool.plans import fixtures as fx
-from tidepool.sources.sensor import SILVER_COLUMNS, raw_rows, sensor_schema
+from tidepool.session import work_path
+from tidepool.sources.sensor import (CSV_TIME_FORMAT, SILVER_COLUMNS, raw_rows, sensor_schema,
+                                     source_inventory, write_csv_feed)
+from tidepool.sources.table import ParquetTable
+from tidepool.streaming.pipeline import (bronze_schema, copy_stream, ingest_raw_to_bronze,
+                                         merge_bronze_to_silver)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -206,8 +212,6 @@ def change_feed(spark, d):
 def evolve_append(spark, d):
     """A table written without the unit column, then an append that brings
     it (``mergeSchema``): old rows read it as NULL."""
-    from tidepool.session import work_path
-    from tidepool.sources.table import ParquetTable
     old = fx.target_rows(spark, d).select(*fx.SILVER).drop("SensorUnitDescription")
     t = ParquetTable.create_as(spark, work_path(spark, "evolve"), old)
     t.append(fx.update_rows(spark, d).select(*fx.SILVER), merge_schema=True)
@@ -281,8 +285,6 @@ TOMBSTONE_PRED = "event_id % 11 = 0"
 
 def _clean_table(spark, d, label: str, partition_by=PARTS):
     """``clean`` (with ``event_id``) written as a partitioned table (CTAS)."""
-    from tidepool.session import work_path
-    from tidepool.sources.table import ParquetTable
     return ParquetTable.create_as(spark, work_path(spark, label),
                                   fx.clean(spark, d, keep_event_id=True), partition_by)
 
@@ -322,7 +324,6 @@ def shallow_snapshot(spark, d):
 
 @query("deep_copy")
 def deep_copy(spark, d):
-    from tidepool.session import work_path
     t = _clean_table(spark, d, "deep-src")
     clone = t.deep_clone(work_path(spark, "deep-clone"))
     t.delete(TOMBSTONE_PRED, soft=True)
@@ -331,7 +332,6 @@ def deep_copy(spark, d):
 
 @query("table_like")
 def table_like(spark, d):
-    import uuid
     t = _clean_table(spark, d, "like")
     return t.register_like(f"tidepool_like_{uuid.uuid4().hex[:12]}").select(*fx.SILVER)
 
@@ -365,7 +365,6 @@ def operation_history(spark, d):
 
 @query("source_inventory")
 def q_source_inventory(spark, d):
-    from tidepool.sources.sensor import source_inventory
     inv = source_inventory(spark, d, glob="*.parquet")
     return inv.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                       F.col("length").alias("size_bytes"))
@@ -378,24 +377,17 @@ FEED_FILES = 4
 
 def _feed(spark, d):
     """The raw CSV feed, written by Spark from ``events`` into 4 files."""
-    from tidepool.session import work_path
-    from tidepool.sources.sensor import write_csv_feed
     path = work_path(spark, "feed")
     write_csv_feed(fx.raw(spark, d), path, files=FEED_FILES)
     return path
 
 
 def _bronze(spark, label: str):
-    from tidepool.session import work_path
-    from tidepool.sources.table import ParquetTable
-    from tidepool.streaming.pipeline import bronze_schema
     return ParquetTable.create(spark, work_path(spark, label),
                                bronze_schema(T.TimestampNTZType()))
 
 
 def _ingest(spark, feed, bronze, checkpoint):
-    from tidepool.sources.sensor import CSV_TIME_FORMAT
-    from tidepool.streaming.pipeline import ingest_raw_to_bronze
     schema = sensor_schema(T.TimestampNTZType())
     ingest_raw_to_bronze(spark, feed, bronze, checkpoint, schema=schema,
                          timestamp_format=CSV_TIME_FORMAT)
@@ -407,7 +399,6 @@ BRONZE_OUT = ["WindowAverageStartDateTime", "WindowAverageStopDateTime", "Measur
 
 @query("stream_csv_ingest")
 def stream_csv_ingest(spark, d):
-    from tidepool.session import work_path
     feed = _feed(spark, d)
     bronze = _bronze(spark, "bronze")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
@@ -417,7 +408,6 @@ def stream_csv_ingest(spark, d):
 @query("stream_rerun_noop")
 def stream_rerun_noop(spark, d):
     """A second run on the same checkpoint finds no new file and adds nothing."""
-    from tidepool.session import work_path
     feed = _feed(spark, d)
     bronze = _bronze(spark, "bronze-rerun")
     ckpt = work_path(spark, "ckpt-raw")
@@ -427,9 +417,6 @@ def stream_rerun_noop(spark, d):
 
 
 def _silver(spark, label: str):
-    from tidepool.session import work_path
-    from tidepool.sources.table import ParquetTable
-    from tidepool.streaming.pipeline import bronze_schema
     b = bronze_schema(T.TimestampNTZType())
     schema = T.StructType([b[c] for c in SILVER_COLUMNS])
     return ParquetTable.create(spark, work_path(spark, label), schema, PARTS)
@@ -439,8 +426,6 @@ def _silver(spark, label: str):
 def stream_replay_idempotent(spark, d):
     """Bronze → silver, then a replay from a fresh checkpoint: content keys
     make the insert-only merge add nothing the second time."""
-    from tidepool.session import work_path
-    from tidepool.streaming.pipeline import merge_bronze_to_silver
     feed = _feed(spark, d)
     bronze = _bronze(spark, "bronze-replay")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
@@ -457,18 +442,14 @@ def stream_replay_idempotent(spark, d):
 def stream_merge_silver(spark, d):
     """Silver seeded with ``T``; the bronze stream carries ``U`` in several
     files; each micro-batch is merged insert-only on ``Id``."""
-    from tidepool.session import work_path
-    from tidepool.sources.table import ParquetTable
-    from tidepool.streaming.pipeline import merge_bronze_to_silver
     silver_cols = fx.SILVER
     silver = ParquetTable.create(spark, work_path(spark, "silver"),
                                  fx.target_rows(spark, d).select(*silver_cols).schema, PARTS)
     silver.append(fx.target_rows(spark, d).select(*silver_cols))
     bronze = ParquetTable.create(spark, work_path(spark, "bronze-u"),
                                  fx.update_rows(spark, d).select(*silver_cols).schema)
-    u = fx.update_rows(spark, d)
-    for i in range(FEED_FILES):
-        bronze.append(u.filter(F.col("event_id") % FEED_FILES == i).select(*silver_cols))
+    # One append spread round-robin over FEED_FILES files: several micro-batches.
+    bronze.append(fx.update_rows(spark, d).select(*silver_cols).repartition(FEED_FILES))
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-silver"),
                            max_files_per_trigger=FEED_FILES // 2)
     return silver.read()
@@ -477,10 +458,7 @@ def stream_merge_silver(spark, d):
 @query("stream_table_read")
 def stream_table_read(spark, d):
     """A table read as a stream (every file once) into another table."""
-    from tidepool.session import work_path
-    from tidepool.streaming.pipeline import copy_stream
     src = _clean_table(spark, d, "stream-src")
-    from tidepool.sources.table import ParquetTable
     dst = ParquetTable.create(spark, work_path(spark, "stream-dst"), src.schema, PARTS)
     copy_stream(src, dst, work_path(spark, "ckpt-copy"), max_files_per_trigger=8)
     return dst.read().select(*fx.SILVER)
