@@ -144,3 +144,17 @@ def test_history_compaction_keeps_rows(spark, clean_table):
     assert len(names) == 1
     assert [tuple(r) for r in clean_table.history().collect()] == before
     assert clean_table.refresh().version() == 3
+
+
+def test_null_partition_values(spark, workdir):
+    df = spark.createDataFrame(
+        [("a", None, 1), ("b", None, 2), ("c", "x", 3), ("d", "x", 4)],
+        "Id string, part string, v int")
+    t = ParquetTable.create_as(spark, workdir, df, ["part"])
+    t.delete("v = 4", soft=True)
+    t.delete("v = 1")                       # rewrites the NULL partition
+    assert sorted(r["Id"] for r in t.read().collect()) == ["b", "c"]
+    assert t.tombstones().count() == 1      # the 'x' tombstone survives
+    t.delete("v = 2")                       # empties the NULL partition
+    assert sorted(r["Id"] for r in t.read().collect()) == ["c"]
+    assert t.base().filter(F.col("part").isNull()).count() == 0

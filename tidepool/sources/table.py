@@ -290,11 +290,29 @@ class ParquetTable:
         return int(res["rows"])
 
     def _partition_filter(self, parts: list[tuple]) -> Column:
-        """OR over the given partition values (turns into PartitionFilters)."""
-        def one(values):
-            return reduce(lambda a, b: a & b,
-                          [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, values)])
-        return reduce(lambda a, b: a | b, [one(p) for p in parts])
+        """Rows in the given partitions, as a partition filter.
+
+        An ``isin`` over the partition column (or a struct of them) becomes
+        an ``INSET`` hash lookup, so thousands of partitions make one flat
+        expression, not a deep chain of ORs. NULL partition values (rare)
+        get explicit NULL-safe terms."""
+        cols = self.partition_by
+        plain = [p for p in parts if all(v is not None for v in p)]
+        with_null = [p for p in parts if any(v is None for v in p)]
+        terms = []
+        if plain and len(cols) == 1:
+            terms.append(F.col(cols[0]).isin([p[0] for p in plain]))
+        elif plain:
+            terms.append(F.struct(*cols).isin(
+                [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, p)]) for p in plain]))
+        for p in with_null:
+            terms.append(reduce(lambda a, b: a & b,
+                                [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, p)]))
+        return reduce(lambda a, b: a | b, terms)
+
+    def _outside(self, parts: list[tuple]) -> Column:
+        """Rows not in the given partitions (never NULL)."""
+        return ~F.coalesce(self._partition_filter(parts), F.lit(False))
 
     def _partitions_of(self, df: DataFrame) -> list[tuple]:
         """Distinct partition values present in ``df`` (bounded by the
@@ -338,7 +356,7 @@ class ParquetTable:
         tombs = self._tombstone_frame()
         if tombs is None or tombs.isEmpty():
             return None
-        keep = tombs if parts is None else tombs.filter(~self._partition_filter(parts))
+        keep = tombs if parts is None else tombs.filter(self._outside(parts))
         new_dir = _new_dir("tomb")
         w = keep.write.mode("errorifexists")
         if self.partition_by:
