@@ -42,12 +42,14 @@ def rows_to_insert(target: DataFrame, updates: DataFrame,
     keys = _keys(key)
     cols = target_columns or target.columns
     keyed, null_keyed = split_null_keys(updates, keys)
-    src_keys = keyed.select(*keys).distinct()
     # Source rows bound its distinct keys; counting them needs no shuffle
     # and stops after broadcast_rows + 1 rows.
     n = keyed.limit(broadcast_rows + 1).count() if broadcast_rows else 1
     if broadcast_rows and n <= broadcast_rows:
-        # present ⊆ src_keys, so it is bounded by n rows as well.
+        # The n source keys are broadcast as they are (a semi join does not
+        # mind repeats). Target keys found among them are de-duplicated, so a
+        # hot target key shrinks map-side: present ⊆ source keys, at most n rows.
+        src_keys = keyed.select(*keys)
         present = F.broadcast(
             target.select(*keys).join(F.broadcast(src_keys), on=keys, how="left_semi")
             .distinct())
