@@ -73,15 +73,15 @@ def test_defaults_match_sql_column_defaults(spark, workdir):
     name = "tp_defaults_" + workdir.rsplit("-", 1)[-1]
     spark.sql(f"CREATE TABLE {name} (name STRING DEFAULT 'noname', description STRING) "
               f"USING parquet LOCATION '{workdir}'")
-    spark.sql(f"INSERT INTO {name} (name, description) VALUES ('cody', 'SA')")
+    spark.sql(f"INSERT INTO {name} (name, description) VALUES ('ada', 'SA')")
     spark.sql(f"INSERT INTO {name} (description) VALUES ('SA')")
-    spark.sql(f"INSERT INTO {name} (name) VALUES ('cody')")
+    spark.sql(f"INSERT INTO {name} (name) VALUES ('ada')")
     sql_rows = rows(spark.table(name), "name", "description")
     schema = T.StructType([T.StructField("name", T.StringType()),
                            T.StructField("description", T.StringType())])
-    batches = [spark.createDataFrame([("cody", "SA")], "name string, description string"),
+    batches = [spark.createDataFrame([("ada", "SA")], "name string, description string"),
                spark.createDataFrame([("SA",)], "description string"),
-               spark.createDataFrame([("cody",)], "name string")]
+               spark.createDataFrame([("ada",)], "name string")]
     frame = mutate.insert_rows(spark.createDataFrame([], schema), batches, schema,
                                {"name": "'noname'"})
     assert rows(frame, "name", "description") == sql_rows
