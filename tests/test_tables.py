@@ -158,3 +158,13 @@ def test_null_partition_values(spark, workdir):
     t.delete("v = 2")                       # empties the NULL partition
     assert sorted(r["Id"] for r in t.read().collect()) == ["c"]
     assert t.base().filter(F.col("part").isNull()).count() == 0
+
+
+def test_open_empty_partitioned_table(spark, workdir):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("Id", T.StringType()), T.StructField("p", T.StringType()),
+                           T.StructField("v", T.IntegerType())])
+    ParquetTable.create(spark, workdir, schema, ["p"])
+    t = ParquetTable.open(spark, workdir)
+    assert t.schema == schema and t.partition_by == ["p"]
+    assert t.read().count() == 0

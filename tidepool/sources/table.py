@@ -98,7 +98,8 @@ class ParquetTable:
         empty = spark.createDataFrame([], schema)
         data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
         t._write(empty, f"{t.root}/{data_dir}", "errorifexists")
-        t._log("CREATE TABLE", {"partitionBy": ",".join(t.partition_by)}, {},
+        t._log("CREATE TABLE", {"partitionBy": ",".join(t.partition_by),
+                                "schema": schema.json()}, {},
                data_dir, tomb_dir, first=True)
         return t
 
@@ -114,18 +115,29 @@ class ParquetTable:
             files.delete(spark, t.root)
         data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
         rows = t._write(df, f"{t.root}/{data_dir}", "errorifexists")
-        t._log(operation, {"partitionBy": ",".join(t.partition_by)},
+        t._log(operation, {"partitionBy": ",".join(t.partition_by),
+                           "schema": df.schema.json()},
                {"numOutputRows": rows}, data_dir, tomb_dir, first=True)
         return t
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, key=("Id",)) -> ParquetTable:
-        """Open an existing table; schema and partitioning come from its files."""
+        """Open an existing table. Schema and partitioning come from its
+        creation entry; columns added later by schema-evolving appends come
+        from the data files' merged schema."""
+        import json
         root = root.rstrip("/")
         state = cls._state_at(spark, root)
-        parts = [p for p in (state["parameters"] or {}).get("partitionBy", "").split(",") if p]
-        schema = (spark.read.option("mergeSchema", "true")
-                  .parquet(f"{root}/{state['data_dir']}").schema)
+        params = state["parameters"] or {}
+        parts = [p for p in params.get("partitionBy", "").split(",") if p]
+        schema = T.StructType.fromJson(json.loads(params["schema"]))
+        data = f"{root}/{state['data_dir']}"
+        if any(n.endswith(".parquet") or "=" in n for n in files.list_children(spark, data)):
+            on_disk = spark.read.option("mergeSchema", "true").parquet(data).schema
+            known = set(schema.names)
+            schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True)
+                                                   for f in on_disk.fields
+                                                   if f.name not in known])
         return cls(spark, root, schema, parts, key)
 
     # --- state ------------------------------------------------------------
