@@ -344,7 +344,7 @@ class ParquetTable:
         return {tuple(r[c] for c in self.partition_by): r["_dir"] for r in rows}
 
     def _rewrite_partitions(self, rows: DataFrame, parts: list[tuple],
-                            operation: str, params: dict, metrics: dict) -> None:
+                            operation: str, params: dict, metrics: dict) -> int:
         """Replace partitions ``parts`` with ``rows`` (rows outside them are an
         error). Partitions left empty are removed (dynamic overwrite alone
         would keep their old files). Their tombstones are dropped too, since
@@ -459,7 +459,9 @@ class ParquetTable:
         """``DELETE FROM t WHERE pred`` (NULL predicate keeps the row).
 
         ``soft=True`` writes tombstones only (merge-on-read); otherwise the
-        touched partitions are rewritten (copy-on-write)."""
+        touched partitions are rewritten (copy-on-write). Tombstones name
+        rows by (partition, key), so soft deletes rely on the table key being
+        non-NULL and unique within a partition; use ``soft=False`` otherwise."""
         p = as_column(pred)
         hit = self.read().filter(is_true(p))
         if soft:
