@@ -93,3 +93,17 @@ def test_decimal_rounds_half_up_and_overflow(spark):
                                "SensorValue string")
     out = [r[0] for r in parse_typed(df, sensor_schema()).collect()]
     assert out == [82, 83, -83, None, None]
+
+
+def test_ingest_filter_reaches_csv_scan(spark, workdir):
+    """Cleaning first, then file path and key: the not-null filter is pushed
+    into the CSV scan (adding the key first would keep it above)."""
+    from tests.conftest import SF001
+    from tests.plans import plan_text
+    from tidepool.plans import fixtures as fx
+    from tidepool.sources.sensor import write_csv_feed
+    from tidepool.streaming.pipeline import bronze_rows
+    write_csv_feed(fx.raw(spark, SF001), workdir, files=2)
+    plan = plan_text(bronze_rows(read_sensor_csv(spark, workdir)))
+    assert "PushedFilters: [IsNotNull(SensorValue)]" in plan
+    assert "BatchEvalPython" not in plan
