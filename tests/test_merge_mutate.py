@@ -122,3 +122,11 @@ def test_broadcast_check_falls_back(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_operators_keep_column_order(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "v int, Id string")
+    u = spark.createDataFrame([(3, "a"), (4, "c")], "v int, Id string")
+    assert merge.merge_upsert(t, u).columns == ["v", "Id"]
+    assert merge.merge_insert_only(t, u).columns == ["v", "Id"]
+    assert changes.change_feed(t, u).columns == ["v", "Id", "_change_type"]

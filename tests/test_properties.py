@@ -3,7 +3,7 @@ with NULL keys, repeated keys and NULL values."""
 
 from collections import Counter
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from tidepool.operators import changes, merge, mutate
@@ -84,3 +84,36 @@ def test_identity_model(spark, keys, parts):
     out = sorted((r["seq"], r["k"]) for r in mutate.assign_identity(df, "seq", ["k"]).collect())
     assert [s for s, _ in out] == list(range(1, len(keys) + 1))
     assert [k for _, k in out] == sorted(keys)
+
+
+TABLE_ROWS = st.lists(st.tuples(st.sampled_from(["x", "y", "z"]), VALS), min_size=1, max_size=10)
+TABLE_SETTINGS = settings(max_examples=4, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate],
+                          suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@TABLE_SETTINGS
+@given(rows=TABLE_ROWS, new=TABLE_ROWS, bound=st.integers(0, 5))
+def test_table_ops_equal_frame_ops(spark, rows, new, bound):
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+    schema = "Id string, p string, v int"
+    data = [(f"k{i}", p, v) for i, (p, v) in enumerate(rows)]
+    frame = spark.createDataFrame(data, schema)
+    t = ParquetTable.create_as(spark, work_path(spark, "prop"), frame, ["p"])
+    pred = f"v > {bound}"
+    t.delete(pred, soft=True)
+    want = mutate.delete_where(frame, pred)
+    assert bag(t.read()) == bag(want)
+    t.delete("v IS NULL")                       # hard delete on top of tombstones
+    want = mutate.delete_where(want, "v IS NULL")
+    assert bag(t.read()) == bag(want)
+    repl = spark.createDataFrame([(f"n{i}", "x", v) for i, (_, v) in enumerate(new)], schema)
+    t.replace_where("p = 'x'", repl)
+    want = mutate.replace_where(want, repl, "p = 'x'")
+    assert bag(t.read()) == bag(want)
+    ups = spark.createDataFrame([(f"k{i}", p, 9) for i, (p, _) in enumerate(new)], schema)
+    t.upsert(ups)
+    want = merge.merge_upsert(want, ups, "Id")
+    assert bag(t.read()) == bag(want)
+    t.purge()
+    assert bag(t.read()) == bag(want)

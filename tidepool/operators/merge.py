@@ -102,7 +102,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame,
     elif broadcast_rows:
         src_keys = broadcast_if_small(src_keys, broadcast_rows)
     kept_keyed, kept_null = split_null_keys(target, keys)
-    kept = kept_keyed.join(src_keys, on=keys, how="left_anti").unionByName(kept_null)
+    kept = (kept_keyed.join(src_keys, on=keys, how="left_anti").select(*target.columns)
+            .unionByName(kept_null))
     return kept.unionByName(src)
 
 

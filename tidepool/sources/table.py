@@ -252,7 +252,9 @@ class ParquetTable:
         if n == 0:
             return base
         t = F.broadcast(tombs) if n <= TOMBSTONE_BROADCAST_ROWS else tombs
-        return base.join(t, on=self.partition_by + self.key, how="left_anti")
+        # a join on column names puts them first: restore the table's order
+        return (base.join(t, on=self.partition_by + self.key, how="left_anti")
+                    .select(*base.columns))
 
     def read(self) -> DataFrame:
         """Visible rows: data files minus soft-deleted keys."""
