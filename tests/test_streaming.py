@@ -129,3 +129,18 @@ def test_run_sensor_pipeline_incremental_and_start_over(spark):
     # a fresh history: create, one merge batch (all files), optimize
     assert [r["operation"] for r in again.history().collect()] == \
         ["OPTIMIZE", "MERGE", "CREATE TABLE"]
+
+
+def test_pipeline_on_raw_feed_format(spark):
+    """The feed as devices write it (zone-suffixed times, an annotation line
+    under the header, a value that does not parse), default schema."""
+    from tests.test_cleaning import CSV_SAMPLE
+    from tidepool.streaming.pipeline import run_sensor_pipeline
+    feed = work_path(spark, "raw-feed")
+    lines = spark.createDataFrame([(x,) for x in CSV_SAMPLE.strip().split("\n")], "value string")
+    lines.coalesce(1).write.text(feed)
+    silver = run_sensor_pipeline(spark, feed, work_path(spark, "pipe"))
+    rows = silver.read().collect()
+    assert sorted(r["SensorValue"] for r in rows) == [7, 82, 83]
+    assert {r["SensorLocation"] for r in rows} == {"coyote_creek", "santa_monica"}
+    assert all(r["Id"] and r["InputFileName"].endswith(".txt") for r in rows)
