@@ -1,7 +1,8 @@
 """Small file-system calls through Hadoop's FileSystem, so paths on any
 cluster store (HDFS, object stores, local) behave the same way.
 
-Only metadata calls live here (exists, delete one folder, list one level);
+Only metadata calls live here (exists, mkdirs, delete one folder, list one
+level);
 data always moves through DataFrame readers and writers.
 """
 
@@ -28,6 +29,11 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def mkdirs(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.mkdirs(p))
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names (not paths) of the direct children of ``path``."""
     fs, p = _fs_and_path(spark, path)

@@ -95,9 +95,8 @@ class ParquetTable:
             if not replace:
                 raise FileExistsError(f"table exists at {t.root}")
             files.delete(spark, t.root)
-        empty = spark.createDataFrame([], schema)
         data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
-        t._write(empty, f"{t.root}/{data_dir}", "errorifexists")
+        files.mkdirs(spark, f"{t.root}/{data_dir}")     # an empty table: no files yet
         t._log("CREATE TABLE", {"partitionBy": ",".join(t.partition_by),
                                 "schema": schema.json()}, {},
                data_dir, tomb_dir, first=True)
