@@ -161,7 +161,10 @@ def tables(spark: SparkSession, d: str, owners: DataFrame | None = None,
                        (F.col("r_name") == F.col("catalog_name"))
                        & (F.col("n_name") == F.col("schema_name")), "left_semi")
                  .select("n_nationkey"))
-        c = c.join(F.broadcast(keep), c["c_nationkey"] == keep["n_nationkey"], "left_semi")
+        # keep ⊆ nation rows: bounded when the nation table passed its check
+        if _SMALL_DIMENSIONS.get((d, "nation")):
+            keep = F.broadcast(keep)
+        c = c.join(keep, c["c_nationkey"] == keep["n_nationkey"], "left_semi")
         reduced = True
     if reduced:
         c = broadcast_if_small(c)
