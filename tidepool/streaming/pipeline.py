@@ -22,7 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.functions.cleaning import clean_raw_data
 from tidepool.functions.keys import content_key
-from tidepool.sources.sensor import sensor_schema, stream_sensor_csv, with_provenance
+from tidepool.sources.sensor import (SILVER_COLUMNS, SILVER_PARTITIONS, sensor_schema,
+                                     stream_sensor_csv, with_provenance)
 from tidepool.sources.table import ParquetTable
 
 # The measurement content that identifies a reading.
@@ -130,10 +131,6 @@ def copy_stream(source: ParquetTable, target: ParquetTable, checkpoint: str,
     return _run(src, query_name, checkpoint, append, trigger, await_done)
 
 
-SILVER_COLUMNS = ["MeasurementDateTime", "SensorValue", "SensorUnitDescription",
-                  "SensorMeasurement", "SensorLocation", "Id", "InputFileName"]
-SILVER_PARTITIONS = ["SensorLocation", "SensorMeasurement"]
-
 
 def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
                         start_over: bool = False, schema: T.StructType | None = None,
