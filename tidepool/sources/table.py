@@ -166,14 +166,19 @@ class ParquetTable:
         self._txn_cache = None
         return self
 
-    def _txns(self) -> set:
-        """(app id, batch id) pairs already committed by stream appends."""
+    def _txns(self) -> dict[str, int]:
+        """Highest batch id committed per stream (app id).
+
+        Batch ids only grow within a checkpoint and a restart replays at most
+        the batches after the last one Spark committed, so ``batch <= max``
+        means "already written". One entry per stream, aggregated by Spark."""
         if getattr(self, "_txn_cache", None) is None:
             h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
             rows = (h.filter(F.col("parameters")["txnAppId"].isNotNull())
-                     .select(F.col("parameters")["txnAppId"].alias("a"),
-                             F.col("parameters")["txnVersion"].alias("v")).collect())
-            self._txn_cache = {(r["a"], r["v"]) for r in rows}
+                     .groupBy(F.col("parameters")["txnAppId"].alias("a"))
+                     .agg(F.max(F.col("parameters")["txnVersion"].cast("long")).alias("v"))
+                     .collect())
+            self._txn_cache = {r["a"]: int(r["v"]) for r in rows}
         return self._txn_cache
 
     def data_path(self) -> str:
@@ -213,7 +218,9 @@ class ParquetTable:
             self._cached = {**st, "version": version, "operation": operation,
                             "data_dir": data_dir, "tomb_dir": tomb_dir}
         if "txnAppId" in params:
-            self._txns().add((params["txnAppId"], str(params["txnVersion"])))
+            txns = self._txns()
+            app, batch = params["txnAppId"], int(params["txnVersion"])
+            txns[app] = max(batch, txns.get(app, -1))
 
     # --- reading ----------------------------------------------------------
 
@@ -408,7 +415,7 @@ class ParquetTable:
                              for f in self.schema.fields])
         if txn is not None:
             app, batch = txn
-            if (app, str(batch)) in self._txns():
+            if int(batch) <= self._txns().get(app, -1):
                 return 0
             params.update({"txnAppId": app, "txnVersion": str(batch)})
         n = self._write(df, self.data_path(), "append")
