@@ -168,3 +168,18 @@ def test_open_empty_partitioned_table(spark, workdir):
     t = ParquetTable.open(spark, workdir)
     assert t.schema == schema and t.partition_by == ["p"]
     assert t.read().count() == 0
+
+
+def test_views_and_changes_since_snapshot(spark, clean_table):
+    clean_table.as_view("tp_silver_view")
+    n = spark.sql("SELECT COUNT(0) AS n FROM tp_silver_view").first()["n"]
+    assert n == n_clean(spark)
+    snap = clean_table.snapshot()
+    clean_table.delete("event_id % 11 = 0", soft=True)
+    ch = clean_table.changes_since(snap)
+    kinds = {r["_change_type"] for r in ch.select("_change_type").distinct().collect()}
+    assert kinds == {"delete"}
+    assert ch.count() == n - clean_table.read().count()
+    clean_table.as_view("tp_silver_global", global_view=True)
+    assert spark.sql("SELECT COUNT(0) AS n FROM global_temp.tp_silver_global").first()["n"] \
+        == n - ch.count()

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.predicates import as_column, is_true
+from tidepool.operators import changes as change_ops
 from tidepool.operators import merge as merge_ops
 from tidepool.operators.joins import broadcast_if_small
 from tidepool.operators.layout import cluster_by_time
@@ -579,6 +580,21 @@ class ParquetTable:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return self.spark.table(name).select(*self.schema.names)
 
+    def as_view(self, name: str, global_view: bool = False) -> DataFrame:
+        """Publish the visible rows for SQL: a session view, or a global one
+        (``global_temp.<name>``) that SQL in another session can read."""
+        df = self.read()
+        if global_view:
+            df.createOrReplaceGlobalTempView(name)
+        else:
+            df.createOrReplaceTempView(name)
+        return df
+
+    def changes_since(self, snapshot: Snapshot) -> DataFrame:
+        """Row changes from a snapshot to the current version (insert,
+        delete, update pre/post image), keyed on the table key."""
+        return change_ops.change_feed(snapshot.read(), self.read(), self.key)
+
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY``: newest first."""
         return (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
