@@ -117,3 +117,30 @@ def test_table_ops_equal_frame_ops(spark, rows, new, bound):
     assert bag(t.read()) == bag(want)
     t.purge()
     assert bag(t.read()) == bag(want)
+
+
+@TABLE_SETTINGS
+@given(target=st.lists(st.tuples(st.sampled_from(["x", "y"]), st.one_of(st.none(), st.integers(0, 9))),
+                       max_size=12),
+       batch=st.lists(st.tuples(st.sampled_from(["x", "y", "z"]),
+                                st.one_of(st.none(), st.integers(0, 9))), max_size=12))
+def test_key_implied_scope_keeps_merge_result(spark, target, batch):
+    """Narrowing the target by key-implied columns never changes the merge."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from tidepool.functions.keys import content_key
+    from tidepool.session import work_path
+    from tidepool.sources.table import ParquetTable
+
+    def frame(rows):
+        base = dt.datetime(2024, 1, 1)
+        data = [(p, None if h is None else base + dt.timedelta(hours=h)) for p, h in rows]
+        df = spark.createDataFrame(data, "p string, t timestamp_ntz")
+        return df.withColumn("Id", content_key("p", "t")).select("Id", "p", "t")
+
+    t = ParquetTable.create_as(spark, work_path(spark, "implied"), frame(target), ["p"])
+    b = frame(batch)
+    want = bag(merge.merge_insert_only(t.read(), b))
+    t.merge_insert_only(b, key_implies_partition=True, key_implies=["t"])
+    assert bag(t.read()) == want
+    assert t.read().filter(F.col("Id").isNull()).count() == 0

@@ -183,3 +183,14 @@ def test_views_and_changes_since_snapshot(spark, clean_table):
     clean_table.as_view("tp_silver_global", global_view=True)
     assert spark.sql("SELECT COUNT(0) AS n FROM global_temp.tp_silver_global").first()["n"] \
         == n - ch.count()
+
+
+def test_key_implied_time_range_reaches_scan(spark, clean_table):
+    from tests.plans import plan_text
+    batch = fx.clean(spark, SF001, True).filter("MeasurementDateTime < '2024-01-02'")
+    scope = clean_table._implied_scope(batch, ["SensorLocation", "SensorMeasurement",
+                                               "MeasurementDateTime"])
+    plan = plan_text(clean_table.read().filter(scope).select("Id"))
+    assert "GreaterThanOrEqual(MeasurementDateTime" in plan
+    assert "LessThanOrEqual(MeasurementDateTime" in plan
+    assert "PartitionFilters: [" in plan

@@ -430,11 +430,12 @@ def stream_replay_idempotent(spark, d):
     bronze = _bronze(spark, "bronze-replay")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
     silver = _silver(spark, "silver-replay")
-    # The ingest key hashes location and measurement, the silver partitions.
+    # The ingest key hashes location, measurement (the silver partitions) and time.
+    implied = dict(key_implies_partition=True, key_implies=["MeasurementDateTime"])
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-a"), max_files_per_trigger=2,
-                           key_implies_partition=True)
+                           **implied)
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-b"), max_files_per_trigger=2,
-                           key_implies_partition=True)
+                           **implied)
     return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS])
 
 

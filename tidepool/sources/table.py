@@ -424,23 +424,67 @@ class ParquetTable:
         return n
 
     def merge_insert_only(self, updates: DataFrame, txn: tuple[str, int] | None = None,
-                          key_implies_partition: bool = False) -> int:
+                          key_implies_partition: bool = False,
+                          key_implies: list[str] | None = None) -> int:
         """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append new keys only.
 
-        ``key_implies_partition=True`` declares that equal keys always lie in
-        the same table partition (e.g. a content key over the partition
-        columns). Then only the partitions present in the batch are probed:
-        their distinct values (bounded by the partition count) become a
-        partition filter on the target scan. The result is the same."""
+        ``key_implies`` names columns whose value is fixed by the key (e.g.
+        the columns a content key hashes); ``key_implies_partition=True``
+        adds the partition columns. A target row can then match a batch key
+        only if those columns agree with some batch row, so the target scan
+        is narrowed without changing the result:
+
+        * all partition columns implied: a partition filter on the batch's
+          distinct partition values (bounded by the partition count);
+        * any other implied column: a literal ``[min, max]`` range of the
+          batch (plus ``IS NULL`` when the batch has NULLs) that Parquet
+          statistics use to skip files, e.g. the recent time window of a
+          stream batch against a table clustered by time.
+        """
+        implied = list(key_implies or [])
+        if key_implies_partition:
+            implied += [c for c in self.partition_by if c not in implied]
         target = self.read()
-        if key_implies_partition and self.partition_by:
-            parts = self._partitions_of(updates)
-            if not parts:
+        if implied:
+            scope = self._implied_scope(updates, implied)
+            if scope is None:
                 return self.append(updates.limit(0), operation="MERGE", txn=txn)
-            target = target.filter(self._partition_filter(parts))
+            target = target.filter(scope)
         new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names)
         return self.append(new, operation="MERGE", txn=txn)
 
+    def _implied_scope(self, updates: DataFrame, implied: list[str]) -> Column | None:
+        """Filter on the target implied by the batch's values (None: the
+        batch is empty). Bounds are computed by one aggregation and turned
+        into literals of the column's type via Spark's own text form, so
+        they are exact in any session time zone."""
+        conds = []
+        ranged = [c for c in implied if c not in self.partition_by]
+        if self.partition_by and all(c in implied for c in self.partition_by):
+            parts = self._partitions_of(updates)
+            if not parts:
+                return None
+            conds.append(self._partition_filter(parts))
+        else:
+            ranged = list(implied)
+        if ranged:
+            aggs = []
+            for c in ranged:
+                aggs += [F.min(c).cast("string"), F.max(c).cast("string"),
+                         F.max(F.col(c).isNull().cast("int"))]
+            row = updates.agg(*aggs).first()
+            if row[2] is None:          # no rows at all
+                return None
+            for i, c in enumerate(ranged):
+                lo, hi, has_null = row[3 * i], row[3 * i + 1], row[3 * i + 2]
+                dtype = self.schema[c].dataType
+                cond = (F.col(c).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype))
+                        if lo is not None else F.lit(False))
+                if has_null:
+                    cond = cond | F.col(c).isNull()
+                conds.append(cond)
+        return reduce(lambda a, b: a & b, conds)
+
     def upsert(self, updates: DataFrame) -> None:
         """``MERGE … WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *``.
 

@@ -95,12 +95,13 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
                            query_name: str = "bronze_to_silver",
                            trigger: dict | None = None,
                            await_done: bool = True,
-                           key_implies_partition: bool = False) -> StreamingQuery:
+                           key_implies_partition: bool = False,
+                           key_implies: list[str] | None = None) -> StreamingQuery:
     """Bronze stream → silver, insert-only merge on the key per micro-batch.
 
-    Set ``key_implies_partition`` when the key hashes the silver partition
-    columns (as ``INGEST_KEY_COLUMNS`` do): each batch then probes only the
-    silver partitions it touches."""
+    Set ``key_implies_partition`` / ``key_implies`` when the key hashes
+    those columns (as ``INGEST_KEY_COLUMNS`` do): each batch then probes only
+    the silver partitions it touches, within its own time range."""
     src = bronze.stream(max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -110,7 +111,8 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
         batch.persist()
         try:
             silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id),
-                                     key_implies_partition=key_implies_partition)
+                                     key_implies_partition=key_implies_partition,
+                                     key_implies=key_implies)
         finally:
             batch.unpersist()
 
@@ -175,11 +177,12 @@ def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
     ingest_raw_to_bronze(spark, source_dir, bronze, ckpt_raw, schema=raw_schema,
                          max_files_per_trigger=max_files_per_trigger,
                          timestamp_format=timestamp_format, trigger=trigger)
-    # The ingest key hashes location and measurement: merges stay in the
-    # silver partitions each batch touches.
+    # The ingest key hashes location, measurement and time: each batch probes
+    # only the silver partitions it touches, within its own time range (files
+    # outside it are skipped by Parquet statistics once silver is clustered).
     merge_bronze_to_silver(bronze, silver, ckpt_silver,
                            max_files_per_trigger=max_files_per_trigger, trigger=trigger,
-                           key_implies_partition=True)
+                           key_implies_partition=True, key_implies=["MeasurementDateTime"])
     if cluster:
         silver.cluster_by("MeasurementDateTime")
     return silver
