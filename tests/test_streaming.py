@@ -114,17 +114,17 @@ def test_run_sensor_pipeline_incremental_and_start_over(spark):
     write_csv_feed(raw.filter(F.col("MeasurementDateTime") < "2024-01-15"), feed, files=2)
     root = work_path(spark, "pipeline")
     kw = dict(schema=sensor_schema(NTZ), timestamp_format=CSV_TIME_FORMAT)
-    first = run_sensor_pipeline(spark, feed, root, **kw).read().count()
+    first = run_sensor_pipeline(spark, feed, root, cluster=True, **kw).read().count()
     clean = fx.clean(spark, SF001)
     assert first == clean.filter(F.col("MeasurementDateTime") < "2024-01-15").count()
     assert run_sensor_pipeline(spark, feed, root, cluster=False, **kw).read().count() == first
     # new files arrive: only they are processed
     write_csv_feed(raw.filter(F.col("MeasurementDateTime") >= "2024-01-15"), feed, files=2)
-    silver = run_sensor_pipeline(spark, feed, root, **kw)
+    silver = run_sensor_pipeline(spark, feed, root, cluster=True, **kw)
     assert silver.read().count() == clean.count()
     assert silver.partition_by == ["SensorLocation", "SensorMeasurement"]
     # start over: checkpoints and tables reset together, same result
-    again = run_sensor_pipeline(spark, feed, root, start_over=True, **kw)
+    again = run_sensor_pipeline(spark, feed, root, start_over=True, cluster=True, **kw)
     assert again.read().count() == clean.count()
     # a fresh history: create, one merge batch (all files), optimize
     assert [r["operation"] for r in again.history().collect()] == \

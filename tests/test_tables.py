@@ -194,3 +194,14 @@ def test_key_implied_time_range_reaches_scan(spark, clean_table):
     assert "GreaterThanOrEqual(MeasurementDateTime" in plan
     assert "LessThanOrEqual(MeasurementDateTime" in plan
     assert "PartitionFilters: [" in plan
+
+
+def test_cluster_selected_partitions_in_place(spark, clean_table):
+    clean_table.delete("event_id % 11 = 0", soft=True)
+    before = sorted(r["Id"] for r in clean_table.read().collect())
+    data_dir = clean_table.data_path()
+    clean_table.cluster_by("MeasurementDateTime", num_ranges=8, where="SensorLocation = 'loc_1'")
+    assert clean_table.data_path() == data_dir                 # rewritten in place
+    assert sorted(r["Id"] for r in clean_table.read().collect()) == before
+    left = clean_table.tombstones()
+    assert left.filter("SensorLocation = 'loc_1'").count() == 0 and left.count() > 0

@@ -353,14 +353,15 @@ class ParquetTable:
         return {tuple(r[c] for c in self.partition_by): r["_dir"] for r in rows}
 
     def _rewrite_partitions(self, rows: DataFrame, parts: list[tuple],
-                            operation: str, params: dict, metrics: dict) -> int:
+                            operation: str, params: dict, metrics: dict,
+                            rebalance: bool | None = None) -> int:
         """Replace partitions ``parts`` with ``rows`` (rows outside them are an
         error). Partitions left empty are removed (dynamic overwrite alone
         would keep their old files). Their tombstones are dropped too, since
         the new files hold visible rows only."""
         dirs = self._partition_dirs(parts)
         n, written = self._write(rows, self.data_path(), "overwrite", dynamic=True,
-                                 observe_partitions=True)
+                                 observe_partitions=True, rebalance=rebalance)
         stray = written - set(parts)
         if stray:
             raise ValueError(f"rewrite wrote outside its partitions: {sorted(stray)[:3]}")
@@ -590,12 +591,28 @@ class ParquetTable:
         self._rewrite_partitions(rows, parts, "REORG",
                                  {"purge": "true", "predicate": _pred_text(where)}, {})
 
-    def cluster_by(self, time_column: str, num_ranges: int | None = None) -> None:
-        """``OPTIMIZE t ZORDER BY (time_column)``: full rewrite into a new
-        folder, rows range-partitioned and sorted by (partitions, time)."""
-        rows = cluster_by_time(self.read(), self.partition_by, time_column, num_ranges)
-        # The range exchange is the distribution: no rebalance on top of it.
-        self._rewrite_all(rows, "OPTIMIZE", {"zOrderBy": time_column}, {}, rebalance=False)
+    def cluster_by(self, time_column: str, num_ranges: int | None = None,
+                   where: Column | str | None = None) -> None:
+        """``OPTIMIZE t [WHERE partition-pred] ZORDER BY (time_column)``.
+
+        Rows are range-partitioned and sorted by (partition columns, time),
+        so files inside a partition cover disjoint time ranges. Without
+        ``where`` the whole table is rewritten into a new folder; with a
+        predicate on partition columns only the matching partitions are
+        rewritten in place (their tombstones are folded in)."""
+        if where is None or not self.partition_by:
+            rows = cluster_by_time(self.read(), self.partition_by, time_column, num_ranges)
+            # The range exchange is the distribution: no rebalance on top of it.
+            self._rewrite_all(rows, "OPTIMIZE", {"zOrderBy": time_column}, {}, rebalance=False)
+            return
+        scope = self.read().filter(as_column(where))
+        parts = self._partitions_of(scope)
+        if not parts:
+            return
+        rows = cluster_by_time(scope, self.partition_by, time_column, num_ranges)
+        self._rewrite_partitions(rows, parts, "OPTIMIZE",
+                                 {"zOrderBy": time_column, "predicate": _pred_text(where)},
+                                 {}, rebalance=False)
 
     # --- copies, snapshots and metadata -------------------------------------
 

@@ -139,7 +139,7 @@ def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
                         timestamp_format: str | None = None,
                         max_files_per_trigger: int | None = None,
                         trigger: dict | None = None,
-                        cluster: bool = True) -> ParquetTable:
+                        cluster: bool = False) -> ParquetTable:
     """The whole incremental job: raw CSV → bronze → silver, then clustering.
 
     Layout under ``root``: ``bronze/``, ``silver/`` (partitioned by location
@@ -149,8 +149,11 @@ def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
     ``start_over=True`` removes checkpoints *and* both tables together, so
     the replay starts from empty targets; removing only the checkpoints
     would re-ingest into a bronze that already holds the rows.
-    ``cluster=True`` ends with ``OPTIMIZE … ZORDER BY (MeasurementDateTime)``
-    (a full rewrite of silver).
+    ``cluster=True`` ends with ``OPTIMIZE … ZORDER BY (MeasurementDateTime)``,
+    a full rewrite of silver. It is off by default: every merge batch already
+    writes files spanning only that batch's time window, so appended data
+    stays clustered by time; re-cluster on a schedule instead, or only some
+    partitions with ``silver.cluster_by(..., where=...)``.
     """
     from tidepool.sources import files
 
