@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.predicates import as_column, is_true
+from tidepool.session import ensure_checkpoint_dir
 
 # Fixed value: bits of monotonically_increasing_id() that hold the row
 # position inside its partition (the partition id sits above them).
@@ -87,6 +88,7 @@ def assign_identity(df: DataFrame, column: str = "id",
         # A unique tiebreaker lets the range exchange split a heavy group of
         # equal sort keys over many tasks (ties have no defined order).
         todo = todo.orderBy(*order_by, F.monotonically_increasing_id())
+    ensure_checkpoint_dir(df.sparkSession)     # the session's shared folder
     todo = todo.checkpoint(eager=True)
     first = start if current_max is None else max(start, current_max + step)
     pos = (todo.withColumn("_pid", F.spark_partition_id())
