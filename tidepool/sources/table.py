@@ -379,6 +379,8 @@ class ParquetTable:
         if tombs is None or tombs.isEmpty():
             return None
         keep = tombs if parts is None else tombs.filter(self._outside(parts))
+        if self.rebalance and self.partition_by:
+            keep = keep.hint("rebalance", *self.partition_by)
         new_dir = _new_dir("tomb")
         w = keep.write.mode("errorifexists")
         if self.partition_by:
@@ -520,8 +522,10 @@ class ParquetTable:
         hit = self.read().filter(is_true(p))
         if soft:
             obs = Observation()
-            w = (hit.select(*self.partition_by, *self.key)
-                    .observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append"))
+            tombs = hit.select(*self.partition_by, *self.key)
+            if self.rebalance and self.partition_by:
+                tombs = tombs.hint("rebalance", *self.partition_by)   # few files per partition
+            w = tombs.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
             if self.partition_by:
                 w = w.partitionBy(*self.partition_by)
             w.parquet(self.tomb_path())
