@@ -205,3 +205,23 @@ def test_cluster_selected_partitions_in_place(spark, clean_table):
     assert sorted(r["Id"] for r in clean_table.read().collect()) == before
     left = clean_table.tombstones()
     assert left.filter("SensorLocation = 'loc_1'").count() == 0 and left.count() > 0
+
+
+def test_changes_since_restricted_to_touched_partitions(spark, clean_table):
+    from tidepool.operators.changes import change_feed
+    from tests.plans import plan_text
+    snap = clean_table.snapshot()
+    assert clean_table.changes_since(snap).count() == 0
+    extra = (fx.clean(spark, SF001, True).filter("SensorLocation = 'loc_0'").limit(7)
+             .withColumn("Id", F.concat(F.lit("new-"), F.col("Id"))))
+    clean_table.append(extra)
+    clean_table.delete("SensorLocation = 'loc_2' AND event_id % 5 = 0", soft=True)
+    got = clean_table.changes_since(snap)
+    full = change_feed(snap.read(), clean_table.read(), "Id")
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert key(got) == key(full) and got.count() > 7
+    touched = {r["SensorLocation"] for r in got.select("SensorLocation").distinct().collect()}
+    assert touched == {"loc_0", "loc_2"}
+    assert "PartitionFilters: [" in plan_text(got)
+    clean_table.cluster_by("MeasurementDateTime")        # full rewrite: all partitions
+    assert key(clean_table.changes_since(snap)) == key(full)

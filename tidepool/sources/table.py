@@ -657,8 +657,32 @@ class ParquetTable:
 
     def changes_since(self, snapshot: Snapshot) -> DataFrame:
         """Row changes from a snapshot to the current version (insert,
-        delete, update pre/post image), keyed on the table key."""
-        return change_ops.change_feed(snapshot.read(), self.read(), self.key)
+        delete, update pre/post image), keyed on the table key.
+
+        A partition whose data and tombstone files are the same in both
+        versions holds the same rows, so it cannot change. The pinned file
+        lists are compared with the current ones (metadata only), and both
+        versions are restricted to the partitions with a differing file
+        before the join. A full rewrite differs everywhere: the whole table."""
+        before, after = snapshot.read(), self.read()
+        if not self.partition_by:
+            return change_ops.change_feed(before, after, self.key)
+        now = self.snapshot()
+        differing = [
+            (now.data_dir, set(now.data_files) - set(snapshot.data_files)),        # added
+            (snapshot.data_dir, set(snapshot.data_files) - set(now.data_files)),   # removed
+            (now.tomb_dir, set(now.tomb_files) - set(snapshot.tomb_files)),
+            (snapshot.tomb_dir, set(snapshot.tomb_files) - set(now.tomb_files)),
+        ]
+        parts: set[tuple] = set()
+        for base, paths in differing:
+            if paths:       # partition values come from the paths (basePath)
+                found = self.spark.read.option("basePath", base).parquet(*sorted(paths))
+                parts |= set(self._partitions_of(found))
+        if not parts:
+            return change_ops.change_feed(before.limit(0), after.limit(0), self.key)
+        scope = self._partition_filter(sorted(parts, key=repr))
+        return change_ops.change_feed(before.filter(scope), after.filter(scope), self.key)
 
     def history(self) -> DataFrame:
         """``DESCRIBE HISTORY``: newest first."""
