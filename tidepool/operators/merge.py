@@ -30,10 +30,10 @@ def rows_to_insert(target: DataFrame, updates: DataFrame,
     """Source rows whose key is absent from the target.
 
     * Only the key columns of the target are read (column pruning).
-    * When the source's distinct keys are at most ``broadcast_rows`` (a
-      micro-batch against a large table), they are broadcast and the target
-      keys are semi-joined against them where they lie: the target is scanned
-      but never shuffled, and only keys present on both sides move on.
+    * When the source has at most ``broadcast_rows`` keyed rows (a
+      micro-batch against a large table), its keys are broadcast and the
+      target keys are semi-joined against them where they lie: the target is
+      scanned but never shuffled, and only keys present on both sides move on.
     * Otherwise the target keys are de-duplicated map-side (a hot key
       shrinks to one row per task) and shuffled for an anti-join.
     * Source rows with a NULL key never match: they skip the join.
