@@ -144,3 +144,26 @@ def test_pipeline_on_raw_feed_format(spark):
     assert sorted(r["SensorValue"] for r in rows) == [7, 82, 83]
     assert {r["SensorLocation"] for r in rows} == {"coyote_creek", "santa_monica"}
     assert all(r["Id"] and r["InputFileName"].endswith(".txt") for r in rows)
+
+
+def test_command_line_pipeline(spark):
+    """The CLI in its own process (its own session), on a feed Spark wrote."""
+    import json
+    import os
+    import subprocess
+    import sys
+    feed = work_path(spark, "cli-feed")
+    write_csv_feed(fx.raw(spark, SF001), feed, files=2)
+    root = work_path(spark, "cli")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": repo}
+    run = [sys.executable, "-m", "tidepool", "pipeline", "--source", feed, "--root", root,
+           "--timestamp-format", CSV_TIME_FORMAT]
+    out = subprocess.run(run, capture_output=True, text=True, timeout=600, env=env, cwd=repo)
+    assert out.returncode == 0, out.stderr[-2000:]
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["rows"] == fx.clean(spark, SF001).count()
+    hist = subprocess.run([sys.executable, "-m", "tidepool", "history", "--table", res["silver"]],
+                          capture_output=True, text=True, timeout=600, env=env, cwd=repo)
+    ops = [json.loads(x)["operation"] for x in hist.stdout.strip().splitlines()]
+    assert ops == ["MERGE", "CREATE TABLE"]
