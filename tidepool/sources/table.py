@@ -193,14 +193,23 @@ class ParquetTable:
 
     def _log(self, operation: str, params: dict, metrics: dict,
              data_dir: str | None = None, tomb_dir: str | None = None,
-             first: bool = False) -> None:
+             first: bool = False, tombstones: int | None = None) -> None:
+        """Append one history row. ``tombstones`` is the number of live
+        tombstones after the operation (carried over when not given), so
+        reads know it without counting."""
         if first:
             version = 0
+            tombstones = 0 if tombstones is None else tombstones
         else:
             st = self._state()
             version = int(st["version"]) + 1
             data_dir = data_dir or st["data_dir"]
             tomb_dir = tomb_dir or st["tomb_dir"]
+            if tombstones is None:
+                tombstones = self._known_tombstones()
+        metrics = dict(metrics)
+        if tombstones is not None:
+            metrics["numTombstones"] = tombstones
         df = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"),
             F.current_timestamp().alias("timestamp"),
@@ -217,7 +226,8 @@ class ParquetTable:
             self._cached = None
         else:
             self._cached = {**st, "version": version, "operation": operation,
-                            "data_dir": data_dir, "tomb_dir": tomb_dir}
+                            "data_dir": data_dir, "tomb_dir": tomb_dir,
+                            "metrics": {k: int(v) for k, v in metrics.items()}}
         if "txnAppId" in params:
             txns = self._txns()
             app, batch = params["txnAppId"], int(params["txnVersion"])
@@ -249,13 +259,20 @@ class ParquetTable:
             return self.spark.createDataFrame([], T.StructType([self.schema[c] for c in cols]))
         return t
 
-    def _visible(self, base: DataFrame, tombs: DataFrame | None) -> DataFrame:
+    def _known_tombstones(self) -> int | None:
+        """Live tombstone count recorded by the newest history row, if any."""
+        n = (self._state().get("metrics") or {}).get("numTombstones")
+        return None if n is None else int(n)
+
+    def _visible(self, base: DataFrame, tombs: DataFrame | None,
+                 known: int | None = None) -> DataFrame:
         """Anti-join with the tombstones: skipped when there are none,
         broadcast when at most TOMBSTONE_BROADCAST_ROWS, else a shuffle
-        join (``purge`` keeps them few)."""
+        join (``purge`` keeps them few). ``known`` is their recorded count;
+        without it they are counted (up to the bound)."""
         if tombs is None:
             return base
-        n = tombs.limit(TOMBSTONE_BROADCAST_ROWS + 1).count()
+        n = known if known is not None else tombs.limit(TOMBSTONE_BROADCAST_ROWS + 1).count()
         if n == 0:
             return base
         t = F.broadcast(tombs) if n <= TOMBSTONE_BROADCAST_ROWS else tombs
@@ -265,7 +282,7 @@ class ParquetTable:
 
     def read(self) -> DataFrame:
         """Visible rows: data files minus soft-deleted keys."""
-        return self._visible(self.base(), self._tombstone_frame())
+        return self._visible(self.base(), self._tombstone_frame(), self._known_tombstones())
 
     def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
         """Rows appended to the table, as a stream (``readStream.table``).
@@ -368,25 +385,31 @@ class ParquetTable:
         for p in set(parts) - written:
             if p in dirs:
                 files.delete(self.spark, dirs[p])
-        tomb_dir = self._drop_tombstones(parts)
-        self._log(operation, params, {**metrics, "numOutputRows": n}, tomb_dir=tomb_dir)
+        tomb_dir, kept = self._drop_tombstones(parts)
+        self._log(operation, params, {**metrics, "numOutputRows": n}, tomb_dir=tomb_dir,
+                  tombstones=kept)
         return n
 
-    def _drop_tombstones(self, parts: list[tuple] | None) -> str | None:
+    def _drop_tombstones(self, parts: list[tuple] | None) -> tuple[str | None, int | None]:
         """Write the tombstones outside ``parts`` (all, when None) to a new
-        folder; returns its name, or None when nothing changes."""
+        folder; returns its name and how many were kept, or (None, None)
+        when nothing changes."""
         tombs = self._tombstone_frame()
-        if tombs is None or tombs.isEmpty():
-            return None
+        if tombs is None:
+            return None, None
+        known = self._known_tombstones()
+        if (known == 0) if known is not None else tombs.isEmpty():
+            return None, None
         keep = tombs if parts is None else tombs.filter(self._outside(parts))
         if self.rebalance and self.partition_by:
             keep = keep.hint("rebalance", *self.partition_by)
+        obs = Observation()
         new_dir = _new_dir("tomb")
-        w = keep.write.mode("errorifexists")
+        w = keep.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.root}/{new_dir}")
-        return new_dir
+        return new_dir, int(obs.get["n"])
 
     def _rewrite_all(self, rows: DataFrame, operation: str, params: dict,
                      metrics: dict, rebalance: bool | None = None) -> None:
@@ -394,7 +417,7 @@ class ParquetTable:
         data_dir = _new_dir("data")
         n = self._write(rows, f"{self.root}/{data_dir}", "errorifexists", rebalance=rebalance)
         self._log(operation, params, {**metrics, "numOutputRows": n},
-                  data_dir=data_dir, tomb_dir=_new_dir("tomb"))
+                  data_dir=data_dir, tomb_dir=_new_dir("tomb"), tombstones=0)
 
     # --- operations ---------------------------------------------------------
 
@@ -530,8 +553,10 @@ class ParquetTable:
                 w = w.partitionBy(*self.partition_by)
             w.parquet(self.tomb_path())
             n = int(obs.get["n"])
+            before = self._known_tombstones()
             self._log("DELETE", {"predicate": _pred_text(pred), "soft": "true"},
-                      {"numDeletedRows": n})
+                      {"numDeletedRows": n},
+                      tombstones=None if before is None else before + n)
             return n
         if not self.partition_by:
             n = hit.count()
