@@ -56,19 +56,14 @@ def entity_set(membership: DataFrame, user: str,
     return broadcast_if_small(me.union(groups).distinct(), broadcast_rows)
 
 
-def _small(entities: DataFrame) -> DataFrame:
-    """Entity sets come checked (and hinted) from ``entity_set``."""
-    return entities
-
-
 def catalog_access(catalog_privileges: DataFrame, entities: DataFrame) -> DataFrame:
     """Catalog privileges held by any entity: all columns of both sides."""
-    e = _small(entities)
+    e = entities           # checked and hinted by entity_set
     return catalog_privileges.join(e, catalog_privileges["grantee"] == e["entity"], "inner")
 
 
 def _schema_rows(schema_privileges: DataFrame, entities: DataFrame) -> DataFrame:
-    e = _small(entities)
+    e = entities
     sp = schema_privileges.filter(F.col("schema_name") != F.lit(METADATA_SCHEMA))
     return sp.join(e, sp["grantee"] == e["entity"], "inner")
 
@@ -93,7 +88,7 @@ def schema_access_inherited(schema_privileges: DataFrame, entities: DataFrame) -
 
 def table_access(table_privileges: DataFrame, entities: DataFrame) -> DataFrame:
     """Table privileges held by any entity: all columns of both sides."""
-    e = _small(entities)
+    e = entities
     return table_privileges.join(e, table_privileges["grantee"] == e["entity"], "inner")
 
 
@@ -104,7 +99,7 @@ def owned_tables(tables: DataFrame, entities: DataFrame) -> DataFrame:
     inner join is a semi join; Catalyst can push a semi join below the
     joins that build ``tables`` (down to the owner's side).
     """
-    e = _small(entities)
+    e = entities
     return (tables.join(e, tables["table_owner"] == e["entity"], "left_semi")
                   .select(*TABLE_REPORT_COLUMNS))
 
@@ -149,7 +144,7 @@ def table_privileges(schema_privs: DataFrame, tables: DataFrame,
     """
     sp = schema_privs
     if entities is not None:
-        e = _small(entities)
+        e = entities
         sp = sp.join(e, sp["grantee"] == e["entity"], "left_semi")
         # Few grants remain: broadcast them (checked) so the tables side, whose
         # (catalog, schema) keys are few and heavy, is never shuffled on them.
