@@ -60,6 +60,8 @@ def time_filter(t: ParquetTable):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    if not cpus.isdigit():                      # e.g. "*": use every core
+        cpus = str(os.cpu_count() or 8)
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
     extra = {}
