@@ -74,3 +74,31 @@ def test_pushdown_and_partition_pruning(spark, workdir):
 def test_merge_plans_anti_join(spark):
     plan = plan_text(QUERIES["merge_insert_only"](spark, SF001))
     assert "LeftAnti" in plan
+
+
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_cross_join(spark, name):
+    plan = plan_text(QUERIES[name](spark, SF001))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.fixture
+def large_table_planning(spark):
+    """Turn off Spark's own size-based broadcasts: only ours remain."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["owned_tables", "stale_tables", "table_access",
+                                  "catalog_access", "schema_access_inherited",
+                                  "merge_insert_only", "merge_upsert", "soft_delete_read"])
+def test_big_inputs_not_shuffled_for_joins(spark, large_table_planning, name):
+    """Reports scan orders without a sort-merge join; merges probe the target
+    through a broadcast of the checked batch keys; soft-deleted reads
+    broadcast the tombstones."""
+    plan = plan_text(QUERIES[name](spark, SF001))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
