@@ -130,3 +130,11 @@ def test_operators_keep_column_order(spark):
     assert merge.merge_upsert(t, u).columns == ["v", "Id"]
     assert merge.merge_insert_only(t, u).columns == ["v", "Id"]
     assert changes.change_feed(t, u).columns == ["v", "Id", "_change_type"]
+
+
+def test_change_feed_validate_rejects_repeated_keys(spark):
+    ok = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], S)
+    assert changes.change_feed(ok, ok, validate=True).count() == 4   # NULL keys never match
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], S)
+    with pytest.raises(ValueError):
+        changes.change_feed(ok, dup, validate=True)

@@ -17,7 +17,7 @@ UPDATE_PRE, UPDATE_POST = "update_preimage", "update_postimage"
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str | list[str] = "Id",
-                change_column: str = "_change_type") -> DataFrame:
+                change_column: str = "_change_type", validate: bool = False) -> DataFrame:
     """Rows that differ between ``before`` and ``after``, tagged.
 
     Keys must be unique within each side (they are table keys). One full
@@ -25,8 +25,14 @@ def change_feed(before: DataFrame, after: DataFrame, key: str | list[str] = "Id"
     change rows in the same pass (no second scan). Rows with a NULL key
     never match and go straight to insert / delete, so they cannot pile up
     in one shuffle partition. Equality is NULL-safe over the whole row.
+    ``validate=True`` first checks that contract on both sides (one
+    partial-aggregate job each) instead of letting repeated keys pair up.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if validate:
+        from tidepool.operators.merge import check_unique_keys
+        check_unique_keys(before, keys, purpose="change feed")
+        check_unique_keys(after, keys, purpose="change feed")
     cols = before.columns
     after = after.select(*cols)
 

@@ -65,7 +65,8 @@ def merge_insert_only(target: DataFrame, updates: DataFrame,
     return target.unionByName(rows_to_insert(target, updates, key))
 
 
-def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id") -> int:
+def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id",
+                      purpose: str = "upsert") -> int:
     """Raise if two source rows share a (non-NULL) key; else return the
     number of distinct non-NULL keys.
 
@@ -79,7 +80,7 @@ def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id") -> int:
     row = per_key.agg(F.count(F.lit(1)).alias("keys"),
                       F.coalesce(F.max("count"), F.lit(0)).alias("most")).first()
     if row["most"] > 1:
-        raise ValueError(f"source has duplicate keys on {keys}; upsert is ambiguous")
+        raise ValueError(f"duplicate keys on {keys}: {purpose} needs unique keys")
     return int(row["keys"])
 
 
