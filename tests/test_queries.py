@@ -46,12 +46,16 @@ def test_source_inventory_lists_every_table(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES
-                                        if not n.startswith("stream_")))
-def test_no_python_evaluation(spark, name):
-    """All row work stays in the JVM: no Python UDF operator in any plan."""
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_plan_properties(spark, name):
+    """All row work stays in the JVM (no Python UDF operator) and no query
+    plans a cross join."""
     plan = plan_text(QUERIES[name](spark, SF001))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_pushdown_and_partition_pruning(spark, workdir):
@@ -76,13 +80,6 @@ def test_merge_plans_anti_join(spark):
     assert "LeftAnti" in plan
 
 
-BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_no_cross_join(spark, name):
-    plan = plan_text(QUERIES[name](spark, SF001))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 @pytest.fixture
