@@ -47,6 +47,17 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("tomb_dir", T.StringType()),
 ])
 
+# Operation names recorded in the history (DESCRIBE HISTORY).
+OP_CREATE = "CREATE TABLE"
+OP_CTAS = "CREATE TABLE AS SELECT"
+OP_WRITE = "WRITE"
+OP_STREAM = "STREAMING UPDATE"
+OP_MERGE = "MERGE"
+OP_DELETE = "DELETE"
+OP_REORG = "REORG"
+OP_OPTIMIZE = "OPTIMIZE"
+OP_CLONE = "CLONE"
+
 TOMBSTONE_BROADCAST_ROWS = 1_000_000
 # Upper bound on rows per written file, so one heavy partition written by
 # one task still lands in several files of bounded size.
@@ -98,7 +109,7 @@ class ParquetTable:
             files.delete(spark, t.root)
         data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
         files.mkdirs(spark, f"{t.root}/{data_dir}")     # an empty table: no files yet
-        t._log("CREATE TABLE", {"partitionBy": ",".join(t.partition_by),
+        t._log(OP_CREATE, {"partitionBy": ",".join(t.partition_by),
                                 "schema": schema.json()}, {},
                data_dir, tomb_dir, first=True)
         return t
@@ -106,7 +117,7 @@ class ParquetTable:
     @classmethod
     def create_as(cls, spark: SparkSession, root: str, df: DataFrame,
                   partition_by=(), key=("Id",), replace: bool = False,
-                  operation: str = "CREATE TABLE AS SELECT") -> ParquetTable:
+                  operation: str = OP_CTAS) -> ParquetTable:
         """CTAS: the table holds exactly the rows of ``df``."""
         t = cls(spark, root, df.schema, partition_by, key)
         if files.exists(spark, t.root):
@@ -421,7 +432,7 @@ class ParquetTable:
 
     # --- operations ---------------------------------------------------------
 
-    def append(self, df: DataFrame, operation: str = "WRITE",
+    def append(self, df: DataFrame, operation: str = OP_WRITE,
                txn: tuple[str, int] | None = None, merge_schema: bool = False) -> int:
         """Append rows. ``txn=(app_id, batch_id)`` makes a replayed stream
         batch a no-op (the pair is kept in the history).
@@ -474,10 +485,10 @@ class ParquetTable:
         if implied:
             scope = self._implied_scope(updates, implied)
             if scope is None:
-                return self.append(updates.limit(0), operation="MERGE", txn=txn)
+                return self.append(updates.limit(0), operation=OP_MERGE, txn=txn)
             target = target.filter(scope)
         new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names)
-        return self.append(new, operation="MERGE", txn=txn)
+        return self.append(new, operation=OP_MERGE, txn=txn)
 
     def _implied_scope(self, updates: DataFrame, implied: list[str]) -> Column | None:
         """Filter on the target implied by the batch's values (None: the
@@ -520,7 +531,7 @@ class ParquetTable:
         src = self._project(updates)
         if not self.partition_by:
             self._rewrite_all(merge_ops.merge_upsert(self.read(), src, self.key, check=False),
-                              "MERGE", {"matched": "updateAll", "notMatched": "insertAll"}, {})
+                              OP_MERGE, {"matched": "updateAll", "notMatched": "insertAll"}, {})
             return
         target = self.read()
         keys = src.select(*self.key)
@@ -531,7 +542,7 @@ class ParquetTable:
             return
         scope = target.filter(self._partition_filter(parts))
         rows = merge_ops.merge_upsert(scope, src, self.key, check=False)
-        self._rewrite_partitions(rows, parts, "MERGE",
+        self._rewrite_partitions(rows, parts, OP_MERGE,
                                  {"matched": "updateAll", "notMatched": "insertAll"}, {})
 
     def delete(self, pred: Column | str, soft: bool = False) -> int:
@@ -554,24 +565,24 @@ class ParquetTable:
             w.parquet(self.tomb_path())
             n = int(obs.get["n"])
             before = self._known_tombstones()
-            self._log("DELETE", {"predicate": _pred_text(pred), "soft": "true"},
+            self._log(OP_DELETE, {"predicate": _pred_text(pred), "soft": "true"},
                       {"numDeletedRows": n},
                       tombstones=None if before is None else before + n)
             return n
         if not self.partition_by:
             n = hit.count()
-            self._rewrite_all(self.read().filter(~is_true(p)), "DELETE",
+            self._rewrite_all(self.read().filter(~is_true(p)), OP_DELETE,
                               {"predicate": _pred_text(pred)}, {"numDeletedRows": n})
             return n
         parts = self._partitions_of(hit)
         if not parts:
-            self._log("DELETE", {"predicate": _pred_text(pred)}, {"numDeletedRows": 0})
+            self._log(OP_DELETE, {"predicate": _pred_text(pred)}, {"numDeletedRows": 0})
             return 0
         obs = Observation()
         scope = (self.read().filter(self._partition_filter(parts))
                  .observe(obs, F.count(F.lit(1)).alias("n")))
         rows = scope.filter(~is_true(p))
-        n_out = self._rewrite_partitions(rows, parts, "DELETE",
+        n_out = self._rewrite_partitions(rows, parts, OP_DELETE,
                                          {"predicate": _pred_text(pred)}, {})
         return int(obs.get["n"]) - n_out
 
@@ -586,7 +597,7 @@ class ParquetTable:
             raise ValueError("replace_where: some new rows do not satisfy the predicate")
         if not self.partition_by:
             rows = self.read().filter(~is_true(p)).unionByName(src)
-            self._rewrite_all(rows, "WRITE", {"mode": "Overwrite", "predicate": _pred_text(pred)}, {})
+            self._rewrite_all(rows, OP_WRITE, {"mode": "Overwrite", "predicate": _pred_text(pred)}, {})
             return
         visible = self.read()
         parts = sorted(set(self._partitions_of(visible.filter(is_true(p))))
@@ -595,7 +606,7 @@ class ParquetTable:
             return
         rows = (visible.filter(self._partition_filter(parts)).filter(~is_true(p))
                 .unionByName(src))
-        self._rewrite_partitions(rows, parts, "WRITE",
+        self._rewrite_partitions(rows, parts, OP_WRITE,
                                  {"mode": "Overwrite", "predicate": _pred_text(pred)}, {})
 
     def purge(self, where: Column | str | None = None) -> None:
@@ -611,13 +622,13 @@ class ParquetTable:
             tombs = tombs.filter(as_column(where))
         if not self.partition_by:
             if not tombs.isEmpty():
-                self._rewrite_all(self.read(), "REORG", {"purge": "true"}, {})
+                self._rewrite_all(self.read(), OP_REORG, {"purge": "true"}, {})
             return
         parts = self._partitions_of(tombs)
         if not parts:
             return
         rows = self.read().filter(self._partition_filter(parts))
-        self._rewrite_partitions(rows, parts, "REORG",
+        self._rewrite_partitions(rows, parts, OP_REORG,
                                  {"purge": "true", "predicate": _pred_text(where)}, {})
 
     def cluster_by(self, time_column: str, num_ranges: int | None = None,
@@ -632,14 +643,14 @@ class ParquetTable:
         if where is None or not self.partition_by:
             rows = cluster_by_time(self.read(), self.partition_by, time_column, num_ranges)
             # The range exchange is the distribution: no rebalance on top of it.
-            self._rewrite_all(rows, "OPTIMIZE", {"zOrderBy": time_column}, {}, rebalance=False)
+            self._rewrite_all(rows, OP_OPTIMIZE, {"zOrderBy": time_column}, {}, rebalance=False)
             return
         scope = self.read().filter(as_column(where))
         parts = self._partitions_of(scope)
         if not parts:
             return
         rows = cluster_by_time(scope, self.partition_by, time_column, num_ranges)
-        self._rewrite_partitions(rows, parts, "OPTIMIZE",
+        self._rewrite_partitions(rows, parts, OP_OPTIMIZE,
                                  {"zOrderBy": time_column, "predicate": _pred_text(where)},
                                  {}, rebalance=False)
 
@@ -648,7 +659,7 @@ class ParquetTable:
     def deep_clone(self, root: str, replace: bool = False) -> ParquetTable:
         """``CREATE TABLE c CLONE t``: an independent copy of the visible rows."""
         return ParquetTable.create_as(self.spark, root, self.read(), self.partition_by,
-                                      self.key, replace=replace, operation="CLONE")
+                                      self.key, replace=replace, operation=OP_CLONE)
 
     def snapshot(self) -> Snapshot:
         """``SHALLOW CLONE``: pin the current data and tombstone files."""

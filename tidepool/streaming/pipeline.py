@@ -24,7 +24,7 @@ from tidepool.functions.cleaning import clean_raw_data
 from tidepool.functions.keys import content_key
 from tidepool.sources.sensor import (SILVER_COLUMNS, SILVER_PARTITIONS, sensor_schema,
                                      stream_sensor_csv, with_provenance)
-from tidepool.sources.table import ParquetTable
+from tidepool.sources.table import OP_STREAM, ParquetTable
 
 # The measurement content that identifies a reading.
 INGEST_KEY_COLUMNS = ["MeasurementDateTime", "SensorValue", "SensorUnitDescription",
@@ -84,7 +84,7 @@ def ingest_raw_to_bronze(spark: SparkSession, source_dir: str, bronze: ParquetTa
     rows = bronze_rows(raw, key_columns)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        bronze.append(batch, operation="STREAMING UPDATE",
+        bronze.append(batch, operation=OP_STREAM,
                       txn=(_app_id(query_name, checkpoint), batch_id))
 
     return _run(rows, query_name, checkpoint, append, trigger, await_done)
@@ -127,7 +127,7 @@ def copy_stream(source: ParquetTable, target: ParquetTable, checkpoint: str,
     src = source.stream(max_files_per_trigger)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        target.append(batch, operation="STREAMING UPDATE",
+        target.append(batch, operation=OP_STREAM,
                       txn=(_app_id(query_name, checkpoint), batch_id))
 
     return _run(src, query_name, checkpoint, append, trigger, await_done)
