@@ -119,9 +119,13 @@ def test_history_newest_first(spark, clean_table):
 def test_detail_and_open(spark, clean_table):
     d = clean_table.detail()
     assert d["partitionColumns"] == PARTS and d["numFiles"] > 0 and d["sizeInBytes"] > 0
+    parts = fx.clean(spark, SF001).select(*PARTS).distinct().count()
+    assert d["numPartitions"] == parts and d["numTombstones"] == 0 and d["version"] == 0
     again = ParquetTable.open(spark, clean_table.root)
     assert again.partition_by == PARTS
     assert again.read().count() == n_clean(spark)
+    n = clean_table.delete("event_id % 11 = 0", soft=True)
+    assert clean_table.detail()["numTombstones"] == n
 
 
 def test_evolve_append(spark, workdir):

@@ -744,14 +744,25 @@ class ParquetTable:
             files.delete(self.spark, f"{self.history_path}/{name}")
 
     def detail(self) -> dict:
-        """``DESCRIBE DETAIL``: file count, bytes, partition columns."""
-        f = (self.spark.read.schema(self.schema).parquet(self.data_path())
-             .select("_metadata.file_path", "_metadata.file_size").distinct()
-             .agg(F.count(F.lit(1)).alias("numFiles"),
-                  F.coalesce(F.sum("file_size"), F.lit(0)).alias("sizeInBytes"))
+        """``DESCRIBE DETAIL``: location, partition columns, and per-file
+        facts (files, bytes, partition folders) from one aggregation over
+        file metadata; the live tombstone count comes from the history."""
+        per_file = (self.spark.read.schema(self.schema).parquet(self.data_path())
+                    .select("_metadata.file_path", "_metadata.file_size").distinct())
+        f = (per_file.agg(
+                F.count(F.lit(1)).alias("numFiles"),
+                F.coalesce(F.sum("file_size"), F.lit(0)).alias("sizeInBytes"),
+                F.countDistinct(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1))
+                 .alias("folders"))
              .first())
+        tombs = self._known_tombstones()
+        if tombs is None:
+            t = self._tombstone_frame()
+            tombs = 0 if t is None else t.count()
         return {"location": self.data_path(), "partitionColumns": list(self.partition_by),
-                "numFiles": int(f["numFiles"]), "sizeInBytes": int(f["sizeInBytes"])}
+                "numFiles": int(f["numFiles"]), "sizeInBytes": int(f["sizeInBytes"]),
+                "numPartitions": int(f["folders"]) if self.partition_by else 0,
+                "numTombstones": int(tombs), "version": self.version()}
 
     def partition_counts(self) -> DataFrame:
         """Visible rows per partition."""
