@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,20 @@ def arrow_columns(df: DataFrame, text: str, new: T.StructType,
     return (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                       F.col(f"`{text}`").alias("text"))
             .mapInArrow(run, schema))
+
+
+def time_major(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Layout of sequences step by step: (order by falling length, active sequences per
+    step, offset of each step). Step t of the d-th longest sequence lies at offset[t] + d."""
+    order = np.argsort(-lengths, kind="stable")
+    active = len(lengths) - np.cumsum(np.bincount(lengths))[:-1] if len(lengths) else np.empty(0, int)
+    return order, active, np.concatenate([[0], np.cumsum(active)]).astype(np.int64)
+
+
+def word_groups(lengths: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Indices of sequences, longest first, in groups of about ``most`` steps."""
+    order = np.argsort(-lengths, kind="stable")
+    group = np.cumsum(lengths[order]) // most
+    for cut in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+        if len(cut):
+            yield cut

@@ -3,9 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidepool.llm import decontaminate, mixing, secrets, url_filter
-from tidepool.llm.common import documents
+from pyspark.sql import functions as F
+
+from tidepool.llm import (
+    decontaminate,
+    language,
+    language_model,
+    mixing,
+    nearest,
+    secrets,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
+from tidepool.llm.common import documents, id_fold
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = id_fold("doc_id", 4) == 2
+    found = language.identify(docs.select("doc_id", "text"), docs.filter(~held_out))
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = id_fold("doc_id", 5) == 0
+    found = toxicity.judge(docs, docs.filter(~held_out), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("row.doc_id", "score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +48,33 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_mixing, op5_decontaminate, op8_secrets)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(documents(spark, sf_dir))
+
+
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = id_fold("doc_id", 5) == 1
+    counts, learned = language_model.train(docs.filter(~held_out))
+    return language_model.score(docs, counts, learned).withColumn("held_out", held_out)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language, op2_toxicity, op3_url_filter, op4_mixing, op5_decontaminate, op6_nearest,
+    op7_suffix_dedup, op8_secrets, op9_simhash, op10_language_model)}
 
 
 def op3_sql() -> str:
