@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 from tidepool.llm.common import arrow_columns
 
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
-BUCKETS, DIM, WINDOW, NGRAMS = 1 << 17, 8, 16, (3, 4, 5)
+BUCKETS, DIM, WINDOW, NGRAMS = 1 << 17, 8, 5, (3, 4, 5)
+ROUND_WINDOWS = 200_000  # a small sample is gone through until a round has seen so many windows
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -62,9 +63,9 @@ class SubwordSoftmax:
         rng = np.random.default_rng(seed)
         self.vectors = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
         self.weight, self.bias = rng.normal(0, 0.1, DIM), 0.0
-        self.speed_v, self.speed_w = np.full((BUCKETS, DIM), 1e-4, np.float32), np.full(DIM + 1, 1e-4)
+        self.speed_v, self.speed_w = np.full((BUCKETS, DIM), 1e-9, np.float32), np.full(DIM + 1, 1e-6)
 
-    def epoch(self, bags: Bags, windows: np.ndarray, labels: np.ndarray, rng, batch: int = 512, rate: float = 0.15):
+    def epoch(self, bags: Bags, windows: np.ndarray, labels: np.ndarray, rng, batch: int = 512, rate: float = 0.05):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             pick = order[at:at + batch]
@@ -154,7 +155,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> dic
             best = np.full(len(docs), -np.inf)
             np.maximum.at(best, bags.owner, z)
             windows = np.flatnonzero(learn & ((label == 0) | (z >= np.minimum(bar, best[bags.owner]))))
-        for _ in range(2):
+        for _ in range(max(2, -(-ROUND_WINDOWS // len(windows)))):
             model.epoch(bags, bags.windows[windows], label[windows], rng)
     z = bags.scores(model)
     best = np.full(len(docs), -np.inf)
