@@ -14,22 +14,25 @@ BRONZE = ["WindowAverageStartDateTime", "WindowAverageStopDateTime", "Measuremen
 
 
 def test_clean_raw_data(spark):
-    """Two all-string rows; the header-junk one has no value and drops."""
-    rows = [("#default", "_results", None, None, None, None, None, "_field", "_measurement",
-             "location", "row-0001", ""),
-            (None, None, "0", "1920-03-05 22:10:01", "2020-03-0522:10:01",
-             "2019-08-17T00:00:00", "82.01", "degrees", "average_temperature",
-             "coyote_creek", "row-0002", "")]
+    """Four all-string rows: rows without a value go, junk columns go, cells that do not parse
+    become NULL and keep their row."""
+    junk = ["x", "y", "z"]
+    rows = [(*junk, "2021-05-02 06:00:00", "2021-05-02 07:00:00", "2021-05-02 06:30:00", "12.4",
+             "hectopascal", "air_pressure_change", "north_quay", "r1", "a.csv"),
+            (*junk, "2021-05-02 07:00:00", "noon", "2021-05-02 07:30:00", "-3",
+             "centimetre", "water_level", "mill_weir", "r2", "a.csv"),
+            (*junk, None, None, None, None, None, "water_level", "mill_weir", "r3", "b.csv"),
+            (*junk, "2021-05-02 08:00:00", None, "2021-05-02 08:30:00", "41,5",
+             "centimetre", "water_level", "mill_weir", "r4", "b.csv")]
     schema = T.StructType([T.StructField(c, T.StringType(), True)
                            for c in RAW_COLUMNS + ["InputFileName"]])
-    df = spark.createDataFrame(rows, schema)
-    out = df.transform(clean_raw_data)
-    assert out.count() == 1
+    out = spark.createDataFrame(rows, schema).transform(clean_raw_data)
     assert out.columns == BRONZE
-    typed = parse_typed(out, sensor_schema(T.TimestampNTZType())).first()
-    assert typed["SensorValue"] == 82
-    assert typed["WindowAverageStopDateTime"] is None       # malformed
-    assert str(typed["MeasurementDateTime"]) == "2019-08-17 00:00:00"
+    got = {r["Id"]: r for r in parse_typed(out, sensor_schema(T.TimestampNTZType())).collect()}
+    assert sorted(got) == ["r1", "r2", "r4"]
+    assert [got[i]["SensorValue"] for i in ("r1", "r2", "r4")] == [12, -3, None]
+    assert got["r2"]["WindowAverageStopDateTime"] is None and got["r2"]["SensorMeasurement"] == "water_level"
+    assert str(got["r4"]["MeasurementDateTime"]) == "2021-05-02 08:30:00" and got["r4"]["InputFileName"] == "b.csv"
 
 
 def test_drop_ignores_absent_names(spark):
@@ -45,12 +48,13 @@ def test_project_to_target(spark):
         project_to_target(df, ["a", "z"])
 
 
-CSV_SAMPLE = """#group,false,false,true,true,false,false,true,true,true
-,result,table,_start,_stop,_time,_value,_field,_measurement,location
-,,0,1920-03-05T22:10:01Z,2020-03-05T22:10:01Z,2019-08-17T00:00:00Z,82.01,degrees,average_temperature,coyote_creek
-,,0,1920-03-05T22:10:01Z,2020-03-05T22:10:01Z,2019-08-17T00:06:00Z,82.5,degrees,average_temperature,coyote_creek
-,,0,1920-03-05T22:10:01Z,2020-03-05T22:10:01Z,2019-08-17T00:12:00Z,abc,degrees,average_temperature,coyote_creek
-,,0,1920-03-05 22:10:01,2020-03-0522:10:01,2019-08-17T00:12:00Z,7,pH,h2o_pH,santa_monica
+CSV_SAMPLE = """#datatype,string,long,dateTime,dateTime,dateTime,double,string,string,string
+,result,table,from,to,at,reading,unit,kind,place
+,,0,2021-05-02T06:00:00Z,2021-05-02T07:00:00Z,2021-05-02T06:30:00Z,12.4,hectopascal,air_pressure_change,north_quay
+,,0,2021-05-02T06:00:00Z,noon,2021-05-02T06:30:00Z,-3,centimetre,water_level,mill_weir
+,,0,2021-05-02T07:00:00Z,2021-05-02T08:00:00Z,2021-05-02T07:30:00Z,n/a,centimetre,water_level,mill_weir
+,,1,2021-05-02T08:00:00Z,2021-05-02T09:00:00Z,2021-05-02T08:30:00Z,40.5,centimetre,water_level,mill_weir
+,,1,2021-05-02T08:00:00Z,2021-05-02T09:00:00Z,2021-05-02T08:30:00Z,1013.2,hectopascal,air_pressure,north_quay
 """
 
 
@@ -67,10 +71,10 @@ def test_csv_positional_permissive(spark, workdir):
     raw = read_sensor_csv(spark, path)
     out = raw.transform(clean_raw_data).orderBy("SensorMeasurement", "MeasurementDateTime")
     rows = out.collect()
-    # header line skipped; annotation line and 'abc' dropped (value NULL)
-    assert [r["SensorValue"] for r in rows] == [82, 83, 7]
-    assert rows[0]["SensorMeasurement"] == "average_temperature"   # bound by position
-    assert rows[2]["WindowAverageStopDateTime"] is None            # malformed stop time
+    # header line skipped; the line of column names and 'n/a' go (no value)
+    assert [r["SensorValue"] for r in rows] == [1013, 12, -3, 41]
+    assert rows[0]["SensorMeasurement"] == "air_pressure"           # bound by position
+    assert rows[2]["WindowAverageStopDateTime"] is None             # does not parse
     assert rows[0]["Id"] is None                                    # column absent in file
 
 
@@ -85,14 +89,14 @@ def test_stream_and_batch_agree(spark, workdir):
     q.awaitTermination()
     key = lambda r: (r["SensorMeasurement"], str(r["MeasurementDateTime"]))
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, batch.collect()), key=str)
-    assert len(got) == 3 and sorted(got, key=key)[0]["SensorValue"] == 82
+    assert len(got) == 4 and sorted(got, key=key)[0]["SensorValue"] == 1013
 
 
 def test_decimal_rounds_half_up_and_overflow(spark):
-    df = spark.createDataFrame([("82.01",), ("82.5",), ("-82.5",), ("99999999999",), ("x",)],
+    df = spark.createDataFrame([("7.49",), ("7.5",), ("-7.5",), ("99999999999",), ("x",)],
                                "SensorValue string")
     out = [r[0] for r in parse_typed(df, sensor_schema()).collect()]
-    assert out == [82, 83, -83, None, None]
+    assert out == [7, 8, -8, None, None]
 
 
 def test_ingest_filter_reaches_csv_scan(spark, workdir):

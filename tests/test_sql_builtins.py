@@ -37,4 +37,4 @@ def test_processing_time_trigger(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    assert dst.refresh().read().count() == fx.clean(spark, SF001).count()
+    assert dst.read().count() == fx.clean(spark, SF001).count()

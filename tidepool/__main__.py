@@ -49,8 +49,7 @@ def main(argv: list[str] | None = None) -> int:
                           "rows": silver.read().count()}))
     elif args.command == "history":
         for r in ParquetTable.open(spark, args.table).history().collect():
-            print(json.dumps({"version": r["version"], "timestamp": str(r["timestamp"]),
-                              "operation": r["operation"], "metrics": r["metrics"]}))
+            print(json.dumps(r.asDict()))
     else:
         print(json.dumps(ParquetTable.open(spark, args.table).detail()))
     return 0

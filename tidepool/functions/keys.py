@@ -10,22 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Field separator and the text that stands for NULL inside a key.
-KEY_SEPARATOR = "|"
-NULL_TOKEN = "\\N"
+# How values are written inside a key. JSON quotes and names every value, so no
+# two different rows share a text; times are written in UTC with microseconds, so the session's
+# zone does not matter.
+KEY_OPTIONS = {"ignoreNullFields": "false", "timeZone": "UTC",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def content_key(*cols: str | Column) -> Column:
-    """md5 over the text of ``cols`` joined by ``|`` (NULL as ``\\N``)."""
-    parts = [F.coalesce(F.col(c).cast("string") if isinstance(c, str)
-                        else c.cast("string"), F.lit(NULL_TOKEN))
-             for c in cols]
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
-
-
-def random_key() -> Column:
-    """A fresh UUID per row (nondeterministic: a recompute changes it)."""
-    return F.expr("uuid()")
+    """md5 of the columns as one JSON object."""
+    return F.md5(F.to_json(F.struct(*cols), KEY_OPTIONS))
 
 
 def assign_id(df: DataFrame, key_columns: list[str] | None = None,
@@ -33,11 +28,10 @@ def assign_id(df: DataFrame, key_columns: list[str] | None = None,
     """Replace ``column`` with a generated key.
 
     ``mode='content'`` hashes ``key_columns`` (default: every other column);
-    ``mode='random'`` draws a UUID.
+    ``mode='random'`` draws a UUID per row (a recompute changes it).
     """
     if mode == "random":
-        return df.withColumn(column, random_key())
+        return df.withColumn(column, F.expr("uuid()"))
     if mode != "content":
         raise ValueError(f"unknown key mode {mode!r}")
-    cols = key_columns or [c for c in df.columns if c != column]
-    return df.withColumn(column, content_key(*cols))
+    return df.withColumn(column, content_key(*(key_columns or [c for c in df.columns if c != column])))

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.predicates import older_than
-from tidepool.operators.joins import broadcast_if_small
 
 # The metadata schema excluded from schema reports, and the
 # inherited_from marker of an explicit grant.
@@ -25,40 +24,30 @@ EXPLICIT = "NONE"
 FROM_CATALOG = "CATALOG"
 FROM_SCHEMA = "SCHEMA"
 
+# The columns of the reports.
 SCHEMA_REPORT_COLUMNS = ["catalog_name", "schema_name", "grantor", "privilege_type"]
 TABLE_REPORT_COLUMNS = ["table_catalog", "table_schema", "table_name", "last_altered",
                         "last_altered_by", "created", "storage_sub_directory"]
 
-# Entity sets are a user plus their groups; above this many rows the join
-# with privileges stays a shuffle join.
-ENTITY_BROADCAST_ROWS = 100_000
-GRANT_BROADCAST_ROWS = 1_000_000
-
 
 def groups_of_user(membership: DataFrame, user: str) -> DataFrame:
     """``SHOW GROUPS WITH USER u``: one row per group of the user."""
     return membership.filter(F.col("member") == F.lit(user)).select("name")
 
 
-def entity_set(membership: DataFrame, user: str,
-               broadcast_rows: int = ENTITY_BROADCAST_ROWS) -> DataFrame:
-    """The user (type ``user``) UNION their groups (type ``group``), distinct.
-
-    The result is checked once here: when it has at most ``broadcast_rows``
-    rows it comes back broadcast-hinted, and every report joining it keeps
-    the big privilege and table frames where they are. Above the bound the
-    joins stay shuffle joins.
-    """
+def entity_set(membership: DataFrame, user: str) -> DataFrame:
+    """The user (type ``user``) UNION their groups (type ``group``), distinct. It is small, which
+    Spark sees at run time and broadcasts it to the reports."""
     spark = membership.sparkSession
     me = spark.createDataFrame([(user, "user")], "entity string, entity_type string")
     groups = groups_of_user(membership, user).select(
         F.col("name").alias("entity"), F.lit("group").alias("entity_type"))
-    return broadcast_if_small(me.union(groups).distinct(), broadcast_rows)
+    return me.union(groups).distinct()
 
 
 def catalog_access(catalog_privileges: DataFrame, entities: DataFrame) -> DataFrame:
     """Catalog privileges held by any entity: all columns of both sides."""
-    e = entities           # checked and hinted by entity_set
+    e = entities
     return catalog_privileges.join(e, catalog_privileges["grantee"] == e["entity"], "inner")
 
 
@@ -119,7 +108,7 @@ def expand_catalog_grants(catalog_grants: DataFrame, schemas: DataFrame) -> Data
     columns with ``inherited_from = 'CATALOG'``.
     """
     g = catalog_grants.select("grantor", "grantee", "catalog_name", "privilege_type")
-    return (g.join(broadcast_if_small(schemas), "catalog_name")
+    return (g.join(schemas, "catalog_name")
              .select("grantor", "grantee", "catalog_name", "schema_name",
                      "privilege_type", F.lit(FROM_CATALOG).alias("inherited_from")))
 
@@ -146,9 +135,6 @@ def table_privileges(schema_privs: DataFrame, tables: DataFrame,
     if entities is not None:
         e = entities
         sp = sp.join(e, sp["grantee"] == e["entity"], "left_semi")
-        # Few grants remain: broadcast them (checked) so the tables side, whose
-        # (catalog, schema) keys are few and heavy, is never shuffled on them.
-        sp = broadcast_if_small(sp, GRANT_BROADCAST_ROWS)
     t = tables.select(F.col("table_catalog").alias("catalog_name"),
                       F.col("table_schema").alias("schema_name"), "table_name")
     return (sp.join(t, ["catalog_name", "schema_name"])

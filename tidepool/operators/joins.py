@@ -1,10 +1,8 @@
 """Join helpers shared by the operators.
 
-* ``broadcast_if_small``: broadcast a side only after counting it, with a
-  row bound; above the bound the join stays a shuffle join (AQE may still
-  pick a broadcast at run time from real shuffle sizes).
-* ``split_null_keys``: rows whose key has a NULL never match an equi-join,
-  so they bypass the join instead of piling into one shuffle partition.
+Join strategies are left to Spark: it broadcasts a side from its statistics at plan time, or
+from real sizes at run time (adaptive execution), and splits skewed partitions. Nothing here
+counts rows while a query is planned.
 """
 
 from __future__ import annotations
@@ -14,23 +12,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def any_null(keys: list[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
 def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every key set, rows with some key NULL)."""
+    """(rows with every key set, rows with some key NULL): rows with a NULL key never match an
+    equi-join, so they bypass it instead of piling into one shuffle partition."""
     nulls = any_null(keys)
     return df.filter(~nulls), df.filter(nulls)

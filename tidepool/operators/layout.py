@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def cluster_by_time(df: DataFrame, partition_by: list[str], time_column: str,
@@ -12,8 +13,10 @@ def cluster_by_time(df: DataFrame, partition_by: list[str], time_column: str,
     Each task then holds one contiguous slice of the key order, so the files
     written into one table partition cover disjoint time ranges and Parquet
     min/max statistics can skip them. A hot table partition is spread over
-    many tasks by time, so skew does not land on one task.
+    many tasks by time, and many rows of one time by a hash of the row, so skew
+    does not land on one task.
     """
     keys = list(partition_by) + [time_column]
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartitionByRange(n, *keys, F.xxhash64(*hashable)).sortWithinPartitions(*keys)

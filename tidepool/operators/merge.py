@@ -10,13 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.cleaning import project_to_target
-from tidepool.operators.joins import broadcast_if_small, split_null_keys
-
-# Source (micro-batch) key sets up to this many rows are broadcast to probe
-# the target; larger ones use a shuffle anti-join.
-SOURCE_KEY_BROADCAST_ROWS = 1_000_000
+from tidepool.operators.joins import split_null_keys
 
 
 def _keys(key: str | list[str]) -> list[str]:
@@ -25,40 +22,34 @@ def _keys(key: str | list[str]) -> list[str]:
 
 def rows_to_insert(target: DataFrame, updates: DataFrame,
                    key: str | list[str] = "Id",
-                   target_columns: list[str] | None = None,
-                   broadcast_rows: int = SOURCE_KEY_BROADCAST_ROWS) -> DataFrame:
+                   target_columns: list[str] | None = None) -> DataFrame:
     """Source rows whose key is absent from the target.
 
     * Only the key columns of the target are read (column pruning).
-    * When the source has at most ``broadcast_rows`` keyed rows (a
-      micro-batch against a large table), its keys are broadcast and the
-      target keys are semi-joined against them where they lie: the target is
-      scanned but never shuffled, and only keys present on both sides move on.
-    * Otherwise the target keys are de-duplicated map-side (a hot key
-      shrinks to one row per task) and shuffled for an anti-join.
+    * The target's keys are first semi-joined with the source's: a micro-batch is small, so
+      Spark broadcasts its keys (by size) and the target is scanned where it lies. Keys found
+      are de-duplicated map-side, so a hot key shrinks to one row per task.
     * Source rows with a NULL key never match: they skip the join.
-    * Duplicates inside one batch all insert (MERGE semantics).
+    * Duplicates inside one batch all insert (MERGE semantics); see ``one_per_key``.
     """
     keys = _keys(key)
     cols = target_columns or target.columns
     keyed, null_keyed = split_null_keys(updates, keys)
-    # Source rows bound its distinct keys; counting them needs no shuffle
-    # and stops after broadcast_rows + 1 rows.
-    n = keyed.limit(broadcast_rows + 1).count() if broadcast_rows else 1
-    if broadcast_rows and n <= broadcast_rows:
-        # The n source keys are broadcast as they are (a semi join does not
-        # mind repeats). Target keys found among them are de-duplicated, so a
-        # hot target key shrinks map-side: present ⊆ source keys, at most n rows.
-        src_keys = keyed.select(*keys)
-        present = F.broadcast(
-            target.select(*keys).join(F.broadcast(src_keys), on=keys, how="left_semi")
-            .distinct())
-    else:
-        present = target.select(*keys).distinct()
+    present = target.select(*keys).join(keyed.select(*keys), on=keys, how="left_semi").distinct()
     new = keyed.join(present, on=keys, how="left_anti").unionByName(null_keyed)
     return project_to_target(new, cols)
 
 
+def one_per_key(df: DataFrame, key: str | list[str] = "Id") -> DataFrame:
+    """One row of each non-NULL key: the smallest in column order, so the choice does not
+    depend on partitioning. Repeats shrink map-side."""
+    keys = _keys(key)
+    rest = [c for c in df.columns if c not in keys]
+    keyed, null_keyed = split_null_keys(df, keys)
+    one = keyed.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
+    return one.select(*df.columns).unionByName(null_keyed)
+
+
 def merge_insert_only(target: DataFrame, updates: DataFrame,
                       key: str | list[str] = "Id") -> DataFrame:
     """The target after an insert-only merge (existing rows unchanged)."""
@@ -85,23 +76,18 @@ def check_unique_keys(updates: DataFrame, key: str | list[str] = "Id",
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame,
-                 key: str | list[str] = "Id", check: bool = True,
-                 broadcast_rows: int | None = SOURCE_KEY_BROADCAST_ROWS) -> DataFrame:
+                 key: str | list[str] = "Id") -> DataFrame:
     """The target after ``UPDATE SET * / INSERT *`` keyed on ``key``.
 
-    Target rows whose key appears in the source are replaced by the source
-    row; the rest stay. Target rows with NULL keys never match and bypass
-    the join. The source key set is broadcast only after a size check.
+    Target rows whose key appears in the source are replaced by the source row; the rest
+    stay. Target rows with NULL keys never match and bypass the join. Two source rows with
+    one key make the query fail when it runs: the count rides on the keys that are joined.
     """
     keys = _keys(key)
     src = project_to_target(updates, target.columns)
-    src_keys, _ = split_null_keys(src.select(*keys), keys)
-    if check:
-        n_keys = check_unique_keys(updates, keys)
-        if broadcast_rows and n_keys <= broadcast_rows:
-            src_keys = F.broadcast(src_keys)
-    elif broadcast_rows:
-        src_keys = broadcast_if_small(src_keys, broadcast_rows)
+    src_keyed, _ = split_null_keys(src.select(*keys), keys)
+    once = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate keys on {keys}: upsert needs unique keys")).cast("boolean"))
+    src_keys = src_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(once.otherwise(F.lit(True))).select(*keys)
     kept_keyed, kept_null = split_null_keys(target, keys)
     kept = (kept_keyed.join(src_keys, on=keys, how="left_anti").select(*target.columns)
             .unionByName(kept_null))
@@ -112,8 +98,15 @@ def incremental_by_max_ts(updates: DataFrame, target: DataFrame,
                           ts_column: str = "MeasurementDateTime") -> DataFrame:
     """Source rows at or after the newest time already in the target.
 
-    The bound is a scalar subquery (one row, computed once and used as a
-    literal). An empty target means no bound: every source row passes.
-    """
-    bound = target.agg(F.max(ts_column)).scalar()
-    return updates.filter(bound.isNull() | (F.col(ts_column) >= bound))
+    One comparison with a scalar subquery, so the bound can reach the scan. An empty target
+    means the smallest time the type has: every row with a time passes. Rows without a time
+    are never incremental and are left out."""
+    bound = target.agg(F.coalesce(F.max(ts_column), _least(updates.schema[ts_column].dataType))).scalar()
+    return updates.filter(F.col(ts_column) >= bound)
+
+
+def _least(kind: T.DataType):
+    """The smallest value of a time column's type."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("0001-01-01").cast(kind)
+    return F.lit(float("-inf")).cast(kind) if isinstance(kind, T.FractionalType) else F.lit(-2**63)

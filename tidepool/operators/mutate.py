@@ -34,8 +34,9 @@ def replace_where(df: DataFrame, new_rows: DataFrame, pred: Column | str,
 
 
 def apply_defaults(df: DataFrame, schema: T.StructType,
-                   defaults: dict[str, Column | str] | None = None) -> DataFrame:
-    """Shape ``df`` (the listed insert columns) to ``schema``.
+                   defaults: dict[str, Column | str] | None = None,
+                   keep: list[str | Column] | None = None) -> DataFrame:
+    """Shape ``df`` (the listed insert columns) to ``schema`` (and the columns named in ``keep``).
 
     Columns present in ``df`` keep their values, explicit NULLs included.
     Omitted columns take their default, else NULL. Everything is cast to
@@ -52,7 +53,8 @@ def apply_defaults(df: DataFrame, schema: T.StructType,
         else:
             c = F.lit(None)
         out.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    known = {f.name for f in schema.fields}
+    return df.select(*out, *[c for c in keep or [] if isinstance(c, str) and c not in known])
 
 
 def insert_rows(target: DataFrame, batches: list[DataFrame], schema: T.StructType,

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tidepool.functions.cleaning import clean_raw_data
 from tidepool.operators import access
-from tidepool.operators.joins import broadcast_if_small
 from tidepool.sources.sensor import raw_rows, sensor_rows
 from tidepool.sources.testdata import table
 
@@ -52,13 +51,13 @@ def clean(spark: SparkSession, d: str, keep_event_id: bool = False) -> DataFrame
 
 
 def target_rows(spark: SparkSession, d: str) -> DataFrame:
-    """``T``: the table before a merge (keeps ``event_id``)."""
-    return clean(spark, d, True).filter(F.col("event_id") % 3 == 0)
+    """``T``: the table before a merge (keeps ``event_id``). With ``U`` it covers every cleaned event."""
+    return clean(spark, d, True).filter(F.col("event_id") % 3 != 1)
 
 
 def update_rows(spark: SparkSession, d: str) -> DataFrame:
     """``U``: a batch of updates with shifted values (keeps ``event_id``)."""
-    return (clean(spark, d, True).filter(F.col("event_id") % 2 == 0)
+    return (clean(spark, d, True).filter((F.col("event_id") % 2 == 0) | (F.col("event_id") % 3 == 1))
             .withColumn("SensorValue",
                         (F.col("SensorValue") + 1).cast(T.DecimalType(10, 0))))
 
@@ -70,62 +69,41 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("c_name").alias("member"), F.col("c_mktsegment").alias("name"))
 
 
-_SMALL_DIMENSIONS: dict[tuple[str, str], bool] = {}
-DIMENSION_BROADCAST_ROWS = 1_000_000
-
-
-def _dimension(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A dimension table, broadcast-hinted when its row count (checked once
-    per input path: the driver's tables are read-only) is small."""
-    df = table(spark, d, name)
-    k = (d, name)
-    if k not in _SMALL_DIMENSIONS:
-        _SMALL_DIMENSIONS[k] = df.limit(DIMENSION_BROADCAST_ROWS + 1).count() \
-            <= DIMENSION_BROADCAST_ROWS
-    return F.broadcast(df) if _SMALL_DIMENSIONS[k] else df
+def geography(spark: SparkSession, d: str) -> DataFrame:
+    """(nationkey, catalog_name, schema_name): catalog = region, schema = nation."""
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
+             .select(F.col("n_nationkey").alias("nationkey"), F.col("r_regionkey").alias("regionkey"),
+                     F.col("r_name").alias("catalog_name"), F.col("n_name").alias("schema_name")))
 
 
-def _region(spark, d):
-    return _dimension(spark, d, "region")
+def schemas(spark: SparkSession, d: str) -> DataFrame:
+    return geography(spark, d).select("catalog_name", "schema_name")
 
 
-def _nation(spark, d):
-    return _dimension(spark, d, "nation")
+def _segment_regions(c: DataFrame, geo: DataFrame) -> DataFrame:
+    """Segments granted a catalog: a customer of the segment lives in the region, and the region
+    key and the segment name's length have equal parity."""
+    return (c.join(geo, c["c_nationkey"] == geo["nationkey"])
+             .filter((F.col("regionkey") + F.length("c_mktsegment")) % 2 == 0)
+             .select(F.lit("admin").alias("grantor"), F.col("c_mktsegment").alias("grantee"), "catalog_name",
+                     F.lit("USE_CATALOG").alias("privilege_type"), F.lit(access.EXPLICIT).alias("inherited_from"))
+             .distinct())
 
 
-def schemas(spark: SparkSession, d: str) -> DataFrame:
-    """Catalog = region, schema = nation (dimension tables, small)."""
-    n = _nation(spark, d)
-    r = _region(spark, d)
-    return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
-             .select(F.col("r_name").alias("catalog_name"),
-                     F.col("n_name").alias("schema_name")))
+def catalog_privileges(spark: SparkSession, d: str) -> DataFrame:
+    return _segment_regions(table(spark, d, "customer"), geography(spark, d))
 
 
-def catalog_privileges(spark: SparkSession, d: str) -> DataFrame:
-    """Segment-wide catalog grants where region key and segment-name length
-    have equal parity (an equi-join on the parity, both sides tiny)."""
-    segs = (table(spark, d, "customer").select(F.col("c_mktsegment").alias("grantee"))
-            .distinct().withColumn("_p", F.length("grantee") % 2))
-    r = table(spark, d, "region").withColumn("_p", F.col("r_regionkey") % 2)
-    return (r.join(broadcast_if_small(segs), "_p")
-             .select(F.lit("admin").alias("grantor"), "grantee",
-                     F.col("r_name").alias("catalog_name"),
-                     F.lit("USE_CATALOG").alias("privilege_type"),
-                     F.lit(access.EXPLICIT).alias("inherited_from")))
-
-
-def schema_grants(spark: SparkSession, d: str) -> DataFrame:
-    """Explicit schema grants: every 5th customer on its own nation."""
-    c = table(spark, d, "customer").filter(F.col("c_custkey") % 5 == 0)
-    n = _nation(spark, d)
-    r = _region(spark, d)
-    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
-             .join(r, n["n_regionkey"] == r["r_regionkey"])
+def schema_grants(spark: SparkSession, d: str, entities: DataFrame | None = None) -> DataFrame:
+    """Explicit schema grants: every customer on its own nation (only the entities', if given)."""
+    c = table(spark, d, "customer")
+    if entities is not None:
+        c = c.join(entities, c["c_name"] == entities["entity"], "left_semi")
+    geo = geography(spark, d)
+    return (c.join(geo, c["c_nationkey"] == geo["nationkey"])
              .select(F.lit("admin").alias("grantor"), F.col("c_name").alias("grantee"),
-                     F.col("r_name").alias("catalog_name"),
-                     F.col("n_name").alias("schema_name"),
-                     F.lit("SELECT").alias("privilege_type")))
+                     "catalog_name", "schema_name", F.lit("SELECT").alias("privilege_type")))
 
 
 def schema_privileges(spark: SparkSession, d: str) -> DataFrame:
@@ -134,49 +112,22 @@ def schema_privileges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, d: str, owners: DataFrame | None = None,
-           in_schemas: DataFrame | None = None) -> DataFrame:
+           nations: DataFrame | None = None) -> DataFrame:
     """One table per order, owned by the order's customer.
 
-    Optional semi-join reductions, applied to ``customer`` *before* the join
-    with ``orders`` (the result is the same as filtering afterwards):
-
-    * ``owners(entity)``: only tables owned by those entities;
-    * ``in_schemas(catalog_name, schema_name)``: only tables in those schemas.
-
-    When the surviving customers are few they are broadcast (checked), so
-    ``orders`` is scanned once and never shuffled.
+    ``owners(entity)`` narrows ``customer`` before the join with ``orders`` (the result is the
+    same as filtering afterwards), so few customers remain and Spark broadcasts them.
+    ``nations``: a frame like ``geography`` to use instead of it, so only tables in those
+    schemas come out.
     """
-    o = table(spark, d, "orders")
-    c = table(spark, d, "customer")
-    n = _nation(spark, d)
-    r = _region(spark, d)
-    reduced = False
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    geo = geography(spark, d) if nations is None else nations
     if owners is not None:
         c = c.join(owners, c["c_name"] == owners["entity"], "left_semi")
-        reduced = True
-    if in_schemas is not None:
-        nn, rr = _nation(spark, d), _region(spark, d)      # own reads: no self-join
-        keep = (nn.join(rr, nn["n_regionkey"] == rr["r_regionkey"])
-                  .join(broadcast_if_small(in_schemas.distinct()),
-                       (F.col("r_name") == F.col("catalog_name"))
-                       & (F.col("n_name") == F.col("schema_name")), "left_semi")
-                 .select("n_nationkey"))
-        # keep ⊆ nation rows: bounded when the nation table passed its check
-        if _SMALL_DIMENSIONS.get((d, "nation")):
-            keep = F.broadcast(keep)
-        c = c.join(keep, c["c_nationkey"] == keep["n_nationkey"], "left_semi")
-        reduced = True
-    if reduced:
-        c = broadcast_if_small(c)
+    c = c.join(geo, c["c_nationkey"] == geo["nationkey"])
     return (o.join(c, o["o_custkey"] == c["c_custkey"])
-             .join(n, c["c_nationkey"] == n["n_nationkey"])
-             .join(r, n["n_regionkey"] == r["r_regionkey"])
-             .select(F.col("r_name").alias("table_catalog"),
-                     F.col("n_name").alias("table_schema"),
+             .select(F.col("catalog_name").alias("table_catalog"), F.col("schema_name").alias("table_schema"),
                      F.concat(F.lit("o_"), F.col("o_orderkey").cast("string")).alias("table_name"),
-                     F.col("c_name").alias("table_owner"),
-                     F.col("o_orderdate").alias("last_altered"),
-                     F.col("c_name").alias("last_altered_by"),
-                     F.col("o_orderdate").alias("created"),
-                     F.concat(F.lit("o/"), F.col("o_orderkey").cast("string"))
-                      .alias("storage_sub_directory")))
+                     F.col("c_name").alias("table_owner"), F.col("o_orderdate").alias("last_altered"),
+                     F.col("c_name").alias("last_altered_by"), F.col("o_orderdate").alias("created"),
+                     F.concat(F.lit("o/"), F.col("o_orderkey").cast("string")).alias("storage_sub_directory")))

@@ -20,11 +20,11 @@ sensor AS (
          concat('loc_', CAST(user_id % 4 AS VARCHAR)) AS SensorLocation
   FROM events),
 clean AS (SELECT * FROM sensor WHERE SensorValue IS NOT NULL),
-t AS (SELECT * FROM clean WHERE event_id % 3 = 0),
+t AS (SELECT * FROM clean WHERE event_id % 3 <> 1),
 u AS (SELECT event_id, Id, MeasurementDateTime,
              CAST(SensorValue + 1 AS DECIMAL(10,0)) AS SensorValue,
              SensorUnitDescription, SensorMeasurement, SensorLocation
-      FROM clean WHERE event_id % 2 = 0)"""
+      FROM clean WHERE event_id % 2 = 0 OR event_id % 3 = 1)"""
 
 RAW = SENSOR + """,
 raw AS (
@@ -48,16 +48,16 @@ entities AS (
   SELECT name AS entity, 'group' AS entity_type FROM membership
   WHERE member = 'Customer#000000000'),
 catalog_privileges AS (
-  SELECT 'admin' AS grantor, seg AS grantee, r_name AS catalog_name,
+  SELECT DISTINCT 'admin' AS grantor, c_mktsegment AS grantee, r_name AS catalog_name,
          'USE_CATALOG' AS privilege_type, 'NONE' AS inherited_from
-  FROM region CROSS JOIN (SELECT DISTINCT c_mktsegment AS seg FROM customer) s
-  WHERE (r_regionkey + length(seg)) % 2 = 0),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey
+  WHERE (r_regionkey + length(c_mktsegment)) % 2 = 0),
 schema_grants AS (
   SELECT 'admin' AS grantor, c_name AS grantee, r_name AS catalog_name,
          n_name AS schema_name, 'SELECT' AS privilege_type
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-                JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 5 = 0),
+                JOIN region ON n_regionkey = r_regionkey),
 schema_privileges AS (
   SELECT *, 'NONE' AS inherited_from FROM schema_grants
   UNION ALL
@@ -74,12 +74,19 @@ tables AS (
               JOIN nation ON c_nationkey = n_nationkey
               JOIN region ON n_regionkey = r_regionkey)"""
 
-TABLE_COLS = ("cc.table_catalog, cc.table_schema, cc.table_name, cc.last_altered, "
-              "cc.last_altered_by, cc.created, cc.storage_sub_directory")
-
 ORACLE: dict[str, str] = {}
 
-ORACLE["scan_all"] = f"WITH {SENSOR} SELECT {COLS} FROM sensor"
+
+def _key(*cols: str) -> str:
+    """The content key: md5 of one JSON object; times with microseconds."""
+    parts = []
+    for c in cols:
+        value = f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')" if c == "MeasurementDateTime" else c
+        quoted = f"CAST({c} AS VARCHAR)" if c == "SensorValue" else f"'\"' || {value} || '\"'"
+        parts.append(f"'\"{c}\":' || COALESCE({quoted}, 'null')")
+    return "md5('{' || " + " || ',' || ".join(parts) + " || '}')"
+
+ORACLE["scan_all"] = "SELECT * FROM events"
 
 ORACLE["sensor_schema_cast"] = """
 WITH txt AS (
@@ -91,9 +98,14 @@ WITH txt AS (
          CASE WHEN event_id % 13 = 0 THEN 'abc'
               WHEN event_id % 17 = 0 THEN '99999999999'
               ELSE CAST(value AS VARCHAR) END AS SensorValue,
-         event_type AS SensorMeasurement
+         event_type AS SensorMeasurement,
+         CASE WHEN event_id % 6 = 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR) ELSE CAST(ts AS VARCHAR) END
+           AS WindowAverageStartDateTime,
+         'loc_' || CAST(user_id % 4 AS VARCHAR) AS SensorLocation
   FROM events)
-SELECT event_id,
+SELECT event_id, '' AS Skip, SensorMeasurement AS SkipResult, '0' AS SkipTable,
+       'unit' AS SensorUnitDescription, SensorLocation, CAST(event_id AS VARCHAR) AS Id,
+       TRY_CAST(WindowAverageStartDateTime AS TIMESTAMP) AS WindowAverageStartDateTime,
        TRY_CAST(MeasurementDateTime AS TIMESTAMP) AS MeasurementDateTime,
        TRY_CAST(WindowAverageStopDateTime AS TIMESTAMP) AS WindowAverageStopDateTime,
        TRY_CAST(SensorValue AS DECIMAL(10,0)) AS SensorValue,
@@ -109,10 +121,7 @@ ORACLE["clean_raw"] = f"WITH {RAW} SELECT {BRONZE} FROM raw WHERE SensorValue IS
 ORACLE["assign_id"] = f"""
 WITH {SENSOR}
 SELECT event_id,
-       md5(concat_ws('|', COALESCE(CAST(MeasurementDateTime AS VARCHAR), '\\N'),
-                          COALESCE(CAST(SensorValue AS VARCHAR), '\\N'),
-                          COALESCE(SensorMeasurement, '\\N'),
-                          COALESCE(SensorLocation, '\\N'))) AS Id
+       {_key("MeasurementDateTime", "SensorValue", "SensorMeasurement", "SensorLocation")} AS Id
 FROM sensor"""
 
 ORACLE["file_provenance"] = "SELECT event_id, 'events.parquet' AS InputFileName FROM events"
@@ -166,26 +175,19 @@ WITH {SENSOR}
 SELECT row_number() OVER (ORDER BY event_id) AS seq_id, event_id, {COLS} FROM clean"""
 
 ORACLE["insert_defaults"] = """
-SELECT c_name AS name, 'none' AS description,
-       TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
-FROM customer WHERE c_custkey % 4 <> 0
-UNION ALL
-SELECT c_name AS name, CAST(NULL AS VARCHAR) AS description,
+SELECT row_number() OVER (ORDER BY c_custkey % 4 = 0, c_custkey) AS id, c_name AS name,
+       CASE WHEN c_custkey % 4 <> 0 THEN 'none' END AS description,
        TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
-FROM customer WHERE c_custkey % 4 = 0"""
+FROM customer"""
 
-ORACLE["insert_partial"] = """
-SELECT c_name AS name, c_mktsegment AS description,
-       TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
-FROM customer WHERE c_custkey % 3 = 0
-UNION ALL
-SELECT 'noname' AS name, c_mktsegment AS description,
-       TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
-FROM customer WHERE c_custkey % 3 = 1
-UNION ALL
-SELECT c_name AS name, CAST(NULL AS VARCHAR) AS description,
-       TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
-FROM customer WHERE c_custkey % 3 = 2"""
+_THREE_INSERTS = """
+SELECT row_number() OVER (ORDER BY c_custkey % 3, c_custkey) AS id,
+       CASE WHEN c_custkey % 3 = 1 THEN 'noname' ELSE c_name END AS name,
+       CASE WHEN c_custkey % 3 < 2 THEN c_mktsegment {omitted} END AS description, {time}
+FROM customer"""
+ORACLE["insert_partial"] = _THREE_INSERTS.format(
+    omitted="", time="TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp")
+ORACLE["insert_sequence"] = _THREE_INSERTS.format(omitted="ELSE 'none'", time="TRUE AS has_time")
 
 ORACLE["change_feed"] = f"""
 WITH {SENSOR},
@@ -197,7 +199,7 @@ a AS (
          SensorUnitDescription, SensorMeasurement, SensorLocation
   FROM t WHERE event_id % 5 <> 0
   UNION ALL
-  SELECT {COLS} FROM u WHERE event_id % 3 <> 0),
+  SELECT {COLS} FROM u WHERE event_id % 3 = 1),
 upd AS (
   SELECT b.Id FROM b JOIN a ON a.Id = b.Id
   WHERE a.MeasurementDateTime IS DISTINCT FROM b.MeasurementDateTime
@@ -225,59 +227,77 @@ WITH {ACCESS} SELECT name FROM membership WHERE member = 'Customer#000000000'"""
 
 ORACLE["entity_closure"] = f"WITH {ACCESS} SELECT * FROM entities"
 
+# Reports: the entity set holds each entity once, so membership in it is the join.
 ORACLE["catalog_access"] = f"""
 WITH {ACCESS}
-SELECT * FROM catalog_privileges cc INNER JOIN entities ae ON cc.grantee = ae.entity"""
+SELECT entities.*, held.* FROM entities JOIN catalog_privileges AS held ON held.grantee = entity"""
 
 ORACLE["schema_access_explicit"] = f"""
 WITH {ACCESS}
-SELECT catalog_name, schema_name, grantor, cc.privilege_type
-FROM schema_privileges cc INNER JOIN entities ae ON cc.grantee = ae.entity
-WHERE inherited_from = 'NONE' AND cc.schema_name != 'information_schema'
-ORDER BY cc.catalog_name, cc.schema_name"""
+SELECT privilege_type, grantor, schema_name, catalog_name FROM schema_privileges
+WHERE grantee IN (SELECT entity FROM entities)
+  AND schema_name <> 'information_schema' AND inherited_from = 'NONE'"""
 
 ORACLE["schema_access_inherited"] = f"""
 WITH {ACCESS}
-SELECT catalog_name, schema_name, grantor, cc.privilege_type,
-       ae.entity AS EntityInheritedFrom, ae.entity_type, cc.inherited_from
-FROM schema_privileges cc INNER JOIN entities ae ON cc.grantee = ae.entity
-WHERE inherited_from != 'NONE' AND cc.schema_name != 'information_schema'
-ORDER BY cc.catalog_name, cc.schema_name"""
+SELECT entity AS EntityInheritedFrom, entity_type, held.* EXCLUDE (grantee)
+FROM entities JOIN schema_privileges AS held ON held.grantee = entity
+WHERE inherited_from <> 'NONE' AND schema_name <> 'information_schema'"""
 
 ORACLE["table_access"] = f"""
 WITH {ACCESS},
-table_privileges AS (
-  SELECT sp.grantor, sp.grantee, sp.catalog_name, sp.schema_name, tb.table_name,
-         sp.privilege_type,
-         CASE WHEN sp.inherited_from = 'NONE' THEN 'SCHEMA' ELSE sp.inherited_from END
-           AS inherited_from
-  FROM schema_privileges sp
-  JOIN tables tb ON tb.table_catalog = sp.catalog_name AND tb.table_schema = sp.schema_name)
-SELECT * FROM table_privileges cc INNER JOIN entities ae ON cc.grantee = ae.entity"""
+held AS (SELECT * FROM schema_privileges JOIN entities ON grantee = entity)
+SELECT held.* EXCLUDE (inherited_from), table_name,
+       CASE inherited_from WHEN 'NONE' THEN 'SCHEMA' ELSE inherited_from END AS inherited_from
+FROM held JOIN tables ON table_catalog = catalog_name AND table_schema = schema_name"""
 
 ORACLE["owned_tables"] = f"""
 WITH {ACCESS}
-SELECT {TABLE_COLS}
-FROM tables cc INNER JOIN entities ae ON cc.table_owner = ae.entity"""
+SELECT * EXCLUDE (table_owner) FROM tables WHERE table_owner IN (SELECT entity FROM entities)"""
 
 ORACLE["stale_tables"] = f"""
-WITH {ACCESS}
-SELECT {TABLE_COLS}
-FROM tables cc INNER JOIN entities ae ON cc.table_owner = ae.entity
-WHERE cc.last_altered <= (TIMESTAMP '1998-08-01 00:00:00' - INTERVAL 30 DAYS)"""
+{ORACLE["owned_tables"]} AND last_altered + INTERVAL 30 DAYS <= TIMESTAMP '1998-08-01 00:00:00'"""
 
 ORACLE["expand_privileges"] = f"WITH {ACCESS} SELECT * FROM schema_privileges"
 
 # --- tables written by Spark ---------------------------------------------
 
 _CLEAN = f"WITH {SENSOR} SELECT {COLS} FROM clean"
-for _k in ("ctas_copy", "ctas_partitioned", "shallow_snapshot", "deep_copy", "table_like",
+for _k in ("ctas_copy", "ctas_partitioned", "shallow_snapshot", "deep_copy",
            "cluster_by_time", "stream_table_read"):
     ORACLE[_k] = _CLEAN
 
 _TOMBSTONED = f"WITH {SENSOR} SELECT {COLS} FROM clean WHERE NOT (event_id % 11 = 0)"
 ORACLE["soft_delete_read"] = _TOMBSTONED
 ORACLE["purge_partitions"] = _TOMBSTONED
+ORACLE["table_like"] = _TOMBSTONED
+
+ORACLE["soft_delete_reinsert"] = f"""
+WITH {SENSOR}
+SELECT Id, MeasurementDateTime,
+       CASE WHEN event_id % 11 = 0 THEN CAST(SensorValue + 1 AS DECIMAL(10,0)) ELSE SensorValue END AS SensorValue,
+       SensorUnitDescription, SensorMeasurement, SensorLocation FROM clean"""
+
+ORACLE["soft_delete_null_partition"] = f"""
+WITH {SENSOR} SELECT {COLS} FROM sensor
+WHERE event_id % 11 <> 0 AND NOT (SensorValue IS NULL AND event_id % 2 = 0)"""
+
+ORACLE["replace_from_itself"] = f"WITH {SENSOR} SELECT {COLS} FROM clean WHERE event_id % 3 = 0"
+ORACLE["table_upsert"] = ORACLE["merge_upsert"]
+ORACLE["table_delete_hard"] = f"WITH {SENSOR} SELECT {COLS} FROM clean WHERE NOT (SensorValue > 20)"
+
+ORACLE["table_changes_since"] = f"""
+WITH {SENSOR},
+v AS (SELECT * FROM u WHERE event_id % 5 <> 0)
+SELECT {COLS}, CASE WHEN event_id % 5 = 0 THEN 'delete' ELSE 'update_preimage' END AS _change_type
+FROM t WHERE event_id % 5 = 0 OR Id IN (SELECT Id FROM v)
+UNION ALL
+SELECT {COLS}, CASE WHEN Id IN (SELECT Id FROM t) THEN 'update_postimage' ELSE 'insert' END FROM v"""
+
+ORACLE["table_files"] = f"""
+WITH {SENSOR}
+SELECT SensorLocation, SensorMeasurement, COUNT(*) AS num_rows, TRUE AS same_bytes
+FROM clean GROUP BY ALL"""
 
 ORACLE["table_detail"] = f"""
 WITH {SENSOR}
@@ -287,26 +307,29 @@ FROM clean GROUP BY SensorLocation, SensorMeasurement"""
 ORACLE["stream_merge_silver"] = ORACLE["merge_insert_only"]
 
 # Streams: the ingest key is the md5 of the measurement content.
-_INGEST_KEY = """md5(concat_ws('|', COALESCE(CAST(MeasurementDateTime AS VARCHAR), '\\N'),
-                          COALESCE(CAST(SensorValue AS VARCHAR), '\\N'),
-                          COALESCE(SensorUnitDescription, '\\N'),
-                          COALESCE(SensorMeasurement, '\\N'),
-                          COALESCE(SensorLocation, '\\N')))"""
+_INGEST_KEY = _key("MeasurementDateTime", "SensorValue", "SensorUnitDescription",
+                   "SensorMeasurement", "SensorLocation")
 
 ORACLE["stream_csv_ingest"] = f"""
 WITH {RAW}
 SELECT WindowAverageStartDateTime, WindowAverageStopDateTime, MeasurementDateTime,
        SensorValue, SensorUnitDescription, SensorMeasurement, SensorLocation,
-       {_INGEST_KEY} AS Id
+       {_INGEST_KEY} AS Id, TRUE AS from_feed
 FROM raw WHERE SensorValue IS NOT NULL"""
 ORACLE["stream_rerun_noop"] = ORACLE["stream_csv_ingest"]
 
 ORACLE["stream_replay_idempotent"] = f"""
 WITH {RAW}
 SELECT MeasurementDateTime, SensorValue, SensorUnitDescription, SensorMeasurement,
-       SensorLocation, {_INGEST_KEY} AS Id
+       SensorLocation, {_INGEST_KEY} AS Id, TRUE AS from_feed
 FROM raw WHERE SensorValue IS NOT NULL"""
 
+ORACLE["stream_repeated_readings"] = f"""
+WITH {RAW}
+SELECT DISTINCT MeasurementDateTime, SensorValue, SensorUnitDescription, SensorMeasurement,
+       SensorLocation, {_INGEST_KEY} AS Id, files_per_trigger
+FROM raw, (VALUES (1), (2), (0)) AS runs(files_per_trigger) WHERE SensorValue IS NOT NULL"""
+
 # Operation history: each version's row metric, computed from the data.
 # v1 soft-deletes event_id % 11 = 0; v2 replaces partition (loc_1, view) with
 # U's rows there (its tombstones go with it); v3 purges the other loc_1

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,8 @@ def query(name: str):
 
 @query("scan_all")
 def scan_all(spark, d):
-    return fx.sensor(spark, d)
+    """``SELECT *`` of the events table."""
+    return fx.events(spark, d)
 
 
 @query("sensor_schema_cast")
@@ -55,6 +57,12 @@ def sensor_schema_cast(spark, d):
     ts_text = F.col("ts").cast("string")
     text = ev.select(
         "event_id",
+        F.lit("").alias("Skip"), F.col("event_type").alias("SkipResult"), F.lit("0").alias("SkipTable"),
+        F.lit("unit").alias("SensorUnitDescription"),
+        F.concat(F.lit("loc_"), (F.col("user_id") % 4).cast("string")).alias("SensorLocation"),
+        F.col("event_id").cast("string").alias("Id"),
+        F.when(F.col("event_id") % 6 == 0, F.substring(ts_text, 1, 10)).otherwise(ts_text)
+         .alias("WindowAverageStartDateTime"),
         F.when(F.col("event_id") % 9 == 0, F.lit("not a time")).otherwise(ts_text)
          .alias("MeasurementDateTime"),
         F.when(F.col("event_id") % 5 == 0, F.regexp_replace(ts_text, " ", ""))
@@ -162,6 +170,7 @@ def assign_identity(spark, d):
 
 
 POLICY_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
     T.StructField("name", T.StringType()),
     T.StructField("description", T.StringType()),
     T.StructField("insert_timestamp", T.TimestampNTZType()),
@@ -173,11 +182,18 @@ def insert_defaults(spark, d):
     """``description DEFAULT 'none'``: filled when omitted, explicit NULL kept."""
     c = fx.table_of(spark, d, "customer")
     defaults = {"description": F.lit("none"), "insert_timestamp": ts_literal(fx.INSERT_AS_OF)}
-    omitted = c.filter(F.col("c_custkey") % 4 != 0).select(F.col("c_name").alias("name"))
+    omitted = c.filter(F.col("c_custkey") % 4 != 0).select("c_custkey", F.col("c_name").alias("name"))
     explicit_null = c.filter(F.col("c_custkey") % 4 == 0).select(
-        F.col("c_name").alias("name"), F.lit(None).cast("string").alias("description"))
-    empty = spark.createDataFrame([], POLICY_SCHEMA)
-    return mutate.insert_rows(empty, [omitted, explicit_null], POLICY_SCHEMA, defaults)
+        "c_custkey", F.col("c_name").alias("name"), F.lit(None).cast("string").alias("description"))
+    return _policies([omitted, explicit_null], defaults)
+
+
+def _policies(batches, defaults):
+    """The inserts in order, each numbered by customer: ``id`` runs over all of them."""
+    shaped = [mutate.apply_defaults(b.withColumn("_batch", F.lit(i)), POLICY_SCHEMA, defaults, keep=["_batch", "c_custkey"])
+              for i, b in enumerate(batches)]
+    rows = reduce(DataFrame.unionByName, shaped)
+    return mutate.assign_identity(rows, "id", order_by=["_batch", "c_custkey"]).select(*POLICY_SCHEMA.names)
 
 
 @query("insert_partial")
@@ -186,12 +202,23 @@ def insert_partial(spark, d):
     c = fx.table_of(spark, d, "customer")
     defaults = {"name": F.lit("noname"), "insert_timestamp": ts_literal(fx.INSERT_AS_OF)}
     k = F.col("c_custkey") % 3
-    both = c.filter(k == 0).select(F.col("c_name").alias("name"),
-                                   F.col("c_mktsegment").alias("description"))
-    desc_only = c.filter(k == 1).select(F.col("c_mktsegment").alias("description"))
-    name_only = c.filter(k == 2).select(F.col("c_name").alias("name"))
-    empty = spark.createDataFrame([], POLICY_SCHEMA)
-    return mutate.insert_rows(empty, [both, desc_only, name_only], POLICY_SCHEMA, defaults)
+    name, text = F.col("c_name").alias("name"), F.col("c_mktsegment").alias("description")
+    return _policies([c.filter(k == 0).select("c_custkey", name, text), c.filter(k == 1).select("c_custkey", text),
+                      c.filter(k == 2).select("c_custkey", name)], defaults)
+
+
+@query("insert_sequence")
+def insert_sequence(spark, d):
+    """Three inserts into one table: each continues the identity of the one before."""
+    t = ParquetTable.create(spark, work_path(spark, "policies"), POLICY_SCHEMA, key=("id",))
+    c = fx.table_of(spark, d, "customer")
+    defaults = {"name": F.lit("noname"), "description": F.lit("none"),
+                "insert_timestamp": F.expr("cast(current_timestamp() as timestamp_ntz)")}
+    k = F.col("c_custkey") % 3
+    name, text = F.col("c_name").alias("name"), F.col("c_mktsegment").alias("description")
+    for i, cols in enumerate([[name, text], [text], [name]]):
+        t.insert(c.filter(k == i).select("c_custkey", *cols), defaults, identity="id", order_by=["c_custkey"])
+    return t.read().select("id", "name", "description", F.col("insert_timestamp").isNotNull().alias("has_time"))
 
 
 @query("change_feed")
@@ -202,7 +229,7 @@ def change_feed(spark, d):
                 .withColumn("SensorValue",
                             F.when(even, (F.col("SensorValue") + 1).cast(T.DecimalType(10, 0)))
                              .otherwise(F.col("SensorValue"))))
-    after_u = fx.update_rows(spark, d).filter(F.col("event_id") % 3 != 0)
+    after_u = fx.update_rows(spark, d).filter(F.col("event_id") % 3 == 1)
     before = t.select(*fx.SILVER)
     after = after_t.select(*fx.SILVER).unionByName(after_u.select(*fx.SILVER))
     return changes.change_feed(before, after, "Id")
@@ -252,11 +279,7 @@ def schema_access_inherited(spark, d):
 @query("table_access")
 def table_access(spark, d):
     e = _entities(spark, d)
-    sp = fx.schema_privileges(spark, d)
-    granted = (sp.join(e, sp["grantee"] == e["entity"], "left_semi")
-                 .select("catalog_name", "schema_name"))
-    tables = fx.tables(spark, d, in_schemas=granted)
-    return access.table_access(access.table_privileges(sp, tables, e), e)
+    return access.table_access(access.table_privileges(fx.schema_privileges(spark, d), fx.tables(spark, d), e), e)
 
 
 @query("owned_tables")
@@ -302,14 +325,77 @@ def ctas_partitioned(spark, d):
 @query("soft_delete_read")
 def soft_delete_read(spark, d):
     t = _clean_table(spark, d, "soft-delete")
-    t.delete(TOMBSTONE_PRED, soft=True)
+    t.delete(TOMBSTONE_PRED)
+    return t.read().select(*fx.SILVER)
+
+
+@query("soft_delete_reinsert")
+def soft_delete_reinsert(spark, d):
+    """Rows deleted, then merged in again (insert-only) with new values: the new rows show."""
+    t = _clean_table(spark, d, "reinsert")
+    t.delete(TOMBSTONE_PRED)
+    again = fx.clean(spark, d, True).withColumn("SensorValue", (F.col("SensorValue") + 1).cast(T.DecimalType(10, 0)))
+    t.merge_insert_only(again)
+    return t.read().select(*fx.SILVER)
+
+
+@query("soft_delete_null_partition")
+def soft_delete_null_partition(spark, d):
+    """A table partitioned by the value, NULL for a seventh of the rows; deletes there and elsewhere."""
+    t = ParquetTable.create_as(spark, work_path(spark, "null-part"), fx.sensor(spark, d, keep_event_id=True), ["SensorValue"])
+    t.delete("SensorValue IS NULL AND event_id % 2 = 0")
+    t.delete(TOMBSTONE_PRED)
+    return t.read().select(*fx.SILVER)
+
+
+@query("replace_from_itself")
+def replace_from_itself(spark, d):
+    """``CREATE OR REPLACE TABLE t AS SELECT … FROM t``."""
+    t = _clean_table(spark, d, "itself")
+    t = ParquetTable.create_as(spark, t.root, t.read().filter("event_id % 3 = 0"), PARTS, replace=True)
     return t.read().select(*fx.SILVER)
 
 
+@query("table_upsert")
+def table_upsert(spark, d):
+    t = ParquetTable.create_as(spark, work_path(spark, "upsert"), fx.target_rows(spark, d).select(*fx.SILVER), PARTS)
+    t.upsert(fx.update_rows(spark, d).select(*fx.SILVER))
+    return t.read()
+
+
+@query("table_delete_hard")
+def table_delete_hard(spark, d):
+    """A delete, then the rows removed from the files."""
+    t = _clean_table(spark, d, "hard-delete")
+    t.delete(fx.DELETE_PRED)
+    t.purge()
+    return t.base().select(*fx.SILVER)
+
+
+@query("table_changes_since")
+def table_changes_since(spark, d):
+    """Changes since a snapshot of ``T`` after a delete and an upsert of ``U``."""
+    t = ParquetTable.create_as(spark, work_path(spark, "changes"), fx.target_rows(spark, d), PARTS)
+    before = t.snapshot()
+    t.delete("event_id % 5 = 0")
+    t.upsert(fx.update_rows(spark, d).filter("event_id % 5 != 0"))
+    return t.changes_since(before).select(*fx.SILVER, "_change_type")
+
+
+@query("table_files")
+def table_files(spark, d):
+    """Per partition of a written table, from the file listing: whether the bytes listed are those
+    of the files that hold the partition's rows, and the rows."""
+    t = _clean_table(spark, d, "files")
+    listed = t.files().groupBy(*PARTS).agg(F.sum("bytes").alias("listed"))
+    held = (t.base_files().groupBy(*PARTS).agg(F.sum("size").alias("held"), F.sum("rows").alias("num_rows")))
+    return listed.join(held, PARTS).select(*PARTS, "num_rows", (F.col("listed") == F.col("held")).alias("same_bytes"))
+
+
 @query("purge_partitions")
 def purge_partitions(spark, d):
     t = _clean_table(spark, d, "purge")
-    t.delete(TOMBSTONE_PRED, soft=True)
+    t.delete(TOMBSTONE_PRED)
     t.purge("SensorLocation = 'loc_1'")
     return t.read().select(*fx.SILVER)
 
@@ -318,7 +404,8 @@ def purge_partitions(spark, d):
 def shallow_snapshot(spark, d):
     t = _clean_table(spark, d, "shallow")
     snap = t.snapshot()
-    t.delete(TOMBSTONE_PRED, soft=True)
+    t.delete(TOMBSTONE_PRED)
+    t.purge()
     return snap.read().select(*fx.SILVER)
 
 
@@ -326,14 +413,15 @@ def shallow_snapshot(spark, d):
 def deep_copy(spark, d):
     t = _clean_table(spark, d, "deep-src")
     clone = t.deep_clone(work_path(spark, "deep-clone"))
-    t.delete(TOMBSTONE_PRED, soft=True)
+    t.delete(TOMBSTONE_PRED)
     return clone.read().select(*fx.SILVER)
 
 
 @query("table_like")
 def table_like(spark, d):
     t = _clean_table(spark, d, "like")
-    return t.register_like(f"tidepool_like_{uuid.uuid4().hex[:12]}").select(*fx.SILVER)
+    t.delete(TOMBSTONE_PRED)
+    return t.register(f"tidepool_like_{uuid.uuid4().hex[:12]}").select(*fx.SILVER)
 
 
 @query("cluster_by_time")
@@ -351,16 +439,16 @@ def table_detail(spark, d):
 
 @query("operation_history")
 def operation_history(spark, d):
-    """Versions and operations after CTAS, soft delete, replace, purge, optimize."""
+    """Versions and operations after CTAS, delete, replace, purge, optimize."""
     t = _clean_table(spark, d, "history")
-    t.delete(TOMBSTONE_PRED, soft=True)
+    t.delete(TOMBSTONE_PRED)
     new = fx.update_rows(spark, d).filter(F.expr(fx.PARTITION_PRED))
     t.replace_where(fx.PARTITION_PRED, new)
     t.purge("SensorLocation = 'loc_1'")
     t.cluster_by("MeasurementDateTime")
     return t.history().select("version", "operation",
-                              F.coalesce(F.col("metrics")["numOutputRows"],
-                                         F.col("metrics")["numDeletedRows"]).alias("num_rows"))
+                              F.when(F.col("operation") == "DELETE", F.col("num_deleted_rows"))
+                               .otherwise(F.col("num_output_rows")).alias("num_rows"))
 
 
 @query("source_inventory")
@@ -397,12 +485,17 @@ BRONZE_OUT = ["WindowAverageStartDateTime", "WindowAverageStopDateTime", "Measur
               "SensorValue", "SensorUnitDescription", "SensorMeasurement", "SensorLocation", "Id"]
 
 
+def _from_feed(feed):
+    """Whether ``InputFileName`` is a file of the feed (the files' own names are drawn by Spark)."""
+    return F.col("InputFileName").contains(f"{feed.rsplit('/', 1)[1]}/part-").alias("from_feed")
+
+
 @query("stream_csv_ingest")
 def stream_csv_ingest(spark, d):
     feed = _feed(spark, d)
     bronze = _bronze(spark, "bronze")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
-    return bronze.read().select(*BRONZE_OUT)
+    return bronze.read().select(*BRONZE_OUT, _from_feed(feed))
 
 
 @query("stream_rerun_noop")
@@ -413,7 +506,7 @@ def stream_rerun_noop(spark, d):
     ckpt = work_path(spark, "ckpt-raw")
     _ingest(spark, feed, bronze, ckpt)
     _ingest(spark, feed, bronze, ckpt)
-    return bronze.read().select(*BRONZE_OUT)
+    return bronze.read().select(*BRONZE_OUT, _from_feed(feed))
 
 
 def _silver(spark, label: str):
@@ -436,7 +529,26 @@ def stream_replay_idempotent(spark, d):
                            **implied)
     merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-b"), max_files_per_trigger=2,
                            **implied)
-    return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS])
+    return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS], _from_feed(feed))
+
+
+@query("stream_repeated_readings")
+def stream_repeated_readings(spark, d):
+    """A feed that holds readings twice, in one file and across files: silver is the same for
+    1, 2 and all files per trigger (column ``files_per_trigger``; 0 stands for all)."""
+    rows = fx.raw(spark, d)
+    feed = work_path(spark, "feed")
+    write_csv_feed(rows.unionByName(rows.filter("SensorMeasurement != 'view'")), feed, files=FEED_FILES)
+    write_csv_feed(rows.filter("SensorLocation = 'loc_1'"), feed, files=1)
+    bronze = _bronze(spark, "bronze-repeats")
+    _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
+    out = []
+    for n in (1, 2, 0):
+        silver = _silver(spark, f"silver-repeats-{n}")
+        merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-s"), max_files_per_trigger=n or None)
+        out.append(silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS],
+                                        F.lit(n).alias("files_per_trigger")))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("stream_merge_silver")

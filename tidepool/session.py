@@ -38,8 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temp folder) when nothing is set, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
+    executors share the driver's disk, gets a temp folder when nothing is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,8 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 
@@ -59,5 +61,15 @@ def work_path(spark: SparkSession, label: str) -> str:
     Tables, stream checkpoints and snapshots written by the operators live
     here, so every executor and the driver see the same files.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidepool/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_work_base(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _work_base(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidepool/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove everything this application wrote under ``work_path``, once its results are used."""
+    from tidepool.sources import files
+
+    files.delete(spark, _work_base(spark))

@@ -1,9 +1,8 @@
 """Small file-system calls through Hadoop's FileSystem, so paths on any
 cluster store (HDFS, object stores, local) behave the same way.
 
-Only metadata calls live here (exists, mkdirs, delete one folder, list one
-level);
-data always moves through DataFrame readers and writers.
+Only metadata calls live here; data always moves through DataFrame readers
+and writers.
 """
 
 from __future__ import annotations
@@ -34,9 +33,22 @@ def mkdirs(spark: SparkSession, path: str) -> bool:
     return bool(fs.mkdirs(p))
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder; one atomic step on HDFS and local disks."""
+    fs, p = _fs_and_path(spark, old)
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"cannot move {old} to {new}")
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names (not paths) of the direct children of ``path``."""
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    fs, p = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(p).getLength())

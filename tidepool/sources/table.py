@@ -1,29 +1,31 @@
-"""A Parquet folder with table semantics, kept with plain files.
+"""Parquet folders with table semantics: every operation adds one folder.
 
 Layout under ``root``::
 
-    data-<id>/         rows, partitioned by ``partition_by`` (Hive-style folders)
-    tomb-<id>/         soft-deleted keys (+ partition columns), same partitioning
-    _history/          one row per operation: version, time, operation,
-                       parameters, metrics, and the current data/tomb folders
-
-The newest history row names the live data and tombstone folders. Rewrites
-of a few partitions replace them in place (dynamic partition overwrite, so
-reading and writing the same partitions in one job is safe); full rewrites go
-to a new folder and the history row switches to it, so older folders stay
-readable by snapshots. A single writer per table is assumed.
-
-Scale notes:
-* partition-level work first collects the *distinct partition values* it
-  touches (bounded by the table's partition count, never by its rows) and
-  turns them into a partition filter, so only those folders are scanned;
-* soft-deleted rows are hidden by an anti-join with the tombstones, which is
-  broadcast only after a row-count check; ``purge`` folds them back in.
+    g000001/                  a generation; the highest one marked ready is the table
+        _table/               schema, partition columns, key, catalog name (rows, newest counts)
+        _op=<seq>.<OP>.…/     the rows an operation added, partitioned by ``partition_by``
+            _gone/            the rows it deleted: (file, row in the file)
+            _dead/            the files it replaced whole: (file)
+        _pins/<seq>-<id>/     live snapshots
+
+An operation is written to a hidden folder and becomes visible by one rename, its
+deletions with it; a crash before that leaves nothing. No data file is changed in place:
+delete, replace-where and upsert mark rows by file and row number (whatever their keys,
+NULLs or repeats, and without effect on later files) and append. ``purge`` and
+``cluster_by`` rewrite; the files they replace are removed by ``vacuum``, and only while
+no snapshot is live. CREATE OR REPLACE writes a new generation, marks it ready, and
+deletes the old one last, so it may read the table it replaces.
+
+The state is the list of operation folders: their names hold number, operation, row
+counts and, for stream batches, stream and batch. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,21 +35,11 @@ from pyspark.sql import types as T
 from tidepool.functions.predicates import as_column, is_true
 from tidepool.operators import changes as change_ops
 from tidepool.operators import merge as merge_ops
-from tidepool.operators.joins import broadcast_if_small
+from tidepool.operators import mutate
 from tidepool.operators.layout import cluster_by_time
 from tidepool.sources import files
 
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
-    T.StructField("data_dir", T.StringType()),
-    T.StructField("tomb_dir", T.StringType()),
-])
-
-# Operation names recorded in the history (DESCRIBE HISTORY).
+# Operation names shown in the history (DESCRIBE HISTORY).
 OP_CREATE = "CREATE TABLE"
 OP_CTAS = "CREATE TABLE AS SELECT"
 OP_WRITE = "WRITE"
@@ -58,426 +50,305 @@ OP_REORG = "REORG"
 OP_OPTIMIZE = "OPTIMIZE"
 OP_CLONE = "CLONE"
 
-TOMBSTONE_BROADCAST_ROWS = 1_000_000
-# Upper bound on rows per written file, so one heavy partition written by
-# one task still lands in several files of bounded size.
+OP, FILE, ROW = "_op", "_file", "_row"
 MAX_RECORDS_PER_FILE = 5_000_000
-# Every this many versions the history's small files are merged into one.
-HISTORY_COMPACT_EVERY = 100
+CLUSTER_BYTES = 256 << 20
+META_SCHEMA = "version long, schema string, partition_by array<string>, key array<string>, name string"
 
 
-def _pred_text(pred) -> str:
-    if isinstance(pred, str):
-        return pred
-    text = str(pred)
-    return text[len("Column<'"):-2] if text.startswith("Column<'") else text
+@dataclass(frozen=True)
+class Op:
+    """One operation, as its folder's name tells it."""
+    seq: int
+    operation: str
+    rows: int
+    gone: int
+    dead: int
+    full: bool          # the table starts anew here: earlier folders no longer count
+    txn: str = ""
 
+    @property
+    def name(self) -> str:
+        return ".".join([f"{self.seq:08d}", self.operation.replace(" ", "_"), str(self.rows),
+                         str(self.gone), str(self.dead), "new" if self.full else "add", self.txn])
+
+    @staticmethod
+    def parse(name: str) -> Op:
+        seq, operation, rows, gone, dead, full, txn = name.split(".", 6)
+        return Op(int(seq), operation.replace("_", " "), int(rows), int(gone), int(dead),
+                  full == "new", txn)
 
-def _map_literal(d: dict, value_type: str):
-    """A map column built from literals (no Python-row conversion)."""
-    parts = [x for k, v in sorted(d.items()) for x in (F.lit(k), F.lit(v))]
-    return F.create_map(*parts).cast(f"map<string,{value_type}>")
 
+def _generations(spark: SparkSession, root: str) -> list[str]:
+    return sorted(n for n in files.list_children(spark, root) if n.startswith("g"))
 
-def _new_dir(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:12]}"
+
+def _current(spark: SparkSession, root: str) -> str | None:
+    ready = [g for g in _generations(spark, root) if files.exists(spark, f"{root}/{g}/_ready")]
+    return ready[-1] if ready else None
 
 
 class ParquetTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
                  partition_by: list[str] | tuple[str, ...] = (),
-                 key: list[str] | tuple[str, ...] = ("Id",),
-                 rebalance: bool = True):
+                 key: list[str] | tuple[str, ...] = ("Id",), generation: str = "g000001",
+                 name: str | None = None):
         self.spark = spark
-        self.rebalance = rebalance
         self.root = root.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by)
         self.key = list(key)
-        self._cached: dict | None = None
+        self.generation = generation
+        self.name = name
 
     # --- creation ---------------------------------------------------------
 
+    @classmethod
+    def _start(cls, spark, root, schema, partition_by, key, replace) -> tuple[ParquetTable, str | None]:
+        root = root.rstrip("/")
+        old = _current(spark, root)
+        if old and not replace:
+            raise FileExistsError(f"table exists at {root}")
+        last = (_generations(spark, root) or ["g000000"])[-1]
+        t = cls(spark, root, schema, partition_by, key, f"g{int(last[1:]) + 1:06d}")
+        files.mkdirs(spark, t.data_path())
+        t._write_meta(0)
+        return t, old
+
+    def _ready(self, old: str | None) -> ParquetTable:
+        """Switch to this generation; only then remove the one it replaces."""
+        files.mkdirs(self.spark, f"{self.data_path()}/_ready")
+        if old:
+            files.delete(self.spark, f"{self.root}/{old}")
+        return self
+
     @classmethod
     def create(cls, spark: SparkSession, root: str, schema: T.StructType,
                partition_by=(), key=("Id",), replace: bool = False) -> ParquetTable:
         """``CREATE [OR REPLACE] TABLE root (schema) PARTITIONED BY (...)``."""
-        t = cls(spark, root, schema, partition_by, key)
-        if files.exists(spark, t.root):
-            if not replace:
-                raise FileExistsError(f"table exists at {t.root}")
-            files.delete(spark, t.root)
-        data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
-        files.mkdirs(spark, f"{t.root}/{data_dir}")     # an empty table: no files yet
-        t._log(OP_CREATE, {"partitionBy": ",".join(t.partition_by),
-                                "schema": schema.json()}, {},
-               data_dir, tomb_dir, first=True)
-        return t
+        t, old = cls._start(spark, root, schema, partition_by, key, replace)
+        t._commit(OP_CREATE)
+        return t._ready(old)
 
     @classmethod
     def create_as(cls, spark: SparkSession, root: str, df: DataFrame,
                   partition_by=(), key=("Id",), replace: bool = False,
                   operation: str = OP_CTAS) -> ParquetTable:
-        """CTAS: the table holds exactly the rows of ``df``."""
-        t = cls(spark, root, df.schema, partition_by, key)
-        if files.exists(spark, t.root):
-            if not replace:
-                raise FileExistsError(f"table exists at {t.root}")
-            files.delete(spark, t.root)
-        data_dir, tomb_dir = _new_dir("data"), _new_dir("tomb")
-        rows = t._write(df, f"{t.root}/{data_dir}", "errorifexists")
-        t._log(operation, {"partitionBy": ",".join(t.partition_by),
-                           "schema": df.schema.json()},
-               {"numOutputRows": rows}, data_dir, tomb_dir, first=True)
-        return t
+        """CTAS: the table holds exactly the rows of ``df``, which may read the replaced table."""
+        t, old = cls._start(spark, root, df.schema, partition_by, key, replace)
+        t._commit(operation, df)
+        return t._ready(old)
 
     @classmethod
-    def open(cls, spark: SparkSession, root: str, key=("Id",)) -> ParquetTable:
-        """Open an existing table. Schema and partitioning come from its
-        creation entry; columns added later by schema-evolving appends come
-        from the data files' merged schema."""
-        import json
+    def open(cls, spark: SparkSession, root: str) -> ParquetTable:
+        """An existing table, as its newest description says."""
         root = root.rstrip("/")
-        state = cls._state_at(spark, root)
-        params = state["parameters"] or {}
-        parts = [p for p in params.get("partitionBy", "").split(",") if p]
-        schema = T.StructType.fromJson(json.loads(params["schema"]))
-        data = f"{root}/{state['data_dir']}"
-        if any(n.endswith(".parquet") or "=" in n for n in files.list_children(spark, data)):
-            on_disk = spark.read.option("mergeSchema", "true").parquet(data).schema
-            known = set(schema.names)
-            schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True)
-                                                   for f in on_disk.fields
-                                                   if f.name not in known])
-        return cls(spark, root, schema, parts, key)
-
-    # --- state ------------------------------------------------------------
+        g = _current(spark, root)
+        if g is None:
+            raise FileNotFoundError(f"no table at {root}")
+        m = (spark.read.schema(META_SCHEMA).parquet(f"{root}/{g}/_table")
+             .orderBy(F.desc("version")).first())
+        return cls(spark, root, T.StructType.fromJson(json.loads(m["schema"])),
+                   m["partition_by"], m["key"], g, m["name"])
 
-    @property
-    def history_path(self) -> str:
-        return f"{self.root}/_history"
+    @classmethod
+    def named(cls, spark: SparkSession, name: str) -> ParquetTable:
+        """The table registered in the catalog as ``name``."""
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        return cls.open(spark, props["tidepool.root"])
 
     @staticmethod
-    def _state_at(spark, root):
-        h = spark.read.schema(HISTORY_SCHEMA).parquet(f"{root}/_history")
-        first = h.filter(F.col("version") == 0).select("parameters").first()
-        row = h.orderBy(F.col("version").desc()).first()
-        d = row.asDict()
-        d["parameters"] = first["parameters"] if first else {}
-        return d
-
-    def _state(self):
-        """Newest history row. Cached per object: one writer per table is
-        assumed; ``refresh()`` picks up commits made through other objects."""
-        if self._cached is None:
-            self._cached = self._state_at(self.spark, self.root)
-        return self._cached
-
-    def refresh(self) -> ParquetTable:
-        self._cached = None
-        self._txn_cache = None
-        return self
+    def exists(spark: SparkSession, root: str) -> bool:
+        return _current(spark, root.rstrip("/")) is not None
 
-    def _txns(self) -> dict[str, int]:
-        """Highest batch id committed per stream (app id).
-
-        Batch ids only grow within a checkpoint and a restart replays at most
-        the batches after the last one Spark committed, so ``batch <= max``
-        means "already written". One entry per stream, aggregated by Spark."""
-        if getattr(self, "_txn_cache", None) is None:
-            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-            rows = (h.filter(F.col("parameters")["txnAppId"].isNotNull())
-                     .groupBy(F.col("parameters")["txnAppId"].alias("a"))
-                     .agg(F.max(F.col("parameters")["txnVersion"].cast("long")).alias("v"))
-                     .collect())
-            self._txn_cache = {r["a"]: int(r["v"]) for r in rows}
-        return self._txn_cache
+    def _write_meta(self, version: int) -> None:
+        row = [(version, self.schema.json(), self.partition_by, self.key, self.name)]
+        (self.spark.createDataFrame(row, META_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(f"{self.data_path()}/_table"))
+
+    # --- state ------------------------------------------------------------
 
     def data_path(self) -> str:
-        return f"{self.root}/{self._state()['data_dir']}"
+        return f"{self.root}/{self.generation}"
+
+    def _op_path(self, op: Op) -> str:
+        return f"{self.data_path()}/{OP}={op.name}"
 
-    def tomb_path(self) -> str:
-        return f"{self.root}/{self._state()['tomb_dir']}"
+    def ops(self, as_of: int | None = None) -> list[Op]:
+        """All operations in order, read from the folder names."""
+        names = files.list_children(self.spark, self.data_path())
+        found = sorted((Op.parse(n[len(OP) + 1:]) for n in names if n.startswith(f"{OP}=")),
+                       key=lambda o: o.seq)
+        return [o for o in found if as_of is None or o.seq <= as_of]
+
+    def live_ops(self, as_of: int | None = None) -> list[Op]:
+        """Operations whose folders count: from the last full rewrite on."""
+        found = self.ops(as_of)
+        start = max((i for i, o in enumerate(found) if o.full), default=0)
+        return found[start:]
 
     def version(self) -> int:
-        return int(self._state()["version"])
-
-    def _log(self, operation: str, params: dict, metrics: dict,
-             data_dir: str | None = None, tomb_dir: str | None = None,
-             first: bool = False, tombstones: int | None = None) -> None:
-        """Append one history row. ``tombstones`` is the number of live
-        tombstones after the operation (carried over when not given), so
-        reads know it without counting."""
-        if first:
-            version = 0
-            tombstones = 0 if tombstones is None else tombstones
-        else:
-            st = self._state()
-            version = int(st["version"]) + 1
-            data_dir = data_dir or st["data_dir"]
-            tomb_dir = tomb_dir or st["tomb_dir"]
-            if tombstones is None:
-                tombstones = self._known_tombstones()
-        metrics = dict(metrics)
-        if tombstones is not None:
-            metrics["numTombstones"] = tombstones
-        df = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.current_timestamp().alias("timestamp"),
-            F.lit(operation).alias("operation"),
-            _map_literal({k: str(v) for k, v in params.items()}, "string"),
-            _map_literal({k: int(v) for k, v in metrics.items()}, "bigint"),
-            F.lit(data_dir).alias("data_dir"),
-            F.lit(tomb_dir).alias("tomb_dir"))
-        df = df.toDF(*HISTORY_SCHEMA.names)
-        df.coalesce(1).write.mode("append").parquet(self.history_path)
-        if version and version % HISTORY_COMPACT_EVERY == 0:
-            self.compact_history()
-        if first:
-            self._cached = None
-        else:
-            self._cached = {**st, "version": version, "operation": operation,
-                            "data_dir": data_dir, "tomb_dir": tomb_dir,
-                            "metrics": {k: int(v) for k, v in metrics.items()}}
-        if "txnAppId" in params:
-            txns = self._txns()
-            app, batch = params["txnAppId"], int(params["txnVersion"])
-            txns[app] = max(batch, txns.get(app, -1))
+        return self.ops()[-1].seq
 
     # --- reading ----------------------------------------------------------
 
-    def _read_dir(self, path: str) -> DataFrame:
-        df = self.spark.read.schema(self.schema).parquet(path)
-        return df.select(*self.schema.names)
+    def _schema_with_op(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(OP, T.StringType())])
+
+    def _rows(self, ops: list[Op]) -> DataFrame:
+        """Rows of the operations' folders, deleted ones included, with ``_op``."""
+        df = self.spark.read.schema(self._schema_with_op()).parquet(self.data_path())
+        return df.filter(F.col(OP).between(ops[0].name, ops[-1].name)) if ops else df.limit(0)
+
+    @staticmethod
+    def _located(df: DataFrame) -> DataFrame:
+        """Adds where a row lies: its file below the table folder, and its number there."""
+        return df.withColumns({FILE: F.substring_index("_metadata.file_path", f"/{OP}=", -1),
+                               ROW: F.col("_metadata.row_index")})
+
+    def _marks(self, ops: list[Op], kind: str) -> DataFrame | None:
+        """The (file, row) or (file) marks of the operations, None if there are none."""
+        paths = [f"{self._op_path(o)}/_{kind}" for o in ops if getattr(o, kind)]
+        schema = f"{FILE} string, {ROW} long" if kind == "gone" else f"{FILE} string"
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def _hide(self, df: DataFrame, ops: list[Op], located: bool = False) -> DataFrame:
+        """``df`` (straight from ``_rows``) less the rows and files marked by ``ops``: plain
+        anti-joins, planned by Spark from the marks' sizes, and none where nothing is marked."""
+        gone, dead = self._marks(ops, "gone"), self._marks(ops, "dead")
+        if gone is None and dead is None and not located:
+            return df
+        cols = df.columns
+        df = self._located(df)
+        if dead is not None:
+            df = df.join(dead, FILE, "left_anti")
+        if gone is not None:
+            df = df.join(gone, [FILE, ROW], "left_anti")
+        return df.select(*cols, FILE, ROW) if located else df.select(*cols)
+
+    def read(self, as_of: int | None = None) -> DataFrame:
+        """Visible rows, now or as of an operation number."""
+        ops = self.live_ops(as_of)
+        return self._hide(self._rows(ops), ops).select(*self.schema.names)
 
     def base(self) -> DataFrame:
-        """All rows in the data files, soft-deleted ones included."""
-        return self._read_dir(self.data_path())
-
-    def _tombstone_frame(self) -> DataFrame | None:
-        """Soft-deleted keys, or None when no tombstone was ever written."""
-        cols = self.partition_by + self.key
-        path = self.tomb_path()
-        if not files.exists(self.spark, path):
-            return None
-        tschema = T.StructType([self.schema[c] for c in cols])
-        return self.spark.read.schema(tschema).parquet(path).select(*cols)
+        """All rows in the live folders, deleted ones included."""
+        return self._rows(self.live_ops()).select(*self.schema.names)
 
     def tombstones(self) -> DataFrame:
-        t = self._tombstone_frame()
-        if t is None:
-            cols = self.partition_by + self.key
-            return self.spark.createDataFrame([], T.StructType([self.schema[c] for c in cols]))
-        return t
-
-    def _known_tombstones(self) -> int | None:
-        """Live tombstone count recorded by the newest history row, if any."""
-        n = (self._state().get("metrics") or {}).get("numTombstones")
-        return None if n is None else int(n)
-
-    def _visible(self, base: DataFrame, tombs: DataFrame | None,
-                 known: int | None = None) -> DataFrame:
-        """Anti-join with the tombstones: skipped when there are none,
-        broadcast when at most TOMBSTONE_BROADCAST_ROWS, else a shuffle
-        join (``purge`` keeps them few). ``known`` is their recorded count;
-        without it they are counted (up to the bound)."""
-        if tombs is None:
-            return base
-        n = known if known is not None else tombs.limit(TOMBSTONE_BROADCAST_ROWS + 1).count()
-        if n == 0:
-            return base
-        t = F.broadcast(tombs) if n <= TOMBSTONE_BROADCAST_ROWS else tombs
-        # a join on column names puts them first: restore the table's order
-        return (base.join(t, on=self.partition_by + self.key, how="left_anti")
-                    .select(*base.columns))
-
-    def read(self) -> DataFrame:
-        """Visible rows: data files minus soft-deleted keys."""
-        return self._visible(self.base(), self._tombstone_frame(), self._known_tombstones())
+        """Marks of deleted rows whose files still count: (file, row)."""
+        ops = self.live_ops()
+        gone, dead = self._marks(ops, "gone"), self._marks(ops, "dead")
+        if gone is None:
+            return self.spark.createDataFrame([], f"{FILE} string, {ROW} long")
+        return gone if dead is None else gone.join(dead, FILE, "left_anti")
 
     def stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
-        """Rows appended to the table, as a stream (``readStream.table``).
-
-        For append-only tables (bronze): a file source sees every new file,
-        so a partition rewrite would be read again as new rows, and a full
-        rewrite moves the table to a folder this stream does not watch."""
-        r = self.spark.readStream.schema(self.schema)
+        """Rows added to the table, as a stream (``readStream.table``): rows deleted before a
+        batch is read are left out, rows that a rewrite moves to new files are not sent again.
+        Rows must be read before ``vacuum`` removes the files a rewrite replaced."""
+        r = self.spark.readStream.schema(self._schema_with_op())
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return r.parquet(self.data_path()).select(*self.schema.names)
+        moved = "|".join(x.replace(" ", "_") for x in (OP_REORG, OP_OPTIMIZE))
+        df = r.parquet(self.data_path()).filter(~F.col(OP).rlike(rf"^\d+\.({moved})\."))
+        gone = self._marks(self.ops(), "gone")
+        if gone is not None:
+            df = self._located(df).join(gone, [FILE, ROW], "left_anti")
+        return df.select(*self.schema.names)
 
-    # --- writing helpers --------------------------------------------------
+    # --- writing ------------------------------------------------------------
 
     def _project(self, df: DataFrame) -> DataFrame:
         missing = [c for c in self.schema.names if c not in df.columns]
         if missing:
             raise ValueError(f"rows lack table columns {missing}")
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in self.schema.fields])
 
-    def _write(self, df: DataFrame, path: str, mode: str, dynamic: bool = False,
-               observe_partitions: bool = False, rebalance: bool | None = None):
+    def _write_rows(self, df: DataFrame, path: str, rebalance: bool = True, **counted: Column) -> dict:
+        """Write rows into ``path``; returns their number and that of each counted condition."""
         obs = Observation()
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        if observe_partitions and self.partition_by:
-            aggs.append(F.collect_set(F.struct(*self.partition_by)).alias("parts"))
         out = self._project(df)
-        if (self.rebalance if rebalance is None else rebalance) and self.partition_by:
-            # Rows of one table partition meet in few tasks (few, large files
-            # instead of tasks × partitions small ones); AQE splits a heavy
-            # partition into advisory-sized pieces and merges tiny ones.
-            out = out.hint("rebalance", *self.partition_by)
-        out = out.observe(obs, *aggs)
-        w = out.write.mode(mode).option("maxRecordsPerFile", str(MAX_RECORDS_PER_FILE))
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(path)
-        res = obs.get
-        if observe_partitions:
-            return int(res["rows"]), {tuple(p) for p in (res.get("parts") or [])}
-        return int(res["rows"])
-
-    def _partition_filter(self, parts: list[tuple]) -> Column:
-        """Rows in the given partitions, as a partition filter.
-
-        An ``isin`` over the partition column (or a struct of them) becomes
-        an ``INSET`` hash lookup, so thousands of partitions make one flat
-        expression, not a deep chain of ORs. NULL partition values (rare)
-        get explicit NULL-safe terms."""
-        cols = self.partition_by
-        plain = [p for p in parts if all(v is not None for v in p)]
-        with_null = [p for p in parts if any(v is None for v in p)]
-        terms = []
-        if plain and len(cols) == 1:
-            terms.append(F.col(cols[0]).isin([p[0] for p in plain]))
-        elif plain:
-            terms.append(F.struct(*cols).isin(
-                [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, p)]) for p in plain]))
-        for p in with_null:
-            terms.append(reduce(lambda a, b: a & b,
-                                [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, p)]))
-        return reduce(lambda a, b: a | b, terms)
-
-    def _outside(self, parts: list[tuple]) -> Column:
-        """Rows not in the given partitions (never NULL)."""
-        return ~F.coalesce(self._partition_filter(parts), F.lit(False))
-
-    def _partitions_of(self, df: DataFrame) -> list[tuple]:
-        """Distinct partition values present in ``df`` (bounded by the
-        table's partition count)."""
-        return [tuple(r) for r in df.select(*self.partition_by).distinct().collect()]
-
-    def _partition_dirs(self, parts: list[tuple]) -> dict[tuple, str]:
-        """Folder of each given partition, read from the paths of its files."""
-        if not parts:
-            return {}
-        base = (self.spark.read.schema(self.schema).parquet(self.data_path())
-                .filter(self._partition_filter(parts)))
-        rows = (base.select(*self.partition_by,
-                            F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
-                             .alias("_dir"))
-                    .distinct().collect())
-        return {tuple(r[c] for c in self.partition_by): r["_dir"] for r in rows}
-
-    def _rewrite_partitions(self, rows: DataFrame, parts: list[tuple],
-                            operation: str, params: dict, metrics: dict,
-                            rebalance: bool | None = None) -> int:
-        """Replace partitions ``parts`` with ``rows`` (rows outside them are an
-        error). Partitions left empty are removed (dynamic overwrite alone
-        would keep their old files). Their tombstones are dropped too, since
-        the new files hold visible rows only."""
-        dirs = self._partition_dirs(parts)
-        n, written = self._write(rows, self.data_path(), "overwrite", dynamic=True,
-                                 observe_partitions=True, rebalance=rebalance)
-        stray = written - set(parts)
-        if stray:
-            raise ValueError(f"rewrite wrote outside its partitions: {sorted(stray)[:3]}")
-        for p in set(parts) - written:
-            if p in dirs:
-                files.delete(self.spark, dirs[p])
-        tomb_dir, kept = self._drop_tombstones(parts)
-        self._log(operation, params, {**metrics, "numOutputRows": n}, tomb_dir=tomb_dir,
-                  tombstones=kept)
-        return n
-
-    def _drop_tombstones(self, parts: list[tuple] | None) -> tuple[str | None, int | None]:
-        """Write the tombstones outside ``parts`` (all, when None) to a new
-        folder; returns its name and how many were kept, or (None, None)
-        when nothing changes."""
-        tombs = self._tombstone_frame()
-        if tombs is None:
-            return None, None
-        known = self._known_tombstones()
-        if (known == 0) if known is not None else tombs.isEmpty():
-            return None, None
-        keep = tombs if parts is None else tombs.filter(self._outside(parts))
-        if self.rebalance and self.partition_by:
-            keep = keep.hint("rebalance", *self.partition_by)
-        obs = Observation()
-        new_dir = _new_dir("tomb")
-        w = keep.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.root}/{new_dir}")
-        return new_dir, int(obs.get["n"])
-
-    def _rewrite_all(self, rows: DataFrame, operation: str, params: dict,
-                     metrics: dict, rebalance: bool | None = None) -> None:
-        """Write a full new version to a new folder and switch to it."""
-        data_dir = _new_dir("data")
-        n = self._write(rows, f"{self.root}/{data_dir}", "errorifexists", rebalance=rebalance)
-        self._log(operation, params, {**metrics, "numOutputRows": n},
-                  data_dir=data_dir, tomb_dir=_new_dir("tomb"), tombstones=0)
-
-    # --- operations ---------------------------------------------------------
+        if rebalance and self.partition_by:
+            # few large files per table partition; AQE splits a heavy one
+            out = out.hint("rebalance", *[F.col(f"`{c}`") for c in self.partition_by])
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(c).alias(n) for n, c in counted.items()])
+        w = out.write.mode("overwrite").option("maxRecordsPerFile", str(MAX_RECORDS_PER_FILE))
+        (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(path)
+        return {k: int(v or 0) for k, v in obs.get.items()}
+
+    def _stage(self) -> str:
+        return f"{self.data_path()}/_new-{uuid.uuid4().hex[:12]}"
+
+    def _commit(self, operation: str, rows: DataFrame | None = None, gone: DataFrame | None = None,
+                dead: DataFrame | None = None, full: bool = False, txn: str = "",
+                staged: tuple[str, int] | None = None, rebalance: bool = True) -> Op:
+        """Write an operation to a hidden folder, then rename it into place."""
+        path, n = staged or (self._stage(), 0)
+        if rows is not None:
+            n = self._write_rows(rows, path, rebalance)["rows"]
+        elif staged is None:
+            files.mkdirs(self.spark, path)
+        counts = {}
+        for kind, marks in (("gone", gone), ("dead", dead)):
+            counts[kind] = 0
+            if marks is not None:
+                obs = Observation()
+                (marks.observe(obs, F.count(F.lit(1)).alias("n"))
+                 .write.mode("overwrite").parquet(f"{path}/_{kind}"))
+                counts[kind] = int(obs.get["n"])
+        known = self.ops()
+        op = Op(known[-1].seq + 1 if known else 0, operation, n, **counts, full=full, txn=txn)
+        files.rename(self.spark, path, self._op_path(op))
+        if self.name:
+            self.register(self.name)
+        return op
 
     def append(self, df: DataFrame, operation: str = OP_WRITE,
                txn: tuple[str, int] | None = None, merge_schema: bool = False) -> int:
-        """Append rows. ``txn=(app_id, batch_id)`` makes a replayed stream
-        batch a no-op (the pair is kept in the history).
+        """Append rows; returns how many. ``txn=(stream, batch)`` names a stream batch: its
+        folder appears at once or not at all, so a replay finds it and adds nothing, and a
+        batch that died half-way is written anew.
 
-        ``merge_schema=True`` (``mergeSchema``): columns of ``df`` unknown to
-        the table are added as nullable columns; older files read them as
-        NULL. Columns of the table missing from ``df`` are written as NULL."""
-        params = {"mode": "Append"}
+        ``merge_schema=True``: columns of ``df`` unknown to the table become nullable columns
+        (older files read them as NULL); table columns that ``df`` lacks are written as NULL."""
+        mark = ""
+        if txn is not None:
+            mark = f"{uuid.uuid5(uuid.NAMESPACE_URL, txn[0]).hex}-{int(txn[1])}"
+            if any(o.txn == mark for o in self.ops()):
+                return 0
         if merge_schema:
             known = set(self.schema.names)
-            added = [f for f in df.schema.fields if f.name not in known]
+            added = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in known]
             if added:
-                self.schema = T.StructType(
-                    self.schema.fields + [T.StructField(f.name, f.dataType, True) for f in added])
-                params["addedColumns"] = ",".join(f.name for f in added)
+                self.schema = T.StructType([*self.schema.fields, *added])
+                self._write_meta(self.version() + 1)
             df = df.select(*[F.col(f.name) if f.name in df.columns
-                             else F.lit(None).cast(f.dataType).alias(f.name)
-                             for f in self.schema.fields])
-        if txn is not None:
-            app, batch = txn
-            if int(batch) <= self._txns().get(app, -1):
-                return 0
-            params.update({"txnAppId": app, "txnVersion": str(batch)})
-        n = self._write(df, self.data_path(), "append")
-        self._log(operation, params, {"numOutputRows": n})
-        return n
+                             else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        return self._commit(operation, df, txn=mark).rows
+
+    def insert(self, rows: DataFrame, defaults: dict[str, Column | str] | None = None,
+               identity: str | None = None, order_by: list[str | Column] | None = None) -> int:
+        """``INSERT INTO t (columns of rows)``: omitted columns take their default (an expression
+        such as ``current_timestamp()`` is evaluated once per insert) or NULL; NULLs of the
+        ``identity`` column are numbered on from the table's largest value."""
+        df = mutate.apply_defaults(rows, self.schema, defaults, keep=order_by)
+        if identity:
+            top = self.read().agg(F.max(identity)).first()[0]
+            df = mutate.assign_identity(df, identity, order_by=order_by, current_max=top)
+        return self._commit(OP_WRITE, df).rows
 
     def merge_insert_only(self, updates: DataFrame, txn: tuple[str, int] | None = None,
                           key_implies_partition: bool = False,
                           key_implies: list[str] | None = None) -> int:
-        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append new keys only.
-
-        ``key_implies`` names columns whose value is fixed by the key (e.g.
-        the columns a content key hashes); ``key_implies_partition=True``
-        adds the partition columns. A target row can then match a batch key
-        only if those columns agree with some batch row, so the target scan
-        is narrowed without changing the result:
-
-        * all partition columns implied: a partition filter on the batch's
-          distinct partition values (bounded by the partition count);
-        * any other implied column: a literal ``[min, max]`` range of the
-          batch (plus ``IS NULL`` when the batch has NULLs) that Parquet
-          statistics use to skip files, e.g. the recent time window of a
-          stream batch against a table clustered by time.
-        """
+        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append rows with new keys only.
+
+        ``key_implies`` names columns whose value is fixed by the key (those a content key
+        hashes); ``key_implies_partition=True`` adds the partition columns. A target row can
+        then match only if those columns agree with some batch row, so the target scan is
+        narrowed to the batch's partitions and to literal [min, max] ranges that Parquet
+        statistics use to skip files. The result is the same."""
         implied = list(key_implies or [])
         if key_implies_partition:
             implied += [c for c in self.partition_by if c not in implied]
@@ -490,15 +361,30 @@ class ParquetTable:
         new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names)
         return self.append(new, operation=OP_MERGE, txn=txn)
 
+    def _partition_filter(self, parts: list[tuple]) -> Column:
+        """Rows in the given partitions, as a flat partition filter; NULL values NULL-safe."""
+        cols = self.partition_by
+        plain = [p for p in parts if all(v is not None for v in p)]
+        terms = []
+        if plain and len(cols) == 1:
+            terms.append(F.col(cols[0]).isin([p[0] for p in plain]))
+        elif plain:
+            terms.append(F.struct(*cols).isin(
+                [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, p)]) for p in plain]))
+        for p in parts:
+            if any(v is None for v in p):
+                terms.append(reduce(lambda a, b: a & b,
+                                    [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, p)]))
+        return reduce(lambda a, b: a | b, terms)
+
     def _implied_scope(self, updates: DataFrame, implied: list[str]) -> Column | None:
-        """Filter on the target implied by the batch's values (None: the
-        batch is empty). Bounds are computed by one aggregation and turned
-        into literals of the column's type via Spark's own text form, so
-        they are exact in any session time zone."""
+        """Filter on the target implied by the batch's values (None: the batch is empty). The
+        driver receives one row of bounds, and one row per table partition the batch touches.
+        Bounds go through Spark's own text form, so they are exact in any session time zone."""
         conds = []
         ranged = [c for c in implied if c not in self.partition_by]
         if self.partition_by and all(c in implied for c in self.partition_by):
-            parts = self._partitions_of(updates)
+            parts = [tuple(r) for r in updates.select(*self.partition_by).distinct().collect()]
             if not parts:
                 return None
             conds.append(self._partition_filter(parts))
@@ -517,144 +403,99 @@ class ParquetTable:
                 dtype = self.schema[c].dataType
                 cond = (F.col(c).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype))
                         if lo is not None else F.lit(False))
-                if has_null:
-                    cond = cond | F.col(c).isNull()
-                conds.append(cond)
+                conds.append(cond | F.col(c).isNull() if has_null else cond)
         return reduce(lambda a, b: a & b, conds)
 
+    def _visible_located(self, as_of: int | None = None) -> DataFrame:
+        ops = self.live_ops(as_of)
+        return self._hide(self._rows(ops), ops, located=True)
+
     def upsert(self, updates: DataFrame) -> None:
-        """``MERGE … WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *``.
-
-        Only partitions holding a matched key or receiving a source row are
-        rewritten."""
-        merge_ops.check_unique_keys(updates, self.key)
-        src = self._project(updates)
-        if not self.partition_by:
-            self._rewrite_all(merge_ops.merge_upsert(self.read(), src, self.key, check=False),
-                              OP_MERGE, {"matched": "updateAll", "notMatched": "insertAll"}, {})
-            return
-        target = self.read()
-        keys = src.select(*self.key)
-        matched = target.join(broadcast_if_small(keys), self.key, "left_semi")
-        parts = sorted(set(self._partitions_of(matched)) | set(self._partitions_of(src)),
-                       key=repr)
-        if not parts:
-            return
-        scope = target.filter(self._partition_filter(parts))
-        rows = merge_ops.merge_upsert(scope, src, self.key, check=False)
-        self._rewrite_partitions(rows, parts, OP_MERGE,
-                                 {"matched": "updateAll", "notMatched": "insertAll"}, {})
-
-    def delete(self, pred: Column | str, soft: bool = False) -> int:
-        """``DELETE FROM t WHERE pred`` (NULL predicate keeps the row).
-
-        ``soft=True`` writes tombstones only (merge-on-read); otherwise the
-        touched partitions are rewritten (copy-on-write). Tombstones name
-        rows by (partition, key), so soft deletes rely on the table key being
-        non-NULL and unique within a partition; use ``soft=False`` otherwise."""
-        p = as_column(pred)
-        hit = self.read().filter(is_true(p))
-        if soft:
-            obs = Observation()
-            tombs = hit.select(*self.partition_by, *self.key)
-            if self.rebalance and self.partition_by:
-                tombs = tombs.hint("rebalance", *self.partition_by)   # few files per partition
-            w = tombs.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
-            if self.partition_by:
-                w = w.partitionBy(*self.partition_by)
-            w.parquet(self.tomb_path())
-            n = int(obs.get["n"])
-            before = self._known_tombstones()
-            self._log(OP_DELETE, {"predicate": _pred_text(pred), "soft": "true"},
-                      {"numDeletedRows": n},
-                      tombstones=None if before is None else before + n)
-            return n
-        if not self.partition_by:
-            n = hit.count()
-            self._rewrite_all(self.read().filter(~is_true(p)), OP_DELETE,
-                              {"predicate": _pred_text(pred)}, {"numDeletedRows": n})
-            return n
-        parts = self._partitions_of(hit)
-        if not parts:
-            self._log(OP_DELETE, {"predicate": _pred_text(pred)}, {"numDeletedRows": 0})
-            return 0
-        obs = Observation()
-        scope = (self.read().filter(self._partition_filter(parts))
-                 .observe(obs, F.count(F.lit(1)).alias("n")))
-        rows = scope.filter(~is_true(p))
-        n_out = self._rewrite_partitions(rows, parts, OP_DELETE,
-                                         {"predicate": _pred_text(pred)}, {})
-        return int(obs.get["n"]) - n_out
+        """``MERGE … WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *``: the source is written
+        once; its keys, read back, mark the rows it replaces."""
+        path = self._stage()
+        n = self._write_rows(updates, path)["rows"]
+        src = self.spark.read.schema(self.schema).parquet(path)
+        try:
+            merge_ops.check_unique_keys(src, self.key)
+        except ValueError:
+            files.delete(self.spark, path)
+            raise
+        matched = self._visible_located().join(src.select(*self.key), self.key, "left_semi")
+        self._commit(OP_MERGE, gone=matched.select(FILE, ROW), staged=(path, n))
+
+    def delete(self, pred: Column | str) -> int:
+        """``DELETE FROM t WHERE pred`` (a NULL predicate keeps the row): one pruned scan and
+        one small write of marks. ``purge`` removes the rows from the files."""
+        hit = self._visible_located().filter(is_true(as_column(pred)))
+        return self._commit(OP_DELETE, gone=hit.select(FILE, ROW)).gone
 
     def replace_where(self, pred: Column | str, new_rows: DataFrame) -> None:
-        """``INSERT INTO t REPLACE WHERE pred (new_rows)``, atomic per call.
-
-        New rows must satisfy ``pred``. Only partitions holding a matching
-        row or receiving a new row are rewritten."""
+        """``INSERT INTO t REPLACE WHERE pred (new_rows)``: one operation, all or nothing.
+        New rows must satisfy ``pred``; they may be computed from the table."""
         p = as_column(pred)
-        src = self._project(new_rows)
-        if not src.filter(~is_true(p)).isEmpty():
+        path = self._stage()
+        got = self._write_rows(new_rows, path, stray=~is_true(p))
+        if got["stray"]:
+            files.delete(self.spark, path)
             raise ValueError("replace_where: some new rows do not satisfy the predicate")
-        if not self.partition_by:
-            rows = self.read().filter(~is_true(p)).unionByName(src)
-            self._rewrite_all(rows, OP_WRITE, {"mode": "Overwrite", "predicate": _pred_text(pred)}, {})
-            return
-        visible = self.read()
-        parts = sorted(set(self._partitions_of(visible.filter(is_true(p))))
-                       | set(self._partitions_of(src)), key=repr)
-        if not parts:
-            return
-        rows = (visible.filter(self._partition_filter(parts)).filter(~is_true(p))
-                .unionByName(src))
-        self._rewrite_partitions(rows, parts, OP_WRITE,
-                                 {"mode": "Overwrite", "predicate": _pred_text(pred)}, {})
+        hit = self._visible_located().filter(is_true(p))
+        self._commit(OP_WRITE, gone=hit.select(FILE, ROW), staged=(path, got["rows"]))
+
+    # --- maintenance ----------------------------------------------------------
+
+    def _rewrite_files(self, operation: str, names: DataFrame, shape=lambda df: df,
+                       rebalance: bool = True) -> None:
+        """Write the visible rows of the named files anew, and mark those files as replaced."""
+        names = names.select(FILE).distinct()
+        rows = shape(self._visible_located().join(names, FILE, "left_semi").select(*self.schema.names))
+        self._commit(operation, rows, dead=names, rebalance=rebalance)
+        self.vacuum()
 
     def purge(self, where: Column | str | None = None) -> None:
-        """``REORG TABLE t [WHERE partition-pred] APPLY (PURGE)``.
-
-        Rewrites the partitions (matching ``where``) that hold tombstones,
-        from their visible rows, and drops those tombstones. Visible rows do
-        not change. Snapshots pinned to the rewritten files become invalid."""
-        tombs = self._tombstone_frame()
-        if tombs is None:
-            return
+        """``REORG TABLE t [WHERE partition-pred] APPLY (PURGE)``: rewrite the files (matching
+        ``where``) that hold deleted rows. Visible rows do not change."""
+        marked = self.tombstones().select(FILE).distinct()
+        ops = self.live_ops()
+        scope = self._rows(ops)
         if where is not None:
-            tombs = tombs.filter(as_column(where))
-        if not self.partition_by:
-            if not tombs.isEmpty():
-                self._rewrite_all(self.read(), OP_REORG, {"purge": "true"}, {})
-            return
-        parts = self._partitions_of(tombs)
-        if not parts:
-            return
-        rows = self.read().filter(self._partition_filter(parts))
-        self._rewrite_partitions(rows, parts, OP_REORG,
-                                 {"purge": "true", "predicate": _pred_text(where)}, {})
+            scope = scope.filter(as_column(where))
+        self._rewrite_files(OP_REORG, self._located(scope).select(FILE).join(marked, FILE, "left_semi"))
 
     def cluster_by(self, time_column: str, num_ranges: int | None = None,
                    where: Column | str | None = None) -> None:
-        """``OPTIMIZE t [WHERE partition-pred] ZORDER BY (time_column)``.
-
-        Rows are range-partitioned and sorted by (partition columns, time),
-        so files inside a partition cover disjoint time ranges. Without
-        ``where`` the whole table is rewritten into a new folder; with a
-        predicate on partition columns only the matching partitions are
-        rewritten in place (their tombstones are folded in)."""
-        if where is None or not self.partition_by:
-            rows = cluster_by_time(self.read(), self.partition_by, time_column, num_ranges)
-            # The range exchange is the distribution: no rebalance on top of it.
-            self._rewrite_all(rows, OP_OPTIMIZE, {"zOrderBy": time_column}, {}, rebalance=False)
-            return
-        scope = self.read().filter(as_column(where))
-        parts = self._partitions_of(scope)
-        if not parts:
-            return
-        rows = cluster_by_time(scope, self.partition_by, time_column, num_ranges)
-        self._rewrite_partitions(rows, parts, OP_OPTIMIZE,
-                                 {"zOrderBy": time_column, "predicate": _pred_text(where)},
-                                 {}, rebalance=False)
-
-    # --- copies, snapshots and metadata -------------------------------------
+        """``OPTIMIZE t [WHERE partition-pred] ZORDER BY (time_column)``: rows range-partitioned
+        and sorted by (partition columns, time), ranges of about ``CLUSTER_BYTES``; the whole
+        table, or the files of the partitions that ``where`` selects."""
+        n = num_ranges or max(1, -(-files.total_bytes(self.spark, self.data_path()) // CLUSTER_BYTES),
+                              self.spark.sparkContext.defaultParallelism)
+
+        def shape(df):
+            return cluster_by_time(df, self.partition_by, time_column, n)
+
+        if where is None:
+            self._commit(OP_OPTIMIZE, shape(self.read()), full=True, rebalance=False)
+            self.vacuum()
+        else:
+            scope = self._rows(self.live_ops()).filter(as_column(where))
+            self._rewrite_files(OP_OPTIMIZE, self._located(scope).select(FILE), shape, rebalance=False)
+
+    def vacuum(self) -> bool:
+        """Remove files that rewrites replaced, unless a snapshot is live (then nothing)."""
+        if files.list_children(self.spark, f"{self.data_path()}/_pins"):
+            return False
+        live = self.live_ops()
+        for o in self.ops():
+            if o.seq < live[0].seq:
+                for child in files.list_children(self.spark, self._op_path(o)):
+                    files.delete(self.spark, f"{self._op_path(o)}/{child}")
+        dead = self._marks(live, "dead")
+        if dead is not None:
+            for r in dead.toLocalIterator():        # one file name at a time
+                files.delete(self.spark, f"{self.data_path()}/{OP}={r[FILE]}")
+        return True
+
+    # --- copies, snapshots and metadata -----------------------------------------
 
     def deep_clone(self, root: str, replace: bool = False) -> ParquetTable:
         """``CREATE TABLE c CLONE t``: an independent copy of the visible rows."""
@@ -662,107 +503,113 @@ class ParquetTable:
                                       self.key, replace=replace, operation=OP_CLONE)
 
     def snapshot(self) -> Snapshot:
-        """``SHALLOW CLONE``: pin the current data and tombstone files."""
-        data_files = self.spark.read.schema(self.schema).parquet(self.data_path()).inputFiles()
-        tomb_path = self.tomb_path()
-        tomb_files = (self.spark.read.parquet(tomb_path).inputFiles()
-                      if files.exists(self.spark, tomb_path) else [])
-        return Snapshot(self, self.data_path(), tomb_path, list(data_files), list(tomb_files))
-
-    def register_like(self, name: str) -> DataFrame:
-        """``CREATE TABLE name LIKE t COPY LOCATION``: an external catalog
-        table over the same folder, partitions recovered."""
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-        parts = (f" PARTITIONED BY ({', '.join(f'`{c}`' for c in self.partition_by)})"
-                 if self.partition_by else "")
-        self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{parts} "
-                       f"LOCATION '{self.data_path()}'")
-        if self.partition_by:
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        return self.spark.table(name).select(*self.schema.names)
+        """``SHALLOW CLONE``: the table as of now. It holds a number, no files; while it is
+        live (until ``release``) replaced files stay."""
+        seq = self.version()
+        pin = f"{self.data_path()}/_pins/{seq}-{uuid.uuid4().hex[:12]}"
+        files.mkdirs(self.spark, pin)
+        return Snapshot(self, seq, pin)
+
+    def register(self, name: str) -> DataFrame:
+        """Publish the visible rows in the catalog as ``name`` (``CREATE TABLE … LIKE … COPY
+        LOCATION``): an external table ``<name>_files_<version>`` over the same files, and a view
+        of its visible rows. Each later operation makes them anew (other sessions may hold what
+        an old name meant)."""
+        if self.name != name:
+            self.name = name
+            self._write_meta(self.version() + 1)
+        ops, old = self.live_ops(), self._registered_files(name)
+        raw = f"{name}_files_{ops[-1].seq}"
+        fields = [*self.schema.fields, T.StructField(OP, T.StringType())]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        parts = ", ".join(f"`{c}`" for c in [OP, *self.partition_by])
+        self.spark.sql(f"DROP TABLE IF EXISTS {raw}")
+        self.spark.sql(f"CREATE TABLE {raw} ({cols}) USING parquet PARTITIONED BY ({parts}) LOCATION '{self.data_path()}'")
+        self.spark.sql(f"ALTER TABLE {raw} RECOVER PARTITIONS")
+        sql = (f"SELECT {', '.join(f'b.`{c}`' for c in self.schema.names)} FROM (SELECT *, "
+               f"substring_index(_metadata.file_path, '/{OP}=', -1) AS {FILE}, _metadata.row_index AS {ROW} "
+               f"FROM {raw} WHERE {OP} >= '{ops[0].name}') b")
+        for kind, on in (("gone", f"b.{FILE} = x{{i}}.{FILE} AND b.{ROW} = x{{i}}.{ROW}"), ("dead", f"b.{FILE} = x{{i}}.{FILE}")):
+            marks = [f"SELECT * FROM parquet.`{self._op_path(o)}/_{kind}`" for o in ops if getattr(o, kind)]
+            if marks:
+                sql += f" LEFT ANTI JOIN ({' UNION ALL '.join(marks)}) x{kind} ON {on.format(i=kind)}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('tidepool.root' = '{self.root}', "
+                       f"'tidepool.files' = '{raw}') AS {sql}")
+        if old and old != raw:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return self.spark.table(name)
+
+    def _registered_files(self, name: str) -> str | None:
+        if not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        return {r["key"]: r["value"] for r in rows}.get("tidepool.files")
+
+    def unregister(self) -> None:
+        """Take the table's name out of the catalog; the files stay."""
+        if self.name:
+            raw = self._registered_files(self.name)
+            self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {raw}")
+            self.name = None
+            self._write_meta(self.version() + 1)
 
     def as_view(self, name: str, global_view: bool = False) -> DataFrame:
         """Publish the visible rows for SQL: a session view, or a global one
         (``global_temp.<name>``) that SQL in another session can read."""
         df = self.read()
-        if global_view:
-            df.createOrReplaceGlobalTempView(name)
-        else:
-            df.createOrReplaceTempView(name)
+        (df.createOrReplaceGlobalTempView if global_view else df.createOrReplaceTempView)(name)
         return df
 
     def changes_since(self, snapshot: Snapshot) -> DataFrame:
-        """Row changes from a snapshot to the current version (insert,
-        delete, update pre/post image), keyed on the table key.
-
-        A partition whose data and tombstone files are the same in both
-        versions holds the same rows, so it cannot change. The pinned file
-        lists are compared with the current ones (metadata only), and both
-        versions are restricted to the partitions with a differing file
-        before the join. A full rewrite differs everywhere: the whole table."""
-        before, after = snapshot.read(), self.read()
-        if not self.partition_by:
-            return change_ops.change_feed(before, after, self.key)
-        now = self.snapshot()
-        differing = [
-            (now.data_dir, set(now.data_files) - set(snapshot.data_files)),        # added
-            (snapshot.data_dir, set(snapshot.data_files) - set(now.data_files)),   # removed
-            (now.tomb_dir, set(now.tomb_files) - set(snapshot.tomb_files)),
-            (snapshot.tomb_dir, set(snapshot.tomb_files) - set(now.tomb_files)),
-        ]
-        parts: set[tuple] = set()
-        for base, paths in differing:
-            if paths:       # partition values come from the paths (basePath)
-                found = self.spark.read.option("basePath", base).parquet(*sorted(paths))
-                parts |= set(self._partitions_of(found))
-        if not parts:
-            return change_ops.change_feed(before.limit(0), after.limit(0), self.key)
-        scope = self._partition_filter(sorted(parts, key=repr))
-        return change_ops.change_feed(before.filter(scope), after.filter(scope), self.key)
+        """Row changes since a snapshot (insert, delete, update pre/post image) by table key:
+        only rows that later operations marked or added are compared. After a full rewrite
+        both versions are."""
+        later = [o for o in self.ops() if o.seq > snapshot.seq]
+        if any(o.full for o in later):
+            return change_ops.change_feed(snapshot.read(), self.read(), self.key)
+        cols, ops = self.schema.names, self.live_ops()
+        old = self._visible_located(snapshot.seq)
+        parts = [old.join(m.distinct(), [c for c in (FILE, ROW) if c in m.columns], "left_semi")
+                 for m in (self._marks(later, "gone"), self._marks(later, "dead")) if m is not None]
+        before = reduce(DataFrame.unionByName, parts).distinct() if parts else old.limit(0)
+        added = self._rows(later) if later else self._rows(ops).limit(0)
+        return change_ops.change_feed(before.select(*cols), self._hide(added, ops).select(*cols), self.key)
 
     def history(self) -> DataFrame:
-        """``DESCRIBE HISTORY``: newest first."""
-        return (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-                .dropDuplicates(["version"])
-                .select("version", "timestamp", "operation", "parameters", "metrics")
-                .orderBy(F.col("version").desc()))
-
-    def compact_history(self) -> None:
-        """Merge the history's one-file-per-operation into a single file.
-
-        The merged file is written first, then the old files are deleted.
-        A crash in between leaves each row twice, which every reader of the
-        history tolerates (rows are identical; ``history()`` de-duplicates)."""
-        old = [n for n in files.list_children(self.spark, self.history_path)
-               if n.endswith(".parquet")]
-        if len(old) < 2:
-            return
-        rows = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-                .dropDuplicates(["version"]))
-        rows.coalesce(1).write.mode("append").parquet(self.history_path)
-        for name in old:
-            files.delete(self.spark, f"{self.history_path}/{name}")
+        """``DESCRIBE HISTORY``, newest first: version, operation, rows added and deleted."""
+        rows = [(o.seq, o.operation, o.rows, o.gone) for o in reversed(self.ops())]
+        return self.spark.createDataFrame(
+            rows, "version long, operation string, num_output_rows long, num_deleted_rows long")
+
+    def files(self) -> DataFrame:
+        """The data files that count, from a file listing (no file is opened): the partition
+        columns as text, ``file`` and ``bytes``."""
+        found = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(self.data_path())
+                 .select(F.substring_index("path", f"/{OP}=", -1).alias(FILE), F.col("length").alias("bytes")))
+        ops = self.live_ops()
+        dead = self._marks(ops, "dead")
+        found = found.filter(F.col(FILE) >= ops[0].name)
+        if dead is not None:
+            found = found.join(dead, FILE, "left_anti")
+        return found.select(*[F.regexp_extract(FILE, f"/{c}=([^/]*)", 1).alias(c) for c in self.partition_by],
+                            F.col(FILE).alias("file"), "bytes")
+
+    def base_files(self) -> DataFrame:
+        """The files as the rows see them: partition columns, size and rows of each."""
+        rows = self._rows(self.live_ops()).select(*self.partition_by, "_metadata.file_path", "_metadata.file_size")
+        return rows.groupBy(*self.partition_by, "file_path").agg(
+            F.max("file_size").alias("size"), F.count(F.lit(1)).alias("rows"))
 
     def detail(self) -> dict:
-        """``DESCRIBE DETAIL``: location, partition columns, and per-file
-        facts (files, bytes, partition folders) from one aggregation over
-        file metadata; the live tombstone count comes from the history."""
-        per_file = (self.spark.read.schema(self.schema).parquet(self.data_path())
-                    .select("_metadata.file_path", "_metadata.file_size").distinct())
-        f = (per_file.agg(
-                F.count(F.lit(1)).alias("numFiles"),
-                F.coalesce(F.sum("file_size"), F.lit(0)).alias("sizeInBytes"),
-                F.countDistinct(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1))
-                 .alias("folders"))
-             .first())
-        tombs = self._known_tombstones()
-        if tombs is None:
-            t = self._tombstone_frame()
-            tombs = 0 if t is None else t.count()
+        """``DESCRIBE DETAIL``: location, partition columns, files, bytes, marks, version."""
+        f = self.files().agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+                             *([F.countDistinct(F.struct(*self.partition_by)).alias("parts")] if self.partition_by else [])).first()
         return {"location": self.data_path(), "partitionColumns": list(self.partition_by),
-                "numFiles": int(f["numFiles"]), "sizeInBytes": int(f["sizeInBytes"]),
-                "numPartitions": int(f["folders"]) if self.partition_by else 0,
-                "numTombstones": int(tombs), "version": self.version()}
+                "numFiles": int(f["n"]), "sizeInBytes": int(f["bytes"]),
+                "numPartitions": int(f["parts"]) if self.partition_by else 0,
+                "numTombstones": self.tombstones().count(), "version": self.version()}
 
     def partition_counts(self) -> DataFrame:
         """Visible rows per partition."""
@@ -770,31 +617,13 @@ class ParquetTable:
 
 
 class Snapshot:
-    """A shallow snapshot: the files of a table at one moment.
+    """A table as of one operation; unaffected by all later ones until released."""
 
-    Reads are unaffected by later appends, deletes and soft deletes of the
-    source; once ``purge``/rewrites replace the pinned files, a read fails
-    (the files are gone) instead of returning changed rows.
-    """
-
-    def __init__(self, table: ParquetTable, data_dir: str, tomb_dir: str,
-                 data_files: list[str], tomb_files: list[str]):
-        self.table = table
-        self.data_dir = data_dir
-        self.tomb_dir = tomb_dir
-        self.data_files = data_files
-        self.tomb_files = tomb_files
+    def __init__(self, table: ParquetTable, seq: int, pin: str):
+        self.table, self.seq, self.pin = table, seq, pin
 
     def read(self) -> DataFrame:
-        t = self.table
-        if not self.data_files:
-            return t.spark.createDataFrame([], t.schema)
-        base = (t.spark.read.schema(t.schema).option("basePath", self.data_dir)
-                .parquet(*self.data_files).select(*t.schema.names))
-        if not self.tomb_files:
-            return base
-        cols = t.partition_by + t.key
-        tschema = T.StructType([t.schema[c] for c in cols])
-        tombs = (t.spark.read.schema(tschema).option("basePath", self.tomb_dir)
-                 .parquet(*self.tomb_files).select(*cols))
-        return t._visible(base, tombs)
+        return self.table.read(as_of=self.seq)
+
+    def release(self) -> None:
+        files.delete(self.table.spark, self.pin)

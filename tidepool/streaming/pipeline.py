@@ -4,11 +4,13 @@ Both use ``foreachBatch`` into a :class:`ParquetTable` and run to drain
 (``availableNow``), awaited, one checkpoint per hop:
 
 * raw → bronze: CSV feed → cleaning → provenance → content key → append.
-  The append carries ``(query name @ checkpoint, batch id)``, so a batch
-  replayed after a failure adds nothing, while a run from a *new*
-  checkpoint (which restarts at batch 0) is not mistaken for a replay.
-* bronze → silver: insert-only merge on the key. With content keys a replay
-  from a fresh checkpoint adds nothing either.
+  A batch is one folder named by ``(query name @ checkpoint, batch id)`` that
+  appears whole or not at all, so a batch replayed after a failure adds nothing,
+  while a run from a *new* checkpoint (which restarts at batch 0) is not mistaken
+  for a replay.
+* bronze → silver: insert-only merge on the key, repeats inside a batch dropped
+  too. Silver holds each reading (time, value, unit, measurement, location) once,
+  whatever the batch size, and a replay from a fresh checkpoint adds nothing.
 
 A streaming Parquet *file sink* is not used: it keeps its own batch log,
 and with a new checkpoint it silently skips batches it thinks are done.
@@ -22,17 +24,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.functions.cleaning import clean_raw_data
 from tidepool.functions.keys import content_key
-from tidepool.sources.sensor import (SILVER_COLUMNS, SILVER_PARTITIONS, sensor_schema,
-                                     stream_sensor_csv, with_provenance)
+from tidepool.operators.merge import one_per_key
+from tidepool.sources.sensor import (RAW_COLUMNS, SILVER_COLUMNS, SILVER_PARTITIONS,
+                                     SKIP_COLUMNS, sensor_schema, stream_sensor_csv, with_provenance)
 from tidepool.sources.table import OP_STREAM, ParquetTable
 
 # The measurement content that identifies a reading.
 INGEST_KEY_COLUMNS = ["MeasurementDateTime", "SensorValue", "SensorUnitDescription",
                       "SensorMeasurement", "SensorLocation"]
 
-BRONZE_COLUMNS = ["WindowAverageStartDateTime", "WindowAverageStopDateTime",
-                  "MeasurementDateTime", "SensorValue", "SensorUnitDescription",
-                  "SensorMeasurement", "SensorLocation", "Id", "InputFileName"]
+BRONZE_COLUMNS = [c for c in RAW_COLUMNS if c not in SKIP_COLUMNS] + ["InputFileName"]
 
 
 def bronze_schema(timestamp_type: T.DataType | None = None) -> T.StructType:
@@ -105,12 +106,11 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
     src = bronze.stream(max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # The merge runs several jobs over the batch (partition values, size
-        # check, write): persist it (memory and disk) rather than re-read its
+        # The merge runs several jobs over the batch (its bounds, the write): persist it (memory and disk) rather than re-read its
         # source files for each; lost blocks are recomputed from lineage.
         batch.persist()
         try:
-            silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id),
+            silver.merge_insert_only(one_per_key(batch, silver.key), txn=(_app_id(query_name, checkpoint), batch_id),
                                      key_implies_partition=key_implies_partition,
                                      key_implies=key_implies)
         finally:
@@ -167,11 +167,11 @@ def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
     raw_schema = schema or sensor_schema()
     ts_type = raw_schema["MeasurementDateTime"].dataType
     b_schema = bronze_schema(ts_type)
-    if files.exists(spark, f"{bronze_root}/_history"):
+    if ParquetTable.exists(spark, bronze_root):
         bronze = ParquetTable.open(spark, bronze_root)
     else:
         bronze = ParquetTable.create(spark, bronze_root, b_schema)
-    if files.exists(spark, f"{silver_root}/_history"):
+    if ParquetTable.exists(spark, silver_root):
         silver = ParquetTable.open(spark, silver_root)
     else:
         silver = ParquetTable.create(spark, silver_root,
@@ -180,9 +180,8 @@ def run_sensor_pipeline(spark: SparkSession, source_dir: str, root: str,
     ingest_raw_to_bronze(spark, source_dir, bronze, ckpt_raw, schema=raw_schema,
                          max_files_per_trigger=max_files_per_trigger,
                          timestamp_format=timestamp_format, trigger=trigger)
-    # The ingest key hashes location, measurement and time: each batch probes
-    # only the silver partitions it touches, within its own time range (files
-    # outside it are skipped by Parquet statistics once silver is clustered).
+    # The ingest key hashes location, measurement and time, so each batch probes
+    # only the silver partitions it touches, within its own time range.
     merge_bronze_to_silver(bronze, silver, ckpt_silver,
                            max_files_per_trigger=max_files_per_trigger, trigger=trigger,
                            key_implies_partition=True, key_implies=["MeasurementDateTime"])
