@@ -1,0 +1,383 @@
+"""The operators on the smallest table against plain Python, and on odd inputs."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tests.llm.conftest import LONG, ROWS
+from tests.plans import plan_text
+from tidepool.llm import (
+    components,
+    decontaminate,
+    language,
+    language_model,
+    mixing,
+    nearest,
+    secrets,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
+from tidepool.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def by_id(frame):
+    return {r["doc_id"]: r for r in frame.collect()}
+
+
+# language ID
+
+def test_language_held_out_accuracy(spark, sample_docs):
+    lang = {r["doc_id"]: r["lang"] for r in sample_docs[0].select("doc_id", "lang").collect()}
+    got = by_id(QUERIES["op1_language"](spark, SF))
+    held = [r for r in got.values() if r["held_out"]]
+    assert len(got) == len(lang) and held
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) / len(held) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_language_odd_inputs(odd_docs, no_docs):
+    rows = language.identify(odd_docs, odd_docs).select("row.text", "row.fp", "lang_pred", "score").collect()
+    assert len(rows) == len(ROWS) and {r["fp"] for r in rows} == {"clash"}
+    for r in rows:
+        none = not language.words_of(r["text"])
+        assert (r["lang_pred"] == "und") == none and (r["score"] == 0) == none
+    assert language.identify(no_docs, no_docs).count() == 0
+    assert {r["lang_pred"] for r in language.identify(odd_docs, no_docs).collect()} == {"und"}
+
+
+# toxicity
+
+def test_toxicity_query_shape(spark, sample_docs):
+    got = by_id(QUERIES["op2_toxicity"](spark, SF))
+    assert len(got) == len(sample_docs[1])
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got.values())
+
+
+def test_toxicity_odd_inputs(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1), (6, 0), (9, 0), (None, 1), (14, None), (11, 1), (99, 0)], "doc_id long, toxic int")
+    rows = toxicity.judge(odd_docs, odd_docs, labels).select("row.text", "score").collect()
+    assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if not toxicity.words_of(r["text"])}) == 1
+    none = labels.limit(0)
+    assert {r["score"] for r in toxicity.judge(odd_docs, odd_docs, none).collect()} == {0.0}
+    assert toxicity.judge(no_docs, odd_docs, labels).count() == 0
+
+
+# url filters
+
+def test_url_rules_and_parts(spark):
+    urls = {"http://A.B.net/x?q#f": ("a.b.net", "/x", "net/", "block"), "https://example.net/en/1": ("example.net", "/en/1", "example.net/en/", "allow"),
+            "https://www.Example.NET/en": ("www.example.net", "/en", "net/", "block"), "//x.net/": ("", "", None, None), None: ("", "", None, None),
+            "http://example.com/de/": ("example.com", "/de/", "example.com/de/", "block"), "http://notexample.com/de/": ("notexample.com", "/de/", None, None),
+            "ftp://x.org/fr/1": ("x.org", "/fr/1", "org/fr/", "allow"), "a://b://c/d": ("b:", "//c/d", None, None), "http://net": ("net", "", None, None),
+            "http://cheap-pills.org/en/5": ("cheap-pills.org", "/en/5", None, "block"), "": ("", "", None, None)}
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    got = {r["page_id"]: r for r in url_filter.judge(pages).collect()}
+    weights = url_filter.trained()
+    for i, (host, path, rule, verdict) in enumerate(urls.values()):
+        r = got[i]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        grams = url_filter.features(host, path)
+        z = weights[-1] + (sum(weights[g] for g in grams) / math.sqrt(len(grams)) if grams else 0)
+        assert abs(r["score"] - z) < 1e-5
+        assert r["verdict"] == (verdict or ("block" if z > 0 else "allow"))
+    assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_url_model_learns_its_table():
+    weights = url_filter.trained()
+    right = 0
+    for url, y in url_filter.labelled_urls():
+        grams = url_filter.features(*url_filter.plain_host_path(url))
+        right += (weights[-1] + sum(weights[g] for g in grams) / math.sqrt(len(grams)) > 0) == y
+    assert right == len(url_filter.labelled_urls())
+
+
+# mixing
+
+def test_mixing_meets_its_targets(sample_docs):
+    rows = mixing.taken_words(sample_docs[0]).collect()
+    again = {r["doc_id"]: r["taken"] for r in mixing.taken_words(sample_docs[0].repartition(5)).collect()}
+    texts = dict(sample_docs[1])
+    assert len(rows) == len(texts)
+    source = {}
+    for r in rows:
+        assert r["size"] == len((texts[r["doc_id"]] or "").encode().split())
+        assert 0 <= r["taken"] <= 2 * r["size"] and again[r["doc_id"]] == r["taken"]
+        s = source.setdefault(r["source"], [0, 0, r["source_size"], r["target"]])
+        s[0] += r["size"]
+        s[1] += r["taken"]
+    for size, taken, source_size, target in source.values():
+        assert size == source_size and abs(taken - target) <= 2 * mixing.BLOCK + 0.02 * target
+    want = mixing.targets([source[k][2] for k in sorted(source)])
+    np.testing.assert_allclose([source[k][3] for k in sorted(source)], want)
+
+
+def test_mixed_blocks_hold_the_taken_words(sample_docs):
+    docs = sample_docs[0]
+    blocks = mixing.mixed_blocks(docs, shard_slots=512)
+    per_doc = {r["doc_id"]: r["n"] for r in blocks.groupBy("doc_id").agg(F.sum(F.size("tokens")).alias("n")).collect()}
+    taken = {r["doc_id"]: r["taken"] for r in mixing.taken_words(docs).collect() if r["taken"]}
+    assert sum(per_doc.values()) == pytest.approx(sum(taken.values()), rel=0.02)
+    slots = blocks.groupBy("shard", "slot").agg(F.countDistinct("source").alias("k"), F.sum(F.size("tokens")).alias("n"))
+    assert slots.filter(f"k != 1 or n > {mixing.BLOCK}").count() == 0
+
+
+def test_mixing_odd_inputs(odd_docs, no_docs):
+    rows = mixing.taken_words(odd_docs).collect()
+    assert len(rows) == len(ROWS)
+    assert all(r["taken"] <= 2 * r["size"] and r["target"] is not None for r in rows)
+    assert mixing.taken_words(no_docs).count() == 0
+    assert mixing.taken_words(odd_docs.filter("text is null")).agg(F.sum("taken")).first()[0] == 0
+
+
+# decontamination
+
+def test_decontamination_equals_plain(spark, sample_docs, odd_docs, no_docs):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    plain = [(r["item_id"], r["text"]) for r in items.collect()]
+    got = sorted(map(tuple, decontaminate.report(sample_docs[0], items).collect()))
+    assert got == sorted(brute.contaminated(sample_docs[1], plain)) and any(r[5] for r in got)
+    odd = spark.createDataFrame([(1, "THE CAT"), (2, None), (3, ""), (4, "x"), (4, "x"), (5, ROWS[-1][1].upper()), (10, "eta theta"),
+                                 (None, "dog"), (6, "σασ"), (7, "ΣΑΣ")], "item_id long, text string").withColumn("words", F.lit(1))
+    plain = [(r["item_id"], r["text"]) for r in odd.collect()]
+    want = brute.contaminated([(i, t) for i, t, _, _ in ROWS], [(i, t) for i, t in plain if i is not None])
+    got = decontaminate.report(odd_docs, odd.filter("item_id is not null"))
+    key = lambda r: (str(r[0]), *map(str, r[1:]))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert decontaminate.report(no_docs, odd).count() == 0
+    assert decontaminate.report(odd_docs, odd.limit(0)).filter("contaminated").count() == 0
+
+
+def test_proximity_matches(spark):
+    docs = spark.createDataFrame([(1, "iota far kappa then theta"), (2, "iota only here"), (3, "kappa theta iota")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "theta iota kappa")], "item_id long, text string")
+    train, phrase = decontaminate.keyed(docs), decontaminate.phrases(items)
+    lead = decontaminate.leads(phrase, decontaminate.term_counts(train, phrase))
+    index = decontaminate.postings(train, lead)
+    names = train.select("doc", "doc_id")
+    near = decontaminate.proximity_matches(index, lead).join(names, "doc")
+    assert {r["doc_id"] for r in near.collect()} == {1, 3}
+    assert decontaminate.phrase_matches(index, lead).count() == 0
+
+
+# nearest neighbours
+
+def test_nearest_recall_and_scores(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    got = {}
+    for r in QUERIES["op6_nearest"](spark, "/root/testdata/sf0.01").collect():
+        got.setdefault(r["query_id"], []).append(r)
+    hit = total = 0
+    for q in ids[ids % 50 == 0].tolist():
+        v = x[ids == q][0]
+        s = (x * v).sum(1) / np.sqrt((x * x).sum(1) * (v * v).sum())
+        best = [i for i in ids[np.lexsort((ids, -s))].tolist() if i != q][:5]
+        mine = sorted(got[q], key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == [1, 2, 3, 4, 5]
+        assert all(abs(r["score"] - s[ids == r["vec_id"]][0]) < 1e-12 for r in mine)
+        hit, total = hit + len({r["vec_id"] for r in mine} & set(best)), total + 5
+    assert hit / total >= 0.9
+
+
+def test_nearest_odd_inputs(spark):
+    v = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [2.0, 2.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]),
+         (6, [None, 1.0]), (7, []), (8, [1.0, 2.0, 3.0]), (100, [float("inf"), 0.0]), (150, [1.0]), (1, [1.0, 1.0]), (None, [1.0, 0.5])]
+    vectors = spark.createDataFrame(v, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash"))
+    got = nearest.search(vectors, vectors.filter("vec_id % 50 = 0")).collect()
+    assert {r["query_id"] for r in got} == {0, 50}
+    mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 0)
+    assert mine == [(1, 1), (2, 1), (3, 2), (4, 50)]
+    assert nearest.search(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def test_many_equal_vectors_stay_in_bounded_blocks(spark):
+    same = spark.range(300).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
+    got = nearest.search(same, same.filter("vec_id % 50 = 0"), block=50).collect()
+    for q in (0, 50, 250):
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [
+            i for i in range(6) if i != q][:5]
+
+
+# suffix dedup
+
+def test_suffix_dedup_equals_plain(sample_docs, odd_docs, no_docs):
+    got = sorted(map(tuple, suffix_dedup.report(sample_docs[0]).collect()))
+    assert got == sorted(brute.stripped(sample_docs[1])) and any(r[2] for r in got)
+    key = lambda r: tuple(map(str, r))
+    got = sorted(map(tuple, suffix_dedup.report(odd_docs).collect()), key=key)
+    assert got == sorted(brute.stripped([(i, t) for i, t, _, _ in ROWS]), key=key)
+    assert suffix_dedup.report(no_docs).count() == 0
+
+
+def test_hot_grams_are_cut_by_offset(spark, monkeypatch):
+    core = "".join(chr(97 + i * i % 23) for i in range(260))
+    rows = [(i, f"{'start' * 9}{i:07d}" + core + f"{i * 7919:09d}" + "rest" * 60) for i in range(30)] + [(99, LONG[:5000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "HOT_PIECES", 2)
+    assert sorted(map(tuple, suffix_dedup.report(docs).collect())) == sorted(brute.stripped(rows))
+
+
+# secrets
+
+def test_secret_spans_equal_plain(sample_docs, odd_docs, no_docs):
+    got = by_id(secrets.report(sample_docs[0]))
+    for doc, text in sample_docs[1]:
+        spans, r = brute.base_spans(text), got[doc]
+        assert r["base_sha256"] == brute.sha(brute.joined(spans))
+        assert set(brute.joined(spans).split(",")) - {""} <= set(r["spans"].split(","))
+    rows = secrets.scan(odd_docs).select("row.text", secrets.span_text(F.col("found")).alias("s")).collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        assert set(brute.joined(brute.base_spans(r["text"])).split(",")) - {""} <= set(r["s"].split(","))
+    assert secrets.report(no_docs).count() == 0
+
+
+def test_secret_corner_cases(spark):
+    texts = ["token=secret:abcdefghijkl", "API_KEY : \"abcd1234efgh\" apikey=x PassWord='12345678'", "AKIAAKIAAKIAAKIA12", "AKIA1 AKIA",
+             "f" * 31 + " " + "0" * 32 + "g", "é\U0001f600 secret=éabc secret=abcdefgh", "token = token = tokentoken",
+             "key x9Kq2LmZ84TbVw7RyP1sDf6G here", "internationalization_of_user_names stays"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(secrets.report(docs))
+    for i, t in enumerate(texts):
+        assert got[i]["base_sha256"] == brute.sha(brute.joined(brute.base_spans(t))), t
+    assert "markov:4:28" in got[7]["spans"] and got[8]["spans"] == ""
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs.withColumn("n_chars", F.length("text").cast("long"))).collect()}
+    assert clean[7] == "key [secret] here" and clean[8] == texts[8] and clean[5] == "é\U0001f600 secret=éabc [secret]"
+
+
+# SimHash
+
+def test_simhash_groups_equal_plain(sample_docs):
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.report(sample_docs[0]).collect()}
+    assert got == brute.near_groups(sample_docs[1])
+
+
+def test_simhash_odd_inputs(odd_docs, no_docs):
+    rows = simhash.report(odd_docs).collect()
+    assert len(rows) == len(ROWS)
+    zero = {r["component_id"] for r in rows if r["fingerprint"] == "0" * 16}
+    assert zero == {2}
+    kept = simhash.keep_one(odd_docs).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(
+        {r["component_id"] for r in rows if r["component_id"] is not None})
+    assert {r["fp"] for r in kept} == {"clash"}
+    assert simhash.report(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
+
+
+def test_components_equal_union_find(spark):
+    rng = np.random.default_rng(9)
+    pairs = [tuple(map(int, p)) for p in rng.integers(-500, 500, (400, 2))] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in got} and set(got) == {x for a, b in pairs if a != b for x in (a, b)}
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# language model
+
+def test_language_model_scores(spark, sample_docs, monkeypatch):
+    monkeypatch.setattr(language_model, "KNOWN", 300)  # rare words go through the join
+    got = by_id(QUERIES["op10_language_model"](spark, SF))
+    import zlib
+    from collections import Counter
+
+    count = Counter()
+    split = {i: (t or "").encode().lower().split() + [b""] for i, t in sample_docs[1]}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in split}
+    for i, ws in split.items():
+        if not held[i]:
+            count.update(ws)
+    n, v = sum(count.values()), len(count)
+    for i, ws in split.items():
+        r = got[i]
+        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(ws), sum(w in count for w in ws), n)
+        assert r["base_score"] == pytest.approx(base, abs=1e-6)
+    out = [r for r in got.values() if r["held_out"]]
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_language_model_odd_inputs(odd_docs, no_docs):
+    counts, learned = language_model.train(odd_docs)
+    rows = language_model.score(odd_docs, counts, learned).collect()
+    assert len(rows) == len(ROWS) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+    assert sorted(r["n_tokens"] for r in rows)[:5] == [1] * 4 + [2] and language_model.score(no_docs, counts, learned).count() == 0
+    counts, learned = language_model.train(no_docs)
+    rows = language_model.score(odd_docs, counts, learned).collect()
+    assert all(abs(r["base_score"]) < 1e-6 and r["n_known"] == 0 for r in rows)
+
+
+# plans and the pipeline
+
+@pytest.mark.parametrize("name", ["op3_url_filter", "op5_decontaminate", "op8_secrets"])
+def test_native_queries_run_no_python(spark, name):
+    text = plan_text(QUERIES[name](spark, SF))
+    assert not any(w in text for w in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def test_pipeline_stages_equal_plain(spark, sample_docs):
+    import corpus_pipeline as cp
+
+    docs, plain = sample_docs[0], dict(sample_docs[1])
+    stage = dict(cp.STAGES)
+    assert list(stage) == ["language", "near_duplicates", "decontamination", "secrets", "mixing"]
+    for name in list(stage)[:4]:
+        assert stage[name](spark, docs, SF).columns == docs.columns
+    assert {r["doc_id"] for r in stage["language"](spark, docs, SF).collect()} == {
+        i for i, t in plain.items() if language.words_of(t)}
+    groups = brute.near_groups(sample_docs[1])
+    assert {r["doc_id"] for r in stage["near_duplicates"](spark, docs, SF).collect()} == {g for _, g in groups.values()}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    hit = {r[0] for r in brute.contaminated(sample_docs[1], items) if r[5]}
+    assert {r["doc_id"] for r in stage["decontamination"](spark, docs, SF).collect()} == set(plain) - hit
+    for r in stage["secrets"](spark, docs, SF).collect():
+        assert not [s for s in brute.base_spans(r["text"]) if "[secret]" not in r["text"][s[0]:s[2]]]
+        if not brute.base_spans(plain[r["doc_id"]]) and "[secret]" not in r["text"]:
+            assert r["text"] == plain[r["doc_id"]]
+
+
+def test_pipeline_runs_through(spark):
+    import corpus_pipeline as cp
+
+    out = cp.run(spark, SF)
+    assert out.count() > 100 and "taken" in out.columns and cp.ORACLE_SQL is None
+
+
+def test_pipeline_odd_inputs(spark, odd_docs, no_docs):
+    import corpus_pipeline as cp
+    from tidepool.llm.common import staged
+
+    docs = odd_docs
+    for _, stage in cp.STAGES[:4]:
+        docs = staged(stage(spark, docs, SF), "odd")
+        assert docs.columns == odd_docs.columns
+    assert {r["text"] for r in docs.collect()} >= {LONG}
+    assert cp.STAGES[4][1](spark, docs, SF).count() == docs.count()
+    docs = no_docs
+    for _, stage in cp.STAGES:
+        docs = staged(stage(spark, docs, SF), "none")
+    assert docs.count() == 0
+
+
+def test_hash_of_whole_text_is_kept(sample_docs):
+    for r in suffix_dedup.report(sample_docs[0]).filter("n_removed = 0").limit(5).collect():
+        assert r["kept_sha256"] == hashlib.sha256(dict(sample_docs[1])[r["doc_id"]].encode()).hexdigest()

@@ -29,7 +29,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}+"  # greedy maximal runs: the same as AKIA[A-Z0-9]+
 HEX = r"[0-9a-f]{32,}+"         # likewise [0-9a-f]+ of 32 or more
 RUN = r"[A-Za-z0-9+/_=-]{20,}+"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-MIN_RATIO = 0.35
+MIN_RATIO = 0.5
 
 IDENTIFIERS = """getUserName set_default_value parse_http_header connectionTimeout max_retry_count
 InternalServerError background-color margin-left-right application/json content-type-options
@@ -40,13 +40,16 @@ openStreetMapLayer render_template_string calculate_moving_average DatabaseMigra
 notification_service_url onMouseMoveListener en-us-keyboard-layout http_request_duration_seconds
 international understanding responsibilities characteristics documentation/getting-started
 the_quick_brown_fox_jumps over-the-lazy-dog straightforwardness Datenschutzbeauftragter
-developpement-durable responsabilidad informaciones Geschwindigkeitsbegrenzung""".split()
+developpement-durable responsabilidad informaciones Geschwindigkeitsbegrenzung
+section_2_table_10 version-1-0-2 page12of34 ISO-8601-date UTF-8-encoding HTTP2Server MAX_BUFFER_SIZE
+DO-NOT-EDIT-THIS-FILE README_FIRST_PLEASE YYYY-MM-DD-HH-MM-SS AAAAAAAAAAAAAAAAAAAAAAAA
+==================== -------------------- ____________________ ++++++++++++++++++++""".split()
 
 
 def labelled_samples(spark: SparkSession, n: int = 400) -> DataFrame:
-    """(text, random): ordinary identifiers, and strings from a linear congruential rule
+    """(text, random): ordinary identifiers, also in capitals, and strings from a linear congruential rule
     over base64-like, hex and upper-case alphabets."""
-    rows, x = [(w, 0) for w in IDENTIFIERS], 12345
+    rows, x = [(w, 0) for w in (*IDENTIFIERS, *(w.upper() for w in IDENTIFIERS))], 12345
     kinds = (SYMBOLS[:62], SYMBOLS[52:62] + "abcdef", SYMBOLS[:64], SYMBOLS[:26] + SYMBOLS[52:62])
     for i in range(n):
         alphabet, out = kinds[i % len(kinds)], []
@@ -57,7 +60,7 @@ def labelled_samples(spark: SparkSession, n: int = 400) -> DataFrame:
     return spark.createDataFrame(rows, "text string, random int")
 
 
-def train(samples: DataFrame, alpha: float = 0.5) -> list[float]:
+def train(samples: DataFrame) -> list[float]:
     """Log ratios of the transition a -> b at [65 * a + b], symbol 64 the start; needs
     one aggregation over the samples (two labels * 65 * 65 counts at most)."""
     pairs = (samples.filter("text is not null")
@@ -66,14 +69,21 @@ def train(samples: DataFrame, alpha: float = 0.5) -> list[float]:
              .select("random", F.explode(F.expr(
                  "transform(sequence(1, length(t) - 1), i -> substring(t, i, 2))")).alias("p"))
              .groupBy("random", "p").count())
-    counts: dict[int, list[list[float]]] = {k: [[alpha] * 65 for _ in range(65)] for k in (0, 1)}
+    counts = {k: [[0] * 65 for _ in range(65)] for k in (0, 1)}
     for r in pairs.collect():
         counts[r["random"]][symbol(r["p"][0])][symbol(r["p"][1])] += r["count"]
-    out = []
-    for a in range(65):
-        sums = [sum(counts[k][a]) for k in (0, 1)]
-        out += [math.log(counts[1][a][b] / sums[1]) - math.log(counts[0][a][b] / sums[0]) for b in range(65)]
-    return out
+    return log_ratios(counts)
+
+
+def log_ratios(counts: dict[int, list[list[int]]], alpha: float = 0.5, back: float = 4.0) -> list[float]:
+    """Transition log ratios of both chains; an unseen transition falls back on how frequent
+    the second symbol is (``back`` counts of it), that on ``alpha`` counts of every symbol."""
+    log = {}
+    for k, table in counts.items():
+        single = [sum(row[b] for row in table) + alpha for b in range(65)]
+        total = sum(single)
+        log[k] = [math.log((row[b] + back * single[b] / total) / (sum(row) + back)) for row in table for b in range(65)]
+    return [r - o for r, o in zip(log[1], log[0], strict=True)]
 
 
 def symbol(ch: str) -> int:

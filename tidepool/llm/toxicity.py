@@ -36,7 +36,7 @@ from tidepool.llm.common import arrow_columns
 
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 BUCKETS, DIM, WINDOW, NGRAMS = 1 << 17, 8, 5, (3, 4, 5)
-ROUND_WINDOWS = 200_000  # a small sample is gone through until a round has seen so many windows
+ROUND_WINDOWS = 200_000  # a small sample is gone through until a round has seen so many windows (30 times at most)
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -155,7 +155,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> dic
             best = np.full(len(docs), -np.inf)
             np.maximum.at(best, bags.owner, z)
             windows = np.flatnonzero(learn & ((label == 0) | (z >= np.minimum(bar, best[bags.owner]))))
-        for _ in range(max(2, -(-ROUND_WINDOWS // len(windows)))):
+        for _ in range(min(30, max(2, -(-ROUND_WINDOWS // len(windows))))):
             model.epoch(bags, bags.windows[windows], label[windows], rng)
     z = bags.scores(model)
     best = np.full(len(docs), -np.inf)
