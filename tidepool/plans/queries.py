@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.casting import parse_typed
+from tidepool.functions import keys
 from tidepool.functions.cleaning import (clean_raw_data, drop_columns, filter_not_null,
                                          project_to_target)
-from tidepool.functions.keys import content_key
 from tidepool.functions.predicates import ts_literal
 from tidepool.operators import access, changes, merge, mutate
 from tidepool.plans import fixtures as fx
 from tidepool.session import work_path
 from tidepool.sources.sensor import (CSV_TIME_FORMAT, SILVER_COLUMNS, raw_rows, sensor_schema,
-                                     source_inventory, write_csv_feed)
+                                     source_inventory, with_provenance, write_csv_feed)
 from tidepool.sources.table import ParquetTable
 from tidepool.streaming.pipeline import (bronze_schema, copy_stream, ingest_raw_to_bronze,
                                          merge_bronze_to_silver)
@@ -91,15 +91,15 @@ def clean_raw(spark, d):
 
 @query("assign_id")
 def assign_id(spark, d):
-    s = fx.sensor(spark, d, keep_event_id=True)
-    return s.select("event_id", content_key("MeasurementDateTime", "SensorValue",
-                                            "SensorMeasurement", "SensorLocation").alias("Id"))
+    keyed = keys.assign_id(fx.sensor(spark, d, keep_event_id=True),
+                           ["MeasurementDateTime", "SensorValue", "SensorMeasurement", "SensorLocation"])
+    return keyed.select("event_id", "Id")
 
 
 @query("file_provenance")
 def file_provenance(spark, d):
-    ev = fx.events(spark, d)
-    return ev.select("event_id", F.col("_metadata.file_name").alias("InputFileName"))
+    rows = with_provenance(fx.events(spark, d))
+    return rows.select("event_id", F.substring_index("InputFileName", "/", -1).alias("InputFileName"))
 
 
 @query("project_to_target")
