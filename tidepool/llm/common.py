@@ -35,6 +35,11 @@ def id_fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % F.lit(folds)
 
 
+def in_share(hashed: Column | str, share: Column | float) -> Column:
+    """True for the given share of hashes."""
+    return F.pmod(hashed, F.lit(1 << 40)) < share * F.lit(float(1 << 40))
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_UPPER.lower())
 

@@ -7,8 +7,8 @@ all hashed, and its entry in a lexicon of each language's frequent words. Margin
 from forward-backward over the whole text.
 
 Training (driver, numpy, Adagrad on the exact likelihood gradient): a sample bounded by
-``SAMPLE_DOCS`` labelled documents per language and ``SAMPLE_WORDS`` words of each, as the
-labels of documents are the words' labels. Sequences are stitched from pieces of several
+``SAMPLE_DOCS`` labelled documents per language (``SAMPLE_ALL`` in all) and ``SAMPLE_WORDS``
+words of each; the labels of documents are the words' labels. Sequences are stitched from pieces of several
 documents, so transitions between languages are seen. The model is some MB, whatever the corpus.
 
 A document's label is the one with the largest mean marginal over its words, its score
@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import arrow_columns, time_major, word_groups
+from tidepool.llm.common import arrow_columns, in_share, time_major, word_groups
 
 UNDETERMINED = "und"
-SAMPLE_DOCS, SAMPLE_WORDS, MOST_LABELS = 250, 240, 200
+SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_ALL, MOST_LABELS = 250, 240, 8000, 200
 BUCKETS, LEXICON = 1 << 17, 1000
 STEP_WORDS = 1_500_000  # words in one forward-backward pass
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -156,10 +156,12 @@ def sample(docs: DataFrame, per_label: int = SAMPLE_DOCS, most_words: int = SAMP
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count")).limit(MOST_LABELS).collect()}
     if not counts:
         return {}
+    per_label = min(per_label, max(20, SAMPLE_ALL // len(counts)))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2 * per_label / n))) for k, n in counts.items()])
-    picked = known.filter((F.pmod("h", F.lit(1_000_003)) / 1_000_003) < share)
+    picked = known.filter(in_share("h", share))
     # the first words suffice for the sample's bound; a cut of 16 characters a word keeps rows small
-    rows = picked.select("lang", "h", F.substring("text", 1, most_words * 16).alias("t")).collect()
+    rows = (picked.select("lang", "h", F.substring("text", 1, most_words * 16).alias("t"))
+            .dropDuplicates(["lang", "h"]).collect())  # copies of a text have one hash: one of them counts
     out: dict[str, list[list[str]]] = {k: [] for k in sorted(counts)}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["t"])):
         w = words_of(r["t"])[:most_words]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import arrow_columns
+from tidepool.llm.common import arrow_columns, in_share
 
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 BUCKETS, DIM, WINDOW, NGRAMS = 1 << 17, 8, 5, (3, 4, 5)
@@ -234,7 +234,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> tuple
         return [], np.zeros(0, int), 0.0
     rate = F.when(F.col("toxic") == 1, min(1.0, 1.5 * per_label / counts.get(1, 1))).otherwise(
         min(1.0, 1.5 * per_label / counts.get(0, 1)))
-    picked = known.filter(F.pmod("h", F.lit(1_000_003)) / 1_000_003 < rate).dropDuplicates(["doc_id"])
+    picked = known.filter(in_share("h", rate)).dropDuplicates(["doc_id"])
     picked = picked.orderBy("h", "doc_id").limit(4 * per_label).withColumnRenamed("doc_id", "l_id")
     rows = (docs.filter("text is not null").filter(F.length("text") <= SAMPLE_CHARS)
             .join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("h", "toxic", "text").limit(8 * per_label).collect())
