@@ -23,14 +23,22 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.common import lower_ascii, staged
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # fixed value: the contract's word
+# Fixed value: what lies between words. Upper-case letters count as word characters here because
+# words are cut before they are lowered (lowering whole texts costs more than cutting them).
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 MAX_BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
+    """Words in their own case."""
+    return F.coalesce(F.array_remove(F.split(text, GAP), ""), F.array().cast("array<string>"))
+
+
+def folded(word: Column) -> Column:
+    """The key of a term in joins. It folds more than the contract's A-Z (other scripts too), so
+    equal words have equal keys; matches are decided by ``lower_ascii`` on the words themselves."""
+    return F.lower(word)
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct phrases: (pid, terms, items that hold it). Written: it is read several times."""
-    w = items.select("item_id", words(F.col("text")).alias("w")).filter("size(w) > 0")
+    w = items.select("item_id", words(lower_ascii(F.col("text"))).alias("w")).filter("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1))
     cut = w.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("w", s, window))).alias("terms"))
     return staged(cut.groupBy("terms").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
@@ -53,9 +61,10 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def term_counts(train: DataFrame, phrase: DataFrame) -> DataFrame:
-    """Occurrences in the training data of every term of a phrase (0 if none)."""
-    vocabulary = staged(phrase.select(F.explode("terms").alias("term")).distinct(), "phrase-terms")
-    found = (train.select(F.explode("words").alias("term")).join(bounded(vocabulary), "term")
+    """Occurrences in the training data of every (folded) term of a phrase (0 if none)."""
+    vocabulary = staged(phrase.select(F.explode("terms").alias("term")).select(
+        folded(F.col("term")).alias("term")).distinct(), "phrase-terms")
+    found = (train.select(F.explode("words").alias("word")).select(folded(F.col("word")).alias("term")).join(bounded(vocabulary), "term")
              .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     return vocabulary.join(found, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -63,7 +72,8 @@ def term_counts(train: DataFrame, phrase: DataFrame) -> DataFrame:
 def leads(phrase: DataFrame, counts: DataFrame, ranked: int = 3) -> DataFrame:
     """(pid, terms, lead, off, others): the rarest term with its offset, and the offsets of
     all terms by rarity."""
-    each = phrase.select("pid", F.posexplode("terms").alias("off", "term")).join(counts, "term")
+    each = (phrase.select("pid", F.posexplode("terms").alias("off", "word"))
+            .select("pid", "off", folded(F.col("word")).alias("term")).join(counts, "term"))
     order = (each.groupBy("pid").agg(F.min("n").alias("least"), F.array_sort(
         F.collect_list(F.struct("n", "off", "term"))).alias("by_rarity")))
     return staged(phrase.join(order.filter("least > 0"), "pid").select(
@@ -75,11 +85,12 @@ def postings(train: DataFrame, lead: DataFrame, window: int = WINDOW) -> DataFra
     """The index over the leading terms: (term, doc, pos, before, near).
 
     ``near`` holds the words from ``window - 1`` before the position to ``window - 1``
-    after it, ``before`` how many of them lie before: all that an intersection of
+    after it in their own case, ``before`` how many of them lie before: all that an intersection of
     offset-adjusted lists reads of the other terms' postings in this document.
     """
     terms = bounded(staged(lead.select(F.col("lead").alias("term")).distinct(), "lead-terms"))
-    hit = train.select("doc", "words", F.posexplode("words").alias("pos", "term")).join(terms, "term")
+    hit = (train.select("doc", "words", F.posexplode("words").alias("pos", "word"))
+           .withColumn("term", folded(F.col("word"))).join(terms, "term"))
     before = F.least(F.col("pos"), F.lit(window - 1))
     return hit.select("term", "doc", "pos", before.alias("before"),
                       F.slice("words", F.col("pos") - before + 1, before + window).alias("near"))
@@ -90,8 +101,8 @@ def phrase_matches(index: DataFrame, lead: DataFrame) -> DataFrame:
     at = F.col("before") - F.col("off")  # the phrase's start in near
     inside = (at >= 0) & (at + F.size("terms") <= F.size("near"))
     # rarest first: the second and third rarest terms sort out most before the whole is compared
-    rare = F.forall(F.slice("rare_offs", 2, 2), lambda o: F.get("near", at + o) == F.get("terms", o))
-    whole = F.slice("near", at + 1, F.size("terms")) == F.col("terms")
+    rare = F.forall(F.slice("rare_offs", 2, 2), lambda o: lower_ascii(F.get("near", at + o)) == F.get("terms", o))
+    whole = F.transform(F.slice("near", at + 1, F.size("terms")), lower_ascii) == F.col("terms")
     return (index.join(bounded(lead), F.col("term") == F.col("lead"))
             .filter(F.when(inside, rare & whole).otherwise(F.lit(False)))
             .select("doc", "pid", (F.col("pos") - F.col("off")).alias("start"), F.size("terms").alias("n")))
@@ -100,8 +111,9 @@ def phrase_matches(index: DataFrame, lead: DataFrame) -> DataFrame:
 def proximity_matches(index: DataFrame, lead: DataFrame, terms: int = 3) -> DataFrame:
     """(doc, pid, pos): the ``terms`` rarest terms of a phrase within the index's reach of each other."""
     wanted = F.transform(F.slice("rare_offs", 1, terms), lambda o: F.get("terms", o))
+    near = F.transform("near", lower_ascii)
     return (index.join(bounded(lead), F.col("term") == F.col("lead"))
-            .filter(F.size(F.array_except(wanted, F.col("near"))) == 0).select("doc", "pid", "pos").distinct())
+            .filter(F.size(F.array_except(wanted, near)) == 0).select("doc", "pid", "pos").distinct())
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -125,21 +137,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     return covered.join(held, "doc", "left")
 
 
-def flag(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Every input row as ``row``, with n_hit and found_items (null if no phrase occurs)."""
-    hits = staged(contamination(docs, items, window), "contaminated").select(
-        F.col("doc").alias("_hit_doc"), "n_hit", "found_items")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.xxhash64("doc_id", "text").alias("_doc"))
-    return rows.join(hits, F.col("_doc") == F.col("_hit_doc"), "left").select("row", "n_hit", "found_items")
-
-
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     hits = staged(contamination(docs, items, window), "contaminated").select(
         F.col("doc").alias("hit_doc"), "n_hit", "found_items")
     # only ids and counts go through the join, not the texts
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"),
-                       F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+                       F.size(words(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     names = F.coalesce("found_items", F.array().cast("array<string>"))
     return rows.join(hits, F.col("doc") == F.col("hit_doc"), "left").select(
@@ -149,4 +152,7 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any phrase of the benchmark."""
-    return flag(docs, items, window).filter("n_hit is null").select("row.*")
+    hits = staged(contamination(docs, items, window).select(F.col("doc").alias("_hit_doc")), "contaminated")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.xxhash64("doc_id", "text").alias("_doc"))
+    return rows.join(bounded(hits), F.col("_doc") == F.col("_hit_doc"), "left_anti").select("row.*")
