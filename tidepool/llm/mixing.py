@@ -23,14 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import staged
 
 BLOCK, SHARD_SLOTS, SEED = 32, 4096, 20240
 WEIGHTS, SHARE, MAX_REPEAT = (5.0, 2.0, 1.0), 1.5, 2.0
-WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]+"  # fixed value: what lies between words
 CHUNK_DOCS = 20_000
 
 
@@ -82,7 +82,11 @@ def block_indices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [shard, slot, sid, pa.array(permute(j.to_numpy() % n, n, s + SEED))], ["shard", "slot", "sid", "idx"])
 
 
-def sized(docs: DataFrame, word: str = WORD) -> DataFrame:
+def words(text: Column) -> Column:
+    return F.coalesce(F.array_remove(F.split(text, GAP), ""), F.array().cast("array<string>"))
+
+
+def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, and the document's first token position in its source.
 
     Prefix sums in two levels: documents fall by hash into chunks of about
@@ -91,7 +95,7 @@ def sized(docs: DataFrame, word: str = WORD) -> DataFrame:
     """
     base = docs.select(
         "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(word)), F.lit(0)).cast("long").alias("size"),
+        F.size(words(F.col("text"))).cast("long").alias("size"),
         F.xxhash64("doc_id", "text").alias("rid"))
     base = staged(base, "mix-sizes")
     chunks = base.count() // CHUNK_DOCS + 1
@@ -165,7 +169,9 @@ def draw_slots(spark, plan: list[dict], shard_slots: int = SHARD_SLOTS, seed: in
         if miss > 0:
             short.append((p["sid"], at, at + miss, got.get(p["sid"], 0)))
             at += miss
-    slots = runs.filter("n > 0").select(
+    # few small rows that grow by shard_slots / sources each: spread them before they do
+    spread = max(spark.sparkContext.defaultParallelism, shards // 16)
+    slots = runs.filter("n > 0").repartition(spread, "shard", "sid").select(
         "shard", "slot0", "sid", "quota", "blocks", "j0",
         F.posexplode(F.sequence("j0", F.col("j0") + F.col("n") - 1)).alias("k", "j"))
     slots = slots.select("shard", (F.col("slot0") + F.col("k")).alias("slot"), "sid", "quota", "blocks", "j")
@@ -232,9 +238,9 @@ def mixed_blocks(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_S
     """
     laid, slots, pieces = mix(docs, block, shard_slots)
     text = docs.select(F.xxhash64("doc_id", "text").alias("r3"), "text").dropDuplicates(["r3"])
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.col("first") + 1, F.col("words").cast("int"))
+    held = F.slice(words(F.col("text")), (F.col("first") + 1).cast("int"), F.col("words").cast("int"))
     named = laid.select("sid", "source").distinct()
     cut = pieces.join(text, F.col("rid") == F.col("r3")).select(
-        "sid", "idx", "doc_id", "first", words.alias("tokens"))
+        "sid", "idx", "doc_id", "first", held.alias("tokens"))
     return (slots.join(cut, ["sid", "idx"]).join(F.broadcast(named), "sid")
             .select("shard", "slot", "source", "doc_id", "first", "tokens"))
