@@ -6,12 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.session import work_path
 
+SLICE_BYTES = 4 << 20  # text that a Python task holds at once
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -44,6 +46,19 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def slices(rows: pa.StructArray, text: int, most: int = SLICE_BYTES) -> Iterator[pa.StructArray]:
+    """The rows in parts of about ``most`` bytes of their text field (a longer text alone)."""
+    sizes = pc.fill_null(pc.binary_length(rows.field(text)), 0).to_numpy()
+    first, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if total and total + size > most:
+            yield rows.slice(first, i - first)
+            first, total = i, 0
+        total += size
+    if first < len(rows):
+        yield rows.slice(first)
+
+
 def arrow_columns(df: DataFrame, text: str, new: T.StructType,
                   make: Callable[[], Callable[[list], dict]]) -> DataFrame:
     """Add computed columns to every row by Arrow batches.
@@ -53,21 +68,17 @@ def arrow_columns(df: DataFrame, text: str, new: T.StructType,
     of any name cannot clash; the result has columns ``row`` and those of ``new``.
     """
     schema = T.StructType([T.StructField("row", df.schema), *new.fields])
-    names = [f.name for f in new.fields]
+    names, at = [f.name for f in new.fields], df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            fn = fn or make()
-            got = fn(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(got[n]) for n in names)], ["row", *names])
-
-    return (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                      F.col(f"`{text}`").alias("text"))
-            .mapInArrow(run, schema))
+            for part in slices(batch.column(0), at):
+                fn = fn or make()
+                got = fn(part.field(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([part, *(pa.array(got[n]) for n in names)], ["row", *names])
+
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).mapInArrow(run, schema)
 
 
 def time_major(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

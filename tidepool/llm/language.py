@@ -200,32 +200,30 @@ def train(samples: dict[str, list[list[str]]], length: int = 48, seed: int = 3)
     return model
 
 
-def predictor(model: Crf | None, keep_words: int = 400_000):
+def predictor(model: Crf | None, keep_words: int = 150_000):
     """texts -> lang_pred and score; emissions of words seen in earlier batches are kept up to a bound."""
     known: dict[str, int] = {}
     table = [np.zeros((0, len(model.labels) if model else 1), np.float32)]
 
     def predict(texts: list) -> dict:
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        split = [words_of(t) for t in texts]
-        full = [i for i, w in enumerate(split) if w]
-        if model is None or not full:
-            return {"lang_pred": lang, "score": score}
         if len(known) > keep_words:
             known.clear()
             table[0] = table[0][:0]
-        new = []
-        ids = []
-        for i in full:
+        new, ids, full = [], [], []
+        for i, text in enumerate(texts if model else ()):
             row = []
-            for w in split[i]:
+            for w in words_of(text):
                 at = known.get(w)
                 if at is None:
                     at = known[w] = len(known)
                     new.append(w)
                 row.append(at)
-            ids.append(np.array(row, np.int32))
-            split[i] = None
+            if row:
+                ids.append(np.array(row, np.int32))
+                full.append(i)
+        if not full:
+            return {"lang_pred": lang, "score": score}
         table[0] = np.concatenate([table[0], model.emissions(new)])
         mean = model.mean_marginals(ids, table[0])
         best = mean.argmax(axis=1)

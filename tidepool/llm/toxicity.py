@@ -180,7 +180,7 @@ def calibrate(z: np.ndarray, y: np.ndarray, share: float, steps: int = 200) -> t
     return float(theta[0] / spread), float(theta[1] - theta[0] * middle / spread)
 
 
-def scorer(model: dict, keep_words: int = 400_000):
+def scorer(model: dict, keep_words: int = 150_000):
     """texts -> score: the calibrated probability of the most toxic window."""
     known: dict[str, int] = {}
     table = [np.zeros(0, np.float32)]
