@@ -227,6 +227,17 @@ def test_hot_grams_are_cut_by_offset(spark, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.report(docs).collect())) == sorted(brute.stripped(rows))
 
 
+def test_suffix_dedup_long_text(spark):
+    """A repeat beyond the first 2**24 bytes of a text, and one across a cut of the text."""
+    rng = np.random.default_rng(5)
+    noise = rng.integers(97, 123, (1 << 24) + 5000, np.uint8).tobytes().decode()
+    late, across = ("".join(chr(c) for c in rng.integers(48, 58, 300)) for _ in range(2))
+    cut = suffix_dedup.BLOCK_BYTES
+    rows = [(1, noise[:cut - 150] + across + noise[cut - 150:] + late + noise[:99]), (2, late), (3, across)]
+    got = by_id(suffix_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: (r["n_removed"], r["n_spans"]) for i, r in got.items()} == {1: (600, 2), 2: (300, 1), 3: (300, 1)}
+
+
 # secrets
 
 def test_secret_spans_equal_plain(sample_docs, odd_docs, no_docs):

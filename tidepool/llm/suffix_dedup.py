@@ -3,7 +3,8 @@
 Sharding. Each window of ``SPAN`` bytes belongs to the smallest hash among its ``GRAM``-byte
 grams (leftmost of equals). Equal windows have equal smallest grams, so grouping by that hash
 brings equal windows together; neighbouring windows with the same gram form one piece of at
-most 2 * SPAN bytes. Only grams that occur in two pieces or more go on. Equal pieces are
+most 2 * SPAN bytes. A text over ``BLOCK_BYTES`` is cut in stretches that overlap by SPAN - 1
+bytes, of any length in all. Only grams that occur in two pieces or more go on. Equal pieces are
 represented once, with their number of occurrences, so a group of copies of any size costs one.
 
 Sorting. Every shard sorts its pieces' suffixes by external induced sorting (``induced.py``),
@@ -40,7 +41,7 @@ from tidepool.llm.induced import Store, repeated
 
 SPAN, GRAM, SHARD_BYTES, OFFSET_PARTS = 200, 32, 4 << 20, 6
 HOT_PIECES = 20_000  # different pieces of one gram beyond which it is cut by offset
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, POSITION_BITS = 1 << 20, 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -74,13 +75,15 @@ def pieces(texts: list[bytes], powers: Powers, span: int = SPAN, gram: int = GRA
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     n = len(data)
+    if n > 1 << POSITION_BITS:
+        raise ValueError(f"{n} bytes at once; positions have {POSITION_BITS} bits")
     if n < span:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     powers.reach(n + 1)
     prefix = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[:n], dtype=np.uint64)])
     grams = mixed((prefix[gram:] - prefix[:-gram]) * powers.down[: n - gram + 1])
-    # least (hash, position) over the grams of each window; the position fills the low 24 bits
-    low = np.uint64((1 << 24) - 1)
+    # least (hash, position) over the grams of each window; the position fills the low bits
+    low = np.uint64((1 << POSITION_BITS) - 1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     wide, width = span - gram + 1, 1
     while 2 * width <= wide:
@@ -103,6 +106,14 @@ def pieces(texts: list[bytes], powers: Powers, span: int = SPAN, gram: int = GRA
     return grams[at[first]], whole, windows, at[first] - lo, owner[first], lo - (ends - sizes)[owner[first]]
 
 
+def stretches(texts: list[bytes], span: int = SPAN, most: int = BLOCK_BYTES) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The texts, longer ones cut into stretches of ``most`` bytes that overlap by ``span`` - 1, so that
+    each window lies in one of them: (stretches, text index and first byte of each)."""
+    cuts = [(i, a) for i, t in enumerate(texts) for a in range(0, max(1, len(t) - span + 1), most - span + 1)]
+    index, base = np.array(cuts, np.int64).reshape(-1, 2).T
+    return [texts[i][a:a + most] for i, a in cuts], index, base
+
+
 def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes in all (a longer text alone)."""
     first, size = 0, 0
@@ -125,10 +136,10 @@ def occurrences(docs: DataFrame, span: int = SPAN) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            texts = [raw(t) for t in batch.column(2).to_pylist()]
+            texts, index, base = stretches([raw(t) for t in batch.column(2).to_pylist()], span)
             for a, b in blocks(texts):
                 gram, piece, windows, offset, owner, start = pieces(texts[a:b], powers, span)
-                take = pa.array(owner + a)
+                take, start = pa.array(index[owner + a]), start + base[owner + a]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(windows.astype(np.int32)),
                      pa.array(offset.astype(np.int32)), batch.column(0).take(take), batch.column(1).take(take),
