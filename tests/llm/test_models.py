@@ -106,6 +106,13 @@ def test_language_model_gradient(small_lm):
     model.p = {n: v.astype(np.float32) for n, v in model.p.items()}
 
 
+def test_fit_reads_every_token(small_lm):
+    model = small_lm[0].copy()
+    docs = [np.full(n, n % 5) for n in (5000, 3, 0, 700, 41)]
+    assert model.fit(iter(docs), 3) == 5744 + 5
+    assert any((model.p[n] != v).any() for n, v in small_lm[0].p.items()) and model.fit([], 3) == 0
+
+
 def test_state_is_carried_over_the_whole_document(small_lm):
     model = small_lm[0]
     docs = [np.array([0, 1, 4, 2, 0, 0]), np.array([], int), np.array([3, 3])]

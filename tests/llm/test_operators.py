@@ -337,6 +337,16 @@ def test_language_model_odd_inputs(odd_docs, no_docs):
     assert all(abs(r["base_score"]) < 1e-6 and r["n_known"] == 0 for r in rows)
 
 
+def test_language_model_learns_from_long_documents(spark, monkeypatch):
+    """Every text has over 60,000 characters; several partitions and rounds."""
+    monkeypatch.setattr(language_model, "SMALL_TOKENS", 1000)
+    rows = [(i, f"start{i} " + "left right up down " * 3500) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts, learned = language_model.train(docs)
+    got = language_model.score(docs, counts, learned).collect()
+    assert len(got) == 24 and sum(r["score"] for r in got) > 0.9 * sum(r["base_score"] for r in got)
+
+
 # plans and the pipeline
 
 @pytest.mark.parametrize("name", ["op3_url_filter", "op5_decontaminate", "op8_secrets"])
