@@ -227,6 +227,28 @@ def test_hot_grams_are_cut_by_offset(spark, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.report(docs).collect())) == sorted(brute.stripped(rows))
 
 
+def test_hot_groups_are_bounded(spark, monkeypatch):
+    """Lines of several lengths between differing neighbours: no group that is sorted has over HOT_PIECES pieces."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng, sorted_by, deal = np.random.default_rng(8), [], DataFrame.repartition
+    word = lambda n: rng.integers(97, 123, n, np.uint8).tobytes().decode()
+    lines = [word(n) for n in (60, 180, 198, 199, 200, 230)]
+    rows = [(100 * k + i, word(250) + line + word(250)) for k, line in enumerate(lines) for i in range(12)]
+    rows += [(1000 + i, r[1][40:] + word(9)) for i, r in enumerate(rows[::7])]
+
+    def seen(frame, n, *by):
+        sorted_by.append((frame, by))
+        return deal(frame, n, *by)
+
+    monkeypatch.setattr(suffix_dedup, "HOT_PIECES", 4)
+    monkeypatch.setattr(DataFrame, "repartition", seen)
+    got = sorted(map(tuple, suffix_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == sorted(brute.stripped(rows))
+    sizes = [r["count"] for frame, by in sorted_by for r in frame.groupBy(*by).count().collect()]
+    assert sizes and max(sizes) <= 4
+
+
 def test_suffix_dedup_long_text(spark):
     """A repeat beyond the first 2**24 bytes of a text, and one across a cut of the text."""
     rng = np.random.default_rng(5)

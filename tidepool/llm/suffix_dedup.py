@@ -9,10 +9,13 @@ represented once, with their number of occurrences, so a group of copies of any
 
 Sorting. Every shard sorts its pieces' suffixes by external induced sorting (``induced.py``),
 which carries common prefixes along; a run of neighbours that share ``SPAN`` bytes and stand
-for two starts or more is repeated. Shards hold about ``SHARD_BYTES``; one that grows beyond
-(a gram with very many different pieces) spills to the task's temporary files. Such pieces are
-first cut by the gram's offset in the window (equal windows have equal offsets), so a hot gram
-spreads over ``OFFSET_PARTS`` shards.
+for two starts or more is repeated. Shards hold about ``SHARD_BYTES``. A gram with over
+``HOT_PIECES`` different pieces is split: its pieces are cut where the gram's offset in the
+window enters another part of ``STEPS[0]`` offsets. All windows of such a cut share a core,
+the bytes that any window of the part has around the gram, and equal windows have equal cores:
+so cuts meet by core, equal cuts are represented once, and a core that still has over
+``HOT_PIECES`` different cuts is split by the next, smaller step. With one offset a part the
+core is the whole window, so no group is larger than ``HOT_PIECES``.
 
 Removal. The repeated ranges go back to all occurrences of a piece, then to their documents,
 where the bytes they cover are dropped.
@@ -39,8 +42,9 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import staged
 from tidepool.llm.induced import Store, repeated
 
-SPAN, GRAM, SHARD_BYTES, OFFSET_PARTS = 200, 32, 4 << 20, 6
-HOT_PIECES = 20_000  # different pieces of one gram beyond which it is cut by offset
+SPAN, GRAM, SHARD_BYTES = 200, 32, 4 << 20
+HOT_PIECES = 20_000  # different pieces of one gram, or cuts with one core, beyond which they are split
+STEPS = (29, 5, 1)  # offsets of a part: 169 offsets make 6, then 34, then 169 parts
 BLOCK_BYTES, POSITION_BITS = 1 << 20, 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
@@ -148,53 +152,117 @@ def occurrences(docs: DataFrame, span: int = SPAN) -> DataFrame:
     return docs.select("doc_id", "th", "text").mapInArrow(run, OCCURRENCE.format(kind=kind.simpleString()))
 
 
-def cut_pieces(per_doc: DataFrame, span: int) -> DataFrame:
-    """The bytes of the representatives: (gram, piece, windows, times, part, first, bytes). ``part`` and
-    ``first`` number the cuts of a hot gram's pieces by the gram's offset (one cut, from 0, otherwise)."""
-    step = -(-(span - GRAM + 1) // OFFSET_PARTS)
+PIECE = "gram long, piece long, windows int, times long, offset int, bytes binary"
+
 
+def cut_pieces(per_doc: DataFrame, span: int) -> DataFrame:
+    """The bytes of the representatives: (gram, piece, windows, times, offset, bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(6)]
             for text, reps in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = raw(text)
                 for r in reps or ():
-                    cuts = [(0, 0, r["windows"])]
-                    if r["hot"]:  # window i has the gram at offset - i: cut where that enters another part
-                        part = (r["offset"] - np.arange(r["windows"])) // step
-                        edge = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), r["windows"]]
-                        cuts = [(int(part[a]), a, b) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-                    for part, a, b in cuts:
-                        first = r["start"] + a
-                        for column, value in zip(out, (r["gram"], r["piece"], b - a, r["times"], part, a,
-                                                       data[first:first + b - a + span - 1]), strict=True):
-                            column.append(value)
+                    for column, value in zip(out, (r["gram"], r["piece"], r["windows"], r["times"], r["offset"],
+                                                   data[r["start"]:r["start"] + r["windows"] + span - 1]), strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int32()),
-                 pa.array(out[6], pa.binary())], ["gram", "piece", "windows", "times", "part", "first", "bytes"])
+                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.binary())],
+                ["gram", "piece", "windows", "times", "offset", "bytes"])
+
+    return per_doc.select("text", "reps").mapInArrow(run, PIECE)
+
+
+def hashed(*parts: bytes) -> int:
+    h = hashlib.blake2b(digest_size=8)
+    for p in parts:
+        h.update(p)
+    return int.from_bytes(h.digest(), "little", signed=True)
 
-    return per_doc.select("text", "reps").mapInArrow(
-        run, "gram long, piece long, windows int, times long, part int, first int, bytes binary")
+
+def cuts_of(offset: int, windows: int, data: bytes, step: int, span: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first window, windows, hash of the core, hash of the cut) of a piece's cuts into parts of ``step``
+    offsets; window i has the gram at offset - i."""
+    part = (offset - np.arange(windows)) // step
+    edge = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), windows]
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        low = int(part[a]) * step
+        tag = b"%d %d " % (step, low)
+        core = hashed(tag, data[offset - low:offset - low - step + 1 + span])
+        yield a, b - a, core, hashed(tag, b"%d " % (offset - a), data[a:b + span - 1])
+
+
+def cut_hot(rows: DataFrame, step: int, span: int) -> DataFrame:
+    """Pieces (``PIECE``) cut: (g0, p0, first) name the piece and the cut's first window in it, the cut is
+    a piece again, whose ``gram`` is the hash of its core."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(9)]
+            for g, p, windows, times, offset, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for a, n, core, same in cuts_of(offset, windows, data, step, span):
+                    for column, value in zip(out, (g, p, a, core, same, n, times, offset - a, data[a:a + n + span - 1]),
+                                             strict=True):
+                        column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                ["g0", "p0", "first", "gram", "piece", "windows", "times", "offset", "bytes"])
+
+    return rows.select("gram", "piece", "windows", "times", "offset", "bytes").mapInArrow(
+        run, f"g0 long, p0 long, first int, {PIECE}")
+
+
+def hot_grams(rows: DataFrame, label: str) -> DataFrame:
+    return staged(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_PIECES).select(
+        F.col("gram").alias("hot_gram")), label)
+
+
+def sorted_ranges(rows: DataFrame, total: int, span: int) -> DataFrame:
+    """Repeated ranges (gram, piece, lo, hi) of pieces of ``total`` bytes, sorted in shards by gram."""
+    shards = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // SHARD_BYTES))
+    return (rows.repartition(shards, "gram").mapInArrow(sort_shard(span), "gram long, piece long, lo int, hi int"))
+
+
+def hot_ranges(rows: DataFrame, span: int, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """Repeated ranges of the pieces of hot grams, by cuts."""
+    cuts = staged(cut_hot(rows, steps[0], span), f"sa-cuts-{steps[0]}")
+    reps = staged(cuts.groupBy("gram", "piece").agg(
+        F.first("windows").alias("windows"), F.sum("times").alias("times"), F.first("offset").alias("offset"),
+        F.first("bytes").alias("bytes")), f"sa-cut-pieces-{steps[0]}")
+    hot = hot_grams(reps, f"sa-cut-hot-{steps[0]}") if steps[1:] else None
+    if hot is None or hot.isEmpty():
+        cold, more = reps, None
+    else:
+        cold = reps.join(hot, F.col("gram") == F.col("hot_gram"), "left_anti")
+        more = hot_ranges(reps.join(hot, F.col("gram") == F.col("hot_gram"), "left_semi"), span, steps[1:])
+    total = int(cold.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0])
+    found = sorted_ranges(cold, total, span)
+    found = (found.unionByName(more) if more is not None else found).select(
+        F.col("gram").alias("g3"), F.col("piece").alias("p3"), "lo", "hi")
+    return cuts.select("g0", "p0", "first", "gram", "piece").join(
+        found, (F.col("gram") == F.col("g3")) & (F.col("piece") == F.col("p3"))).select(
+        F.col("g0").alias("gram"), F.col("p0").alias("piece"), (F.col("first") + F.col("lo")).alias("lo"),
+        (F.col("first") + F.col("hi")).alias("hi"))
 
 
 def sort_shard(span: int):
     """A task's pieces to their repeated ranges (gram, piece, lo, hi), window starts in the piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, gram, piece, first, windows, times, data = set(), [], [], [], [], [], []
+        seen, gram, piece, windows, times, data = set(), [], [], [], [], []
         for batch in batches:
             rows = batch.to_pydict()
-            for row in zip(*(rows[c] for c in ("gram", "piece", "first", "windows", "times", "bytes")), strict=True):
-                if row[:3] not in seen:  # equal rows of the input name the same representative
-                    seen.add(row[:3])
-                    for column, value in zip((gram, piece, first, windows, times, data), row, strict=True):
+            for row in zip(*(rows[c] for c in ("gram", "piece", "windows", "times", "bytes")), strict=True):
+                if row[:2] not in seen:  # equal rows of the input name the same representative
+                    seen.add(row[:2])
+                    for column, value in zip((gram, piece, windows, times, data), row, strict=True):
                         column.append(value)
         if not data:
             return
         out: list[list] = [[], [], [], []]
-        for g, p, a, found in zip(gram, piece, first, repeated(data, windows, times, span, Store()), strict=True):
+        for g, p, found in zip(gram, piece, repeated(data, windows, times, span, Store()), strict=True):
             for lo, hi in found:
-                for column, value in zip(out, (g, p, a + lo, a + hi), strict=True):
+                for column, value in zip(out, (g, p, lo, hi), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
@@ -220,8 +288,7 @@ def removals(docs: DataFrame, span: int = SPAN) -> DataFrame:
     alive = staged(found.join(shared, F.col("gram") == F.col("g2")).drop("g2"), "sa-occurrences")
     rep = staged(alive.groupBy("gram", "piece", "windows").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "th", "start", "offset")).alias("r")), "sa-pieces")
-    hot = rep.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_PIECES).select(
-        F.col("gram").alias("hot_gram"))
+    hot = hot_grams(rep, "sa-hot")
     reps = (rep.join(hot, F.col("gram") == F.col("hot_gram"), "left")
             .select(F.col("r.doc_id").alias("doc_id"), F.col("r.th").alias("th"), F.struct(
                 "gram", "piece", "windows", "times", F.col("r.start").alias("start"), F.col("r.offset").alias("offset"),
@@ -233,10 +300,13 @@ def removals(docs: DataFrame, span: int = SPAN) -> DataFrame:
              .select("d2", "t2", "reps"))
     per_doc = staged(docs.join(named, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2")))
                      .select("doc_id", "th", "text", "reps"), "sa-texts")
-    total = rep.agg(F.coalesce(F.sum(F.col("windows") + F.lit(span - 1)), F.lit(0))).first()[0]
-    shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-int(total) // SHARD_BYTES))
-    repeats = (cut_pieces(per_doc, span).repartition(shards, "gram", "part")
-               .mapInArrow(sort_shard(span), "gram long, piece long, lo int, hi int"))
+    total = int(rep.agg(F.coalesce(F.sum(F.col("windows") + F.lit(span - 1)), F.lit(0))).first()[0])
+    if hot.isEmpty():
+        repeats = sorted_ranges(cut_pieces(per_doc, span), total, span)
+    else:
+        of = lambda heat: cut_pieces(per_doc.withColumn(
+            "reps", F.filter("reps", lambda r: r["hot"] == F.lit(heat))), span)
+        repeats = sorted_ranges(of(False), total, span).unionByName(hot_ranges(of(True), span))
     back = (alive.join(repeats.select(F.col("gram").alias("g3"), F.col("piece").alias("p3"), "lo", "hi"),
                        (F.col("gram") == F.col("g3")) & (F.col("piece") == F.col("p3")))
             .select("doc_id", "th", F.struct((F.col("start") + F.col("lo")).alias("a"),
