@@ -53,8 +53,8 @@ def test_replace_where_rejects_rows_outside(spark):
     ok = spark.createDataFrame([("p", 5)], "k string, v int")
     assert rows(mutate.replace_where(df, ok, "k = 'p'"), "k", "v") == sorted([("p", 5), ("q", 2)], key=str)
     bad = spark.createDataFrame([("q", 5)], "k string, v int")
-    with pytest.raises(ValueError):
-        mutate.replace_where(df, bad, "k = 'p'")
+    with pytest.raises(Exception, match="do not satisfy the predicate"):
+        mutate.replace_where(df, bad, "k = 'p'").collect()
 
 
 def test_defaults_fill_omitted_only(spark):
@@ -116,9 +116,21 @@ def test_operators_keep_column_order(spark):
     assert changes.change_feed(t, u).columns == ["v", "Id", "_change_type"]
 
 
-def test_change_feed_validate_rejects_repeated_keys(spark):
+def test_change_feed_reports_repeated_keys(spark):
     ok = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], S)
-    assert changes.change_feed(ok, ok, validate=True).count() == 4   # NULL keys never match
+    assert changes.change_feed(ok, ok).count() == 4   # NULL keys never match
     dup = spark.createDataFrame([("a", 1), ("a", 2)], S)
-    with pytest.raises(ValueError):
-        changes.change_feed(ok, dup, validate=True)
+    for before, after in ((ok, dup), (dup, ok)):
+        with pytest.raises(Exception, match="duplicate keys"):
+            changes.change_feed(before, after).collect()
+
+
+def test_replace_where_starts_no_job(spark):
+    sc = spark.sparkContext
+    df = spark.range(5).selectExpr("'p' AS k", "int(id) AS v")
+    sc.setJobGroup("replace-where", "planning only")
+    try:
+        mutate.replace_where(df, df, "k = 'p'")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert not sc.statusTracker().getJobIdsForGroup("replace-where")

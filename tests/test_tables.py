@@ -151,6 +151,20 @@ def test_deep_clone_independent(spark, clean_table, workdir):
     assert clone.read().count() == n_clean(spark)
 
 
+def test_clone_of_clustered_files_is_written_without_a_shuffle(spark, clean_table, workdir):
+    clean_table.cluster_by("MeasurementDateTime", num_ranges=16)
+    sc = spark.sparkContext
+    sc.setJobGroup("clone", "deep clone")
+    try:
+        clone = clean_table.deep_clone(workdir + "-clone")
+    finally:
+        sc._jsc.clearJobGroup()
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("clone")]
+    assert jobs and all(len(j.stageIds) == 1 for j in jobs)
+    assert ids(clone.read()) == ids(clean_table.read())
+
+
 def test_cluster_by_time_disjoint_file_ranges(spark, clean_table):
     clean_table.cluster_by("MeasurementDateTime", num_ranges=16)
     ranges = (clean_table.base()
@@ -302,6 +316,21 @@ def test_key_implied_time_range_reaches_scan(spark, clean_table):
     assert "PartitionFilters: [" in plan
 
 
+def test_merge_that_touches_many_partitions_is_bounded_by_ranges(spark, clean_table, monkeypatch):
+    from tests.plans import plan_text
+    from tidepool.sources import table
+    batch = fx.clean(spark, SF001, True).withColumn("Id", F.concat("Id", F.lit("-new"))).filter("event_id % 50 = 0")
+    implied = ["SensorLocation", "SensorMeasurement", "MeasurementDateTime"]
+    n = clean_table.read().count()
+    monkeypatch.setattr(table, "SCOPE_PARTITIONS", 3)
+    plan = plan_text(clean_table.read().filter(clean_table._implied_scope(batch, implied)).select("Id"))
+    filters = plan.split("PartitionFilters: [")[1].split("\n")[0]
+    assert "SensorLocation" in filters and ">=" in filters and " IN " not in filters
+    assert clean_table.merge_insert_only(batch, key_implies_partition=True, key_implies=["MeasurementDateTime"]) == batch.count()
+    assert clean_table.merge_insert_only(batch, key_implies_partition=True, key_implies=["MeasurementDateTime"]) == 0
+    assert clean_table.read().count() == n + batch.count()
+
+
 def test_cluster_selected_partitions(spark, clean_table):
     clean_table.delete("event_id % 11 = 0")
     before = ids(clean_table.read())

@@ -17,22 +17,17 @@ UPDATE_PRE, UPDATE_POST = "update_preimage", "update_postimage"
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str | list[str] = "Id",
-                change_column: str = "_change_type", validate: bool = False) -> DataFrame:
+                change_column: str = "_change_type") -> DataFrame:
     """Rows that differ between ``before`` and ``after``, tagged.
 
-    Keys must be unique within each side (they are table keys). One full
-    outer join on the key, then every joined pair yields zero, one or two
-    change rows in the same pass (no second scan). Rows with a NULL key
-    never match and go straight to insert / delete, so they cannot pile up
-    in one shuffle partition. Equality is NULL-safe over the whole row.
-    ``validate=True`` first checks that contract on both sides (one
-    partial-aggregate job each) instead of letting repeated keys pair up.
+    Keys must be unique within each side (they are table keys): the query fails when it runs if
+    one is not. Rows are counted by key on the way to the join, so a repeated key shrinks to one
+    row per task and is reported instead of pairing up. One full outer join on the key, then every
+    joined pair yields zero, one or two change rows in the same pass (no second scan). Rows with a
+    NULL key never match and go straight to insert / delete, so they cannot pile up in one shuffle
+    partition. Equality is NULL-safe over the whole row.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if validate:
-        from tidepool.operators.merge import check_unique_keys
-        check_unique_keys(before, keys, purpose="change feed")
-        check_unique_keys(after, keys, purpose="change feed")
     cols = before.columns
     after = after.select(*cols)
 
@@ -40,9 +35,14 @@ def change_feed(before: DataFrame, after: DataFrame, key: str | list[str] = "Id"
     a_keyed, a_null = split_null_keys(after, keys)
     kn = [f"_k{i}" for i in range(len(keys))]
     renamed = [F.col(k).alias(n) for k, n in zip(keys, kn)]
-    b = b_keyed.select(*renamed, F.struct(*cols).alias("_b"))
-    a = a_keyed.select(*renamed, F.struct(*cols).alias("_a"))
-    j = b.join(a, on=kn, how="full_outer")
+
+    def one_per_key(rows: DataFrame, name: str) -> DataFrame:
+        repeated = F.raise_error(F.lit(f"duplicate keys on {keys}: change feed needs unique keys")).cast("boolean")
+        counted = (rows.select(*renamed, F.struct(*cols).alias(name)).groupBy(*kn)
+                   .agg(F.first(name).alias(name), F.count(F.lit(1)).alias("_n")))
+        return counted.filter(F.when(F.col("_n") > 1, repeated).otherwise(F.lit(True))).drop("_n")
+
+    j = one_per_key(b_keyed, "_b").join(one_per_key(a_keyed, "_a"), on=kn, how="full_outer")
 
     def tag(row: str, kind: str) -> Column:
         return F.struct(F.col(row).alias("r"), F.lit(kind).alias("t"))

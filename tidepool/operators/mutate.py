@@ -24,12 +24,13 @@ def replace_where(df: DataFrame, new_rows: DataFrame, pred: Column | str,
                   check: bool = True) -> DataFrame:
     """``INSERT INTO t REPLACE WHERE pred (new_rows)`` as a frame.
 
-    Rows matching ``pred`` are replaced by ``new_rows``; every new row must
-    satisfy ``pred`` (checked with a distributed ``isEmpty``).
+    Rows matching ``pred`` are replaced by ``new_rows``. Every new row must satisfy ``pred``: one
+    that does not makes the query fail when it runs (checked in the same pass over the new rows).
     """
     p = as_column(pred)
-    if check and not new_rows.filter(~is_true(p)).isEmpty():
-        raise ValueError("replace_where: some new rows do not satisfy the predicate")
+    if check:
+        stray = F.raise_error(F.lit("replace_where: some new rows do not satisfy the predicate")).cast("boolean")
+        new_rows = new_rows.filter(F.when(is_true(p), F.lit(True)).otherwise(stray))
     return delete_where(df, p).unionByName(new_rows.select(*df.columns))
 
 

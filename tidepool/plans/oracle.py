@@ -355,3 +355,39 @@ SELECT CAST(4 AS BIGINT), 'OPTIMIZE',
        (SELECT COUNT(*) FROM clean WHERE event_id % 11 <> 0
           AND NOT (SensorMeasurement = 'view' AND SensorLocation = 'loc_1'))
        + (SELECT COUNT(*) FROM newp)"""
+
+# --- tables by name -------------------------------------------------------
+
+ORACLE["catalog_migrate"] = f"WITH {SENSOR} SELECT {COLS}, TRUE AS marked FROM clean"
+ORACLE["ctas_location"] = _CLEAN
+ORACLE["table_like_location"] = _CLEAN
+ORACLE["stream_merge_sql"] = ORACLE["stream_merge_silver"]
+ORACLE["stream_interval"] = ORACLE["stream_csv_ingest"]
+ORACLE["feed_inventory"] = "SELECT COUNT(*) AS num_rows, TRUE AS same_files, TRUE AS same_bytes FROM events"
+
+ORACLE["table_properties"] = """
+WITH about AS (SELECT event_type AS table_name, COUNT(*) AS n, CAST(MAX(ts) AS DATE) AS newest FROM events GROUP BY ALL)
+SELECT table_name, 'quality' AS key, 'gold' AS value FROM about
+UNION ALL SELECT table_name, 'rows', CAST(n AS VARCHAR) FROM about
+UNION ALL SELECT table_name, 'newest', CAST(newest AS VARCHAR) FROM about"""
+
+ORACLE["owned_tables_catalog"] = f"""
+WITH {ACCESS}
+SELECT 'spark_catalog' AS table_catalog, lower(replace(r_name, ' ', '_')) AS table_schema, lower(c_mktsegment) AS table_name,
+       MAX(o_orderdate) AS last_altered, c_mktsegment AS last_altered_by,
+       'regionkey=' || r_regionkey || '/segment=' || c_mktsegment AS storage_sub_directory, TRUE AS has_created
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE c_mktsegment IN (SELECT entity FROM entities)
+GROUP BY r_name, r_regionkey, c_mktsegment"""
+
+ORACLE["database_listing"] = """
+SELECT lower(replace(r_name, ' ', '_')) AS database_name, lower(replace(n_name, ' ', '_')) AS table_name, COUNT(c_custkey) AS num_rows
+FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+WHERE r_regionkey % 2 = 0 AND r_regionkey > (SELECT MIN(r_regionkey) FROM region)
+GROUP BY r_name, n_name"""
+
+ORACLE["insert_sql_defaults"] = """
+SELECT row_number() OVER (ORDER BY c_custkey % 4, c_custkey) AS id,
+       CASE c_custkey % 4 WHEN 1 THEN 'noname' ELSE c_name END AS name,
+       CASE c_custkey % 4 WHEN 2 THEN NULL WHEN 3 THEN 'none' ELSE c_mktsegment END AS description, TRUE AS has_time
+FROM customer"""

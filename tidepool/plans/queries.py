@@ -9,11 +9,11 @@ what they wrote.
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,23 +24,15 @@ from tidepool.functions.cleaning import (clean_raw_data, drop_columns, filter_no
 from tidepool.functions.predicates import ts_literal
 from tidepool.operators import access, changes, merge, mutate
 from tidepool.plans import fixtures as fx
+from tidepool.plans.registry import REGISTRY, query  # noqa: F401  (REGISTRY: for importers)
 from tidepool.session import work_path
+from tidepool.sources import files
 from tidepool.sources.sensor import (CSV_TIME_FORMAT, SILVER_COLUMNS, raw_rows, sensor_schema,
                                      source_inventory, with_provenance, write_csv_feed)
 from tidepool.sources.table import ParquetTable
 from tidepool.streaming.pipeline import (bronze_schema, copy_stream, ingest_raw_to_bronze,
                                          merge_bronze_to_silver)
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-
-def query(name: str):
-    def wrap(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
-    return wrap
-
 
 # --- A, C, I: scans, projections, filters, scalar functions --------------
 
@@ -460,14 +452,20 @@ def q_source_inventory(spark, d):
 
 # --- A, B, K: streaming ---------------------------------------------------
 
-FEED_FILES = 4
+FEED_FILES, FEED_FILE_BYTES = 4, 32 << 20  # least number of feed files; Parquet bytes of ``events`` for each
+
+
+def feed_files(spark, d, share: float = 1.0) -> int:
+    """Files for a feed written from a share of ``events``: by its size, a multiple of ``FEED_FILES``."""
+    fours = share * files.total_bytes(spark, f"{d}/events.parquet") / (FEED_FILES * FEED_FILE_BYTES)
+    return FEED_FILES * max(1, math.ceil(fours))
 
 
 def _feed(spark, d):
-    """The raw CSV feed, written by Spark from ``events`` into 4 files."""
-    path = work_path(spark, "feed")
-    write_csv_feed(fx.raw(spark, d), path, files=FEED_FILES)
-    return path
+    """The raw CSV feed, written by Spark from ``events``; (folder, number of files)."""
+    path, n = work_path(spark, "feed"), feed_files(spark, d)
+    write_csv_feed(fx.raw(spark, d), path, files=n)
+    return path, n
 
 
 def _bronze(spark, label: str):
@@ -492,7 +490,7 @@ def _from_feed(feed):
 
 @query("stream_csv_ingest")
 def stream_csv_ingest(spark, d):
-    feed = _feed(spark, d)
+    feed, _ = _feed(spark, d)
     bronze = _bronze(spark, "bronze")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
     return bronze.read().select(*BRONZE_OUT, _from_feed(feed))
@@ -501,7 +499,7 @@ def stream_csv_ingest(spark, d):
 @query("stream_rerun_noop")
 def stream_rerun_noop(spark, d):
     """A second run on the same checkpoint finds no new file and adds nothing."""
-    feed = _feed(spark, d)
+    feed, _ = _feed(spark, d)
     bronze = _bronze(spark, "bronze-rerun")
     ckpt = work_path(spark, "ckpt-raw")
     _ingest(spark, feed, bronze, ckpt)
@@ -519,35 +517,34 @@ def _silver(spark, label: str):
 def stream_replay_idempotent(spark, d):
     """Bronze → silver, then a replay from a fresh checkpoint: content keys
     make the insert-only merge add nothing the second time."""
-    feed = _feed(spark, d)
+    feed, n = _feed(spark, d)
     bronze = _bronze(spark, "bronze-replay")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
     silver = _silver(spark, "silver-replay")
     # The ingest key hashes location, measurement (the silver partitions) and time.
     implied = dict(key_implies_partition=True, key_implies=["MeasurementDateTime"])
-    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-a"), max_files_per_trigger=2,
-                           **implied)
-    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-b"), max_files_per_trigger=2,
-                           **implied)
+    for checkpoint in ("ckpt-a", "ckpt-b"):
+        merge_bronze_to_silver(bronze, silver, work_path(spark, checkpoint), max_files_per_trigger=n // 2, **implied)
     return silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS], _from_feed(feed))
 
 
 @query("stream_repeated_readings")
 def stream_repeated_readings(spark, d):
     """A feed that holds readings twice, in one file and across files: silver is the same for
-    1, 2 and all files per trigger (column ``files_per_trigger``; 0 stands for all)."""
+    triggers of a fourth, of half and of all bronze files (column ``files_per_trigger``: 1, 2 and 0)."""
     rows = fx.raw(spark, d)
-    feed = work_path(spark, "feed")
-    write_csv_feed(rows.unionByName(rows.filter("SensorMeasurement != 'view'")), feed, files=FEED_FILES)
-    write_csv_feed(rows.filter("SensorLocation = 'loc_1'"), feed, files=1)
+    feed, n = work_path(spark, "feed"), feed_files(spark, d, 2.0)
+    write_csv_feed(rows.unionByName(rows.filter("SensorMeasurement != 'view'")), feed, files=n)
+    write_csv_feed(rows.filter("SensorLocation = 'loc_1'"), feed, files=n // FEED_FILES)
     bronze = _bronze(spark, "bronze-repeats")
     _ingest(spark, feed, bronze, work_path(spark, "ckpt-raw"))
     out = []
-    for n in (1, 2, 0):
-        silver = _silver(spark, f"silver-repeats-{n}")
-        merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-s"), max_files_per_trigger=n or None)
+    for quarters in (1, 2, 0):
+        silver = _silver(spark, f"silver-repeats-{quarters}")
+        merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-s"),
+                               max_files_per_trigger=quarters * n // FEED_FILES or None)
         out.append(silver.read().select(*[c for c in BRONZE_OUT if c in SILVER_COLUMNS],
-                                        F.lit(n).alias("files_per_trigger")))
+                                        F.lit(quarters).alias("files_per_trigger")))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -561,10 +558,10 @@ def stream_merge_silver(spark, d):
     silver.append(fx.target_rows(spark, d).select(*silver_cols))
     bronze = ParquetTable.create(spark, work_path(spark, "bronze-u"),
                                  fx.update_rows(spark, d).select(*silver_cols).schema)
-    # One append spread round-robin over FEED_FILES files: several micro-batches.
-    bronze.append(fx.update_rows(spark, d).select(*silver_cols).repartition(FEED_FILES))
-    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-silver"),
-                           max_files_per_trigger=FEED_FILES // 2)
+    # One append spread round-robin over several files: several micro-batches.
+    n = feed_files(spark, d)
+    bronze.append(fx.update_rows(spark, d).select(*silver_cols).repartition(n))
+    merge_bronze_to_silver(bronze, silver, work_path(spark, "ckpt-silver"), max_files_per_trigger=n // 2)
     return silver.read()
 
 
@@ -575,3 +572,7 @@ def stream_table_read(spark, d):
     dst = ParquetTable.create(spark, work_path(spark, "stream-dst"), src.schema, PARTS)
     copy_stream(src, dst, work_path(spark, "ckpt-copy"), max_files_per_trigger=8)
     return dst.read().select(*fx.SILVER)
+
+
+# The queries over catalog tables register themselves; they share the feed helpers above.
+from tidepool.plans import catalog_queries  # noqa: E402, F401

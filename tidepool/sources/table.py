@@ -53,6 +53,7 @@ OP_CLONE = "CLONE"
 OP, FILE, ROW = "_op", "_file", "_row"
 MAX_RECORDS_PER_FILE = 5_000_000
 CLUSTER_BYTES = 256 << 20
+SCOPE_PARTITIONS = 1000     # table partitions that a merge names one by one; beyond, by their range
 META_SCHEMA = "version long, schema string, partition_by array<string>, key array<string>, name string"
 
 
@@ -133,10 +134,11 @@ class ParquetTable:
     @classmethod
     def create_as(cls, spark: SparkSession, root: str, df: DataFrame,
                   partition_by=(), key=("Id",), replace: bool = False,
-                  operation: str = OP_CTAS) -> ParquetTable:
-        """CTAS: the table holds exactly the rows of ``df``, which may read the replaced table."""
+                  operation: str = OP_CTAS, rebalance: bool = True) -> ParquetTable:
+        """CTAS: the table holds exactly the rows of ``df``, which may read the replaced table.
+        ``rebalance=False`` writes rows where they are, for a ``df`` laid out by partition already."""
         t, old = cls._start(spark, root, df.schema, partition_by, key, replace)
-        t._commit(operation, df)
+        t._commit(operation, df, rebalance=rebalance)
         return t._ready(old)
 
     @classmethod
@@ -379,14 +381,18 @@ class ParquetTable:
 
     def _implied_scope(self, updates: DataFrame, implied: list[str]) -> Column | None:
         """Filter on the target implied by the batch's values (None: the batch is empty). The
-        driver receives one row of bounds, and one row per table partition the batch touches.
+        driver receives one row of bounds, and one row per table partition the batch touches, up
+        to ``SCOPE_PARTITIONS``; a batch that touches more is bounded by the range of each
+        partition column instead (the filter only saves reading: the result is the same).
         Bounds go through Spark's own text form, so they are exact in any session time zone."""
         conds = []
         ranged = [c for c in implied if c not in self.partition_by]
+        parts = None
         if self.partition_by and all(c in implied for c in self.partition_by):
-            parts = [tuple(r) for r in updates.select(*self.partition_by).distinct().collect()]
+            parts = [tuple(r) for r in updates.select(*self.partition_by).distinct().take(SCOPE_PARTITIONS + 1)]
             if not parts:
                 return None
+        if parts and len(parts) <= SCOPE_PARTITIONS:
             conds.append(self._partition_filter(parts))
         else:
             ranged = list(implied)
@@ -498,9 +504,11 @@ class ParquetTable:
     # --- copies, snapshots and metadata -----------------------------------------
 
     def deep_clone(self, root: str, replace: bool = False) -> ParquetTable:
-        """``CREATE TABLE c CLONE t``: an independent copy of the visible rows."""
+        """``CREATE TABLE c CLONE t``: an independent copy of the visible rows. The source's files
+        hold one partition each, so rows are written by the tasks that read them, in the order of
+        the files (a clone of clustered files stays clustered), without a shuffle."""
         return ParquetTable.create_as(self.spark, root, self.read(), self.partition_by,
-                                      self.key, replace=replace, operation=OP_CLONE)
+                                      self.key, replace=replace, operation=OP_CLONE, rebalance=False)
 
     def snapshot(self) -> Snapshot:
         """``SHALLOW CLONE``: the table as of now. It holds a number, no files; while it is

@@ -56,7 +56,7 @@ def _app_id(query_name: str, checkpoint: str) -> str:
     return f"{query_name}@{checkpoint}"
 
 
-def _run(df: DataFrame, name: str, checkpoint: str, handler, trigger: dict | None,
+def run_stream(df: DataFrame, name: str, checkpoint: str, handler, trigger: dict | None,
          await_done: bool) -> StreamingQuery:
     w = (df.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint)
@@ -88,7 +88,7 @@ def ingest_raw_to_bronze(spark: SparkSession, source_dir: str, bronze: ParquetTa
         bronze.append(batch, operation=OP_STREAM,
                       txn=(_app_id(query_name, checkpoint), batch_id))
 
-    return _run(rows, query_name, checkpoint, append, trigger, await_done)
+    return run_stream(rows, query_name, checkpoint, append, trigger, await_done)
 
 
 def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoint: str,
@@ -116,7 +116,7 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
         finally:
             batch.unpersist()
 
-    return _run(src, query_name, checkpoint, merge, trigger, await_done)
+    return run_stream(src, query_name, checkpoint, merge, trigger, await_done)
 
 
 def copy_stream(source: ParquetTable, target: ParquetTable, checkpoint: str,
@@ -130,7 +130,7 @@ def copy_stream(source: ParquetTable, target: ParquetTable, checkpoint: str,
         target.append(batch, operation=OP_STREAM,
                       txn=(_app_id(query_name, checkpoint), batch_id))
 
-    return _run(src, query_name, checkpoint, append, trigger, await_done)
+    return run_stream(src, query_name, checkpoint, append, trigger, await_done)
 
 
 
