@@ -195,3 +195,9 @@ def test_links_of_large_and_small_lists_agree(monkeypatch):
     assert edges < len(fps)
     monkeypatch.setattr(simhash, "ALL_PAIRS", 1)
     assert groups()[0] == small
+
+
+def test_numerals_are_no_letters():
+    assert language.words_of("½ ² Ⅷ ① 12 _ -") == []
+    assert language.words_of("x² año Ⅷth 3rd_Ωmega İ") == ["x", "año", "th", "rd", "ωmega", "i"]
+    assert language.predictor(None)(["①"])["lang_pred"] == ["und"]

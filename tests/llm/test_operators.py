@@ -53,6 +53,15 @@ def test_language_odd_inputs(odd_docs, no_docs):
     assert {r["lang_pred"] for r in language.identify(odd_docs, no_docs).collect()} == {"und"}
 
 
+def test_language_keeps_every_label_and_reads_whole_texts(spark):
+    rows = [(i, f"lang{i % 300}word common{i % 7}", f"l{i % 300:03d}") for i in range(900)]
+    rows += [(2000 + i, "same copy", "l000") for i in range(400)] + [(3000, "head " * 4000 + "tailword " * 4000, "l001")]
+    got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(got) == 300 and sum(w == ["same", "copy"] for w in got["l000"]) == 1
+    long = next(w for w in got["l001"] if len(w) > 10)
+    assert {"head", "tailword"} <= set(long) and len(long) <= language.SAMPLE_WORDS
+
+
 # toxicity
 
 def test_toxicity_query_shape(spark, sample_docs):
@@ -71,6 +80,68 @@ def test_toxicity_odd_inputs(spark, odd_docs, no_docs):
     assert toxicity.judge(no_docs, odd_docs, labels).count() == 0
 
 
+def test_toxicity_learns_nothing_from_held_out_labels(spark):
+    """Whatever held-out labels say, every score stays."""
+    from tidepool.llm import queries
+    from tidepool.llm.common import id_fold
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    held = id_fold("doc_id", 5) == 0
+    other = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert other.filter(held).count() > 5
+    path = queries.documents(spark, SF)     # the same documents beside altered labels
+    from tidepool.session import work_path
+    folder = work_path(spark, "altered")
+    path.write.parquet(f"{folder}/documents.parquet")
+    other.write.parquet(f"{folder}/labels.parquet")
+    one, two = (by_id(QUERIES["op2_toxicity"](spark, d)) for d in (SF, folder))
+    assert {k: r["score"] for k, r in one.items()} == {k: r["score"] for k, r in two.items()}
+
+
+def test_toxicity_held_out_accuracy(spark):
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    held = [(r["predicted"], toxic[r["doc_id"]]) for r in QUERIES["op2_toxicity"](spark, "/root/testdata/sf0.01").collect()
+            if r["held_out"] and r["doc_id"] in toxic]
+    caught = [p for p, t in held if t]
+    assert len(caught) >= 5 and sum(caught) / len(caught) >= 0.8
+    assert sum(p for p, t in held if not t) / sum(not t for _, t in held) < 0.03
+
+
+def test_toxicity_scores_equal_plain(spark, sample_docs):
+    """A document's score is that of its most toxic window, by a loop over windows and subwords."""
+    docs = sample_docs[0].select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.learn(docs, labels)
+    got = {r["row"]["doc_id"]: r["score"] for r in toxicity.judge(docs, docs, labels).collect()}
+
+    def plain(text):
+        ws = toxicity.words_of(text)
+        cut = [*toxicity.window_starts(len(ws)), len(ws)]
+        vector = {w: np.mean([float(model["subword"][g]) for g in toxicity.subwords(w)]) for w in set(ws)}
+        best = max((np.mean([vector[w] for w in ws[a:b]]) for a, b in zip(cut, cut[1:]) if b > a), default=0.0)
+        return 1 / (1 + math.exp(-(model["a"] * (best + model["bias"]) + model["c"])))
+
+    for i, text in sample_docs[1]:
+        assert got[i] == pytest.approx(plain(text), abs=1e-4)
+
+
+def test_toxicity_learns_from_long_texts_and_agreed_labels(spark):
+    """Texts of any length teach; ids whose labels disagree do not; of a repeated id one text does."""
+    rng = np.random.default_rng(1)
+    plain = [f"{a}{b}" for a in ("bar", "len", "mor", "tas", "vik") for b in ("an", "el", "ot", "un", "ia")]
+    line = lambda n: " ".join(rng.choice(plain, n))
+    rows = [(i, line(6000) + (" scoundrel skoundrel " * 400 + line(200) if i % 2 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows + [(7, "again scoundrel")] * 3 + [(500, line(20)), (501, line(5) + " scoundrell skoundrell" * 2 + " scoundrell " + line(10))],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(58, 1), (59, 1), (None, 1), (3, None), (900, 0)], "doc_id long, toxic int")
+    assert all(len(t) > toxicity.SAMPLE_CHARS for _, t in rows)
+    picked, share = toxicity.sample(docs, labels)
+    sizes = {r["toxic"]: r["count"] for r in picked.groupBy("toxic").count().collect()}
+    assert sizes == {0: 29, 1: 30} and share == 30 / 60
+    score = {r["row"]["doc_id"]: r["score"] for r in toxicity.judge(docs, docs, labels).collect()}
+    assert score[500] < 0.5 < score[501]
+
+
 # url filters
 
 def test_url_rules_and_parts(spark):

@@ -37,15 +37,20 @@ def id_fold(column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % F.lit(folds)
 
 
-def in_share(hashed: Column | str, share: Column | float) -> Column:
-    """True for the given share of hashes."""
-    return F.pmod(hashed, F.lit(1 << 40)) < share * F.lit(float(1 << 40))
-
-
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def stretches(text: Column, seed: Column, most: int, piece: int) -> Column:
+    """The text, or stretches of ``piece`` characters of a longer one that a hash picks from the whole of
+    it, ``most`` characters in all, in order."""
+    several = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / piece).cast("int"))
+    ranked = F.sort_array(F.transform(several, lambda i: F.struct(F.xxhash64(seed, i).alias("h"), i.alias("i"))))
+    picked = F.sort_array(F.transform(F.slice(ranked, 1, most // piece), lambda x: x["i"]))
+    cut = F.array_join(F.transform(picked, lambda i: F.substring(text, i * piece + 1, F.lit(piece))), " ")
+    return F.when(F.length(text) <= most, text).otherwise(cut)
+
+
 def slices(rows: pa.StructArray, text: int, most: int = SLICE_BYTES) -> Iterator[pa.StructArray]:
     """The rows in parts of about ``most`` bytes of their text field (a longer text alone)."""
     sizes = pc.fill_null(pc.binary_length(rows.field(text)), 0).to_numpy()

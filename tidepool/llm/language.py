@@ -7,15 +7,17 @@ all hashed, and its entry in a lexicon of each language's frequent words. Margin
 from forward-backward over the whole text.
 
 Training (driver, numpy, Adagrad on the exact likelihood gradient): a sample bounded by
-``SAMPLE_DOCS`` labelled documents per language (``SAMPLE_ALL`` in all) and ``SAMPLE_WORDS``
-words of each; the labels of documents are the words' labels. Sequences are stitched from pieces of several
+``SAMPLE_DOCS`` distinct labelled texts per language (fewer if there are many languages, but
+``LEAST_DOCS`` at least; no language is left out) and ``SAMPLE_WORDS`` words of each, from stretches
+that a hash picks in the whole text; the labels of documents are the words' labels. Sequences are stitched from pieces of several
 documents, so transitions between languages are seen. The model is some MB, whatever the corpus.
 
 A document's label is the one with the largest mean marginal over its words, its score
-that mean. Words are runs of letters, lower-cased.
+that mean. Words are runs of letters (Unicode categories L), lower-cased.
 
 Defined cases: a null text or one without a letter gets ``und`` and score 0; if no labelled
-row exists every text gets ``und``; repeated rows are labelled each; an empty table gives an
+row exists every text gets ``und``; of labels with equal mass the first in order counts;
+repeated rows are labelled each; texts of any length are read whole; an empty table gives an
 empty result; extra columns travel along and are not read.
 """
 
@@ -26,21 +28,26 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import arrow_columns, in_share, time_major, word_groups
+from tidepool.llm.common import arrow_columns, staged, stretches, time_major, word_groups
 
 UNDETERMINED = "und"
-SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_ALL, MOST_LABELS = 250, 240, 8000, 200
+SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_ALL, LEAST_DOCS = 250, 240, 8000, 20
+STRETCH = 480  # characters of a stretch of a long training text
 BUCKETS, LEXICON = 1 << 17, 1000
 STEP_WORDS = 1_500_000  # words in one forward-backward pass
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    words = LETTERS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, words)):
+        return words
+    # \w also takes numerals such as a half or a Roman three, which are no letters
+    return [w for x in words for w in "".join(c if c.isalpha() else " " for c in x).split()]
 
 
 def grams(word: str) -> list[int]:
@@ -150,24 +157,26 @@ class Crf:
 
 
 def sample(docs: DataFrame, per_label: int = SAMPLE_DOCS, most_words: int = SAMPLE_WORDS) -> dict[str, list[list[str]]]:
-    """Words of at most ``per_label`` documents of each label (a hash picks them), ``most_words`` of each.
-    What reaches the driver is bounded by labels * per_label texts."""
+    """Words of ``per_label`` distinct texts of each label, those with the least hash, ``most_words`` of each.
+    What reaches the driver is bounded by labels * per_label short texts; copies of a text count once."""
     known = docs.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count")).limit(MOST_LABELS).collect()}
-    if not counts:
+    labels = known.select("lang").distinct().count()
+    if not labels:
         return {}
-    per_label = min(per_label, max(20, SAMPLE_ALL // len(counts)))
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2 * per_label / n))) for k, n in counts.items()])
-    picked = known.filter(in_share("h", share))
-    # the first words suffice for the sample's bound; a cut of 16 characters a word keeps rows small
-    rows = (picked.select("lang", "h", F.substring("text", 1, most_words * 16).alias("t"))
-            .dropDuplicates(["lang", "h"]).collect())  # copies of a text have one hash: one of them counts
-    out: dict[str, list[list[str]]] = {k: [] for k in sorted(counts)}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["t"])):
-        w = words_of(r["t"])[:most_words]
-        if w and len(out[r["lang"]]) < per_label:
-            out[r["lang"]].append(w)
-    return {k: v for k, v in out.items() if v}
+    per_label = min(per_label, max(LEAST_DOCS, SAMPLE_ALL // labels))
+    least = Window.partitionBy("lang").orderBy("h")
+    picked = (known.select("lang", "h").distinct().withColumn("k", F.row_number().over(least))
+              .filter(F.col("k") <= per_label).select(F.col("lang").alias("_lang"), F.col("h").alias("_h")))
+    picked = staged(picked, "language-sample")  # labels * per_label rows
+    # a word has 16 characters at most on average: enough for the sample's bound
+    part = stretches(F.col("text"), F.col("h"), most_words * 16, STRETCH)
+    rows = (known.join(picked, (F.col("lang") == F.col("_lang")) & (F.col("h") == F.col("_h")))
+            .groupBy("lang", "h").agg(F.min(part).alias("t")).collect())
+    out: dict[str, list[list[str]]] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
+        if w := words_of(r["t"])[:most_words]:
+            out.setdefault(r["lang"], []).append(w)
+    return out
 
 
 def train(samples: dict[str, list[list[str]]], length: int = 48, seed: int = 3) -> Crf | None:

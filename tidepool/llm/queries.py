@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import (
+    conversations,
     decontaminate,
     importance,
     language,
@@ -34,7 +35,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = id_fold("doc_id", 5) == 0
-    found = toxicity.judge(docs, docs.filter(~held_out), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out)     # nothing of held-out labels is counted
+    found = toxicity.judge(docs, docs.filter(~held_out), labels)
     return found.select("row.doc_id", "score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -87,9 +89,15 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return conversations.report(conversations.damage(rows), rows)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language, op2_toxicity, op3_url_filter, op4_mixing, op5_decontaminate, op6_nearest,
-    op7_suffix_dedup, op8_secrets, op9_simhash, op10_language_model, op11_quality, op12_importance)}
+    op7_suffix_dedup, op8_secrets, op9_simhash, op10_language_model, op11_quality, op12_importance,
+    op13_conversations)}
 
 
 def op3_sql() -> str:

@@ -11,15 +11,18 @@ clean documents reach (its best one at least). The document's score is that of i
 toxic window, turned into a probability by a one-dimensional logistic fit on documents
 that the embeddings were not trained on, weighted to the labels' true shares.
 
-Bounds: the fit uses at most ``SAMPLE`` documents of each label, of at most
-``SAMPLE_CHARS`` characters (longer ones are left out of the fit, never cut). Scoring reads
-whole texts. After training a subword contributes one number (its embedding times the
-softmax weights), so the model sent to tasks is one array of ``BUCKETS`` floats.
+Bounds: the fit uses at most ``SAMPLE`` documents of each label, of any length. Of a text
+longer than ``SAMPLE_CHARS`` the embeddings see as many characters, in stretches picked by a
+hash from the whole text; the calibration takes the most toxic window of whole texts, found
+by Spark. Scoring reads whole texts. After training a subword contributes one number (its
+embedding times the softmax weights), so the model sent to tasks is one array of ``BUCKETS``
+floats.
 
 Defined cases: a null, empty or letterless text is scored as a window without words;
-unlabelled or null labels are not learned from; with one class or none to learn from every
-score is that class's share (0 if none); repeated rows are scored each; an empty table
-gives an empty result; extra columns travel along unread.
+unlabelled or null labels, and ids whose labels disagree, are not learned from; of an id with
+several texts the one with the least hash is; with one class or none to learn from every
+score is that class's share (0 if none); repeated rows are scored each, and equal texts get
+equal scores; an empty table gives an empty result; extra columns travel along unread.
 """
 
 from __future__ import annotations
@@ -32,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import arrow_columns, in_share
+from tidepool.llm.common import arrow_columns, staged, stretches
 
-SAMPLE, SAMPLE_CHARS = 1500, 20_000
+SAMPLE, SAMPLE_CHARS, STRETCH = 1500, 20_000, 2_000
+HELD = 0.3  # share of the sample that the embeddings do not learn from, for the calibration
 BUCKETS, DIM, WINDOW, NGRAMS = 1 << 17, 8, 5, (3, 4, 5)
 ROUND_WINDOWS = 200_000  # a small sample is gone through until a round has seen so many windows (30 times at most)
+SCORE = T.StructType([T.StructField("score", T.DoubleType())])
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -133,36 +138,43 @@ class Bags:
         return (total[b] - total[a]) / (b - a) + model.bias
 
 
-def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> dict | None:
-    """The scorer learned from texts with labels 0/1; ``share`` is the true share of toxic ones."""
-    docs = [words_of(t) for t in texts]
-    keep = [i for i, ws in enumerate(docs) if ws]
-    docs, toxic = [docs[i] for i in keep], np.asarray(toxic, int)[keep]
-    if not len(toxic) or toxic.min() == toxic.max():
-        return {"flat": float(share)}
-    rng = np.random.default_rng(seed)
-    held = rng.random(len(docs)) < 0.3
-    if min(np.bincount(toxic[held], minlength=2)) == 0 or min(np.bincount(toxic[~held], minlength=2)) == 0:
-        held[:] = False  # too few to set some aside: calibrate on what was trained on
+def train(docs: list[list[str]], toxic: np.ndarray, rng) -> dict:
+    """The embeddings' scorer, not calibrated, learned from documents (their words) with labels 0/1, both present."""
     bags, model = Bags(docs), SubwordSoftmax()
-    learn = ~held[bags.owner]
     label = toxic[bags.owner]
-    windows = np.flatnonzero(learn)
+    windows = np.arange(len(bags.windows))
     for round_ in range(4):
         if round_:
             z = bags.scores(model)
-            bar = np.quantile(z[learn & (label == 0)], 0.998)
+            bar = np.quantile(z[label == 0], 0.998)
             best = np.full(len(docs), -np.inf)
             np.maximum.at(best, bags.owner, z)
-            windows = np.flatnonzero(learn & ((label == 0) | (z >= np.minimum(bar, best[bags.owner]))))
+            windows = np.flatnonzero((label == 0) | (z >= np.minimum(bar, best[bags.owner])))
         for _ in range(min(30, max(2, -(-ROUND_WINDOWS // len(windows))))):
             model.epoch(bags, bags.windows[windows], label[windows], rng)
-    z = bags.scores(model)
-    best = np.full(len(docs), -np.inf)
-    np.maximum.at(best, bags.owner, z)
-    rows = held if held.any() else ~held
-    a, c = calibrate(best[rows], toxic[rows], share)
-    return {"subword": model.per_subword(), "bias": float(model.bias), "a": a, "c": c}
+    return {"subword": model.per_subword(), "bias": float(model.bias)}
+
+
+def split(toxic: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """``held``, or nothing where either part would lack a class: then the calibration takes what was trained on."""
+    few = min(np.bincount(toxic[held], minlength=2)) == 0 or min(np.bincount(toxic[~held], minlength=2)) == 0
+    return np.zeros_like(held) if few else held
+
+
+def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> dict:
+    """The scorer learned from texts with labels 0/1; ``share`` is the true share of toxic ones."""
+    docs = [words_of(t) for t in texts]
+    keep = [i for i, ws in enumerate(docs) if ws]
+    docs, texts, toxic = [docs[i] for i in keep], [texts[i] for i in keep], np.asarray(toxic, int)[keep]
+    if not len(toxic) or toxic.min() == toxic.max():
+        return {"flat": float(share)}
+    rng = np.random.default_rng(seed)
+    held = split(toxic, rng.random(len(docs)) < HELD)
+    model = train([d for d, h in zip(docs, held, strict=True) if not h], toxic[~held], rng)
+    rows = np.flatnonzero(held if held.any() else ~held)
+    best = scorer(model, calibrated=False)([texts[i] for i in rows])["score"]
+    a, c = calibrate(best, toxic[rows], share)
+    return {**model, "a": a, "c": c}
 
 
 def calibrate(z: np.ndarray, y: np.ndarray, share: float, steps: int = 200) -> tuple[float, float]:
@@ -180,8 +192,8 @@ def calibrate(z: np.ndarray, y: np.ndarray, share: float, steps: int = 200) -> t
     return float(theta[0] / spread), float(theta[1] - theta[0] * middle / spread)
 
 
-def scorer(model: dict, keep_words: int = 150_000):
-    """texts -> score: the calibrated probability of the most toxic window."""
+def scorer(model: dict, keep_words: int = 150_000, calibrated: bool = True):
+    """texts -> score: the calibrated probability of the most toxic window, or its plain score."""
     known: dict[str, int] = {}
     table = [np.zeros(0, np.float32)]
 
@@ -218,36 +230,51 @@ def scorer(model: dict, keep_words: int = 150_000):
             ends = np.append(heads[1:], len(cuts))
             full = np.flatnonzero(ends > np.array(heads))
             best[full] = np.maximum.reduceat(mean, np.array(heads)[full])
+        if not calibrated:
+            return {"score": best + model["bias"]}
         x = model["a"] * (best + model["bias"]) + model["c"]
         return {"score": 1 / (1 + np.exp(-np.clip(x, -500, 500)))}
 
     return score
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
-    """At most ``per_label`` labelled texts of each label, picked by a hash of the id, and the
-    share of toxic labels. The picked ids are few by construction, so they are broadcast."""
-    known = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
+def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> tuple[DataFrame, float]:
+    """(h, toxic, text) of at most ``per_label`` labelled documents of each label, those with the least hash
+    of the id, and the share of toxic labels. Written; the picked ids are few by construction, so they
+    are broadcast."""
+    known = (labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id")
+             .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("also")).filter("toxic = also")
+             .select("doc_id", "toxic", F.xxhash64("doc_id").alias("h")))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    total = sum(counts.values())
-    if not total:
-        return [], np.zeros(0, int), 0.0
-    rate = F.when(F.col("toxic") == 1, min(1.0, 1.5 * per_label / counts.get(1, 1))).otherwise(
-        min(1.0, 1.5 * per_label / counts.get(0, 1)))
-    picked = known.filter(in_share("h", rate)).dropDuplicates(["doc_id"])
-    picked = picked.orderBy("h", "doc_id").limit(4 * per_label).withColumnRenamed("doc_id", "l_id")
-    rows = (docs.filter("text is not null").filter(F.length("text") <= SAMPLE_CHARS)
-            .join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("h", "toxic", "text").limit(8 * per_label).collect())
-    out: dict[int, list] = {0: [], 1: []}
-    for r in sorted(rows, key=lambda r: (r["h"], r["text"])):
-        if len(out[r["toxic"]]) < per_label:
-            out[r["toxic"]].append(r["text"])
-    return out[0] + out[1], np.array([0] * len(out[0]) + [1] * len(out[1])), counts.get(1, 0) / total
+    found = docs.filter("text is not null").select("doc_id", "text")
+    here = known.join(found.select("doc_id"), "doc_id", "left_semi")     # labels without a document take no place
+    each = [here.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(per_label) for k in (0, 1)]
+    picked = staged(each[0].unionByName(each[1]).withColumnRenamed("doc_id", "l_id"), "toxicity-picked")
+    one = (found.join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).groupBy("h", "toxic")
+           .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    return staged(one, "toxicity-sample"), counts.get(1, 0) / max(1, sum(counts.values()))
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> dict:
+    """The calibrated scorer of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) cover."""
+    picked, share = sample(docs, labels)
+    rows = sorted(picked.select("h", "toxic", stretches(F.col("text"), F.col("h"), SAMPLE_CHARS, STRETCH).alias("part")).collect())  # 2 SAMPLE rows
+    words = [(h, k, ws) for h, k, part in rows if (ws := words_of(part))]
+    toxic = np.array([k for _, k, _ in words], int)
+    if not len(toxic) or toxic.min() == toxic.max():
+        return {"flat": float(share)}
+    held = split(toxic, np.array([h % 100 < 100 * HELD for h, _, _ in words]))
+    model = train([ws for (_, _, ws), out in zip(words, held, strict=True) if not out], toxic[~held], np.random.default_rng(5))
+    wanted = {h for (h, _, _), out in zip(words, held, strict=True) if out or not held.any()}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    whole = arrow_columns(picked, "text", SCORE, lambda: scorer(shared.value, calibrated=False))
+    best = sorted(r for r in whole.select("row.h", "row.toxic", "score").collect() if r["h"] in wanted)
+    a, c = calibrate(np.array([r["score"] for r in best]), np.array([r["toxic"] for r in best]), share)
+    return {**model, "a": a, "c": c}
 
 
 def judge(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """``row`` and ``score`` of every document; learned from ``labelled`` (doc_id, text) and ``labels``."""
-    model = fit(*sample(labelled.select("doc_id", "text"), labels))
+    model = learn(labelled, labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
-    new = T.StructType([T.StructField("score", T.DoubleType())])
-    return arrow_columns(docs, "text", new, lambda: scorer(shared.value))
+    return arrow_columns(docs, "text", SCORE, lambda: scorer(shared.value))
