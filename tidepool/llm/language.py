@@ -244,14 +244,27 @@ def predictor(model: Crf | None, keep_words: int = 150_000):
     return predict
 
 
-def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``row``, ``lang_pred``, ``score`` for every document; ``labelled`` has text and lang."""
-    model = train(sample(labelled))
+def identified(docs: DataFrame, model: Crf | None) -> DataFrame:
+    """``row``, ``lang_pred``, ``score`` for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some MB: BUCKETS * labels floats and the lexicon
     new = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return arrow_columns(docs, "text", new, lambda: predictor(shared.value))
 
 
+def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``row``, ``lang_pred``, ``score`` for every document; ``labelled`` has text and lang."""
+    return identified(docs, train(sample(labelled)))
+
+
+def determined(docs: DataFrame) -> DataFrame:
+    """The documents (text, lang, …) in which some language is found, learned from their own labels: code-switched
+    texts stay however evenly their languages share them. Without any label, all texts with a letter stay."""
+    model = train(sample(docs))
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    return identified(docs, model).filter(F.col("lang_pred") != UNDETERMINED).select("row.*")
+
+
 def label_words(texts: list[str], model: Crf) -> list[list[tuple[str, str]]]:
     """(word, label) of every word: the segmentation of code-switched text."""
     split = [words_of(t) for t in texts]

@@ -29,11 +29,18 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
 BUCKETS, NGRAMS = 4096, (3, 4)
 
 # A small labelled url table, our own: 1 is unwanted.
-UNWANTED = """cheap-pills casino-win adult-x spam-farm free-bets ads-track lucky-slots hot-singles
-payday-loan pills-online win-prize poker-bonus track-click xxx-video free-casino bets-now replica-watch
-miracle-diet crypto-double adserver click-farm""".split()
-ORDINARY = """library weather thenews cityguide recipes gardening museum travelnotes opendata schoolboard
-mathforum thether thonre tionand thering histories mountain riverside theatre station bookshelf""".split()
+UNWANTED = """lucky-slots hot-singles payday-loan pills-online win-prize poker-bonus track-click xxx-video
+casino-royal-play bets-now replica-watch miracle-diet crypto-double adserver click-farm gambling-palace
+roulette-king sports-betting bonus-spins jackpot-city viagra-store cheap-meds pharmacy-discount weight-loss-trick
+adult-chat sexy-cams escort-club nude-models dating-hookup ads-network banner-ads popup-ads tracker-pixel
+spam-mailer bulk-mail link-farm seo-backlinks free-iphone get-rich-quick work-from-home-cash fake-rolex
+bet-online win-big cheap-tickets-scam free-spins online-casino""".split()
+ORDINARY = """library weather thenews cityguide recipes gardening museum travelnotes opendata schoolboard mathforum
+histories mountain riverside theatre station bookshelf university newsletter hospital chemistry orchestra
+architecture photography carpentry bicycles football railways parliament archive dictionary encyclopedia
+kindergarten marathon bakery village harbour forest farmers-market science-journal local-council
+open-source music-school the-gardener northern-lights weathermap handwriting another-day interesting
+international translation""".split()
 
 
 def labelled_urls() -> list[tuple[str, int]]:
