@@ -1,13 +1,13 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and reread.
 
-1. language ID: texts without a letter, or in which no language holds ``MIN_LANGUAGE`` of the
-   words' label mass, go; 2. SimHash near-dedup: one document of each group stays;
-3. benchmark decontamination: documents that hold a benchmark phrase go; 4. secret scans:
-   secrets are replaced by a mark; 5. mixing: words taken of each document for the target mix.
+1. language ID: texts in which no language is found go (code-switched ones stay; without any label, all
+   texts with a letter do); 2. SimHash near-dedup: one document of each group stays; 3. benchmark decontamination: documents that hold a benchmark phrase go; 4. secret scans: secrets are replaced by a
+   mark; 5. mixing: words taken of each document for the target mix.
 
 Every stage reads all that the one before kept. Stages 1 to 4 return the columns of
 ``documents`` (others that the table has come along); stage 5 returns doc_id, source, size,
-source_size, target and taken. Null texts go in stage 1; empty tables stay empty throughout.
+source_size, target and taken. Null texts go in stage 1; of repeated rows and near copies stage 2 keeps
+one, the one with the smallest id; texts of any length pass whole; empty tables stay empty throughout.
 """
 
 from __future__ import annotations
@@ -17,12 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidepool.llm import decontaminate, language, mixing, secrets, simhash
 from tidepool.llm.common import documents, staged
 
-MIN_LANGUAGE = 0.4
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.identify(docs, docs)
-    return found.filter((found.lang_pred != language.UNDETERMINED) & (found.score >= MIN_LANGUAGE)).select("row.*")
+    return language.determined(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
