@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import SF001
 from tests.plans import plan_text
+from tidepool.operators import soft_delete
 from tidepool.operators.merge import one_per_key, rows_to_insert
 from tidepool.plans import fixtures as fx
 from tidepool.session import work_path
@@ -229,3 +230,57 @@ def test_sql_merge_reads_only_keys_of_the_table(spark, db):
     scans = [x for x in plan.split("\n\n") if "Scan parquet" in x and "Location: CatalogFileIndex" in x or "InMemoryFileIndex" in x and f"{db}" in x]
     assert "LeftSemi" in plan and "LeftAnti" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert any("ReadSchema: struct<Id:string>" in s for s in plan.split("\n\n")), scans
+
+
+# --- deletes by key, purge, log ---------------------------------------------------
+
+def logged(spark, db, rows, parts=("p",)):
+    name = f"{db}.t"
+    soft_delete.create(spark, name, spark.createDataFrame(rows, SCHEMA), list(parts))
+    return name
+
+
+def test_delete_hides_and_purge_removes(spark, db):
+    rows = [("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", None, "y"), (None, 5, None), ("e", 6, None), ("f", 7, "z")]
+    name = logged(spark, db, rows)
+    files_before = set(spark.table(f"{name}_rows").inputFiles())
+    assert soft_delete.delete(spark, name, "v >= 5 OR Id = 'a'") == 4          # a NULL predicate keeps row d
+    assert soft_delete.delete(spark, name, "v >= 5") == 0                      # deleted already
+    left = [("b", 2, "x"), ("c", 3, "y"), ("d", None, "y")]
+    assert bag(spark.table(name).select("Id", "v", "p")) == sorted(left, key=repr)
+    assert set(spark.table(f"{name}_rows").inputFiles()) == files_before        # no data file changed
+    assert soft_delete.purge(spark, name, "p = 'x'") == 1
+    assert bag(spark.table(f"{name}_rows").select("Id", "v", "p")) == sorted(left + [(None, 5, None), ("e", 6, None), ("f", 7, "z")], key=repr)
+    assert soft_delete.purge(spark, name) == 0                                 # nothing is left of two partitions
+    assert soft_delete.purge(spark, name) == 0
+    assert bag(spark.table(f"{name}_rows").select("Id", "v", "p")) == bag(spark.table(name).select("Id", "v", "p")) == sorted(left, key=repr)
+    assert spark.table(f"{name}_deleted").count() == 0
+    log = [tuple(r)[:3] for r in soft_delete.history(spark, name).collect()][::-1]
+    assert log == [(0, soft_delete.CREATED, 7), (1, soft_delete.DELETED, 4), (2, soft_delete.DELETED, 0),
+                   (3, soft_delete.PURGED, 1), (4, soft_delete.PURGED, 0), (5, soft_delete.PURGED, 0)]
+
+
+def test_purge_leaves_the_session_as_it_was(spark, db):
+    name = logged(spark, db, [("a", 1, "x"), ("b", 1, "x")])
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    soft_delete.delete(spark, name, "Id = 'a'")
+    soft_delete.purge(spark, name)
+    assert spark.conf.get(mode) == before and bag(spark.table(name).select("Id")) == [("b",)]
+
+
+def test_rows_of_a_purged_key_can_come_back(spark, db):
+    name = logged(spark, db, [("a", 1, "x"), ("b", 1, "x")])
+    soft_delete.delete(spark, name, "Id = 'a'")
+    catalog.insert(spark, f"{name}_rows", spark.createDataFrame([("a", 9, "x")], SCHEMA))
+    assert bag(spark.table(name).select("Id", "v")) == [("b", 1)]               # hidden until purged
+    soft_delete.purge(spark, name)
+    catalog.insert(spark, f"{name}_rows", spark.createDataFrame([("a", 9, "x")], SCHEMA))
+    assert bag(spark.table(name).select("Id", "v")) == [("a", 9), ("b", 1)]
+
+
+def test_deleted_keys_are_pruned_with_their_partition(spark, db):
+    name = logged(spark, db, [("a", 1, "x"), ("b", 1, "y")])
+    soft_delete.delete(spark, name, "Id = 'a'")
+    plan = plan_text(spark.table(name).filter("p = 'y'"))
+    assert plan.count("PartitionFilters: [isnotnull(p") >= 1 and "LeftAnti" in plan

@@ -19,7 +19,7 @@ def con():
 
 
 def test_every_survey_key_registered():
-    assert len(QUERIES) == 65 and set(QUERIES) <= set(entry_mod.queries())
+    assert len(QUERIES) == 68 and set(QUERIES) <= set(entry_mod.queries())
     assert set(ORACLE) <= set(entry_mod.oracle_sql())
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"source_inventory"}

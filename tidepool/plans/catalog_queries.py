@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.predicates import is_true
-from tidepool.operators import access
+from tidepool.operators import access, soft_delete
 from tidepool.plans import fixtures as fx
 from tidepool.plans.queries import (BRONZE_OUT, CSV_TIME_FORMAT, PARTS, _bronze, _feed, _from_feed, feed_files)
 from tidepool.plans.registry import query
@@ -150,6 +150,43 @@ def database_listing(spark, d):
         F.col("statistics.num_rows").alias("num_rows"))
 
 
+# --- J6, J7, J11: deletes by key, purge, log -----------------------------------------------
+
+def _logged(spark, d) -> str:
+    name = f"{_database(spark, 'logged')}.sensors"
+    soft_delete.create(spark, name, fx.clean(spark, d, keep_event_id=True), PARTS)
+    return name
+
+
+@query("delete_by_key")
+def delete_by_key(spark, d):
+    """Rows deleted by key from a catalog table: no data file changes, the view leaves them out."""
+    name = _logged(spark, d)
+    soft_delete.delete(spark, name, "event_id % 11 = 0")
+    return spark.table(name).select(*fx.SILVER)
+
+
+@query("purge_by_key")
+def purge_by_key(spark, d):
+    """Two deletes, then a purge of one location and of the rest; the rows that are in the files."""
+    name = _logged(spark, d)
+    soft_delete.delete(spark, name, "event_id % 11 = 0")
+    soft_delete.delete(spark, name, fx.PARTITION_PRED)
+    soft_delete.purge(spark, name, "SensorLocation = 'loc_1'")
+    soft_delete.purge(spark, name)
+    return spark.table(f"{name}_rows").select(*fx.SILVER)
+
+
+@query("operation_log")
+def operation_log(spark, d):
+    """What was done to a table, and to how many rows, as Spark counted them."""
+    name = _logged(spark, d)
+    soft_delete.delete(spark, name, "event_id % 11 = 0")
+    soft_delete.purge(spark, name, "SensorLocation = 'loc_1'")
+    soft_delete.delete(spark, name, fx.DELETE_PRED)
+    return soft_delete.history(spark, name).select("version", "operation", "num_rows")
+
+
 # --- J1, J2: defaults kept by the table ---------------------------------------------------
 
 POLICIES = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),

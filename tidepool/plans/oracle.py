@@ -391,3 +391,15 @@ SELECT row_number() OVER (ORDER BY c_custkey % 4, c_custkey) AS id,
        CASE c_custkey % 4 WHEN 1 THEN 'noname' ELSE c_name END AS name,
        CASE c_custkey % 4 WHEN 2 THEN NULL WHEN 3 THEN 'none' ELSE c_mktsegment END AS description, TRUE AS has_time
 FROM customer"""
+
+ORACLE["delete_by_key"] = _TOMBSTONED
+ORACLE["purge_by_key"] = f"""
+{_TOMBSTONED} AND NOT (SensorMeasurement = 'view' AND SensorLocation = 'loc_1')"""
+ORACLE["operation_log"] = f"""
+WITH {SENSOR},
+tomb AS (SELECT * FROM clean WHERE event_id % 11 = 0)
+SELECT CAST(0 AS BIGINT) AS version, 'CREATE TABLE AS SELECT' AS operation, (SELECT COUNT(*) FROM clean) AS num_rows
+UNION ALL SELECT CAST(1 AS BIGINT), 'DELETE', (SELECT COUNT(*) FROM tomb)
+UNION ALL SELECT CAST(2 AS BIGINT), 'REORG', (SELECT COUNT(*) FROM clean WHERE SensorLocation = 'loc_1' AND event_id % 11 <> 0
+    AND SensorMeasurement IN (SELECT SensorMeasurement FROM tomb WHERE SensorLocation = 'loc_1'))
+UNION ALL SELECT CAST(3 AS BIGINT), 'DELETE', (SELECT COUNT(*) FROM clean WHERE event_id % 11 <> 0 AND SensorValue > 20)"""
