@@ -3,6 +3,9 @@
 Every round is two aggregations and joins over the remaining edges and is written to the
 shared checkpoint folder, so lineage stays short and no link reaches the driver (only a
 count and a checksum per round do).
+
+Defined cases: repeated links, links of a node with itself and links with a null end add nothing;
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

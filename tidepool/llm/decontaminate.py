@@ -12,7 +12,8 @@ Everything is DataFrame functions. Test-side tables are broadcast only after a
 check of their size (``MAX_BROADCAST_ROWS``); beyond it the same joins shuffle.
 
 Defined cases: null texts have no words; a phrase-less item never matches; equal
-rows (same id and text) get the same result each; empty tables give empty results
+rows (same id and text) get the same result each; texts of any length are read whole;
+items that share a phrase all count; empty tables give empty results
 (or zero counts); further columns of the inputs are not read.
 """
 

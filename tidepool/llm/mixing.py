@@ -13,8 +13,8 @@ fell short, in order of their numbers, so every source ends on its quota. Passes
 stay under ``max_repeat``, so no token is taken more often than that.
 
 Defined cases: a null or empty text has size 0 and is never taken; null sources
-form one source, last in order; equal rows are documents of their own; an empty
-table gives an empty result. Only ``doc_id``, ``text`` and ``source`` are read.
+form one source, last in order; equal rows are documents of their own; texts of any
+length are counted whole; an empty table gives an empty result. Only ``doc_id``, ``text`` and ``source`` are read.
 """
 
 from __future__ import annotations

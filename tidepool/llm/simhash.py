@@ -14,7 +14,8 @@ at most 2**24 of them, whatever the corpus. A list yields a spanning forest of i
 never all pairs; larger lists look up the neighbours of a member instead of comparing all.
 
 Defined cases: null and empty texts have no words and fingerprint zero (they link like any
-other); fewer words than a shingle make one shingle; equal rows share a fingerprint; rows
+other); fewer words than a shingle make one shingle; a bit set in exactly half of the hashes
+is 0; texts of any length are read whole; equal rows share a fingerprint; rows
 with a null id take part, and ``component_id`` is the smallest non-null id (null if a
 component has none); empty tables give empty results; other columns are not read.
 """

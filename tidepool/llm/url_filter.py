@@ -9,8 +9,9 @@ polynomial of their code points modulo ``BUCKETS``. The weights are one literal
 scoring is one expression per row, without a join or shuffle.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and is
-judged by the model on the empty string; repeated rows are judged each; an empty
-table gives an empty result; other columns are not read.
+judged by the model on the empty string; repeated rows are judged each; urls of any
+length are read whole; two rules of one length that both fit have the same text; an empty
+table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
