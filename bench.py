@@ -8,7 +8,8 @@ Each query: one warm-up, then the median of three runs. A run builds the
 query and forces every column through the ``noop`` sink, so the whole plan
 executes without collecting rows to the driver. Writer and stream queries
 include their writes. The cluster-by-time pair times one selective time
-filter on a table before and after ``cluster_by``.
+filter on a table before and after ``cluster_by``; beside it stand the files that can hold
+matching rows, and all files of that table partition (``time_filter_files_to_open_of``).
 """
 
 from __future__ import annotations
@@ -57,6 +58,15 @@ def time_filter(t: ParquetTable):
                             & (F.col("MeasurementDateTime") < F.lit("2024-01-11").cast("timestamp_ntz"))))
 
 
+def files_to_open(t: ParquetTable) -> list[int]:
+    """Files of the filtered table partition whose times can match the filter, and all of its files."""
+    ts = F.col("MeasurementDateTime")
+    each = (t.base().filter((F.col("SensorLocation") == "loc_1") & (F.col("SensorMeasurement") == "view"))
+            .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")))
+    match = (F.col("lo") < F.lit("2024-01-11").cast("timestamp_ntz")) & (F.col("hi") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    return list(each.agg(F.count_if(match), F.count(F.lit(1))).first())
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -87,13 +97,16 @@ def main() -> None:
                                ["SensorLocation", "SensorMeasurement"])
     sc.setJobDescription("bench:time_filter_before_cluster")
     results["time_filter_before_cluster"] = round(median_time(lambda: force(time_filter(t))), 3)
+    opened = {"before": files_to_open(t)}
     sc.setJobDescription("bench:cluster_by_time")
     t.cluster_by("MeasurementDateTime")
+    opened["after"] = files_to_open(t)
     sc.setJobDescription("bench:time_filter_after_cluster")
     results["time_filter_after_cluster"] = round(median_time(lambda: force(time_filter(t))), 3)
 
     print(json.dumps({"metric": "total_median_sec", "value": round(sum(results.values()), 3),
-                      "unit": "sec", "queries": results, "sf": sf}))
+                      "unit": "sec", "queries": results, "sf": sf,
+                      "time_filter_files_to_open_of": opened}))
     spark.stop()
 
 
