@@ -513,7 +513,7 @@ def test_language_model_odd_inputs(odd_docs, no_docs):
 
 def test_language_model_learns_from_long_documents(spark, monkeypatch):
     """Every text has over 60,000 characters; several partitions and rounds."""
-    monkeypatch.setattr(language_model, "SMALL_TOKENS", 1000)
+    monkeypatch.setattr(language_model, "TASK_TOKENS", 1000)
     rows = [(i, f"start{i} " + "left right up down " * 3500) for i in range(24)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     counts, learned = language_model.train(docs)

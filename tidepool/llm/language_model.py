@@ -12,14 +12,15 @@ of the complete document.
 What comes from the corpus: counts of every token of all training documents (one shuffle of
 pre-aggregated counts), the tail classes' masses, and the count of each rare token looked up
 by a join on the token. The recurrent weights are fitted on all training documents too, of any
-length: each partition runs truncated backpropagation over windows of ``BPTT`` steps from shared
-weights, in numpy, and the partitions' weights are averaged by a tree of tasks. Each of
-``ROUNDS`` rounds takes another share of the documents, by a hash of the text, so a corpus is
-passed once (one under ``SMALL_TOKENS`` tokens ``EPOCHS`` times, in one partition). The start
-already equals the smoothed unigram model.
+length: each partition (of about ``TASK_TOKENS``) runs truncated backpropagation over windows of
+``BPTT`` steps from shared weights, in numpy, and the partitions' weights are averaged by a tree of
+tasks. Each of ``ROUNDS`` rounds takes another share of the documents, by a hash of the text, so
+every corpus is passed once. A task's share of tokens decides how many streams it reads side by
+side, up to ``STREAMS``. The start already equals the smoothed unigram model.
 
 Sizes: the driver and the tasks hold the ``KNOWN`` most frequent words (a bound on rows,
-ensured by a count histogram), never the vocabulary.
+ensured by a count histogram), never the vocabulary. A task holds the words of one text and the
+ids of ``HELD_BYTES`` of text at a time (a longer text alone); equal texts among them are scored once.
 
 Defined cases: a null or empty text is just its end token; without training documents every
 token has probability 1 in the base score (V and N are 0) and the model keeps its start;
@@ -32,7 +33,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from copy import copy
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +43,12 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import slices, staged, time_major, word_groups
 
 HEAD, PER_CLASS, TAIL, KNOWN = 2048, 64, 64, 1 << 17
-STATE, BPTT, STREAMS, EPOCHS = 24, 16, 64, 3
-ROUNDS, SMALL_TOKENS, LONGEST, FAN = 2, 400_000, 16, 16
+STATE, BPTT, STREAMS, LEAST_STREAMS, UPDATES = 24, 16, 256, 8, 128
+ROUNDS, TASK_TOKENS, LONGEST, FAN = 2, 2_000_000, 16, 8
+RATE = 3e-3  # of updates over 64 streams, in proportion for more
 END = b""
-GROUP_TOKENS, CHUNK_TOKENS = 1_500_000, 32_768
+GROUP_TOKENS, CHUNK_TOKENS = 1_500_000, 8192
+HELD_BYTES, HELD_COUNTS = 16 << 20, 400_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -58,18 +60,40 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL
 
 
+class Index(dict):
+    """Word -> its place in a list; any other word falls behind the list's end, by its tail class."""
+
+    def __init__(self, words: Iterable[bytes]):
+        super().__init__((w, i) for i, w in enumerate(words))
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + tail_class(word)
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
 def count_tokens(train: DataFrame) -> DataFrame:
-    """(token binary, c): occurrences over all training documents, the end token included."""
+    """(token binary, c): occurrences over all training documents, the end token included. A task sends
+    what it has counted whenever it holds ``HELD_COUNTS`` tokens, and at its end."""
+    def sent(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
         for batch in batches:
-            seen: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                seen.update(tokens(t))
-                seen[END] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "c"])
+            for part in slices(batch.column(0), 0):
+                for t in part.field(0).to_pylist():
+                    seen.update(tokens(t))
+                    seen[END] += 1
+                if len(seen) >= HELD_COUNTS:
+                    yield sent(seen)
+                    seen.clear()
+        yield sent(seen)
 
-    return train.select("text").mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return (train.select(F.struct("text").alias("row")).mapInArrow(run, "token binary, c long")
+            .groupBy("token").agg(F.sum("c").alias("c")))
 
 
 def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -96,7 +120,7 @@ class Gru:
     def __init__(self, head: list[tuple[bytes, int]], tail_mass: np.ndarray, seed: int = 17):
         rng, k = np.random.default_rng(seed), STATE
         self.n_head = len(head)
-        self.ids = {w: i for i, (w, _) in enumerate(head)}
+        self.ids = Index(w for w, _ in head)
         self.n_classes = -(-self.n_head // PER_CLASS)
         inputs, classes = self.n_head + TAIL, self.n_classes + TAIL
         small = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
@@ -118,13 +142,15 @@ class Gru:
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         """Ids: head words 0.., others n_head + tail class."""
-        get, n = self.ids.get, self.n_head
-        return np.fromiter((i if (i := get(w)) is not None else n + tail_class(w) for w in words), np.int32, len(words))
+        return self.ids.places(words)
 
     def step(self, x: np.ndarray, h: np.ndarray):
         """One step from summed inputs ``x`` (rows, 3k): (new state, update, reset, candidate, recurrent part)."""
         k, a = STATE, h @ self.p["h"]
-        zr = 1 / (1 + np.exp(-np.clip(x[:, :2 * k] + a[:, :2 * k], -30, 30)))
+        zr = x[:, :2 * k] + a[:, :2 * k]
+        np.exp(np.negative(np.maximum(zr, -30, out=zr), out=zr), out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r, inner = zr[:, :k], zr[:, k:], a[:, 2 * k:]
         n = np.tanh(x[:, 2 * k:] + r * inner)
         return n + z * (h - n), z, r, n, inner
@@ -132,43 +158,51 @@ class Gru:
     def classes_of(self, target: np.ndarray) -> np.ndarray:
         return np.where(target < self.n_head, target // PER_CLASS, target - self.n_head + self.n_classes)
 
+    @staticmethod
+    def softmax(logit: np.ndarray, own: np.ndarray, bounded: bool, learn: bool):
+        """Log-probability of each row's ``own`` column; with ``learn`` also the gradient of minus it by the
+        logits. Works in place. Rows that are ``bounded`` need no maximum taken off."""
+        rows = np.arange(len(own))
+        if not bounded:
+            logit -= logit.max(axis=1, keepdims=True)
+        mine = logit[rows, own]
+        e = np.exp(logit, out=logit)
+        total = e @ np.ones(e.shape[1], e.dtype)
+        if learn:
+            e *= (1 / total)[:, None]
+            e[rows, own] -= 1
+        return mine - np.log(total), e
+
     def output(self, h: np.ndarray, target: np.ndarray, learn: bool = False):
         """Log-probability of each target given states; with ``learn`` also gradients of minus their sum."""
-        cls, rows = self.classes_of(target), np.arange(len(target))
-        logit = h @ self.p["c"] + self.p["cb"]
-        logit -= logit.max(axis=1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(axis=1)
-        out = (logit[rows, cls] - np.log(total)).astype(np.float64)
+        p, order = self.p, self.classes_of(target)
+        order, cls = (by := np.argsort(order, kind="stable")), order[by]
+        h, target = h[order], target[order]  # rows of a class lie together, those of head classes first
+        reach = np.abs(h).max(initial=0)
+        near = lambda w, b, axis: (reach * np.abs(w).sum(axis=axis) + np.abs(b)).max(axis=-1) < 80
+        got, d = self.softmax(h @ p["c"] + p["cb"], cls, bool(near(p["c"], p["cb"], 0)), learn)
+        out = got.astype(np.float64)
         if learn:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
-            grad = {"c": h.T @ d, "cb": d.sum(axis=0), "w": np.zeros_like(self.p["w"]), "wb": np.zeros_like(self.p["wb"])}
-            dh = d @ self.p["c"].T
-        head = np.flatnonzero(target < self.n_head)
-        order = head[np.argsort(cls[head], kind="stable")]
-        cut = np.searchsorted(cls[order], np.arange(self.n_classes + 1))
+            grad = {"c": h.T @ d, "cb": d.sum(axis=0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+            dh = d @ p["c"].T
+        cut, bounded = np.searchsorted(cls, np.arange(self.n_classes + 1)), near(p["w"], p["wb"], 1)
         for c in np.flatnonzero(np.diff(cut)):
-            at = order[cut[c]:cut[c + 1]]
-            inside = h[at] @ self.p["w"][c] + self.p["wb"][c]
-            inside -= inside.max(axis=1, keepdims=True)
-            e = np.exp(inside)
-            total, word = e.sum(axis=1), target[at] % PER_CLASS
-            out[at] += inside[np.arange(len(at)), word] - np.log(total)
+            at = slice(cut[c], cut[c + 1])
+            got, d = self.softmax(h[at] @ p["w"][c] + p["wb"][c], target[at] % PER_CLASS, bool(bounded[c]), learn)
+            out[at] += got
             if learn:
-                d = e / total[:, None]
-                d[np.arange(len(at)), word] -= 1
                 grad["w"][c], grad["wb"][c] = h[at].T @ d, d.sum(axis=0)
-                dh[at] += d @ self.p["w"][c].T
-        rare = target >= self.n_head
-        out[rare] -= self.log_tail[target[rare] - self.n_head]
-        return (out, grad, dh) if learn else out
+                dh[at] += d @ p["w"][c].T
+        out[cut[-1]:] -= self.log_tail[target[cut[-1]:] - self.n_head]
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return (out[back], grad, dh[back]) if learn else out[back]
 
-    def fit(self, docs: Iterable[np.ndarray], width: int = STREAMS, rate: float = 3e-3) -> int:
+    def fit(self, docs: Iterable[np.ndarray], width: int = STREAMS) -> int:
         """Truncated backpropagation over every token: ``width`` parallel streams take the documents as
         they come, in windows of ``BPTT`` steps (more when few streams are left), with the state carried
         from window to window and set to zero where a document starts. Returns the number of tokens."""
-        end, source, seen, t = self.ids[END], iter(docs), 0, 0
+        end, source, seen, t, rate = self.ids[END], iter(docs), 0, 0, RATE * max(1.0, width / 64)
         flat = np.concatenate([self.p[n].ravel() for n in sorted(self.p)])
         self.p = shaped(flat, self.p)
         g, free, first, second = (np.zeros_like(flat) for _ in range(4))
@@ -210,37 +244,44 @@ class Gru:
 
     def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int, real: np.ndarray | None = None):
         """State after the window and the mean gradient over it, or over its ``real`` targets."""
-        k, trail, states = STATE, [], []
-        for t in range(x.shape[1]):
-            h = h * (x[:, t] != end)[:, None].astype(np.float32)  # a document starts after an end
-            got = self.step(self.p["x"][x[:, t]], h)
-            trail.append((h, *got[1:]))
-            h = got[0]
-            states.append(h)
-        width, flat, states = len(h), y.T.ravel(), np.concatenate(states)
+        k, (width, steps) = STATE, x.shape
+        source, carry = x.T.ravel(), (x.T != end).astype(h.dtype)[:, :, None]  # a document starts after an end
+        inputs = self.p["x"][source].reshape(steps, width, 3 * k)
+        start, z, r, n, inner, states = (np.empty((steps, width, k), h.dtype) for _ in range(6))
+        for t in range(steps):
+            np.multiply(h, carry[t], out=start[t])
+            h, z[t], r[t], n[t], inner[t] = self.step(inputs[t], start[t])
+            states[t] = h
+        states = states.reshape(-1, k)
         keep = slice(None) if real is None else np.flatnonzero(real.T.ravel())
-        _, grad, dh_kept = self.output(states[keep], flat[keep], learn=True)
-        dh_all = np.zeros_like(states)
-        dh_all[keep] = dh_kept
-        grad |= {"x": np.zeros_like(self.p["x"]), "h": np.zeros_like(self.p["h"])}
-        back, moved = np.zeros_like(h), np.empty((len(states), 3 * k), h.dtype)
-        for t in range(x.shape[1] - 1, -1, -1):
-            h0, z, r, n, inner = trail[t]
-            dh = dh_all[t * width:(t + 1) * width] + back
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h0 - n) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=1)
-            da = np.concatenate([dz, dr, dn * r], axis=1)
-            moved[t * width:(t + 1) * width] = dx
-            grad["h"] += h0.T @ da
-            back = (dh * z + da @ self.p["h"].T) * (x[:, t] != end)[:, None]
-        source = x.T.ravel()
+        _, grad, kept = self.output(states[keep], y.T.ravel()[keep], learn=True)
+        dh = np.zeros_like(states)
+        dh[keep] = kept
+        dh = dh.reshape(steps, width, k)
+        # the derivatives that do not depend on later steps, for all steps at once
+        through_n = (1 - z) * (1 - n * n)
+        through_z = (start - n) * z * (1 - z)
+        through_r = inner * r * (1 - r)
+        dx, da = np.empty((2, steps, width, 3 * k), h.dtype)
+        recurrent, back = np.ascontiguousarray(self.p["h"].T), np.zeros_like(h)
+        for t in range(steps - 1, -1, -1):
+            d = back
+            d += dh[t]
+            to_n = np.multiply(d, through_n[t], out=dx[t, :, 2 * k:])
+            np.multiply(d, through_z[t], out=dx[t, :, :k])
+            np.multiply(to_n, through_r[t], out=dx[t, :, k:2 * k])
+            da[t, :, :2 * k] = dx[t, :, :2 * k]
+            np.multiply(to_n, r[t], out=da[t, :, 2 * k:])
+            back = da[t] @ recurrent
+            d *= z[t]
+            back += d
+            back *= carry[t]
+        grad |= {"x": np.zeros_like(self.p["x"]), "h": start.reshape(-1, k).T @ da.reshape(-1, 3 * k)}
         order = np.argsort(source, kind="stable")
         some, cut = np.unique(source[order], return_index=True)
-        grad["x"][some] = np.add.reduceat(moved[order], cut)
+        grad["x"][some] = np.add.reduceat(dx.reshape(-1, 3 * k)[order], cut)
         total = y.size if real is None else int(real.sum())
-        return h, {n: (g / total).astype(np.float32) for n, g in grad.items()}
+        return h, {name: g / g.dtype.type(total) for name, g in grad.items()}
 
     def log_likelihood(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each document's ids and its end, the state carried all the way
@@ -294,31 +335,20 @@ def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 TRAINED = "part int, n long, w binary"
 
 
-def fit_round(docs: DataFrame, model: Gru, turn: int, rounds: int, passes: int) -> np.ndarray | None:
+def fit_round(docs: DataFrame, model: Gru, turn: int, width: int) -> np.ndarray | None:
     """Each partition trains from the model's weights on its documents of this round; the mean of
     all results, weighted by tokens, by a tree of ``FAN`` rows a task. None without documents."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    mine = docs.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select(F.struct("text").alias("row"))
+    mine = docs.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn).select(F.struct("text").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value.copy()
-        held, n = [], 0
-        source = (m.encode(tokens(t)) for batch in batches for part in slices(batch.column(0), 0)
-                  for t in part.field(0).to_pylist())
-        for doc in source:  # a small partition gets fewer streams, hence more steps, and several passes
-            held.append(doc)
-            n += len(doc) + 1
-            if n >= STREAMS * 2 * BPTT and passes == 1:
-                break
-        if not held:
-            return
-        width = min(STREAMS, max(1, n // (2 * BPTT)))
-        rng = np.random.default_rng(23)
-        total = m.fit(chain(held, source), width) if passes == 1 else sum(
-            m.fit((held[i] for i in rng.permutation(len(held))), width) for _ in range(passes))
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total], pa.int64()),
-                                          pa.array([weights(m.p)], pa.binary())], ["part", "n", "w"])
+        total = m.fit((m.encode(tokens(t)) for batch in batches for part in slices(batch.column(0), 0)
+                       for t in part.field(0).to_pylist()), width)
+        if total:
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total], pa.int64()),
+                                              pa.array([weights(m.p)], pa.binary())], ["part", "n", "w"])
 
     rows, parts = mine.mapInArrow(run, TRAINED), max(2, docs.rdd.getNumPartitions())
     while parts > 1:
@@ -331,13 +361,12 @@ def fit_round(docs: DataFrame, model: Gru, turn: int, rounds: int, passes: int)
 
 
 def fit(docs: DataFrame, model: Gru, n_tokens: int) -> None:
-    """Train the model on all documents, in tasks. A corpus under ``SMALL_TOKENS`` is one partition and
-    passed ``EPOCHS`` times; a larger one is passed once, in ``ROUNDS`` rounds of a share each."""
-    small = n_tokens <= SMALL_TOKENS
-    rounds, passes = (1, EPOCHS) if small else (ROUNDS, 1)
-    docs = docs.select("text").coalesce(max(1, -(-n_tokens // SMALL_TOKENS)))
-    for turn in range(rounds):
-        got = fit_round(docs, model, turn, rounds, passes)
+    """Train the model on all documents, in tasks, once, in ``ROUNDS`` rounds of a share each."""
+    tasks = max(1, n_tokens // TASK_TOKENS)
+    width = min(STREAMS, max(LEAST_STREAMS, n_tokens // (tasks * ROUNDS * BPTT * UPDATES)))
+    docs = docs.select("text").coalesce(tasks)
+    for turn in range(ROUNDS):
+        got = fit_round(docs, model, turn, width)
         if got is not None:
             model.p = shaped(got, model.p)
 
@@ -362,6 +391,16 @@ def train(docs: DataFrame) -> tuple[DataFrame, dict]:
     return counts, {"model": model, "known": size, "n": int(whole[0]), "v": int(whole[1])}
 
 
+def place_tables(model: Gru, known: dict[bytes, int]) -> tuple[Index, np.ndarray, np.ndarray, np.ndarray]:
+    """An index of the known words, and by place: the model's id, log10(c + 0.5) and whether the word
+    is known but outside the head. Places behind the known words are the tail classes, with log 0."""
+    index = Index(known)
+    tail = model.n_head + np.arange(TAIL)
+    ids = np.concatenate([model.encode(list(known)), tail]).astype(np.int32)
+    logs = np.concatenate([np.log10(np.array(list(known.values()), np.float64) + 0.5), np.zeros(TAIL)])
+    return index, ids, logs, ids >= model.n_head
+
+
 def score(docs: DataFrame, counts: DataFrame, learned: dict) -> DataFrame:
     """Per document: doc_id, n_tokens, n_known, base_score, score (both log10)."""
     spark = docs.sparkSession
@@ -369,34 +408,36 @@ def score(docs: DataFrame, counts: DataFrame, learned: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = shared.value["model"], shared.value["known"]
-        log_known = {w: float(np.log10(c + 0.5)) for w, c in known.items()}
-        head = m.ids
+        index, ids_of, log_of, outside = place_tables(m, known)
+        end = float(log_of[index[END]]) if END in index else float(np.log10(0.5))
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n_tokens, n_known, base, rest, rare, ids = [], [], [], [], [], []
-            for t in batch.column(1).to_pylist():
-                words = tokens(t)
-                ids.append(m.encode(words))
-                logs = [log_known.get(w) for w in words]
-                missing = Counter(w for w, x in zip(words, logs, strict=True) if x is None)
-                # known words outside the head: their share inside a tail class
-                rest.append(sum(x for w, x in zip(words, logs, strict=True) if x is not None and w not in head))
-                end = log_known.get(END)
-                base.append(sum(x for x in logs if x is not None) + (end if end is not None else float(np.log10(0.5))))
-                n_tokens.append(len(words) + 1)
-                n_known.append(len(words) - sum(missing.values()) + (end is not None))
-                rare.append([{"token": w, "n": n} for w, n in missing.items()])
-            gru = m.log_likelihood(ids) / np.log(10) + np.array(rest)
-            rid = np.arange(number, number + len(ids))
-            number += len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rid), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(gru), pa.array(rare, pa.list_(pa.struct(
-                     [("token", pa.binary()), ("n", pa.int64())])))],
-                ["doc_id", "rid", "n_tokens", "n_known", "base", "gru", "rare"])
+            for part in slices(batch.column(0), 1, HELD_BYTES):
+                place: dict = {}
+                which = np.array([place.setdefault(t, len(place)) for t in part.field(1).to_pylist()], np.int64)
+                n_tokens, n_known, base, rest, rare, ids = [], [], [], [], [], []
+                for t in place:
+                    words = tokens(t)
+                    at = index.places(words)
+                    ids.append(ids_of[at])
+                    logs = log_of[at]
+                    missing = Counter(words[i] for i in np.flatnonzero(at >= len(index)).tolist())
+                    rest.append(logs[outside[at]].sum())  # a known word's share inside its tail class
+                    base.append(logs.sum() + end)
+                    n_tokens.append(len(words) + 1)
+                    n_known.append(len(words) - missing.total() + (END in index))
+                    rare.append([{"token": w, "n": n} for w, n in missing.items()])
+                gru = m.log_likelihood(ids) / np.log(10) + np.array(rest)
+                rid = np.arange(number, number + len(which))
+                number += len(which)
+                yield pa.RecordBatch.from_arrays(
+                    [part.field(0), pa.array(rid), *(pa.array(np.array(c, t)[which]) for c, t in (
+                        (n_tokens, np.int64), (n_known, np.int64), (base, np.float64), (gru, np.float64))),
+                     pa.array(rare, pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))).take(pa.array(which))],
+                    ["doc_id", "rid", "n_tokens", "n_known", "base", "gru", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(docs.select("doc_id", "text").mapInArrow(
+    rows = staged(docs.select(F.struct("doc_id", "text").alias("row")).mapInArrow(
         run, f"doc_id {kind}, rid long, n_tokens long, n_known long, base double, gru double, "
              "rare array<struct<token:binary,n:long>>"), "lm-rows")
     found = (rows.select("rid", F.explode("rare").alias("r")).select("rid", "r.token", "r.n")
