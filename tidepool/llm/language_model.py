@@ -3,9 +3,10 @@
 Tokens are words (split at ASCII white space, A-Z lowered) and one end token per document.
 
 P(token | history) = P(class | state) * P(token | class, state). The most frequent
-``HEAD`` words sit in classes of ``PER_CLASS`` with a learned softmax inside; every other
-word falls by its last two bytes into one of ``TAIL`` classes, inside which it has its share
-of the corpus counts (with half a count added, one unseen word included). The state is a
+``HEAD`` words sit in classes of ``PER_CLASS`` with a learned softmax inside. One more class is
+for all other words: its members are ``TAIL`` groups of words by their last two bytes, and inside
+a group a word has its share of the corpus counts (with half a count added, one unseen word
+included). The state is a
 GRU's; it starts at zero and is carried across windows, so a text's log-likelihood is that
 of the complete document.
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.common import slices, staged, time_major, word_groups
 
-HEAD, PER_CLASS, TAIL, KNOWN = 2048, 64, 64, 1 << 17
+HEAD, PER_CLASS, TAIL, KNOWN = 2048, 64, 64, 1 << 17  # TAIL is PER_CLASS at most
 STATE, BPTT, STREAMS, LEAST_STREAMS, UPDATES = 24, 16, 256, 8, 128
 ROUNDS, TASK_TOKENS, LONGEST, FAN = 2, 2_000_000, 16, 8
 RATE = 3e-3  # of updates over 64 streams, in proportion for more
@@ -121,12 +122,13 @@ class Gru:
         rng, k = np.random.default_rng(seed), STATE
         self.n_head = len(head)
         self.ids = Index(w for w, _ in head)
-        self.n_classes = -(-self.n_head // PER_CLASS)
-        inputs, classes = self.n_head + TAIL, self.n_classes + TAIL
+        self.n_classes = -(-self.n_head // PER_CLASS) + 1  # the last one is the tail's
+        inputs, classes = self.n_head + TAIL, self.n_classes
         small = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
         mass = np.zeros((self.n_classes, PER_CLASS)) + 1e-30
         mass.ravel()[: self.n_head] = [c + 0.5 for _, c in head]
-        whole = np.concatenate([mass.sum(axis=1), tail_mass])
+        mass[-1, :TAIL] = tail_mass
+        whole = mass.sum(axis=1)
         self.log_tail = np.log(tail_mass)
         self.p = {
             "x": small(inputs, 3 * k), "h": small(k, 3 * k) / np.float32(k**0.5),
@@ -144,19 +146,39 @@ class Gru:
         """Ids: head words 0.., others n_head + tail class."""
         return self.ids.places(words)
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        """One step from summed inputs ``x`` (rows, 3k): (new state, update, reset, candidate, recurrent part)."""
-        k, a = STATE, h @ self.p["h"]
-        zr = x[:, :2 * k] + a[:, :2 * k]
-        np.exp(np.negative(np.maximum(zr, -30, out=zr), out=zr), out=zr)
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input and recurrent weights with the gates (update, reset, candidate) as first axis, so that
+        every array of a step lies in one piece."""
+        return tuple(np.ascontiguousarray(self.p[n].reshape(-1, 3, STATE).transpose(1, 0, 2)) for n in ("x", "h"))
+
+    @staticmethod
+    def advance(x: np.ndarray, h: np.ndarray, recurrent: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The next state from inputs ``x`` (3, rows, k). Leaves update, reset and the recurrent part in ``a``
+        (as ``x``), the candidate in ``n``."""
+        np.matmul(h, recurrent, out=a)
+        zr = a[:2]
+        zr += x[:2]
+        np.maximum(zr, -30, out=zr)
+        np.exp(np.negative(zr, out=zr), out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r, inner = zr[:, :k], zr[:, k:], a[:, 2 * k:]
-        n = np.tanh(x[:, 2 * k:] + r * inner)
-        return n + z * (h - n), z, r, n, inner
+        np.multiply(a[1], a[2], out=n)
+        n += x[2]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= a[0]
+        out += n
+        return out
+
+    def step(self, x: np.ndarray, h: np.ndarray):
+        """One step from summed inputs ``x`` (rows, 3k): (new state, update, reset, candidate, recurrent part)."""
+        a, n = np.empty((3, *h.shape), h.dtype), np.empty_like(h)
+        new = self.advance(x.reshape(len(x), 3, STATE).transpose(1, 0, 2), h, self.gates()[1].astype(h.dtype), a, n)
+        return new, a[0], a[1], n, a[2]
 
-    def classes_of(self, target: np.ndarray) -> np.ndarray:
-        return np.where(target < self.n_head, target // PER_CLASS, target - self.n_head + self.n_classes)
+    def slots(self, target: np.ndarray) -> np.ndarray:
+        """Place in the classes, one after the other."""
+        return np.where(target < self.n_head, target, target - self.n_head + (self.n_classes - 1) * PER_CLASS)
 
     @staticmethod
     def softmax(logit: np.ndarray, own: np.ndarray, bounded: bool, learn: bool):
@@ -175,9 +197,10 @@ class Gru:
 
     def output(self, h: np.ndarray, target: np.ndarray, learn: bool = False):
         """Log-probability of each target given states; with ``learn`` also gradients of minus their sum."""
-        p, order = self.p, self.classes_of(target)
-        order, cls = (by := np.argsort(order, kind="stable")), order[by]
-        h, target = h[order], target[order]  # rows of a class lie together, those of head classes first
+        p, slot = self.p, self.slots(target)
+        order = np.argsort((slot // PER_CLASS).astype(np.int16), kind="stable")
+        h, target, slot = h.take(order, axis=0), target[order], slot[order]  # rows of a class lie together, the tail's last
+        cls, inside = np.divmod(slot, PER_CLASS)
         reach = np.abs(h).max(initial=0)
         near = lambda w, b, axis: (reach * np.abs(w).sum(axis=axis) + np.abs(b)).max(axis=-1) < 80
         got, d = self.softmax(h @ p["c"] + p["cb"], cls, bool(near(p["c"], p["cb"], 0)), learn)
@@ -188,15 +211,15 @@ class Gru:
         cut, bounded = np.searchsorted(cls, np.arange(self.n_classes + 1)), near(p["w"], p["wb"], 1)
         for c in np.flatnonzero(np.diff(cut)):
             at = slice(cut[c], cut[c + 1])
-            got, d = self.softmax(h[at] @ p["w"][c] + p["wb"][c], target[at] % PER_CLASS, bool(bounded[c]), learn)
+            got, d = self.softmax(h[at] @ p["w"][c] + p["wb"][c], inside[at], bool(bounded[c]), learn)
             out[at] += got
             if learn:
                 grad["w"][c], grad["wb"][c] = h[at].T @ d, d.sum(axis=0)
                 dh[at] += d @ p["w"][c].T
-        out[cut[-1]:] -= self.log_tail[target[cut[-1]:] - self.n_head]
+        out[cut[-2]:] -= self.log_tail[target[cut[-2]:] - self.n_head]
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
-        return (out[back], grad, dh[back]) if learn else out[back]
+        return (out[back], grad, dh.take(back, axis=0)) if learn else out[back]
 
     def fit(self, docs: Iterable[np.ndarray], width: int = STREAMS) -> int:
         """Truncated backpropagation over every token: ``width`` parallel streams take the documents as
@@ -246,47 +269,49 @@ class Gru:
         """State after the window and the mean gradient over it, or over its ``real`` targets."""
         k, (width, steps) = STATE, x.shape
         source, carry = x.T.ravel(), (x.T != end).astype(h.dtype)[:, :, None]  # a document starts after an end
-        inputs = self.p["x"][source].reshape(steps, width, 3 * k)
-        start, z, r, n, inner, states = (np.empty((steps, width, k), h.dtype) for _ in range(6))
+        weights_in, recurrent = self.gates()
+        inputs = weights_in.take(source, axis=1).reshape(3, steps, width, k)
+        a, (start, n, states) = np.empty_like(inputs), np.empty((3, steps, width, k), h.dtype)
         for t in range(steps):
             np.multiply(h, carry[t], out=start[t])
-            h, z[t], r[t], n[t], inner[t] = self.step(inputs[t], start[t])
-            states[t] = h
-        states = states.reshape(-1, k)
+            states[t] = h = self.advance(inputs[:, t], start[t], recurrent, a[:, t], n[t])
+        states, (z, r, inner) = states.reshape(-1, k), a
         keep = slice(None) if real is None else np.flatnonzero(real.T.ravel())
         _, grad, kept = self.output(states[keep], y.T.ravel()[keep], learn=True)
         dh = np.zeros_like(states)
         dh[keep] = kept
         dh = dh.reshape(steps, width, k)
         # the derivatives that do not depend on later steps, for all steps at once
-        through_n = (1 - z) * (1 - n * n)
-        through_z = (start - n) * z * (1 - z)
-        through_r = inner * r * (1 - r)
-        dx, da = np.empty((2, steps, width, 3 * k), h.dtype)
-        recurrent, back = np.ascontiguousarray(self.p["h"].T), np.zeros_like(h)
+        through = np.stack([(start - n) * z * (1 - z), inner * r * (1 - r), (1 - z) * (1 - n * n)])
+        dx, dn, back = np.empty_like(a), np.empty_like(n), np.zeros_like(h)
+        turned = np.ascontiguousarray(recurrent.transpose(0, 2, 1))
         for t in range(steps - 1, -1, -1):
             d = back
             d += dh[t]
-            to_n = np.multiply(d, through_n[t], out=dx[t, :, 2 * k:])
-            np.multiply(d, through_z[t], out=dx[t, :, :k])
-            np.multiply(to_n, through_r[t], out=dx[t, :, k:2 * k])
-            da[t, :, :2 * k] = dx[t, :, :2 * k]
-            np.multiply(to_n, r[t], out=da[t, :, 2 * k:])
-            back = da[t] @ recurrent
+            np.multiply(d, through[0, t], out=dx[0, t])
+            np.multiply(d, through[2, t], out=dx[2, t])
+            np.multiply(dx[2, t], through[1, t], out=dx[1, t])
+            np.multiply(dx[2, t], r[t], out=dn[t])
+            back = dx[0, t] @ turned[0]
+            back += dx[1, t] @ turned[1]
+            back += dn[t] @ turned[2]
             d *= z[t]
             back += d
             back *= carry[t]
-        grad |= {"x": np.zeros_like(self.p["x"]), "h": start.reshape(-1, k).T @ da.reshape(-1, 3 * k)}
-        order = np.argsort(source, kind="stable")
+        before = start.reshape(-1, k).T
+        grad["h"] = np.concatenate([before @ g.reshape(-1, k) for g in (dx[0], dx[1], dn)], axis=1)
+        grad["x"] = np.zeros_like(self.p["x"])
+        order = np.argsort(source.astype(np.int16) if len(grad["x"]) < 1 << 15 else source, kind="stable")
         some, cut = np.unique(source[order], return_index=True)
-        grad["x"][some] = np.add.reduceat(dx.reshape(-1, 3 * k)[order], cut)
+        for i in range(3):
+            grad["x"][some, i * k:(i + 1) * k] = np.add.reduceat(dx[i].reshape(-1, k).take(order, axis=0), cut)
         total = y.size if real is None else int(real.sum())
         return h, {name: g / g.dtype.type(total) for name, g in grad.items()}
 
     def log_likelihood(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each document's ids and its end, the state carried all the way
         (tail tokens less their corpus share within the class). Steps run over all documents at once."""
-        end, out = self.ids[END], np.zeros(len(docs))
+        end, out, (weights_in, recurrent) = self.ids[END], np.zeros(len(docs)), self.gates()
         lengths = np.array([len(d) + 1 for d in docs])
         for group in word_groups(lengths, GROUP_TOKENS):
             order, active, offset = time_major(lengths[group])
@@ -298,7 +323,8 @@ class Gru:
                 owner[offset[:n] + d] = group[i]
             h, source, held, since = np.zeros((len(group), STATE), np.float32), np.full(len(group), end), [], 0
             for t, n in enumerate(active.tolist()):
-                h = self.step(self.p["x"][source[:n]], h[:n])[0]
+                h = self.advance(weights_in.take(source[:n], axis=1), h[:n], recurrent,
+                                 np.empty((3, n, STATE), h.dtype), np.empty((n, STATE), h.dtype))
                 held.append(h)
                 source = target[offset[t]:offset[t + 1]]
                 if offset[t + 1] - since >= CHUNK_TOKENS or t == len(active) - 1:
