@@ -521,6 +521,25 @@ def test_language_model_learns_from_long_documents(spark, monkeypatch):
     assert len(got) == 24 and sum(r["score"] for r in got) > 0.9 * sum(r["base_score"] for r in got)
 
 
+def test_language_model_counts_in_parts_and_scores_copies_alike(spark, monkeypatch):
+    """Counts sent in several parts add up; copies in one slice, or in slices of their own, score the same."""
+    from collections import Counter
+
+    texts = ["One two two", None, "", "three one", "One two two", "word " * 40_000, "word " * 40_000, "ab"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(language_model, "HELD_COUNTS", 1)
+    want = Counter(w for t in texts for w in [*(t or "").lower().encode().split(), b""])
+    assert {bytes(r["token"]): r["c"] for r in language_model.count_tokens(docs).collect()} == want
+    counts, learned = language_model.train(docs)
+    for held in (1 << 24, 1000):
+        monkeypatch.setattr(language_model, "HELD_BYTES", held)
+        got = {r["doc_id"]: r for r in language_model.score(docs, counts, learned).collect()}
+        for i, t in enumerate(texts):
+            same = got[texts.index(t)]
+            assert got[i]["n_tokens"] == len((t or "").split()) + 1 and got[i]["base_score"] == same["base_score"]
+            assert got[i]["score"] == pytest.approx(same["score"], rel=1e-5)
+
+
 # plans and the pipeline
 
 @pytest.mark.parametrize("name", ["op3_url_filter", "op5_decontaminate", "op8_secrets"])
