@@ -111,6 +111,19 @@ def test_trusted_ids_are_bounded(spark):
     assert {r["id"] for r in some} == {r["id"] for r in quality.trusted_ids(labels.repartition(7), most=20).collect()}
 
 
+def test_every_trusted_document_is_read(spark):
+    n = 2 * quality.TRUSTED + 500
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    trusted = quality.trusted_ids(labels)
+    assert (trusted.count(), trusted.select("id").distinct().count()) == (n, n)
+    found = spark.range(n).selectExpr("named_struct('doc_id', id) AS row", "array(0, 65520) AS b", "false AS base_failed", "id AS score")
+    told = quality.marked(found, trusted)
+    assert told.filter("teaches IS NULL OR b != array(0, 65520)").count() == 0
+    held = [r["score"] for r in told.filter("NOT teaches").select("score").orderBy("score").collect()]
+    at = next(i for i in range(n) if i + 1 > quality.LOST * len(held))
+    assert quality.threshold(told) == held[at]
+
+
 def test_repeats_take_no_quadratic_time(spark):
     text = " ".join(f"w{i % 20_000}" for i in range(200_000))
     row = quality.measures(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
