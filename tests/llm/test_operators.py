@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,6 +344,25 @@ def test_hot_groups_are_bounded(spark, monkeypatch):
     assert sizes and max(sizes) <= 4
 
 
+def test_a_shard_is_sorted_in_bounded_lists(monkeypatch):
+    """However much a task is dealt, it sorts whole grams of about SORT_BYTES; a gram is never cut."""
+    unit, sorted_bytes = 300, []
+    text = np.random.default_rng(5).integers(0, 256, 400 * unit, np.uint8).tobytes()
+    rows = [(g, p, 101, 1, text[at:at + unit]) for g in range(200) for p in (0, 1) for at in [(2 * g + p) * unit]]
+    rows += [(g, 2, 101, 1, rows[2 * g][4][50:250] + b"x" * 100) for g in range(200)]   # a string of piece 0 again
+    rows = [r for r in sorted(rows, key=lambda r: r[0]) for _ in (0, 1)]            # each named twice
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                       ["gram", "piece", "windows", "times", "bytes"])
+    plain = suffix_dedup.repeated
+    monkeypatch.setattr(suffix_dedup, "repeated", lambda data, *rest: sorted_bytes.append(sum(map(len, data))) or plain(data, *rest))
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 10 * unit)
+    out = pa.Table.from_batches(suffix_dedup.sort_shard(200)(whole.slice(a, 7) for a in range(0, len(rows), 7)))
+    assert max(sorted_bytes) <= 10 * unit and sum(sorted_bytes) == 600 * unit
+    assert sorted(map(tuple, zip(*out.to_pydict().values()))) == sorted(
+        x for g in range(200) for x in ((g, 0, 50, 51), (g, 2, 0, 1)))
+
+
 def test_suffix_dedup_long_text(spark):
     """A repeat beyond the first 2**24 bytes of a text, and one across a cut of the text."""
     rng = np.random.default_rng(5)

@@ -9,8 +9,9 @@ represented once, with their number of occurrences, so a group of copies of any
 
 Sorting. Every shard sorts its pieces' suffixes by external induced sorting (``induced.py``),
 which carries common prefixes along; a run of neighbours that share ``SPAN`` bytes and stand
-for two starts or more is repeated. Shards hold about ``SHARD_BYTES``. A gram with over
-``HOT_PIECES`` different pieces is split: its pieces are cut where the gram's offset in the
+for two starts or more is repeated. Shards hold about ``SHARD_BYTES``; a task reads its shard in
+order of grams and sorts whole grams, about ``SORT_BYTES`` at once (equal windows have equal grams),
+so its memory does not grow with what its shard was dealt. A gram with over ``HOT_PIECES`` different pieces is split: its pieces are cut where the gram's offset in the
 window enters another part of ``STEPS[0]`` offsets. All windows of such a cut share a core,
 the bytes that any window of the part has around the gram, and equal windows have equal cores:
 so cuts meet by core, equal cuts are represented once, and a core that still has over
@@ -43,7 +44,8 @@ from tidepool.llm.common import staged
 from tidepool.llm.induced import Store, repeated
 
 SPAN, GRAM, SHARD_BYTES = 200, 32, 4 << 20
-HOT_PIECES = 20_000  # different pieces of one gram, or cuts with one core, beyond which they are split
+SORT_BYTES = 1 << 20  # sorted at once; sorting holds about 75 times its bytes
+HOT_PIECES = 5_000  # different pieces of one gram, or cuts with one core, beyond which they are split
 STEPS = (29, 5, 1)  # offsets of a part: 169 offsets make 6, then 34, then 169 parts
 BLOCK_BYTES, POSITION_BITS = 1 << 20, 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -221,7 +223,8 @@ def hot_grams(rows: DataFrame, label: str) -> DataFrame:
 def sorted_ranges(rows: DataFrame, total: int, span: int) -> DataFrame:
     """Repeated ranges (gram, piece, lo, hi) of pieces of ``total`` bytes, sorted in shards by gram."""
     shards = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // SHARD_BYTES))
-    return (rows.repartition(shards, "gram").mapInArrow(sort_shard(span), "gram long, piece long, lo int, hi int"))
+    return (rows.repartition(shards, "gram").sortWithinPartitions("gram")
+            .mapInArrow(sort_shard(span), "gram long, piece long, lo int, hi int"))
 
 
 def hot_ranges(rows: DataFrame, span: int, steps: tuple[int, ...] = STEPS) -> DataFrame:
@@ -246,27 +249,41 @@ def hot_ranges(rows: DataFrame, span: int, steps: tuple[int, ...] = STEPS) -> Da
         (F.col("first") + F.col("hi")).alias("hi"))
 
 
+def whole_grams(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
+    """Different rows (gram, piece, windows, times, bytes) of batches in order of grams, in lists of whole
+    grams of about ``most`` bytes (a larger gram alone)."""
+    ready, group, seen, sizes = [], [], set(), [0, 0]
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "piece", "windows", "times", "bytes")), strict=True):
+            if group and group[0][0] != row[0]:
+                ready.extend(group)
+                group, seen, sizes = [], set(), [sum(sizes), 0]
+            if row[1] in seen:  # equal rows of the input name the same representative
+                continue
+            if ready and sum(sizes) + len(row[4]) > most:
+                yield ready
+                ready, sizes = [], [0, sizes[1]]
+            seen.add(row[1])
+            group.append(row)
+            sizes[1] += len(row[4])
+    if ready or group:
+        yield ready + group
+
+
 def sort_shard(span: int):
-    """A task's pieces to their repeated ranges (gram, piece, lo, hi), window starts in the piece."""
+    """A task's pieces, in order of grams, to their repeated ranges (gram, piece, lo, hi), window starts
+    in the piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, gram, piece, windows, times, data = set(), [], [], [], [], []
-        for batch in batches:
-            rows = batch.to_pydict()
-            for row in zip(*(rows[c] for c in ("gram", "piece", "windows", "times", "bytes")), strict=True):
-                if row[:2] not in seen:  # equal rows of the input name the same representative
-                    seen.add(row[:2])
-                    for column, value in zip((gram, piece, windows, times, data), row, strict=True):
+        for rows in whole_grams(batches, SORT_BYTES):
+            gram, piece, windows, times, data = zip(*rows, strict=True)
+            out: list[list] = [[], [], [], []]
+            for g, p, found in zip(gram, piece, repeated(data, windows, times, span, Store()), strict=True):
+                for lo, hi in found:
+                    for column, value in zip(out, (g, p, lo, hi), strict=True):
                         column.append(value)
-        if not data:
-            return
-        out: list[list] = [[], [], [], []]
-        for g, p, found in zip(gram, piece, repeated(data, windows, times, span, Store()), strict=True):
-            for lo, hi in found:
-                for column, value in zip(out, (g, p, lo, hi), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-             pa.array(out[3], pa.int32())], ["gram", "piece", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
+                 pa.array(out[3], pa.int32())], ["gram", "piece", "lo", "hi"])
 
     return run
 
