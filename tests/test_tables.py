@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.plans import fixtures as fx
-from tidepool.sources import files
+from tidepool.sources import files, table
 from tidepool.sources.table import ParquetTable
 from tests.conftest import SF001
+from tests.plans import plan_text
 
 PARTS = ["SensorLocation", "SensorMeasurement"]
 
@@ -144,6 +145,17 @@ def test_upsert_on_table(spark, clean_table):
     assert len(got) == n_clean(spark)
 
 
+def test_many_marks_are_not_broadcast(spark, clean_table, monkeypatch):
+    """Marks are small as Parquet, so Spark would broadcast millions of them."""
+    before = clean_table.read().filter("NOT coalesce(event_id % 3 = 0, false)").collect()
+    assert 10 < clean_table.delete("event_id % 3 = 0") < table.BROADCAST_MARKS
+    assert "BroadcastHashJoin" in plan_text(clean_table.read())
+    monkeypatch.setattr(table, "BROADCAST_MARKS", 10)
+    for rows in (clean_table.read(), clean_table._visible_located().select(*clean_table.schema.names)):
+        assert "SortMergeJoin" in plan_text(rows) and "BroadcastHashJoin" not in plan_text(rows)
+        assert sorted(map(str, rows.collect())) == sorted(map(str, before))
+
+
 def test_deep_clone_independent(spark, clean_table, workdir):
     clone = clean_table.deep_clone(workdir + "-clone")
     clean_table.delete("event_id % 2 = 0")

@@ -53,6 +53,7 @@ OP_CLONE = "CLONE"
 OP, FILE, ROW = "_op", "_file", "_row"
 MAX_RECORDS_PER_FILE = 5_000_000
 CLUSTER_BYTES = 256 << 20
+BROADCAST_MARKS = 100_000   # marks of deleted rows that a task may hold whole (some 400 bytes each)
 SCOPE_PARTITIONS = 1000     # table partitions that a merge names one by one; beyond, by their range
 META_SCHEMA = "version long, schema string, partition_by array<string>, key array<string>, name string"
 
@@ -214,9 +215,17 @@ class ParquetTable:
         schema = f"{FILE} string, {ROW} long" if kind == "gone" else f"{FILE} string"
         return self.spark.read.schema(schema).parquet(*paths) if paths else None
 
+    @staticmethod
+    def _unmarked(df: DataFrame, gone: DataFrame, ops: list[Op]) -> DataFrame:
+        """``df`` (located) less the marked rows. File names make marks tiny as Parquet and large in
+        memory, so Spark's size of them would broadcast millions: beyond ``BROADCAST_MARKS``, counted by
+        the operations' names, both sides are sorted, which spills."""
+        many = sum(o.gone for o in ops) > BROADCAST_MARKS
+        return df.join(gone.hint("merge") if many else gone, [FILE, ROW], "left_anti")
+
     def _hide(self, df: DataFrame, ops: list[Op], located: bool = False) -> DataFrame:
-        """``df`` (straight from ``_rows``) less the rows and files marked by ``ops``: plain
-        anti-joins, planned by Spark from the marks' sizes, and none where nothing is marked."""
+        """``df`` (straight from ``_rows``) less the rows and files marked by ``ops``:
+        anti-joins, and none where nothing is marked."""
         gone, dead = self._marks(ops, "gone"), self._marks(ops, "dead")
         if gone is None and dead is None and not located:
             return df
@@ -225,7 +234,7 @@ class ParquetTable:
         if dead is not None:
             df = df.join(dead, FILE, "left_anti")
         if gone is not None:
-            df = df.join(gone, [FILE, ROW], "left_anti")
+            df = self._unmarked(df, gone, ops)
         return df.select(*cols, FILE, ROW) if located else df.select(*cols)
 
     def read(self, as_of: int | None = None) -> DataFrame:
@@ -254,9 +263,10 @@ class ParquetTable:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
         moved = "|".join(x.replace(" ", "_") for x in (OP_REORG, OP_OPTIMIZE))
         df = r.parquet(self.data_path()).filter(~F.col(OP).rlike(rf"^\d+\.({moved})\."))
-        gone = self._marks(self.ops(), "gone")
+        ops = self.ops()
+        gone = self._marks(ops, "gone")
         if gone is not None:
-            df = self._located(df).join(gone, [FILE, ROW], "left_anti")
+            df = self._unmarked(self._located(df), gone, ops)
         return df.select(*self.schema.names)
 
     # --- writing ------------------------------------------------------------
