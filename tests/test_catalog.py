@@ -51,6 +51,7 @@ def test_database_lifecycle(spark, db, workdir):
     catalog.create_table_as(spark, f"{db}.outside", spark.range(4), location=kept)
     spark.range(1).createOrReplaceTempView("a_session_view")
     assert catalog.tables(spark, db) == [f"{db}.inside", f"{db}.outside"]
+    spark.catalog.dropTempView("a_session_view")                   # other tests list this session's tables
     assert db in catalog.databases(spark, "tp_*")
     catalog.create_database(spark, db, workdir)                    # IF NOT EXISTS: nothing happens
     assert len(catalog.tables(spark, db)) == 2
