@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators import changes, merge, mutate
+from tests.plans import plan_text
 
 S = "Id string, v int"
 
@@ -134,3 +135,14 @@ def test_replace_where_starts_no_job(spark):
     finally:
         sc._jsc.clearJobGroup()
     assert not sc.statusTracker().getJobIdsForGroup("replace-where")
+
+
+def test_insert_only_merge_of_repeated_keys_brings_whole_rows_together_once(spark):
+    t = spark.createDataFrame([("a", 1, "t"), ("b", 1, "t")], "Id string, v int, w string")
+    u = spark.createDataFrame([("a", 5, "u"), ("c", 3, "y"), ("c", 3, "x"), ("c", 4, "a"), ("d", None, None),
+                               (None, 7, "n"), (None, 7, "n")], "Id string, v int, w string")
+    new = merge.rows_to_insert(t, u, once=True)
+    assert plan_text(new, "simple").count("min(struct(") == 2  # partial and final, of the rows to insert only
+    cols = ("Id", "v", "w")
+    assert rows(new, *cols) == rows(merge.rows_to_insert(t, merge.one_per_key(u)), *cols)
+    assert rows(new, *cols) == [("c", 3, "x"), ("d", None, None), (None, 7, "n"), (None, 7, "n")]

@@ -22,7 +22,7 @@ def _keys(key: str | list[str]) -> list[str]:
 
 def rows_to_insert(target: DataFrame, updates: DataFrame,
                    key: str | list[str] = "Id",
-                   target_columns: list[str] | None = None) -> DataFrame:
+                   target_columns: list[str] | None = None, once: bool = False) -> DataFrame:
     """Source rows whose key is absent from the target.
 
     * Only the key columns of the target are read (column pruning).
@@ -30,12 +30,17 @@ def rows_to_insert(target: DataFrame, updates: DataFrame,
       Spark broadcasts its keys (by size) and the target is scanned where it lies. Keys found
       are de-duplicated map-side, so a hot key shrinks to one row per task.
     * Source rows with a NULL key never match: they skip the join.
-    * Duplicates inside one batch all insert (MERGE semantics); see ``one_per_key``.
+    * Duplicates inside one batch all insert (MERGE semantics), or with ``once`` one row of each
+      key (``one_per_key``). Target keys are looked up by the source's keys alone, so whole rows
+      are brought together once, for the insert.
     """
     keys = _keys(key)
     cols = target_columns or target.columns
     keyed, null_keyed = split_null_keys(updates, keys)
-    present = target.select(*keys).join(keyed.select(*keys), on=keys, how="left_semi").distinct()
+    asked = keyed.select(*keys).distinct() if once else keyed.select(*keys)
+    present = target.select(*keys).join(asked, on=keys, how="left_semi").distinct()
+    if once:
+        keyed = one_per_key(keyed, keys)
     new = keyed.join(present, on=keys, how="left_anti").unionByName(null_keyed)
     return project_to_target(new, cols)
 

@@ -353,8 +353,9 @@ class ParquetTable:
 
     def merge_insert_only(self, updates: DataFrame, txn: tuple[str, int] | None = None,
                           key_implies_partition: bool = False,
-                          key_implies: list[str] | None = None) -> int:
-        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append rows with new keys only.
+                          key_implies: list[str] | None = None, once: bool = False) -> int:
+        """``MERGE … WHEN NOT MATCHED THEN INSERT *``: append rows with new keys only, with ``once``
+        one row of each key (``merge.one_per_key``) where the updates repeat it.
 
         ``key_implies`` names columns whose value is fixed by the key (those a content key
         hashes); ``key_implies_partition=True`` adds the partition columns. A target row can
@@ -370,7 +371,7 @@ class ParquetTable:
             if scope is None:
                 return self.append(updates.limit(0), operation=OP_MERGE, txn=txn)
             target = target.filter(scope)
-        new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names)
+        new = merge_ops.rows_to_insert(target, updates, self.key, self.schema.names, once)
         return self.append(new, operation=OP_MERGE, txn=txn)
 
     def _partition_filter(self, parts: list[tuple]) -> Column:

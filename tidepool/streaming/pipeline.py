@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.functions.cleaning import clean_raw_data
 from tidepool.functions.keys import content_key
-from tidepool.operators.merge import one_per_key
 from tidepool.sources.sensor import (RAW_COLUMNS, SILVER_COLUMNS, SILVER_PARTITIONS,
                                      SKIP_COLUMNS, sensor_schema, stream_sensor_csv, with_provenance)
 from tidepool.sources.table import OP_STREAM, ParquetTable
@@ -106,15 +105,11 @@ def merge_bronze_to_silver(bronze: ParquetTable, silver: ParquetTable, checkpoin
     src = bronze.stream(max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # The merge runs several jobs over the batch (its bounds, the write): persist it (memory and disk) rather than re-read its
-        # source files for each; lost blocks are recomputed from lineage.
-        batch.persist()
-        try:
-            silver.merge_insert_only(one_per_key(batch, silver.key), txn=(_app_id(query_name, checkpoint), batch_id),
-                                     key_implies_partition=key_implies_partition,
-                                     key_implies=key_implies)
-        finally:
-            batch.unpersist()
+        # Bounds and keys are read from the batch's files by column, whole rows once, for the insert: a copy of the
+        # batch (persist) cost more than these reads.
+        silver.merge_insert_only(batch, txn=(_app_id(query_name, checkpoint), batch_id),
+                                 key_implies_partition=key_implies_partition,
+                                 key_implies=key_implies, once=True)
 
     return run_stream(src, query_name, checkpoint, merge, trigger, await_done)
 
