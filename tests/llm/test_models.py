@@ -126,6 +126,17 @@ def test_state_is_carried_over_the_whole_document(small_lm):
         assert abs(total - want) < 1e-4
 
 
+def test_ranks_after_a_split_do_not_depend_on_the_sort():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 300):
+        first = rng.integers(0, 2**60, max(1, n // 3))[rng.integers(0, max(1, n // 3), n)]
+        group = induced.refine(np.zeros(n, np.int64), first)
+        assert group.tolist() == [int((first < x).sum()) for x in first]
+        key = rng.integers(0, 2**60, 4)[rng.integers(0, 4, n)]
+        pairs = list(zip(first.tolist(), key.tolist(), strict=True))
+        assert induced.refine(group, key).tolist() == [sum(q < p for q in pairs) for p in pairs]
+
+
 def test_induced_sorting_equals_plain_sorting():
     rng = random.Random(4)
     for _ in range(150):

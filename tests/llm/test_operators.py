@@ -363,6 +363,24 @@ def test_a_shard_is_sorted_in_bounded_lists(monkeypatch):
         x for g in range(200) for x in ((g, 0, 50, 51), (g, 2, 0, 1)))
 
 
+def test_suffix_dedup_cuts_texts_in_small_blocks():
+    """Equal pieces whatever the block; a block's hashes (8 bytes a text byte) fit a core's cache."""
+    assert suffix_dedup.CUT_BYTES <= 1 << 18 < suffix_dedup.BLOCK_BYTES
+    rng, powers = np.random.default_rng(3), suffix_dedup.Powers()
+    texts = [rng.integers(97, 100, n, np.uint8).tobytes() for n in (0, 100, 700, 260, 900, 200, 5000)]
+
+    def cut(most):
+        got = []
+        for a, b in suffix_dedup.blocks(texts, most):
+            assert b == a + 1 or sum(map(len, texts[a:b])) <= most
+            gram, piece, windows, offset, owner, start = suffix_dedup.pieces(texts[a:b], powers)
+            got += zip(gram.tolist(), piece.tolist(), windows.tolist(), offset.tolist(), (owner + a).tolist(), start.tolist(),
+                       strict=True)
+        return got
+
+    assert cut(1000) == cut(1 << 20)
+
+
 def test_suffix_dedup_long_text(spark):
     """A repeat beyond the first 2**24 bytes of a text, and one across a cut of the text."""
     rng = np.random.default_rng(5)

@@ -75,7 +75,13 @@ class Queues:
 
 def refine(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Ranks (number of smaller elements) after splitting each group of equal rank by ``key``."""
-    order = np.lexsort((key, group))
+    if len(key) and group.any():  # the key's place among the keys leaves room for the group in one integer
+        order = np.argsort(key)
+        place = np.empty_like(order)
+        place[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
+        order = np.argsort(group * len(key) + place)
+    else:
+        order = np.argsort(key)
     g, k, n = group[order], key[order], np.arange(len(order))
     new_group = np.ones(len(g), bool)
     new_group[1:] = g[1:] != g[:-1]
@@ -137,15 +143,13 @@ class Induced:
         lcp = np.where(same, CAP, 0).astype(np.int16)
         todo = np.flatnonzero(~same[1:]) + 1
         p, q, length = at[order[todo - 1]], at[order[todo]], 0
+        eight = np.lib.stride_tricks.sliding_window_view(np.append(text, np.zeros(16, text.dtype)), 8)
         while len(todo) and length < CAP:  # common prefixes of the S* order, eight symbols at a time
-            step = np.arange(8)
-            a = text[np.minimum(p[:, None] + step, len(text) - 1)]
-            b = text[np.minimum(q[:, None] + step, len(text) - 1)]
-            differ = a != b
-            some = differ.any(axis=1)
-            lcp[todo[some]] = length + differ[some].argmax(axis=1)
-            lcp[todo[~some]] = length + 8
-            todo, p, q, length = todo[~some], p[~some] + 8, q[~some] + 8, length + 8
+            differ = eight[p] != eight[q]
+            same8 = np.flatnonzero(differ.view(np.uint64)[:, 0] == 0)
+            lcp[todo] = length + differ.argmax(axis=1)
+            todo, p, q, length = todo[same8], p[same8] + 8, q[same8] + 8, length + 8
+            lcp[todo] = length
         return at[order], np.minimum(lcp, CAP)
 
     def _scan(self, pos: np.ndarray, lcp: np.ndarray, to_s: bool, queues: Queues, least: np.ndarray) -> None:

@@ -44,7 +44,8 @@ from tidepool.llm.common import staged
 from tidepool.llm.induced import Store, repeated
 
 SPAN, GRAM, SHARD_BYTES = 200, 32, 4 << 20
-SORT_BYTES = 1 << 20  # sorted at once; sorting holds about 75 times its bytes
+SORT_BYTES = 1 << 19  # sorted at once; sorting holds about 75 times its bytes
+CUT_BYTES = 1 << 18  # cut at once (a longer stretch alone), so that the arrays of 64-bit hashes stay in a core's cache
 HOT_PIECES = 5_000  # different pieces of one gram, or cuts with one core, beyond which they are split
 STEPS = (29, 5, 1)  # offsets of a part: 169 offsets make 6, then 34, then 169 parts
 BLOCK_BYTES, POSITION_BITS = 1 << 20, 24
@@ -120,7 +121,7 @@ def stretches(texts: list[bytes], span: int = SPAN, most: int = BLOCK_BYTES) ->
     return [texts[i][a:a + most] for i, a in cuts], index, base
 
 
-def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+def blocks(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes in all (a longer text alone)."""
     first, size = 0, 0
     for i, t in enumerate(texts):
@@ -143,7 +144,7 @@ def occurrences(docs: DataFrame, span: int = SPAN) -> DataFrame:
         powers = Powers()
         for batch in batches:
             texts, index, base = stretches([raw(t) for t in batch.column(2).to_pylist()], span)
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, CUT_BYTES):
                 gram, piece, windows, offset, owner, start = pieces(texts[a:b], powers, span)
                 take, start = pa.array(index[owner + a]), start + base[owner + a]
                 yield pa.RecordBatch.from_arrays(
