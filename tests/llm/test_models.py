@@ -126,6 +126,18 @@ def test_state_is_carried_over_the_whole_document(small_lm):
         assert abs(total - want) < 1e-4
 
 
+def test_words_split_and_looked_up_together_as_one_by_one():
+    import pyarrow as pa
+
+    texts = ["One  two\ttwo\n", None, "", " \x0b\x0c\r ", "\u00c9t\u00c9 A\u00a0b \u2003 x", "zz three\x1fthree ONE", "q"]
+    want = [language_model.tokens(t) for t in texts]
+    index = language_model.Index([b"", b"two", b"x", b"one"])
+    for rows, kept in ((pa.array(texts), want), (pa.array(texts).slice(2, 4), want[2:6]), (pa.array([], pa.string()), [])):
+        words, sizes = language_model.split(rows)
+        assert words.to_pylist() == [w for ws in kept for w in ws] and sizes.tolist() == [len(ws) for ws in kept]
+        assert index.places_of(words).tolist() == [index[w] for ws in kept for w in ws]
+
+
 def test_ranks_after_a_split_do_not_depend_on_the_sort():
     rng = np.random.default_rng(5)
     for n in (0, 1, 2, 300):

@@ -20,8 +20,9 @@ every corpus is passed once. A task's share of tokens decides how many streams i
 side, up to ``STREAMS``. The start already equals the smoothed unigram model.
 
 Sizes: the driver and the tasks hold the ``KNOWN`` most frequent words (a bound on rows,
-ensured by a count histogram), never the vocabulary. A task holds the words of one text and the
-ids of ``HELD_BYTES`` of text at a time (a longer text alone); equal texts among them are scored once.
+ensured by a count histogram), never the vocabulary. A task holds the words and ids of
+``HELD_BYTES`` of text at a time (a longer text alone); equal texts among them are scored once.
+Texts are split, and words looked up and counted, as Arrow arrays.
 
 Defined cases: a null or empty text is just its end token; without training documents every
 token has probability 1 in the base score (V and N are 0) and the model keeps its start;
@@ -31,12 +32,12 @@ repeated rows are scored each; an empty table gives an empty result; other colum
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from copy import copy
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,9 @@ STATE, BPTT, STREAMS, LEAST_STREAMS, UPDATES = 24, 16, 256, 8, 128
 ROUNDS, TASK_TOKENS, LONGEST, FAN = 2, 2_000_000, 16, 8
 RATE = 3e-3  # of updates over 64 streams, in proportion for more
 END = b""
+HALVED = np.array([0.5, 0.5, 1])[:, None, None]  # update, reset, candidate
 GROUP_TOKENS, CHUNK_TOKENS = 1_500_000, 8192
+UPDATED = 1 << 16  # weights updated at once
 HELD_BYTES, HELD_COUNTS = 16 << 20, 400_000
 
 
@@ -57,6 +60,14 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens`` of all texts, one after the other, and the number of each text's."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, bounds = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty word
+    return words.filter(pa.array(real)), np.diff(np.concatenate([[0], np.cumsum(real)])[bounds])
+
+
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL
 
@@ -73,25 +84,36 @@ class Index(dict):
     def places(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
+    def places_of(self, words: pa.Array) -> np.ndarray:
+        """``places`` of an Arrow array; of the words outside the list, each different end is looked at once."""
+        found = pc.index_in(words, value_set=pa.array(list(self), pa.binary()))
+        at = pc.fill_null(found, -1).to_numpy().copy()
+        other = np.flatnonzero(at < 0)
+        ends = pc.binary_slice(words.filter(pc.is_null(found)), -2).dictionary_encode()
+        groups = np.array([tail_class(w) for w in ends.dictionary.to_pylist()], np.int32)
+        at[other] = len(self) + groups[ends.indices.to_numpy()]
+        return at
+
 
 def count_tokens(train: DataFrame) -> DataFrame:
     """(token binary, c): occurrences over all training documents, the end token included. A task sends
     what it has counted whenever it holds ``HELD_COUNTS`` tokens, and at its end."""
-    def sent(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "c"])
+    def sent(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = pa.Table.from_batches(held).group_by("token", use_threads=False).aggregate([("c", "sum")])
+        yield from counts.rename_columns(["token", "c"]).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             for part in slices(batch.column(0), 0):
-                for t in part.field(0).to_pylist():
-                    seen.update(tokens(t))
-                    seen[END] += 1
-                if len(seen) >= HELD_COUNTS:
-                    yield sent(seen)
-                    seen.clear()
-        yield sent(seen)
+                values, n = split(part.field(0))[0].value_counts().flatten()
+                held += [pa.RecordBatch.from_arrays([v, c], ["token", "c"]) for v, c in (
+                    (values, n), (pa.array([END], pa.binary()), pa.array([len(part)], pa.int64())))]
+                if sum(map(len, held)) >= HELD_COUNTS:
+                    yield from sent(held)
+                    held.clear()
+        if held:
+            yield from sent(held)
 
     return (train.select(F.struct("text").alias("row")).mapInArrow(run, "token binary, c long")
             .groupBy("token").agg(F.sum("c").alias("c")))
@@ -146,22 +168,27 @@ class Gru:
         """Ids: head words 0.., others n_head + tail class."""
         return self.ids.places(words)
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text's words."""
+        words, sizes = split(texts)
+        return np.split(self.ids.places_of(words), np.cumsum(sizes)[:-1])
+
     def gates(self) -> tuple[np.ndarray, np.ndarray]:
         """Input and recurrent weights with the gates (update, reset, candidate) as first axis, so that
-        every array of a step lies in one piece."""
-        return tuple(np.ascontiguousarray(self.p[n].reshape(-1, 3, STATE).transpose(1, 0, 2)) for n in ("x", "h"))
+        every array of a step lies in one piece; halved for update and reset, as ``advance`` takes them."""
+        return tuple(np.ascontiguousarray(self.p[n].reshape(-1, 3, STATE).transpose(1, 0, 2) * HALVED.astype(
+            self.p[n].dtype)) for n in ("x", "h"))
 
     @staticmethod
     def advance(x: np.ndarray, h: np.ndarray, recurrent: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The next state from inputs ``x`` (3, rows, k). Leaves update, reset and the recurrent part in ``a``
+        """The next state from inputs ``x`` (3, rows, k), a sigmoid of v being 0.5 + 0.5 tanh(v / 2). Leaves update, reset and the recurrent part in ``a``
         (as ``x``), the candidate in ``n``."""
         np.matmul(h, recurrent, out=a)
         zr = a[:2]
         zr += x[:2]
-        np.maximum(zr, -30, out=zr)
-        np.exp(np.negative(zr, out=zr), out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
         np.multiply(a[1], a[2], out=n)
         n += x[2]
         np.tanh(n, out=n)
@@ -173,7 +200,7 @@ class Gru:
     def step(self, x: np.ndarray, h: np.ndarray):
         """One step from summed inputs ``x`` (rows, 3k): (new state, update, reset, candidate, recurrent part)."""
         a, n = np.empty((3, *h.shape), h.dtype), np.empty_like(h)
-        new = self.advance(x.reshape(len(x), 3, STATE).transpose(1, 0, 2), h, self.gates()[1].astype(h.dtype), a, n)
+        new = self.advance(x.reshape(len(x), 3, STATE).transpose(1, 0, 2) * HALVED.astype(x.dtype), h, self.gates()[1].astype(h.dtype), a, n)
         return new, a[0], a[1], n, a[2]
 
     def slots(self, target: np.ndarray) -> np.ndarray:
@@ -199,27 +226,35 @@ class Gru:
         """Log-probability of each target given states; with ``learn`` also gradients of minus their sum."""
         p, slot = self.p, self.slots(target)
         order = np.argsort((slot // PER_CLASS).astype(np.int16), kind="stable")
-        h, target, slot = h.take(order, axis=0), target[order], slot[order]  # rows of a class lie together, the tail's last
+        target, slot = target[order], slot[order]  # rows of a class lie together, the tail's last
+        states = np.ones((len(h), STATE + 1), h.dtype)  # the last column meets the biases
+        states[:, :-1] = h.take(order, axis=0)
         cls, inside = np.divmod(slot, PER_CLASS)
         reach = np.abs(h).max(initial=0)
         near = lambda w, b, axis: (reach * np.abs(w).sum(axis=axis) + np.abs(b)).max(axis=-1) < 80
-        got, d = self.softmax(h @ p["c"] + p["cb"], cls, bool(near(p["c"], p["cb"], 0)), learn)
-        out = got.astype(np.float64)
-        if learn:
-            grad = {"c": h.T @ d, "cb": d.sum(axis=0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-            dh = d @ p["c"].T
-        cut, bounded = np.searchsorted(cls, np.arange(self.n_classes + 1)), near(p["w"], p["wb"], 1)
-        for c in np.flatnonzero(np.diff(cut)):
-            at = slice(cut[c], cut[c + 1])
-            got, d = self.softmax(h[at] @ p["w"][c] + p["wb"][c], inside[at], bool(bounded[c]), learn)
-            out[at] += got
-            if learn:
-                grad["w"][c], grad["wb"][c] = h[at].T @ d, d.sum(axis=0)
-                dh[at] += d @ p["w"][c].T
+        got, d = self.softmax(states @ np.concatenate([p["c"], p["cb"][None]]), cls, bool(near(p["c"], p["cb"], 0)), learn)
+        words, logit = np.concatenate([p["w"], p["wb"][:, None]], axis=1), np.empty((len(h), PER_CLASS), h.dtype)
+        cut, bounded = np.searchsorted(cls, np.arange(self.n_classes + 1)).tolist(), near(p["w"], p["wb"], 1)
+        spans = [(c, slice(cut[c], cut[c + 1])) for c in range(self.n_classes) if cut[c] < cut[c + 1]]
+        for c, at in spans:
+            np.matmul(states[at], words[c], out=logit[at])
+            if not bounded[c]:
+                logit[at] -= logit[at].max(axis=1, keepdims=True)
+        own, e = self.softmax(logit, inside, True, learn)
+        out = got.astype(np.float64) + own
         out[cut[-2]:] -= self.log_tail[target[cut[-2]:] - self.n_head]
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
-        return (out[back], grad, dh.take(back, axis=0)) if learn else out[back]
+        if not learn:
+            return out[back]
+        turned, grad, dh = np.ascontiguousarray(p["w"].transpose(0, 2, 1)), np.zeros_like(words), np.empty_like(h)
+        for c, at in spans:
+            np.matmul(states[at].T, e[at], out=grad[c])
+            np.matmul(e[at], turned[c], out=dh[at])
+        dh += d @ p["c"].T
+        both = states.T @ d
+        grad = {"c": both[:-1], "cb": both[-1], "w": grad[:, :-1], "wb": grad[:, -1]}
+        return out[back], grad, dh.take(back, axis=0)
 
     def fit(self, docs: Iterable[np.ndarray], width: int = STREAMS) -> int:
         """Truncated backpropagation over every token: ``width`` parallel streams take the documents as
@@ -229,6 +264,7 @@ class Gru:
         flat = np.concatenate([self.p[n].ravel() for n in sorted(self.p)])
         self.p = shaped(flat, self.p)
         g, free, first, second = (np.zeros_like(flat) for _ in range(4))
+        cuts = [slice(i, i + UPDATED) for i in range(0, len(flat), UPDATED)]
         lanes = [np.empty(0, np.int32) for _ in range(width)]
         h, last = np.zeros((width, STATE), np.float32), np.full(width, end, np.int32)
         while True:
@@ -245,25 +281,31 @@ class Gru:
                 return seen
             lanes, h, last = [lanes[i] for i in alive], h[alive], last[alive]
             steps = min(steps, max(len(lane) for lane in lanes))
-            y, real = np.full((len(lanes), steps), end, np.int32), np.zeros((len(lanes), steps), bool)
+            y, real = np.full((len(lanes), steps), end, np.int32), np.ones((len(lanes), steps), bool)
             for i, lane in enumerate(lanes):
                 n = min(steps, len(lane))
-                y[i, :n], real[i, :n], lanes[i] = lane[:n], True, lane[n:]
+                y[i, :n], lanes[i] = lane[:n], lane[n:]
+                if n < steps:
+                    real[i, n:] = False
             x = np.concatenate([last[:, None], y[:, :-1]], axis=1)
             last = y[:, -1]
             h, grad = self.window(x, y, h, end, None if real.all() else real)
             seen += int(real.sum())
             t += 1
             np.concatenate([grad[n].ravel() for n in sorted(grad)], out=g)
-            g *= np.float32(min(1.0, 1.0 / (float(g @ g)**0.5 + 1e-9)))
-            first += np.multiply(np.subtract(g, first, out=free), np.float32(0.1), out=free)
-            g *= g
-            second += np.multiply(np.subtract(g, second, out=free), np.float32(0.01), out=free)
-            np.sqrt(np.multiply(second, np.float32(1 / (1 - 0.99**t)), out=free), out=free)
-            free += np.float32(1e-6)
-            np.divide(first, free, out=free)
-            free *= np.float32(rate / (1 - 0.9**t))
-            flat -= free  # the weights are views of it
+            clip, grow, down = (np.float32(v) for v in (
+                min(1.0, 1.0 / (float(g @ g)**0.5 + 1e-9)), 1 / (1 - 0.99**t), rate / (1 - 0.9**t)))
+            for part in cuts:  # what a block touches stays in a core's cache
+                w, d, f, m, v = (values[part] for values in (flat, g, free, first, second))
+                d *= clip
+                m += np.multiply(np.subtract(d, m, out=f), np.float32(0.1), out=f)
+                d *= d
+                v += np.multiply(np.subtract(d, v, out=f), np.float32(0.01), out=f)
+                np.sqrt(np.multiply(v, grow, out=f), out=f)
+                f += np.float32(1e-6)
+                np.divide(m, f, out=f)
+                f *= down
+                w -= f  # the weights are views of it
 
     def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int, real: np.ndarray | None = None):
         """State after the window and the mean gradient over it, or over its ``real`` targets."""
@@ -284,7 +326,7 @@ class Gru:
         # the derivatives that do not depend on later steps, for all steps at once
         through = np.stack([(start - n) * z * (1 - z), inner * r * (1 - r), (1 - z) * (1 - n * n)])
         dx, dn, back = np.empty_like(a), np.empty_like(n), np.zeros_like(h)
-        turned = np.ascontiguousarray(recurrent.transpose(0, 2, 1))
+        turned = np.ascontiguousarray(recurrent.transpose(0, 2, 1)) / HALVED.astype(h.dtype)
         for t in range(steps - 1, -1, -1):
             d = back
             d += dh[t]
@@ -369,8 +411,8 @@ def fit_round(docs: DataFrame, model: Gru, turn: int, width: int) -> np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value.copy()
-        total = m.fit((m.encode(tokens(t)) for batch in batches for part in slices(batch.column(0), 0)
-                       for t in part.field(0).to_pylist()), width)
+        total = m.fit((ids for batch in batches for part in slices(batch.column(0), 0)
+                       for ids in m.encode_all(part.field(0))), width)
         if total:
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total], pa.int64()),
@@ -437,29 +479,35 @@ def score(docs: DataFrame, counts: DataFrame, learned: dict) -> DataFrame:
         index, ids_of, log_of, outside = place_tables(m, known)
         end = float(log_of[index[END]]) if END in index else float(np.log10(0.5))
         number = TaskContext.get().partitionId() << 33
+
+        def looked_up(texts: pa.Array):
+            """Of each text: the model's ids, tokens, known tokens, log10 of its counts and of its words'
+            shares inside their tail class, and its unknown words; all arrays by word end here."""
+            words, sizes = split(texts)
+            n, owner, at = len(sizes), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), index.places_of(words)
+            logs, unknown = log_of[at], at >= len(index)
+            base, rest = np.bincount(owner, logs, n) + end, np.bincount(owner, np.where(outside[at], logs, 0), n)
+            n_known = sizes - np.bincount(owner[unknown], minlength=n) + (END in index)
+            coded = words.filter(pa.array(unknown)).dictionary_encode()
+            different = max(1, len(coded.dictionary))
+            each, times = np.unique(owner[unknown].astype(np.int64) * different + coded.indices.to_numpy(), return_counts=True)
+            rare = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(each, np.arange(n + 1) * different), pa.int32()), pa.StructArray.from_arrays(
+                    [coded.dictionary.take(pa.array(each % different)), pa.array(times, pa.int64())], ["token", "n"]))
+            return np.split(ids_of[at], np.cumsum(sizes)[:-1]), sizes + 1, n_known, base, rest, rare
+
         for batch in batches:
             for part in slices(batch.column(0), 1, HELD_BYTES):
-                place: dict = {}
-                which = np.array([place.setdefault(t, len(place)) for t in part.field(1).to_pylist()], np.int64)
-                n_tokens, n_known, base, rest, rare, ids = [], [], [], [], [], []
-                for t in place:
-                    words = tokens(t)
-                    at = index.places(words)
-                    ids.append(ids_of[at])
-                    logs = log_of[at]
-                    missing = Counter(words[i] for i in np.flatnonzero(at >= len(index)).tolist())
-                    rest.append(logs[outside[at]].sum())  # a known word's share inside its tail class
-                    base.append(logs.sum() + end)
-                    n_tokens.append(len(words) + 1)
-                    n_known.append(len(words) - missing.total() + (END in index))
-                    rare.append([{"token": w, "n": n} for w, n in missing.items()])
-                gru = m.log_likelihood(ids) / np.log(10) + np.array(rest)
+                texts = pc.fill_null(part.field(1), "").dictionary_encode()
+                which = texts.indices.to_numpy()
+                ids, n_tokens, n_known, base, rest, rare = looked_up(texts.dictionary)
+                gru = m.log_likelihood(ids) / np.log(10) + rest
                 rid = np.arange(number, number + len(which))
                 number += len(which)
                 yield pa.RecordBatch.from_arrays(
                     [part.field(0), pa.array(rid), *(pa.array(np.array(c, t)[which]) for c, t in (
                         (n_tokens, np.int64), (n_known, np.int64), (base, np.float64), (gru, np.float64))),
-                     pa.array(rare, pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))).take(pa.array(which))],
+                     rare.take(pa.array(which))],
                     ["doc_id", "rid", "n_tokens", "n_known", "base", "gru", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
